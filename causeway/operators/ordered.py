@@ -43,16 +43,13 @@ def ordered_scan(
     totals = blocks.groupBy(*by, "_block").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *by, F.col("_block").alias("_block_o"),
+        *[F.col(c).alias(f"_k_{c}") for c in by], F.col("_block").alias("_k_block"),
         *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in sums],
     )
-    match = [blocks[c].eqNullSafe(offsets[c]) for c in by] + [blocks["_block"] == offsets["_block_o"]]
-    condition = match[0]
-    for extra in match[1:]:
-        condition = condition & extra
-    joined = blocks.join(offsets, condition)
+    match = F.col("_block") == F.col("_k_block")
     for c in by:
-        joined = joined.drop(offsets[c])
+        match = match & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    joined = blocks.join(offsets, match)
     inside = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return joined.select(
         *df.columns,
