@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -396,26 +396,29 @@ def newey_west(
 ) -> np.ndarray:
     """HAC covariance with Bartlett weights; lags never cross groups.
 
-    ``df`` has one row per (group, time bucket), so the lag window holds buckets only.
+    The Bartlett sum equals the mean outer product of rolling score sums of length lags + 1
+    over the zero-padded series, so one moment aggregate replaces one per lag: every row gives
+    the sum of the next ``lags`` scores, and the first ``lags`` rows also give their prefix sum.
+    ``df`` has one row per (group, time bucket), so the windows hold buckets only.
     """
-    from pyspark.sql import Window
-
     k = len(terms)
     scores = df.select(
-        *by, order.alias("_order"), F.array(*[t.cast("double") * residual for t in terms]).alias("_s")
+        *by, order.alias("_order"), *[(t.cast("double") * residual).alias(f"_u{i}") for i, t in enumerate(terms)]
+    )
+    series = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_order")
+    ahead, back = series.rowsBetween(0, lags), series.rowsBetween(-lags, 0)
+    rolled = scores.select(
+        (F.row_number().over(series) <= lags).alias("_early"),
+        *[F.sum(f"_u{i}").over(ahead).alias(f"_a{i}") for i in range(k)],
+        *[F.sum(f"_u{i}").over(back).alias(f"_b{i}") for i in range(k)],
     )
-    window = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_order")
-    lagged = scores.select("_s", *[F.lag("_s", i).over(window).alias(f"_s{i}") for i in range(1, lags + 1)])
-    sums = []
-    for lag in range(lags + 1):
-        other = F.col("_s") if lag == 0 else F.col(f"_s{lag}")
-        sums += [
-            F.sum(F.col("_s")[i] * other[j]).alias(f"g_{lag}_{i}_{j}") for i in range(k) for j in range(k)
-        ]
-    row = lagged.agg(*sums).first()
+    def entry(i, j):
+        early = F.when(F.col("_early"), F.col(f"_b{i}") * F.col(f"_b{j}")).otherwise(F.lit(0.0))
+        return F.sum(F.col(f"_a{i}") * F.col(f"_a{j}") + early).alias(f"g_{i}_{j}")
+
+    row = rolled.agg(*[entry(i, j) for i in range(k) for j in range(i, k)]).first()
     meat = np.zeros((k, k))
-    for lag in range(lags + 1):
-        part = np.array([[row[f"g_{lag}_{i}_{j}"] or 0.0 for j in range(k)] for i in range(k)])
-        weight = 1.0 - lag / (lags + 1.0)
-        meat += part if lag == 0 else weight * (part + part.T)
+    for i in range(k):
+        for j in range(i, k):
+            meat[i, j] = meat[j, i] = (row[f"g_{i}_{j}"] or 0.0) / (lags + 1.0)
     return inverse @ meat @ inverse

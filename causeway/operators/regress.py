@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from causeway.functions.columns import even_grid
 from causeway.operators.gram import (
     NATIVE_LIMIT, TERM_SCHEMA, Moments, Solution, collect_gram, complete_rows, linear_expression, moment_columns,
-    moments, moments_from_row, ridge, solve, term_rows, wide_gram,
+    moments, moments_from_row, newey_west, ridge, solve, term_rows, wide_gram,
 )
 from causeway.session import require_columns
 
@@ -256,6 +256,18 @@ def compare_models(df: DataFrame, features: Sequence[str], target: str, with_spl
     return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(rows)], "rank int, model string, r_squared double")
 
 
+def robust_table(df: DataFrame, features: Sequence[str], target: str, order: str, by: Sequence[str] = (),
+                 lags: int = 3) -> DataFrame:
+    """OLS coefficients with Newey-West errors (Bartlett, normal tails, no small-sample factor)."""
+    clean = complete_rows(df, [*features, target, order])
+    s = solve(moments(clean, [*features, target]), features, target)
+    x = [F.lit(1.0), *[F.col(f"`{f}`") for f in features]]
+    residual = F.col(f"`{target}`") - linear_expression(s.coef, x)
+    cov = newey_west(clean, x, residual, F.col(order), list(by), lags, s.inverse)
+    rows = [(i, *r) for i, r in enumerate(term_rows(s, cov, normal=True))]
+    return df.sparkSession.createDataFrame(rows, f"ord int, {TERM_SCHEMA}")
+
+
 # ---------------------------------------------------------------- additive splines
 
 
@@ -314,11 +326,11 @@ class SplineModel:
         penalty = np.kron(np.eye(len(ranges)), one)
         coef, inverse, rss = ridge(gram, penalty)
         n = gram[0, 0]
-        tss = gram[-1, -1] - gram[0, -1] ** 2 / n
+        tss = float(gram[-1, -1] - gram[0, -1] ** 2 / n)
         edf = float(np.trace(inverse @ gram[:-1, :-1]))
         coef = coef * scale
         coef[0] += centre
-        return cls(tuple(features), target, k, lam, profile, coef, n, rss * scale**2, tss * scale**2, edf)
+        return cls(tuple(features), target, k, lam, profile, coef, float(n), rss * scale**2, tss * scale**2, edf)
 
     @property
     def r_squared(self) -> float:
@@ -414,7 +426,7 @@ def stop_point(curve: DataFrame, by: Sequence[str], x: str, y: str, price: float
     match = F.lit(True)
     for c in by:
         match = match & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
-    joined = d.join(F.broadcast(named), match) if by else d.crossJoin(F.broadcast(named))
+    joined = d.join(named, match) if by else d.crossJoin(F.broadcast(named))
     at_stop = interpolate(joined, by, x, "_me", F.col("x_stop"), "effect_at_stop")
     back = at_stop.join(stops, list(by)) if by else at_stop.crossJoin(stops)
     return back.select(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from causeway.operators.ordered import ordered_scan
 from causeway.session import require_columns
 
 
@@ -48,20 +49,40 @@ def drop_ends(df: DataFrame, key: str) -> DataFrame:
     return df.crossJoin(F.broadcast(bounds)).filter(inside).drop("_lo", "_hi")
 
 
+def exact_percentiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Interpolated percentiles (by..., p, value) without gathering a group in one task.
+
+    Values are counted first, the counts get running totals by an ordered scan, and the two
+    neighbouring ranks of each percentile are read off.
+    """
+    require_columns(df, [column, *by])
+    counts = df.filter(F.col(column).isNotNull()).groupBy(*by, F.col(column).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    ranked = ordered_scan(counts, by, [F.col("_v")], {"_to": F.col("_n")}, position=None)
+    totals = ranked.groupBy(*[F.col(c).alias(f"_g_{c}") for c in by]).agg(F.max("_to").alias("_total"))
+    match = F.lit(True)
+    for c in by:
+        match = match & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    sized = ranked.join(totals, match) if by else ranked.crossJoin(F.broadcast(totals))
+    spot = F.col("p") * (F.col("_total") - 1)
+    wanted = sized.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    near = wanted.filter(F.col("_to") > F.floor(spot)).groupBy(*by, "p", "_total").agg(
+        F.min("_v").alias("_lo"), F.min(F.when(F.col("_to") > F.ceil(spot), F.col("_v"))).alias("_hi"))
+    return near.select(*by, "p", (F.col("_lo") + (spot - F.floor(spot)) * (F.col("_hi") - F.col("_lo"))).alias("value"))
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, sample std, min, quartiles, max: one row per column, one pass."""
+    """count, mean, sample std, min, quartiles, max: one row per column."""
     require_columns(df, columns)
-    aggs = []
-    for i, c in enumerate(columns):
-        v = F.col(c).cast("double")
-        aggs.append(F.struct(
-            F.lit(c).alias("column"), F.count(v).alias("n"), F.avg(v).alias("mean"),
-            F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
-            F.percentile(v, F.lit(0.25)).alias("p25"), F.percentile(v, F.lit(0.5)).alias("p50"),
-            F.percentile(v, F.lit(0.75)).alias("p75"), F.max(v).alias("max"),
-        ).alias(f"_{i}"))
-    one = df.agg(*aggs)
-    return one.select(F.explode(F.array(*[F.col(f"_{i}") for i in range(len(columns))])).alias("r")).select("r.*")
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns
+    ])).alias("r")).select("r.column", "r.v")
+    basic = long.groupBy("column").agg(
+        F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    quartiles = exact_percentiles(long, "v", [0.25, 0.5, 0.75], ["column"]).groupBy("column").agg(
+        *[F.max(F.when(F.col("p") == q, F.col("value"))).alias(f"p{int(q * 100)}") for q in (0.25, 0.5, 0.75)])
+    return basic.join(quartiles, "column", "left").select("column", "n", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def group_profile(df: DataFrame, key: str, collect: str, first: str, first_by: str) -> DataFrame:
