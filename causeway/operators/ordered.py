@@ -16,11 +16,31 @@ from pyspark.sql import functions as F
 from causeway.session import cut_lineage, require_columns
 
 
-def _ranged(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def place(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Range-partition on (by, order) and freeze the placement in ``_block``."""
+    require_columns(df, by)
     placed = df.repartitionByRange(*[F.col(c).asc() for c in by], *order)
     return cut_lineage(placed.withColumn("_block", F.spark_partition_id()))
 
 
+def running(placed: DataFrame, by: Sequence[str], order: Sequence[Column], sums: dict[str, Column]) -> DataFrame:
+    """Add inclusive running sums per group to a placed frame, keeping ``_block``."""
+    staged = placed.withColumns({f"_v_{name}": value for name, value in sums.items()})
+    totals = staged.groupBy(*by, "_block").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
+    earlier = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(c).alias(f"_k_{c}") for c in by], F.col("_block").alias("_k_block"),
+        *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in sums],
+    )
+    match = F.col("_block") == F.col("_k_block")
+    for c in by:
+        match = match & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    inside = Window.partitionBy(*by, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return staged.join(offsets, match).select(
+        *placed.columns, *[(F.col(f"_o_{n}") + F.sum(f"_v_{n}").over(inside)).alias(n) for n in sums],
+    )
+
+
 def ordered_scan(
     df: DataFrame,
     by: Sequence[str],
@@ -33,28 +53,10 @@ def ordered_scan(
     ``order`` must be a total order inside a group (end it with a unique key), so that
     the result does not depend on how rows were placed.
     """
-    require_columns(df, by)
-    sums = dict(sums or {})
+    wanted = dict(sums or {})
     if position:
-        sums[position] = F.lit(1).cast("bigint")
-    staged = df.withColumns({f"_v_{name}": value for name, value in sums.items()})
-    blocks = _ranged(staged, by, order)
-    keys = [F.col(c) for c in by]
-    totals = blocks.groupBy(*by, "_block").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[F.col(c).alias(f"_k_{c}") for c in by], F.col("_block").alias("_k_block"),
-        *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in sums],
-    )
-    match = F.col("_block") == F.col("_k_block")
-    for c in by:
-        match = match & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-    joined = blocks.join(offsets, match)
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return joined.select(
-        *df.columns,
-        *[(F.col(f"_o_{n}") + F.sum(f"_v_{n}").over(inside)).alias(n) for n in sums],
-    )
+        wanted[position] = F.lit(1).cast("bigint")
+    return running(place(df, by, order), by, order, wanted).drop("_block")
 
 
 def row_number(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "row_number") -> DataFrame:

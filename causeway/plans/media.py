@@ -1,0 +1,92 @@
+"""Media-mix queries on daily events."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from causeway.operators import media as X
+from causeway.plans.common import CHANNELS, MEDIA_SQL, media_daily, sales_daily
+from causeway.plans.registry import query
+
+# fixed channel parameters: channel, decay, half-point, slope, effect, price per unit
+FIXED = [
+    ("click", 0.6, 120.0, 0.8, 900.0, 45.0), ("error", 0.3, 90.0, 1.0, 150.0, 50.0),
+    ("signup", 0.5, 150.0, 0.7, 700.0, 52.0), ("view", 0.2, 60.0, 1.6, 400.0, 48.0),
+]
+
+_PARAMS_SQL = "params AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{c}', {d}::DOUBLE, {h}::DOUBLE, {s}::DOUBLE, {b}::DOUBLE, {p}::DOUBLE)" for c, d, h, s, b, p in FIXED
+) + ") v(channel, decay, half, slope, beta, price))"
+
+_EFFECT_SQL = f"""WITH {MEDIA_SQL}, {_PARAMS_SQL},
+ lagged AS (SELECT *, {', '.join(f'coalesce(lag(x, {j}) OVER w, 0) AS x{j}' for j in range(1, 9))}
+  FROM media JOIN params USING (channel) WINDOW w AS (PARTITION BY channel ORDER BY d)),
+ stocked AS (SELECT *, x + {' + '.join(f'pow(decay, {j})*x{j}' for j in range(1, 9))} AS stock FROM lagged),
+ eff AS (SELECT *, beta * pow(stock, slope) / (pow(stock, slope) + pow(half, slope)) AS effect FROM stocked),
+ sale AS (SELECT d, sum(sales) AS sales FROM ads GROUP BY 1)"""
+
+
+def params(spark):
+    return spark.createDataFrame(FIXED, "channel string, decay double, half double, slope double, beta double, price double")
+
+
+def effects(spark, sf):
+    return X.channel_effects(media_daily(spark, sf), params(spark))
+
+
+@query("x1_media_fit")
+def x1_media_fit(spark, sf):
+    _, scores = X.fit_media(media_daily(spark, sf), sales_daily(spark, sf), CHANNELS)
+    return scores
+
+
+@query("x2_bootstrap_effects")
+def x2_bootstrap_effects(spark, sf):
+    media, sales = media_daily(spark, sf), sales_daily(spark, sf)
+    fit, _ = X.fit_media(media, sales, CHANNELS)
+    return X.bootstrap_effects(media, sales, fit)
+
+
+@query("x3_contribution_and_roi", _EFFECT_SQL + """ SELECT channel, round(sum(effect), 5) AS contribution, round(sum(spend), 2) AS spend,
+ round(sum(effect) / (SELECT sum(sales) FROM sale), 9) AS share, round(sum(effect) / sum(spend), 9) AS roi FROM eff GROUP BY 1""")
+def x3_contribution_and_roi(spark, sf):
+    out = X.contribution(effects(spark, sf), sales_daily(spark, sf))
+    digits = {"contribution": 5, "spend": 2, "share": 9, "roi": 9}
+    return out.withColumns({c: F.round(c, d) for c, d in digits.items()})
+
+
+@query("x4_response_curves", _EFFECT_SQL + """, r AS (SELECT channel, max(stock) AS high FROM eff GROUP BY 1),
+ g AS (SELECT channel, half, slope, beta, i*high/49.0 AS x FROM params JOIN r USING (channel) CROSS JOIN range(50) t(i))
+SELECT channel, round(x, 6) AS x, round(CASE WHEN x <= 0 THEN 0 ELSE beta*pow(x, slope)/(pow(x, slope) + pow(half, slope)) END, 6) AS response FROM g""")
+def x4_response_curves(spark, sf):
+    ranges = effects(spark, sf).groupBy("channel").agg(F.max("stock").alias("high"))
+    out = X.response_curves(params(spark), ranges, 50)
+    return out.withColumns({c: F.round(c, 6) for c in ("x", "response")})
+
+
+@query("x5_baseline_split", _EFFECT_SQL + """, m AS (SELECT d, sum(effect) AS media FROM eff GROUP BY 1)
+SELECT d AS date, round(sales, 2) AS sales, round(coalesce(media, 0), 5) AS media, round(sales - coalesce(media, 0), 5) AS baseline
+FROM sale LEFT JOIN m USING (d)""")
+def x5_baseline_split(spark, sf):
+    out = X.baseline_split(effects(spark, sf), sales_daily(spark, sf))
+    digits = {"sales": 2, "media": 5, "baseline": 5}
+    return out.withColumns({c: F.round(c, d) for c, d in digits.items()})
+
+
+_ENV = ("CASE WHEN {x} <= 0 THEN 0 WHEN slope > 1 AND {x} < touch THEN pow(touch, slope)/(pow(touch, slope)+pow(half, slope))/touch*({x}) "
+        "ELSE pow({x}, slope)/(pow({x}, slope)+pow(half, slope)) END")
+
+
+@query("x6_budget_split", f"""WITH {MEDIA_SQL}, {_PARAMS_SQL}, b AS (SELECT sum(spend) / 30 AS budget FROM media),
+ t AS (SELECT *, half*pow(greatest(slope - 1, 0), 1/slope) AS touch, round(budget, 2)/100 AS size FROM params CROSS JOIN b),
+ o AS (SELECT channel, half, slope, beta, price, size, i AS step, beta*(({_ENV.format(x='(i*size/price)')})
+   - ({_ENV.format(x='((i-1)*size/price)')})) AS gain FROM t CROSS JOIN range(1, 101) r(i)),
+ k AS (SELECT *, row_number() OVER (ORDER BY gain DESC, channel, step) AS place FROM o),
+ s AS (SELECT channel, count(*) * max(size) AS spend FROM k WHERE place <= 100 AND gain > 0 GROUP BY 1)
+SELECT channel, round(coalesce(spend, 0), 4) AS spend, round(CASE WHEN coalesce(spend, 0) <= 0 THEN 0 ELSE
+ beta*pow(spend/price, slope)/(pow(spend/price, slope) + pow(half, slope)) END, 6) AS response FROM params LEFT JOIN s USING (channel)""")
+def x6_budget_split(spark, sf):
+    """Split the average daily spend of all channels."""
+    total = media_daily(spark, sf).agg(F.round(F.sum("spend") / 30, 2).alias("b")).first()["b"]
+    out = X.budget_split(params(spark), float(total), 100)
+    return out.select("channel", F.round("spend", 4).alias("spend"), F.round("response", 6).alias("response"))
