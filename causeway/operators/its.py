@@ -301,8 +301,102 @@ class SegmentedFit:
         return cls(encoder=encoder, origins=spark.read.parquet(f"{path}/origins"), **meta)
 
 
+class CandidateChecks:
+    """Placebo tests and window sensitivity for any study model.
+
+    A model provides ``_candidates(df, target, frame, covariates)``: every candidate row
+    (candidate, lo, hi, point) is fitted on ``lo <= time < hi`` with one intervention at ``point``,
+    all in the same job, giving (candidate, group, n_obs, effect).
+    """
+
+    time: str
+    points: Sequence[float]
+    group: str | None
+
+    def _spans(self, df: DataFrame, target: str, bounds: Sequence[tuple[float, float]]) -> list:
+        """Row count and time range for each half-open interval: one aggregate."""
+        t = F.col(self.time)
+        aggs = []
+        for i, (lo, hi) in enumerate(bounds):
+            inside = t < F.lit(hi)
+            if not math.isinf(lo):
+                inside = inside & (t >= F.lit(lo))
+            aggs += [F.count(F.when(inside, t)).alias(f"n{i}"), F.min(F.when(inside, t)).alias(f"lo{i}"),
+                     F.max(F.when(inside, t)).alias(f"hi{i}")]
+        row = df.filter(t.isNotNull() & F.col(target).isNotNull()).agg(*aggs).first()
+        return [(row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i in range(len(bounds))]
+
+    def _frame(self, spark: SparkSession, rows: list[tuple]) -> DataFrame:
+        return spark.createDataFrame(
+            [(i, *[float(v) for v in r]) for i, r in enumerate(rows)],
+            "candidate bigint, lo double, hi double, point double",
+        )
+
+    def placebo_effects(self, df: DataFrame, target: str, n_points: int = 3,
+                        covariates: Sequence[str] = ()) -> DataFrame:
+        """Effect at each fake intervention inside the pre-period: (placebo_point, placebo_effect)."""
+        require_columns(df, [self.time, target, *covariates])
+        first = min(self.points)
+        (n, lo, hi), = self._spans(df, target, [(-math.inf, first)])
+        if n < MIN_ROWS:
+            raise ValueError(f"{n} rows before the first intervention, {MIN_ROWS} are needed")
+        marks = [lo + (i + 1) * (hi - lo) / (n_points + 1) for i in range(n_points)]
+        frame = self._frame(df.sparkSession, [(lo, first, p) for p in marks])
+        effects = self._candidates(df, target, frame, covariates).groupBy("candidate").agg(
+            F.avg("effect").alias("placebo_effect"))
+        return effects.join(F.broadcast(frame), "candidate").select(
+            F.col("point").alias("placebo_point"), "placebo_effect")
+
+    def placebo_test(self, df: DataFrame, target: str, n_points: int = 3,
+                     covariates: Sequence[str] = ()) -> DataFrame:
+        """One row: mean, population std, t test against zero and validity of the placebo effects."""
+        found = sorted(self.placebo_effects(df, target, n_points, covariates).collect())
+        return df.sparkSession.createDataFrame(
+            [summarise_placebo([r[1] for r in found]) + ([r[0] for r in found], [r[1] for r in found])],
+            f"{PLACEBO_SCHEMA}, placebo_points array<double>, placebo_effects array<double>")
+
+    def placebo_per_intervention(self, df: DataFrame, target: str, n_points: int = 3,
+                                 covariates: Sequence[str] = ()) -> DataFrame:
+        """Placebo effects for each real intervention, using rows since the previous one.
+
+        Intervals with fewer than ten rows or a zero time span are left out.
+        """
+        require_columns(df, [self.time, target, *covariates])
+        bounds = [(-math.inf if i == 0 else self.points[i - 1], p) for i, p in enumerate(self.points)]
+        rows, labels = [], []
+        for i, (n, lo, hi) in enumerate(self._spans(df, target, bounds)):
+            if n < MIN_ROWS or hi == lo:
+                continue
+            for j in range(n_points):
+                mark = lo + (j + 1) * (hi - lo) / (n_points + 1)
+                labels.append((len(rows), i, float(self.points[i]), float(mark)))
+                rows.append((lo, self.points[i], mark))
+        spark = df.sparkSession
+        named = spark.createDataFrame(
+            labels, "candidate bigint, real_intervention_index int, real_intervention_point double, placebo_point double")
+        effects = self._candidates(df, target, self._frame(spark, rows), covariates).groupBy("candidate").agg(
+            F.avg("effect").alias("placebo_effect"), F.stddev_samp("effect").alias("placebo_effect_std"))
+        return named.join(effects, "candidate").drop("candidate")
+
+    def window_sensitivity(self, df: DataFrame, target: str,
+                           windows: Sequence[tuple[int, int]] = DEFAULT_WINDOWS,
+                           covariates: Sequence[str] = ()) -> DataFrame:
+        """Effect per (intervention, pre, post) window, both ends inclusive; under ten rows is left out."""
+        require_columns(df, [self.time, target, *covariates])
+        spark = df.sparkSession
+        plan = [(p, a, b) for a, b in windows for p in self.points]
+        named = spark.createDataFrame(
+            [(i, float(p), int(a), int(b)) for i, (p, a, b) in enumerate(plan)],
+            "candidate bigint, intervention_point double, pre_window int, post_window int")
+        after = [float(np.nextafter(p + b, math.inf)) for p, _, b in plan]
+        frame = self._frame(spark, [(p - a, hi, p) for (p, a, _), hi in zip(plan, after, strict=True)])
+        effects = self._candidates(df, target, frame, covariates).filter(F.col("n_obs") >= MIN_ROWS).groupBy(
+            "candidate").agg(F.avg("effect").alias("effect_mean"), F.stddev_samp("effect").alias("effect_std"))
+        return named.join(effects, "candidate").drop("candidate")
+
+
 @dataclass(frozen=True)
-class SegmentedOls:
+class SegmentedOls(CandidateChecks):
     """Pooled segmented regression: ``SegmentedOls("time", [27, 54], "group").fit(df, "value")``."""
 
     time: str
@@ -388,87 +482,6 @@ class SegmentedOls:
             baseline = baseline + F.col("coef")[4 + i] * F.col(f"_c_{c}")
         return joined.select("candidate", *group, "n_obs", (F.col("_y") - baseline).alias("effect"))
 
-    def _spans(self, df: DataFrame, target: str, bounds: Sequence[tuple[float, float]]) -> list:
-        """Row count and time range for each half-open interval: one aggregate."""
-        t = F.col(self.time)
-        aggs = []
-        for i, (lo, hi) in enumerate(bounds):
-            inside = t < F.lit(hi)
-            if not math.isinf(lo):
-                inside = inside & (t >= F.lit(lo))
-            aggs += [F.count(F.when(inside, t)).alias(f"n{i}"), F.min(F.when(inside, t)).alias(f"lo{i}"),
-                     F.max(F.when(inside, t)).alias(f"hi{i}")]
-        row = df.filter(t.isNotNull() & F.col(target).isNotNull()).agg(*aggs).first()
-        return [(row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i in range(len(bounds))]
-
-    def _frame(self, spark: SparkSession, rows: list[tuple]) -> DataFrame:
-        return spark.createDataFrame(
-            [(i, *[float(v) for v in r]) for i, r in enumerate(rows)],
-            "candidate bigint, lo double, hi double, point double",
-        )
-
-    def placebo_effects(self, df: DataFrame, target: str, n_points: int = 3,
-                        covariates: Sequence[str] = ()) -> DataFrame:
-        """Effect at each fake intervention inside the pre-period: (placebo_point, placebo_effect)."""
-        require_columns(df, [self.time, target, *covariates])
-        first = min(self.points)
-        (n, lo, hi), = self._spans(df, target, [(-math.inf, first)])
-        if n < MIN_ROWS:
-            raise ValueError(f"{n} rows before the first intervention, {MIN_ROWS} are needed")
-        marks = [lo + (i + 1) * (hi - lo) / (n_points + 1) for i in range(n_points)]
-        frame = self._frame(df.sparkSession, [(lo, first, p) for p in marks])
-        effects = self._candidates(df, target, frame, covariates).groupBy("candidate").agg(
-            F.avg("effect").alias("placebo_effect"))
-        return effects.join(F.broadcast(frame), "candidate").select(
-            F.col("point").alias("placebo_point"), "placebo_effect")
-
-    def placebo_test(self, df: DataFrame, target: str, n_points: int = 3,
-                     covariates: Sequence[str] = ()) -> DataFrame:
-        """One row: mean, population std, t test against zero and validity of the placebo effects."""
-        found = sorted(self.placebo_effects(df, target, n_points, covariates).collect())
-        return df.sparkSession.createDataFrame(
-            [summarise_placebo([r[1] for r in found]) + ([r[0] for r in found], [r[1] for r in found])],
-            f"{PLACEBO_SCHEMA}, placebo_points array<double>, placebo_effects array<double>")
-
-    def placebo_per_intervention(self, df: DataFrame, target: str, n_points: int = 3,
-                                 covariates: Sequence[str] = ()) -> DataFrame:
-        """Placebo effects for each real intervention, using rows since the previous one.
-
-        Intervals with fewer than ten rows or a zero time span are left out.
-        """
-        require_columns(df, [self.time, target, *covariates])
-        bounds = [(-math.inf if i == 0 else self.points[i - 1], p) for i, p in enumerate(self.points)]
-        rows, labels = [], []
-        for i, (n, lo, hi) in enumerate(self._spans(df, target, bounds)):
-            if n < MIN_ROWS or hi == lo:
-                continue
-            for j in range(n_points):
-                mark = lo + (j + 1) * (hi - lo) / (n_points + 1)
-                labels.append((len(rows), i, float(self.points[i]), float(mark)))
-                rows.append((lo, self.points[i], mark))
-        spark = df.sparkSession
-        named = spark.createDataFrame(
-            labels, "candidate bigint, real_intervention_index int, real_intervention_point double, placebo_point double")
-        effects = self._candidates(df, target, self._frame(spark, rows), covariates).groupBy("candidate").agg(
-            F.avg("effect").alias("placebo_effect"), F.stddev_samp("effect").alias("placebo_effect_std"))
-        return named.join(effects, "candidate").drop("candidate")
-
-    def window_sensitivity(self, df: DataFrame, target: str,
-                           windows: Sequence[tuple[int, int]] = DEFAULT_WINDOWS,
-                           covariates: Sequence[str] = ()) -> DataFrame:
-        """Effect per (intervention, pre, post) window, both ends inclusive; under ten rows is left out."""
-        require_columns(df, [self.time, target, *covariates])
-        spark = df.sparkSession
-        plan = [(p, a, b) for a, b in windows for p in self.points]
-        named = spark.createDataFrame(
-            [(i, float(p), int(a), int(b)) for i, (p, a, b) in enumerate(plan)],
-            "candidate bigint, intervention_point double, pre_window int, post_window int")
-        after = [float(np.nextafter(p + b, math.inf)) for p, _, b in plan]
-        frame = self._frame(spark, [(p - a, hi, p) for (p, a, _), hi in zip(plan, after, strict=True)])
-        effects = self._candidates(df, target, frame, covariates).filter(F.col("n_obs") >= MIN_ROWS).groupBy(
-            "candidate").agg(F.avg("effect").alias("effect_mean"), F.stddev_samp("effect").alias("effect_std"))
-        return named.join(effects, "candidate").drop("candidate")
-
 
 PLACEBO_SCHEMA = (
     "mean_placebo_effect double, std_placebo_effect double, t_statistic double, p_value double, "
@@ -486,6 +499,17 @@ def summarise_placebo(effects: Sequence[float]) -> tuple:
             bool(p > 0.05) if known else None, n)
 
 
+def candidate_rows(df: DataFrame, frame: DataFrame, time: str) -> DataFrame:
+    """Buckets of each candidate window with time measured from the candidate point.
+
+    The candidate list is a parameter-sized frame, broadcast. After the shift every candidate has
+    its intervention at zero.
+    """
+    shifted = (F.col(time) - F.col("point")).cast("double")
+    return df.join(F.broadcast(frame), (F.col(time) >= F.col("lo")) & (F.col(time) < F.col("hi"))).withColumn(
+        time, shifted).drop("lo", "hi", "point")
+
+
 def compare_effects(tables: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
     """Effect_mean of several models side by side, matched on group and period."""
     out = None
