@@ -135,5 +135,5 @@ def metric_table(df: DataFrame, actual: Column, predicted: Column, by: Sequence[
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         (F.lit(1.0) - F.try_divide(F.sum(err * err), F.regr_syy(actual, predicted))).alias("r2"),
-        F.corr(actual, predicted).alias("correlation"),
+        F.try_divide(F.covar_pop(actual, predicted), F.stddev_pop(actual) * F.stddev_pop(predicted)).alias("correlation"),
     )
