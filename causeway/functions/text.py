@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def strip_class(text: Column, char_class: str) -> Column:
     """Remove every character of a regex class such as ``[a-z, !]``."""
-    return F.regexp_replace(text, char_class, "")
+    return F.regexp_replace(text, f"(?:{char_class})+", "")
 
 
 def distinct_chars(text: Column) -> Column:

@@ -20,8 +20,9 @@ from causeway.operators.gram import collect_gram, complete_rows, ridge, unpack_g
 from causeway.operators.its import MIN_ROWS, CandidateChecks, candidate_rows, design, intervention_terms, validate
 from causeway.operators.tables import best_candidate
 from causeway.operators.widefit import WideDesign, WideFit
-from causeway.session import require_columns
+from causeway.session import keep, require_columns
 
+# fixed values: prior scales and default changepoint count
 CHANGEPOINT_SCALE = 0.05
 CHANGEPOINTS = 25
 SEASON_SCALE = 10.0
@@ -98,7 +99,7 @@ class AdditiveFit:
     def predict(self, df: DataFrame | None = None, counterfactual: bool = False, components: bool = False) -> DataFrame:
         """Rows with mean, lower, upper; the counterfactual sets the intervention regressors to zero."""
         rows = self.rows if df is None else _with_day(
-            design(df, self.time, self.points, self.group, intercept=False), self.time)
+            design(df, self.time, self.points, self.group, intercept=False, bucketed=True), self.time)
         if counterfactual:
             rows = rows.withColumns({c: F.lit(0) for c in intervention_terms(len(self.points))})
         return self.fit.predict(rows, components=components)
@@ -141,7 +142,7 @@ class ItsAdditive(CandidateChecks):
     def _prepare(self, df: DataFrame, target: str, covariates: Sequence[str]) -> DataFrame:
         require_columns(df, [self.time, target, *covariates] + ([self.group] if self.group else []))
         clean = complete_rows(df, [self.time, target, *covariates] + ([self.group] if self.group else []))
-        return _with_day(design(clean, self.time, sorted(self.points), self.group, intercept=False), self.time)
+        return _with_day(design(clean, self.time, sorted(self.points), self.group, intercept=False, bucketed=True), self.time)
 
     def _fact_columns(self, target: str, regressors: Sequence[str]) -> list[Column]:
         return [
@@ -169,7 +170,7 @@ class ItsAdditive(CandidateChecks):
     def fit(self, df: DataFrame, target: str, covariates: Sequence[str] = (),
             changepoint_scale: float = CHANGEPOINT_SCALE, n_changepoints: int = CHANGEPOINTS) -> AdditiveFit:
         validate(df, self.time, self.points, self.group)
-        rows = self._prepare(df, target, covariates)
+        rows = keep(self._prepare(df, target, covariates))
         points = tuple(sorted(self.points))
         regressors = (*intervention_terms(len(points)), *covariates)
         facts = self._facts(rows, target, regressors)
@@ -189,8 +190,9 @@ class ItsAdditive(CandidateChecks):
         rows = df if self.group else df.withColumn("_all", F.lit(0))
         rows = complete_rows(rows, [self.time, target, *covariates, *keys]).select(*keys, self.time, target, *covariates)
         series = candidate_rows(rows, frame, self.time).withColumn("_series", F.struct("candidate", *keys).cast("string"))
-        timed = design(series, self.time, (0.0,), "_series", intercept=False).withColumn("_day", F.col(self.time))
+        timed = design(series, self.time, (0.0,), "_series", intercept=False, bucketed=True).withColumn("_day", F.col(self.time))
         regressors = (*intervention_terms(1), *covariates)
+        timed = keep(timed)
         per = timed.groupBy("candidate").agg(*self._fact_columns(target, regressors)).collect()  # candidate-sized
         starts = df.sparkSession.createDataFrame([(r["candidate"], r["lo"]) for r in per], "candidate bigint, _lo double")
         timed = timed.join(F.broadcast(starts), "candidate").withColumn("_day", F.col("_day") - F.col("_lo")).drop("_lo")
@@ -222,7 +224,7 @@ class ItsAdditive(CandidateChecks):
         union of all changepoint sets; every candidate is a sub-matrix of it.
         """
         first = min(self.points)
-        pre = self._prepare(df, target, covariates).filter(F.col(self.time) < first)
+        pre = keep(self._prepare(df, target, covariates).filter(F.col(self.time) < first))
         facts = self._facts(pre, target, list(covariates))
         if facts["n"] < MIN_ROWS:
             raise ValueError(f"{facts['n']} rows before the first intervention, {MIN_ROWS} are needed")

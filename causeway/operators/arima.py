@@ -109,7 +109,7 @@ class ItsArima(CandidateChecks):
         (p, d, q), (sp, sd, sq, s) = order, seasonal_order
         exog = [*intervention_terms(len(points)), *covariates]
         level = d == 0 and (sd == 0 or s == 0)
-        base = design(clean, self.time, points, self.group, intercept=False)
+        base = design(clean, self.time, points, self.group, intercept=False, bucketed=True)
         base = base.withColumns({"_y": F.col(target).cast("double"), **{f"_x{i}": F.col(c).cast("double") for i, c in enumerate(exog)}})
         xs = [f"_x{i}" for i in range(len(exog))]
         moved = difference(base, by, self.time, ["_y", *xs], d, sd, s)
@@ -176,7 +176,8 @@ class ItsArima(CandidateChecks):
     def search(self, df: DataFrame, target: str, grid: dict[str, Sequence[int]] | None = None) -> DataFrame:
         """Order scores per group on pre-intervention rows, without intervention terms.
 
-        All (p, q, P, Q) of one (d, D, s) share one cross-product and are solved as sub-matrices.
+        All (p, q, P, Q) of one (d, D, s) share one cross-product and are solved as sub-matrices; a
+        series too short for the lags of its kind gives no score.
         The score is AIC per used row, because differencing and lags leave different row counts.
         """
         unknown = set(grid or {}) - set(GRID)
@@ -188,32 +189,46 @@ class ItsArima(CandidateChecks):
         n = pre.count()
         if n < MIN_ROWS:
             raise ValueError(f"{n} rows before the first intervention, {MIN_ROWS} are needed")
-        pre = cut_lineage(pre)
-        out = None
-        for d in g["d"]:
-            for sd, s in sorted({(D if s else 0, s) for D in g["D"] for s in g["s"]}):
-                one = self._scores(pre, by, d, sd, s, g)
-                out = one if out is None else out.unionByName(one)
-        return out
-
-    def _scores(self, pre: DataFrame, by: list[str], d: int, sd: int, s: int, g: dict) -> DataFrame:
-        seasonal = [k for k in g["P"] if k] if s else []
-        moving = [k for k in g["Q"] if k] if s else []
-        ar_max = lag_set(max(g["p"]), max(seasonal, default=0), s)
-        ma_max = lag_set(max(g["q"]), max(moving, default=0), s)
-        level = d == 0 and sd == 0
+        return self._scores(pre, by, g)
+
+    def _scores(self, pre: DataFrame, by: list[str], g: dict) -> DataFrame:
+        """One pipeline for all (d, D, s): every differenced version is a series of its own."""
+        kinds = [(d, sd, s) for d in g["d"] for sd, s in sorted({(D if s else 0, s) for D in g["D"] for s in g["s"]})]
         w = _series(by, self.time)
-        moved = difference(pre, by, self.time, ["_y"], d, sd, s).filter(F.col("_y").isNotNull())
-        shocked = _innovations(moved, by, self.time, "_y", "_e")
-        lagged = shocked.withColumns({
-            **{f"_a{i}": F.lag("_y", i).over(w) for i in ar_max}, **{f"_m{i}": F.lag("_e", i).over(w) for i in ma_max}})
-        names = [*[f"_a{i}" for i in ar_max], *[f"_m{i}" for i in ma_max], "_y"]
-        stats = moments_by(lagged.drop("_e"), names, by)
-        orders = [(p, d, q, P, sd, Q, s) for p in g["p"] for q in g["q"]
-                  for P in (g["P"] if s else (0,)) for Q in (g["Q"] if s else (0,))]
+        rows, name = pre, {0: "_y"}
+        for d in range(1, max(g["d"]) + 1):
+            rows = rows.withColumn(f"_y_{d}", F.col(name[d - 1]) - F.lag(name[d - 1], 1).over(w))
+            name[d] = f"_y_{d}"
+        versions = []
+        for i, (d, sd, s) in enumerate(kinds):
+            column = name[d]
+            for k in range(sd):
+                rows = rows.withColumn(f"_v{i}_{k}", F.col(column) - F.lag(column, s).over(w))
+                column = f"_v{i}_{k}"
+            versions.append(F.struct(F.lit(i).alias("_kind"), F.col(column).alias("_x")))
+        long = rows.select(*by, self.time, F.explode(F.array(*versions)).alias("_e")).select(
+            *by, self.time, "_e.*").filter(F.col("_x").isNotNull())
+        keys = ["_kind", *by]
+        shocked = cut_lineage(_innovations(long, keys, self.time, "_x", "_e"))
+
+        each = _series(keys, self.time)
+        periods = sorted({s for _, _, s in kinds if s})
+        top_p, top_q = max(g["P"]), max(g["Q"])
+        columns = {**{f"_a{i}": F.lag("_x", i).over(each) for i in range(1, max(g["p"]) + 1)},
+                   **{f"_m{i}": F.lag("_e", i).over(each) for i in range(1, max(g["q"]) + 1)}}
+        for source, mark, top in (("_x", "_sa", top_p), ("_e", "_sm", top_q)):
+            for k in range(1, top + 1):
+                value = F.lit(0.0)  # series without a season do not use it
+                for s in periods:
+                    own = [i for i, kind in enumerate(kinds) if kind[2] == s]
+                    value = F.when(F.col("_kind").isin(own), F.lag(source, s * k).over(each)).otherwise(value)
+                columns[f"{mark}{k}"] = value
+        lagged = shocked.withColumns(columns)
+        names = [*columns, "_x"]
+        stats = moments_by(lagged.drop("_e"), names, keys)
         schema = T.StructType(field_list(pre, by) + [T.StructField(c, T.IntegerType()) for c in ORDER_COLUMNS]
                               + [T.StructField("n_obs", T.LongType()), T.StructField("aic", T.DoubleType())])
-        keys = list(by)
+        out_keys = list(by)
 
         def solve_rows(batches):
             for pdf in batches:
@@ -222,14 +237,19 @@ class ItsArima(CandidateChecks):
                     m = moments_from_row(row, names)
                     if m.n < MIN_ROWS:
                         continue
-                    for o in orders:
-                        use = [f"_a{i}" for i in lag_set(o[0], o[3], s)] + [f"_m{i}" for i in lag_set(o[2], o[5], s)]
-                        fit = solve(m, use, "_y", level)
-                        k = fit.rank + 1
-                        if m.n <= k:
-                            continue
-                        aic = float(np.log(max(fit.rss / m.n, 1e-300)) + 2.0 * k / m.n)
-                        out.append([row[c] for c in keys] + [int(v) for v in o] + [int(m.n), aic])
+                    d, sd, s = kinds[int(row["_kind"])]
+                    for p in g["p"]:
+                        for q in g["q"]:
+                            for sp in (g["P"] if s else (0,)):
+                                for sq in (g["Q"] if s else (0,)):
+                                    use = [f"_a{i}" for i in range(1, p + 1)] + [f"_sa{k}" for k in range(1, sp + 1)]
+                                    use += [f"_m{i}" for i in range(1, q + 1)] + [f"_sm{k}" for k in range(1, sq + 1)]
+                                    fit = solve(m, use, "_x", d == 0 and sd == 0)
+                                    params = fit.rank + 1
+                                    if m.n <= params:
+                                        continue
+                                    aic = float(np.log(max(fit.rss / m.n, 1e-300)) + 2.0 * params / m.n)
+                                    out.append([row[c] for c in out_keys] + [p, d, q, sp, sd, sq, s, int(m.n), aic])
                 yield pd.DataFrame(out, columns=[f.name for f in schema])
 
         return stats.mapInPandas(solve_rows, schema)

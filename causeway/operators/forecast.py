@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from causeway.operators.gram import collect_gram, unpack_gram
 from causeway.operators.widefit import WideDesign, WideFit, fit_wide, solve_wide
-from causeway.session import require_columns
+from causeway.session import keep, require_columns
 
 YEAR = 365.25
 STEPS = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAY", "month": "INTERVAL 1 MONTH"}
@@ -119,6 +119,7 @@ def select_changepoints(series: DataFrame, strength: float = 0.5, every_days: fl
     ``strength`` is the penalty as a share of the smallest one that removes every hinge. The lasso
     runs on the k x k cross-products only. Neighbouring hinges of the same sign count as one.
     """
+    series = keep(series)
     facts = series_facts(series)
     knots = candidate_knots(facts, every_days, quiet_days)
     if not knots:
@@ -176,6 +177,7 @@ class CalendarForecast:
         return replace(self, knots=tuple(select_changepoints(series, self.changepoint_strength)))
 
     def fit(self, series: DataFrame) -> WideFit:
+        series = keep(series)
         model = self.with_knots(series)
         facts = series_facts(series)
         design = model.design(facts, model.knots)
@@ -225,6 +227,7 @@ def cross_validate(model: CalendarForecast, series: DataFrame, horizon: int = 4,
     a sum of blocks, so rows are read once for all splits and strengths.
     """
     spark = series.sparkSession
+    series = keep(series)
     strengths = [float(s) for s in (strengths or [model.strength])]
     splits = sorted(cv_splits(series, horizon, min_train, max_splits).collect(), key=lambda r: r["train_end"])
     if not splits:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from causeway.functions.stats import normal_two_sided, t_two_sided
+from causeway.operators.ordered import ordered_scan
 from causeway.session import require_columns
 
 NATIVE_LIMIT = 14
@@ -392,16 +393,41 @@ def ridge(gram: np.ndarray, penalty: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def newey_west(
     df: DataFrame, terms: Sequence[Column], residual: Column, order: Column,
-    by: Sequence[str], lags: int, inverse: np.ndarray,
+    by: Sequence[str], lags: int, inverse: np.ndarray, bucketed: bool = False,
 ) -> np.ndarray:
     """HAC covariance with Bartlett weights; lags never cross groups.
 
     The Bartlett sum equals the mean outer product of rolling score sums of length lags + 1
-    over the zero-padded series, so one moment aggregate replaces one per lag: every row gives
-    the sum of the next ``lags`` scores, and the first ``lags`` rows also give their prefix sum.
-    ``df`` has one row per (group, time bucket), so the windows hold buckets only.
+    over the zero-padded series, so one moment aggregate replaces one per lag.
+    ``bucketed`` promises one row per (group, time): a window then holds buckets only. Without it
+    rows get positions from an ordered scan and each adds its score to the next ``lags`` positions,
+    keyed by (group, position), so a long series is never gathered in one task.
     """
     k = len(terms)
+    rolled = (_rolled_windows if bucketed else _rolled_positions)(df, terms, residual, order, list(by), lags)
+    row = rolled.agg(*[
+        F.sum(F.col(f"_a{i}") * F.col(f"_a{j}")).alias(f"g_{i}_{j}") for i in range(k) for j in range(i, k)
+    ]).first()
+    meat = np.zeros((k, k))
+    for i in range(k):
+        for j in range(i, k):
+            meat[i, j] = meat[j, i] = (row[f"g_{i}_{j}"] or 0.0) / (lags + 1.0)
+    return inverse @ meat @ inverse
+
+
+def _rolled_positions(df, terms, residual, order, by, lags) -> DataFrame:
+    k = len(terms)
+    scores = df.select(
+        *by, order.alias("_order"), *[(t.cast("double") * residual).alias(f"_u{i}") for i, t in enumerate(terms)])
+    scores = scores.withColumn("_tie", F.xxhash64(*[f"_u{i}" for i in range(k)]))
+    placed = ordered_scan(scores, by, [F.col("_order"), F.col("_tie")], position="_pos")
+    spread = placed.withColumn("_at", F.explode(F.sequence(F.col("_pos"), F.col("_pos") + lags)))
+    return spread.groupBy(*by, "_at").agg(*[F.sum(f"_u{i}").alias(f"_a{i}") for i in range(k)])
+
+
+def _rolled_windows(df, terms, residual, order, by, lags) -> DataFrame:
+    """Every row gives the sum of the next ``lags`` scores; the first ``lags`` rows also their prefix sum."""
+    k = len(terms)
     scores = df.select(
         *by, order.alias("_order"), *[(t.cast("double") * residual).alias(f"_u{i}") for i, t in enumerate(terms)]
     )
@@ -409,16 +435,8 @@ def newey_west(
     ahead, back = series.rowsBetween(0, lags), series.rowsBetween(-lags, 0)
     rolled = scores.select(
         (F.row_number().over(series) <= lags).alias("_early"),
-        *[F.sum(f"_u{i}").over(ahead).alias(f"_a{i}") for i in range(k)],
-        *[F.sum(f"_u{i}").over(back).alias(f"_b{i}") for i in range(k)],
+        F.struct(*[F.sum(f"_u{i}").over(ahead).alias(f"_a{i}") for i in range(k)]).alias("_ahead"),
+        F.struct(*[F.sum(f"_u{i}").over(back).alias(f"_a{i}") for i in range(k)]).alias("_back"),
     )
-    def entry(i, j):
-        early = F.when(F.col("_early"), F.col(f"_b{i}") * F.col(f"_b{j}")).otherwise(F.lit(0.0))
-        return F.sum(F.col(f"_a{i}") * F.col(f"_a{j}") + early).alias(f"g_{i}_{j}")
-
-    row = rolled.agg(*[entry(i, j) for i in range(k) for j in range(i, k)]).first()
-    meat = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            meat[i, j] = meat[j, i] = (row[f"g_{i}_{j}"] or 0.0) / (lags + 1.0)
-    return inverse @ meat @ inverse
+    both = F.explode(F.array(F.col("_ahead"), F.when(F.col("_early"), F.col("_back"))))
+    return rolled.select(both.alias("_s")).filter(F.col("_s").isNotNull()).select("_s.*")

@@ -22,9 +22,11 @@ def earliest_starts(tasks: DataFrame, edges: DataFrame) -> DataFrame:
     """
     require_columns(tasks, ["task", "duration"])
     require_columns(edges, ["pred", "task"])
+    tasks = cut_lineage(tasks)
     n_tasks = tasks.count()
     lengths = tasks.select(F.col("task").alias("pred"), "duration")
-    weighted = cut_lineage(edges.join(lengths, "pred").select("pred", "task", "duration"))
+    # kept partitioned by pred, so that a round shuffles only the tasks it starts from
+    weighted = cut_lineage(edges.join(lengths, "pred").select("pred", "task", "duration").repartition("pred"))
     front = tasks.select(F.col("task").alias("_at"), F.lit(0).cast(tasks.schema["duration"].dataType).alias("start"))
     rounds = [front]
     while True:

@@ -28,6 +28,7 @@ from causeway.operators.gram import (
 from causeway.operators.windows import elapsed, running_rows
 from causeway.session import require_columns
 
+# fixed values: smallest sample of a check and the default (before, after) windows
 MIN_ROWS = 10
 DEFAULT_WINDOWS = ((12, 12), (18, 12), (12, 18), (24, 12), (12, 24))
 EFFECT_COLUMNS = ["Actual_mean", "Predicted_mean", "Counterfactual_mean", "Effect_mean"]
@@ -52,14 +53,15 @@ def validate(df: DataFrame, time: str, points: Sequence[float], group: str | Non
             raise ValueError(f"intervention {p} lies outside the time range {span['lo']}..{span['hi']}")
 
 
-def timed(df: DataFrame, time: str, points: Sequence[float], group: str | None = None,
-          bucketed: bool = True, from_one: bool = True) -> DataFrame:
+def timed(df: DataFrame, time: str, points: Sequence[float], group: str | Sequence[str] | None = None,
+          bucketed: bool = False, from_one: bool = True) -> DataFrame:
     """Add ``t``, ``_period`` and ``w`` (rows since the period began, 0 before the first point).
 
-    ``bucketed`` says there is one row per (group, time), as ``panel`` gives; then one shuffle
-    on the group serves both windows. Otherwise rows are counted per time first.
+    ``bucketed`` promises one row per (group, time), as ``panel`` gives; then one shuffle on the
+    group serves both windows. Otherwise rows are counted per time first and rows that share a
+    time share the count.
     """
-    keys = [group] if group else []
+    keys = [group] if isinstance(group, str) else list(group or [])
     out = df.withColumn("_period", period_index(F.col(time), points))
     if bucketed:
         by_group = Window.partitionBy(*(keys or [F.lit(0)]))
@@ -81,7 +83,7 @@ def intervention_terms(n: int) -> list[str]:
 
 
 def design(df: DataFrame, time: str, points: Sequence[float], group: str | None = None,
-           intercept: bool = True, bucketed: bool = True, from_one: bool = True) -> DataFrame:
+           intercept: bool = True, bucketed: bool = False, from_one: bool = True) -> DataFrame:
     """Design columns t, D_i, timedelta_i and const next to the input columns."""
     ordered = sorted(points)
     out = timed(df, time, ordered, group, bucketed, from_one)
@@ -137,7 +139,7 @@ def period_name(index: int) -> str:
 
 
 def effects_per_group(df: DataFrame, time: str, points: Sequence[float], target: str, group: str,
-                      covariates: Sequence[str] = (), bucketed: bool = True) -> DataFrame:
+                      covariates: Sequence[str] = (), bucketed: bool = False) -> DataFrame:
     """A separate fit for every group and its effect table, in one lazy plan.
 
     facts -> moments per (group, period) -> one solve per group over its few moment rows.
@@ -278,6 +280,11 @@ class SegmentedFit:
             F.avg(F.col(self.target) - self.mean(True)).alias("Effect_mean"),
         )
 
+    def release(self) -> None:
+        """Drop the cached design rows."""
+        if self.rows is not None:
+            self.rows.unpersist()
+
     # ---- storage
 
     def save(self, spark: SparkSession, path: str) -> None:
@@ -402,7 +409,7 @@ class SegmentedOls(CandidateChecks):
     time: str
     points: Sequence[float]
     group: str | None = None
-    bucketed: bool = True
+    bucketed: bool = False
 
     def __post_init__(self):
         object.__setattr__(self, "points", tuple(sorted(self.points)))
@@ -437,7 +444,7 @@ class SegmentedOls(CandidateChecks):
         if cov_type == "HAC":
             x = [F.lit(1.0) if t == "const" else F.col(f"`{t}`") for t in s.terms]
             residual = F.col(target) - linear_expression(s.coef, x)
-            cov = newey_west(rows, x, residual, F.col(self.time), keys, hac_lags, s.inverse)
+            cov = newey_west(rows, x, residual, F.col(self.time), keys, hac_lags, s.inverse, self.bucketed)
         origins = clean.groupBy(*keys).agg(F.min(self.time).alias("origin"))
         return SegmentedFit(
             self.time, tuple(self.points), self.group, target, tuple(covariates), encoder, s.terms,
@@ -457,13 +464,8 @@ class SegmentedOls(CandidateChecks):
         group = keys or ["_all"]
         rows = df if keys else df.withColumn("_all", F.lit(0))
         rows = complete_rows(rows, [self.time, target, *covariates]).select(*group, self.time, target, *covariates)
-        spread = rows.join(
-            F.broadcast(frame), (F.col(self.time) >= F.col("lo")) & (F.col(self.time) < F.col("hi"))
-        ).withColumn("_period", (F.col(self.time) >= F.col("point")).cast("int"))
-        own = Window.partitionBy("candidate", *group)
-        since = Window.partitionBy("candidate", *group, "_period").orderBy(self.time)
-        cells = spread.withColumn("t", F.col(self.time) - F.min(self.time).over(own) + 1).withColumn(
-            "w", F.when(F.col("_period") == 1, F.row_number().over(since)).otherwise(0))
+        spread = candidate_rows(rows, frame, self.time)
+        cells = timed(spread, self.time, (0.0,), ["candidate", *group], self.bucketed)
         names = ["t", "w", *covariates, target]
         covs = list(covariates)
         stats = moments_by(cells, names, ["candidate", "_period"])

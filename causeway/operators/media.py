@@ -16,8 +16,9 @@ from causeway.functions.columns import even_grid
 from causeway.operators.gram import pack_by, ridge, unpack_gram, wide_gram
 from causeway.operators.ordered import ordered_scan
 from causeway.operators.tables import best_candidate
-from causeway.session import require_columns
+from causeway.session import keep, require_columns
 
+# candidate grid and carry-over length
 DECAYS = (0.0, 0.3, 0.6)
 HALVES = (0.5, 1.0, 2.0)
 SLOPES = (0.7, 1.0)
@@ -182,6 +183,7 @@ def fit_media(media: DataFrame, sales: DataFrame, channels: Sequence[str], decay
     require_columns(media, ["date", "channel", "x"])
     require_columns(sales, ["date", "sales"])
     spark = media.sparkSession
+    media, sales = keep(media), keep(sales)
     channels = tuple(channels)
     found = {r["channel"]: r["m"] for r in media.filter(F.col("channel").isin(*channels)).groupBy("channel").agg(
         F.avg("x").alias("m")).collect()}

@@ -257,13 +257,13 @@ def compare_models(df: DataFrame, features: Sequence[str], target: str, with_spl
 
 
 def robust_table(df: DataFrame, features: Sequence[str], target: str, order: str, by: Sequence[str] = (),
-                 lags: int = 3) -> DataFrame:
+                 lags: int = 3, bucketed: bool = False) -> DataFrame:
     """OLS coefficients with Newey-West errors (Bartlett, normal tails, no small-sample factor)."""
     clean = complete_rows(df, [*features, target, order])
     s = solve(moments(clean, [*features, target]), features, target)
     x = [F.lit(1.0), *[F.col(f"`{f}`") for f in features]]
     residual = F.col(f"`{target}`") - linear_expression(s.coef, x)
-    cov = newey_west(clean, x, residual, F.col(order), list(by), lags, s.inverse)
+    cov = newey_west(clean, x, residual, F.col(order), list(by), lags, s.inverse, bucketed)
     rows = [(i, *r) for i, r in enumerate(term_rows(s, cov, normal=True))]
     return df.sparkSession.createDataFrame(rows, f"ord int, {TERM_SCHEMA}")
 

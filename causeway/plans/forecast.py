@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from causeway.operators import forecast as T
@@ -126,7 +128,7 @@ def i11_changepoint_search(spark, sf):
 def i15_model_comparison(spark, sf):
     rows = orders_panel(spark, sf)
     return compare_effects({
-        "ols": SegmentedOls("time", POINTS, "group").fit(rows, "value").effects(),
+        "ols": SegmentedOls("time", POINTS, "group", bucketed=True).fit(rows, "value").effects(),
         "arima": ItsArima("time", POINTS, "group").fit(rows, "value").effects(),
         "additive": ItsAdditive("time", POINTS, "group").fit(rows, "value").effects(),
     }, ["group", "Period"])
@@ -136,7 +138,7 @@ def i15_model_comparison(spark, sf):
 def i15_placebo_summary(spark, sf):
     """Placebo tests of the three models under the same fake interventions."""
     rows = orders_panel(spark, sf)
-    models = {"ols": SegmentedOls, "arima": ItsArima, "additive": ItsAdditive}
+    models = {"ols": partial(SegmentedOls, bucketed=True), "arima": ItsArima, "additive": ItsAdditive}
     out = None
     for name, kind in models.items():
         one = kind("time", POINTS, "group").placebo_test(rows, "value").drop("placebo_points", "placebo_effects")

@@ -13,7 +13,7 @@ _NAME = "CASE WHEN p = 0 THEN 'Pre-intervention' ELSE 'Intervention_D_' || p END
 
 
 def pooled(spark, sf, cov_type="nonrobust"):
-    return SegmentedOls("time", POINTS, "group").fit(orders_panel(spark, sf), "value", cov_type=cov_type)
+    return SegmentedOls("time", POINTS, "group", bucketed=True).fit(orders_panel(spark, sf), "value", cov_type=cov_type)
 
 
 def rounded(df, digits: int, *columns: str):
@@ -32,7 +32,7 @@ def i1_validate(spark, sf):
  CAST(p = 2 AS INTEGER) AS "D_2", CASE WHEN p = 2 THEN row_number() OVER w ELSE 0 END AS timedelta_2, 1 AS const
 FROM seg WINDOW w AS (PARTITION BY grp, p ORDER BY time)""")
 def i2_design(spark, sf):
-    return its.design(orders_panel(spark, sf), "time", POINTS, "group").drop("value", "n_orders")
+    return its.design(orders_panel(spark, sf), "time", POINTS, "group", bucketed=True).drop("value", "n_orders")
 
 
 _COEF_SQL = f"""WITH {POOLED_SQL}, f1 AS (SELECT a, b FROM fit WHERE p = 1), f2 AS (SELECT a, b FROM fit WHERE p = 2),
@@ -48,7 +48,7 @@ def i3_segmented_ols(spark, sf):
 
 @query("i3_with_covariates")
 def i3_with_covariates(spark, sf):
-    model = SegmentedOls("time", POINTS, "group").fit(orders_panel(spark, sf), "value", ["n_orders", "group"])
+    model = SegmentedOls("time", POINTS, "group", bucketed=True).fit(orders_panel(spark, sf), "value", ["n_orders", "group"])
     return model.coefficient_table(spark)
 
 
@@ -75,7 +75,7 @@ SELECT seg.grp AS "group", {_NAME.replace('p =', 'seg.p =').replace('|| p', '||
  round(avg(pre.a + pre.b*time), 3) AS "Counterfactual_mean", round(avg(value - pre.a - pre.b*time), 3) AS "Effect_mean"
 FROM seg JOIN g own ON own.grp = seg.grp AND own.p = seg.p JOIN g pre ON pre.grp = seg.grp AND pre.p = 0 GROUP BY 1, 2""")
 def i6_effect_table(spark, sf):
-    out = effects_per_group(orders_panel(spark, sf), "time", POINTS, "value", "group")
+    out = effects_per_group(orders_panel(spark, sf), "time", POINTS, "value", "group", bucketed=True)
     return rounded(out, 3, *its.EFFECT_COLUMNS)
 
 
@@ -124,7 +124,7 @@ _PLACEBO_SQL = f"""WITH {PANEL_SQL}, c AS (SELECT * FROM (VALUES (6.5), (13.0),
 
 @query("i12_placebo_effects", _PLACEBO_SQL + " SELECT placebo_point, round(effect, 3) AS placebo_effect FROM e")
 def i12_placebo_effects(spark, sf):
-    out = SegmentedOls("time", POINTS, "group").placebo_effects(orders_panel(spark, sf), "value")
+    out = SegmentedOls("time", POINTS, "group", bucketed=True).placebo_effects(orders_panel(spark, sf), "value")
     return rounded(out, 3, "placebo_effect")
 
 
@@ -134,7 +134,7 @@ SELECT round(m, 3) AS mean_placebo_effect, round(sp, 3) AS std_placebo_effect, r
  round(1 - abs(t) / sqrt(2 + t*t), 8) AS p_value, 1 - abs(t) / sqrt(2 + t*t) > 0.05 AS is_valid,
  3::BIGINT AS n_placebo_tests FROM s""")
 def i12_placebo_test(spark, sf):
-    out = SegmentedOls("time", POINTS, "group").placebo_test(orders_panel(spark, sf), "value")
+    out = SegmentedOls("time", POINTS, "group", bucketed=True).placebo_test(orders_panel(spark, sf), "value")
     out = rounded(out.drop("placebo_points", "placebo_effects"), 3, "mean_placebo_effect", "std_placebo_effect")
     return out.withColumns({"t_statistic": F.round("t_statistic", 7), "p_value": F.round("p_value", 8)})
 
@@ -147,7 +147,7 @@ def i12_placebo_test(spark, sf):
 SELECT i AS real_intervention_index, CAST(hi AS DOUBLE) AS real_intervention_point, point AS placebo_point,
  round(avg(e), 3) AS placebo_effect, round(stddev_samp(e), 3) AS placebo_effect_std FROM g GROUP BY 1, 2, 3""")
 def i13_placebo_per_intervention(spark, sf):
-    out = SegmentedOls("time", POINTS, "group").placebo_per_intervention(orders_panel(spark, sf), "value")
+    out = SegmentedOls("time", POINTS, "group", bucketed=True).placebo_per_intervention(orders_panel(spark, sf), "value")
     return rounded(out, 3, "placebo_effect", "placebo_effect_std")
 
 
@@ -159,5 +159,5 @@ def i13_placebo_per_intervention(spark, sf):
 SELECT CAST(point AS DOUBLE) AS intervention_point, a AS pre_window, b AS post_window, round(avg(e), 3) AS effect_mean,
  round(stddev_samp(e), 3) AS effect_std FROM g GROUP BY 1, 2, 3""")
 def i14_window_sensitivity(spark, sf):
-    out = SegmentedOls("time", POINTS, "group").window_sensitivity(orders_panel(spark, sf), "value")
+    out = SegmentedOls("time", POINTS, "group", bucketed=True).window_sensitivity(orders_panel(spark, sf), "value")
     return rounded(out, 3, "effect_mean", "effect_std")

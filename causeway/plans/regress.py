@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from causeway.operators import regress as M
 from causeway.operators.regress import Regression
-from causeway.plans.common import PANEL_SQL, orders_panel
+from causeway.plans.common import PANEL_SQL, month_index, orders_panel
 from causeway.plans.registry import query
 from causeway.sources.tables import load
 
@@ -69,10 +69,30 @@ UNION ALL SELECT 'time', round(b, 3), round(sqrt(i01*i01*g00 + 2*i01*i11*g01 + i
 
 @query("m5_newey_west", _HAC_SQL)
 def m5_newey_west(spark, sf):
-    t = M.robust_table(orders_panel(spark, sf), ["time"], "value", "time", ["group"], lags=3)
+    t = M.robust_table(orders_panel(spark, sf), ["time"], "value", "time", ["group"], lags=3, bucketed=True)
     return t.select("term", F.round("coef", 3).alias("coef"), F.round("std_error", 4).alias("std_error"))
 
 
+_HAC_ROWS_SQL = """WITH d AS (SELECT o_orderpriority AS grp, o_totalprice AS y, CAST((year(o_orderdate)-1995)*12+month(o_orderdate)-1 AS DOUBLE) AS x,
+  o_orderdate, o_orderkey FROM orders), f AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, count(*) AS n, avg(x) AS m,
+  regr_sxx(y, x) AS sxx FROM d),
+ l AS (SELECT x, y - a - b*x AS e, o_orderkey FROM d CROSS JOIN f), g AS (SELECT sum(e*e) AS g00, sum(e*e*x) AS g01, sum(e*e*x*x) AS g11 FROM l),
+ i AS (SELECT *, 1.0/n + m*m/sxx AS i00, -m/sxx AS i01, 1/sxx AS i11 FROM f)
+SELECT 'const' AS term, round(a, 4) AS coef, round(sqrt(i00*i00*g00 + 2*i00*i01*g01 + i01*i01*g11), 5) AS std_error FROM i, g
+UNION ALL SELECT 'x', round(b, 5), round(sqrt(i01*i01*g00 + 2*i01*i11*g01 + i11*i11*g11), 6) FROM i, g"""
+
+
+@query("m5_robust_errors_on_rows", _HAC_ROWS_SQL)
+def m5_robust_errors_on_rows(spark, sf):
+    """No lags: heteroskedasticity-robust errors over all order rows, without buckets."""
+    rows = load(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("grp"), F.col("o_totalprice").alias("y"), month_index("o_orderdate").cast("double").alias("x"))
+    t = M.robust_table(rows, ["x"], "y", "x", ["grp"], lags=0)
+    const = F.col("term") == "const"
+    return t.select("term", F.when(const, F.round("coef", 4)).otherwise(F.round("coef", 5)).alias("coef"),
+                    F.when(const, F.round("std_error", 5)).otherwise(F.round("std_error", 6)).alias("std_error"))
+
+
 @query("m7_semilog", """WITH f AS (SELECT regr_slope(l_extendedprice, ln(l_quantity)) AS b,
  regr_intercept(l_extendedprice, ln(l_quantity)) AS a FROM lineitem), d AS (SELECT DISTINCT l_quantity FROM lineitem)
 SELECT l_quantity, round(a + b*ln(l_quantity), 4) AS prediction FROM d CROSS JOIN f""")

@@ -158,8 +158,8 @@ def j2_effect_tables_joined(spark, sf):
     from causeway.operators.its import effects_per_group
 
     rows = orders_panel(spark, sf)
-    pooled = SegmentedOls("time", POINTS, "group").fit(rows, "value", cov_type="nonrobust").effects()
-    grouped = effects_per_group(rows, "time", POINTS, "value", "group")
+    pooled = SegmentedOls("time", POINTS, "group", bucketed=True).fit(rows, "value", cov_type="nonrobust").effects()
+    grouped = effects_per_group(rows, "time", POINTS, "value", "group", bucketed=True)
     out = compare_effects({"pooled": pooled, "grouped": grouped}, ["group", "Period"])
     return out.select("group", "Period", *[F.round(c, 3).alias(c) for c in ("effect_pooled", "effect_grouped")])
 

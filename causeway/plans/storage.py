@@ -14,7 +14,7 @@ from causeway.sources.report import build_report, write_report
 @query("s4_save_model", ORACLES.get("i3_segmented_ols"))
 def s4_save_model(spark, sf):
     path = scratch_path(spark, "model")
-    SegmentedOls("time", POINTS, "group").fit(orders_panel(spark, sf), "value").save(spark, path)
+    SegmentedOls("time", POINTS, "group", bucketed=True).fit(orders_panel(spark, sf), "value").save(spark, path)
     return spark.read.parquet(f"{path}/coefficients").select("term", F.round("coef", 4).alias("coef"))
 
 
@@ -22,7 +22,7 @@ def s4_save_model(spark, sf):
 def s5_load_model(spark, sf):
     path = scratch_path(spark, "model")
     rows = orders_panel(spark, sf)
-    SegmentedOls("time", POINTS, "group").fit(rows, "value").save(spark, path)
+    SegmentedOls("time", POINTS, "group", bucketed=True).fit(rows, "value").save(spark, path)
     model = SegmentedFit.load(spark, path)
     return model.counterfactual(rows, interval=False).select("group", "time", F.round("mean", 3).alias("mean"))
 
@@ -30,7 +30,7 @@ def s5_load_model(spark, sf):
 @query("s6_report")
 def s6_report(spark, sf):
     rows = orders_panel(spark, sf)
-    study = SegmentedOls("time", POINTS, "group")
+    study = SegmentedOls("time", POINTS, "group", bucketed=True)
     fit = study.fit(rows, "value")
     lines = build_report(spark, "Interrupted time series report", [
         ("Coefficients", fit.coefficient_table(spark), ["ord"]),

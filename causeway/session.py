@@ -37,6 +37,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Cache a bucketed or result-sized frame that several passes read; spills to disk."""
+    return df if df.is_cached else df.persist()
+
+
 def require_columns(df: DataFrame, columns) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
