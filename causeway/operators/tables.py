@@ -67,8 +67,11 @@ def _percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     edges = []
     for i in range(len(columns)):
         for k in range(len(probs)):
-            edges.append((F.col(f"_min{i}") if lows[k] == 0.0 else F.col(f"_q{i}")[k]).alias(f"_lo{i}_{k}"))
-            edges.append((F.col(f"_max{i}") if highs[k] == 1.0 else F.col(f"_q{i}")[len(probs) + k]).alias(f"_hi{i}_{k}"))
+            # under 2 * SKETCH values the margin is only a few ranks, so all of them are ordered
+            few = F.col(f"_n{i}") < 2 * SKETCH
+            low, high = F.col(f"_q{i}")[k], F.col(f"_q{i}")[len(probs) + k]
+            edges.append(F.when(few | F.lit(lows[k] == 0.0), F.col(f"_min{i}")).otherwise(low).alias(f"_lo{i}_{k}"))
+            edges.append(F.when(few | F.lit(highs[k] == 1.0), F.col(f"_max{i}")).otherwise(high).alias(f"_hi{i}_{k}"))
     bounds = sketch.select(*[F.col(c).alias(f"_g_{c}") for c in by], *[f"_n{i}" for i in range(len(columns))], *edges)
     match = F.lit(True)
     for c in by:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +46,16 @@ def test_exact_percentiles(skewed):
             assert got[(g, p)] == pytest.approx(np.quantile(part.v, p), abs=1e-12)
 
 
+@pytest.mark.parametrize("n", [1, 2, 9, 19999, 20001, 60000])
+def test_exact_percentiles_at_every_size(spark, n):
+    """Around the size where brackets start to narrow, with a value that holds a third of the rows."""
+    rng = np.random.default_rng(n)
+    v = np.where(rng.random(n) < 0.33, 0.5, rng.random(n))
+    df = spark.createDataFrame(pd.DataFrame({"v": v})).repartition(3)
+    for r in tables.exact_percentiles(df, "v", [0.0, 0.1, 0.25, 0.5, 0.9999, 1.0]).collect():
+        assert r.value == pytest.approx(np.quantile(v, r.p), abs=1e-12)
+
+
 def test_running_rows_shares_ties(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 2), ("a", 3)], "g string, t long")
     out = windows.running_rows(df, ["g"], "t", F.lit(1), "n").collect()
