@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from causeway.functions.columns import period_label
 from causeway.operators.gram import collect_gram, complete_rows, ridge, unpack_gram
-from causeway.operators.its import MIN_ROWS, CandidateChecks, candidate_rows, design, intervention_terms, validate
+from causeway.operators.its import MIN_ROWS, CandidateChecks, candidate_rows, check_points, design, intervention_terms
 from causeway.operators.tables import best_candidate
 from causeway.operators.widefit import WideDesign, WideFit
 from causeway.session import keep, require_columns
@@ -153,7 +153,7 @@ class ItsAdditive(CandidateChecks):
         ]
 
     def _facts(self, rows: DataFrame, target: str, regressors: Sequence[str]):
-        return rows.agg(*self._fact_columns(target, regressors)).first()
+        return rows.agg(*self._fact_columns(target, regressors)).collect()[0]
 
     def _design(self, facts, regressors: Sequence[str], knots: np.ndarray) -> WideDesign:
         span = facts["hi"] - facts["lo"]
@@ -169,11 +169,11 @@ class ItsAdditive(CandidateChecks):
 
     def fit(self, df: DataFrame, target: str, covariates: Sequence[str] = (),
             changepoint_scale: float = CHANGEPOINT_SCALE, n_changepoints: int = CHANGEPOINTS) -> AdditiveFit:
-        validate(df, self.time, self.points, self.group)
         rows = keep(self._prepare(df, target, covariates))
         points = tuple(sorted(self.points))
         regressors = (*intervention_terms(len(points)), *covariates)
         facts = self._facts(rows, target, regressors)
+        check_points(points, facts["lo"], facts["hi"])
         top = float(facts["top"] or 1.0)
         d = self._design(facts, regressors, knot_positions(n_changepoints, facts["times"]))
         gram = collect_gram(d.gram(rows, target, 0.0, top), d.size + 2)
@@ -280,7 +280,7 @@ class ItsAdditive(CandidateChecks):
 
     def fit_tuned(self, df: DataFrame, target: str, covariates: Sequence[str] = (), **grids) -> AdditiveFit:
         best = best_candidate(self.search(df, target, covariates, **grids),
-                              ["changepoint_scale", "n_changepoints"], "mape").first()
-        if best is None:
+                              ["changepoint_scale", "n_changepoints"], "mape").collect()[0]
+        if best["n_changepoints"] is None:
             raise ValueError("no candidate could be scored")
         return self.fit(df, target, covariates, best["changepoint_scale"], best["n_changepoints"])

@@ -24,7 +24,7 @@ from causeway.operators.gram import (
 from causeway.operators.its import MIN_ROWS, CandidateChecks, candidate_rows, design, intervention_terms, validate
 from causeway.operators.tables import best_candidate
 from causeway.operators.windows import difference
-from causeway.session import cut_lineage, require_columns
+from causeway.session import cut_lineage, keep, require_columns
 
 LONG_LAGS = 4
 GRID = {"p": (0, 1, 2, 3), "d": (0, 1, 2), "q": (0, 1, 2, 3), "P": (0, 1, 2), "D": (0, 1), "Q": (0, 1, 2), "s": (0, 12, 30)}
@@ -103,9 +103,10 @@ class ItsArima(CandidateChecks):
     def fit(self, df: DataFrame, target: str, order: tuple[int, int, int] = (1, 0, 1),
             seasonal_order: tuple[int, int, int, int] = (0, 0, 0, 0), covariates: Sequence[str] = ()) -> ArimaFit:
         """Per-group fit. An undifferenced series gets a constant."""
-        validate(df, self.time, self.points, self.group)
         points = tuple(sorted(self.points))
         clean, by = self._keyed(df, target, covariates)
+        clean = keep(clean)
+        validate(clean, self.time, points, self.group)
         (p, d, q), (sp, sd, sq, s) = order, seasonal_order
         exog = [*intervention_terms(len(points)), *covariates]
         level = d == 0 and (sd == 0 or s == 0)
@@ -257,8 +258,8 @@ class ItsArima(CandidateChecks):
     def best_order(self, scores: DataFrame) -> tuple[tuple[int, int, int], tuple[int, int, int, int]]:
         """One order for all groups: smallest mean score."""
         means = scores.groupBy(*ORDER_COLUMNS).agg(F.avg("aic").alias("aic"))
-        r = best_candidate(means, ORDER_COLUMNS, "aic").first()
-        if r is None:
+        r = best_candidate(means, ORDER_COLUMNS, "aic").collect()[0]
+        if r["p"] is None:
             raise ValueError("no order could be scored")
         return (r["p"], r["d"], r["q"]), (r["seasonal_p"], r["seasonal_d"], r["seasonal_q"], r["s"])
 

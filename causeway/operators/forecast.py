@@ -80,7 +80,7 @@ def series_facts(series: DataFrame) -> SeriesFacts:
     rows = series.filter(F.col("value").isNotNull() & F.col("time").isNotNull())
     r = rows.agg(F.count(F.lit(1)).alias("n"), F.min(day_number(F.col("time"))).alias("lo"),
                  F.max(day_number(F.col("time"))).alias("hi"), F.avg("value").alias("m"),
-                 F.stddev_pop("value").alias("s")).first()
+                 F.stddev_pop("value").alias("s")).collect()[0]
     if not r["n"]:
         raise ValueError("no rows to fit")
     return SeriesFacts(r["n"], r["lo"], r["hi"], float(r["m"]), float(r["s"] or 1.0) or 1.0)

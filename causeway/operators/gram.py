@@ -57,10 +57,10 @@ def moment_columns(names: Sequence[str]) -> list[Column]:
     return cols
 
 
-def moments_by(df: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def moments_by(df: DataFrame, names: Sequence[str], by: Sequence[str] = (), extra: Sequence[Column] = ()) -> DataFrame:
     """One row of moments per group; a single aggregate with partial combine."""
     require_columns(df, [*names, *by])
-    return complete_rows(df, names).groupBy(*by).agg(*moment_columns(names))
+    return complete_rows(df, names).groupBy(*by).agg(*moment_columns(names), *extra)
 
 
 def moments_from_row(row, names: Sequence[str]) -> Moments:
@@ -79,7 +79,7 @@ def moments_from_row(row, names: Sequence[str]) -> Moments:
 def moments(df: DataFrame, names: Sequence[str]) -> Moments:
     if len(names) > NATIVE_LIMIT:
         return _wide_moments(df, names)
-    return moments_from_row(moments_by(df, names).first(), names)
+    return moments_from_row(moments_by(df, names).collect()[0], names)
 
 
 def _wide_moments(df: DataFrame, names: Sequence[str]) -> Moments:
@@ -87,7 +87,7 @@ def _wide_moments(df: DataFrame, names: Sequence[str]) -> Moments:
     row = clean.agg(
         *[F.avg(F.col(f"`{c}`").cast("double")).alias(f"a{i}") for i, c in enumerate(names)],
         *[F.stddev_pop(F.col(f"`{c}`").cast("double")).alias(f"s{i}") for i, c in enumerate(names)],
-    ).first()
+    ).collect()[0]
     centre = np.array([row[f"a{i}"] or 0.0 for i in range(len(names))])
     scale = np.array([row[f"s{i}"] or 1.0 for i in range(len(names))])
     raw = collect_gram(wide_gram(clean, names, lambda x: (x - centre) / scale), len(names) + 1)
@@ -407,7 +407,7 @@ def newey_west(
     rolled = (_rolled_windows if bucketed else _rolled_positions)(df, terms, residual, order, list(by), lags)
     row = rolled.agg(*[
         F.sum(F.col(f"_a{i}") * F.col(f"_a{j}")).alias(f"g_{i}_{j}") for i in range(k) for j in range(i, k)
-    ]).first()
+    ]).collect()[0]
     meat = np.zeros((k, k))
     for i in range(k):
         for j in range(i, k):

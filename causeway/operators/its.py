@@ -45,12 +45,16 @@ def panel(facts: DataFrame, time: Column, target: Column, group: Column | None =
 
 def validate(df: DataFrame, time: str, points: Sequence[float], group: str | None = None) -> None:
     require_columns(df, [time] + ([group] if group else []))
+    span = df.agg(F.min(time).alias("lo"), F.max(time).alias("hi")).collect()[0]
+    check_points(points, span["lo"], span["hi"])
+
+
+def check_points(points: Sequence[float], low, high) -> None:
     if not points:
         raise ValueError("at least one intervention point is needed")
-    span = df.agg(F.min(time).alias("lo"), F.max(time).alias("hi")).first()
     for p in points:
-        if span["lo"] is None or not span["lo"] <= p <= span["hi"]:
-            raise ValueError(f"intervention {p} lies outside the time range {span['lo']}..{span['hi']}")
+        if low is None or not low <= p <= high:
+            raise ValueError(f"intervention {p} lies outside the time range {low}..{high}")
 
 
 def timed(df: DataFrame, time: str, points: Sequence[float], group: str | Sequence[str] | None = None,
@@ -299,7 +303,7 @@ class SegmentedFit:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> SegmentedFit:
-        row = spark.read.parquet(f"{path}/meta").first()
+        row = spark.read.parquet(f"{path}/meta").collect()[0]
         meta = json.loads(row["meta"])
         encoder = OneHot({c: tuple(v) for c, v in meta.pop("levels").items()})
         for name in ("points", "covariates", "terms", "coef"):
@@ -330,7 +334,7 @@ class CandidateChecks:
                 inside = inside & (t >= F.lit(lo))
             aggs += [F.count(F.when(inside, t)).alias(f"n{i}"), F.min(F.when(inside, t)).alias(f"lo{i}"),
                      F.max(F.when(inside, t)).alias(f"hi{i}")]
-        row = df.filter(t.isNotNull() & F.col(target).isNotNull()).agg(*aggs).first()
+        row = df.filter(t.isNotNull() & F.col(target).isNotNull()).agg(*aggs).collect()[0]
         return [(row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i in range(len(bounds))]
 
     def _frame(self, spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -418,8 +422,7 @@ class SegmentedOls(CandidateChecks):
             hac_lags: int = 3, intercept: bool = True, cache: bool = True) -> SegmentedFit:
         if cov_type not in ("HAC", "nonrobust"):
             raise ValueError(f"unknown cov_type {cov_type!r}")
-        require_columns(df, [target, *covariates])
-        validate(df, self.time, self.points, self.group)
+        require_columns(df, [self.time, target, *covariates] + ([self.group] if self.group else []))
         texts = set(string_columns(df))
         encoder = OneHot.fit(df, [c for c in covariates if c in texts])
         numeric = [c for c in covariates if c not in texts]
@@ -437,7 +440,14 @@ class SegmentedOls(CandidateChecks):
         if cache:
             rows = rows.persist()
         names = ["t", "w", *cov_terms, target]
-        parts = _segment_rows(moments_by(rows, names, ["_period"]).collect(), names)
+        ends = [F.min(self.time).alias("lo"), F.max(self.time).alias("hi")]
+        found = moments_by(rows, names, ["_period"], ends).collect()  # one row per period
+        try:
+            check_points(self.points, min((r["lo"] for r in found), default=None), max((r["hi"] for r in found), default=None))
+        except ValueError:
+            rows.unpersist()
+            raise
+        parts = _segment_rows(found, names)
         full = assemble(parts, len(self.points), cov_terms, target)
         s = solve(full, ["t", *terms, *cov_terms], target, intercept)
         cov = s.covariance

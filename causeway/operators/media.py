@@ -190,7 +190,7 @@ def fit_media(media: DataFrame, sales: DataFrame, channels: Sequence[str], decay
     missing = [c for c in channels if not found.get(c)]
     if missing:
         raise ValueError(f"channels without data: {missing}")
-    mean_sales = sales.agg(F.avg("sales").alias("m")).first()["m"]
+    mean_sales = sales.agg(F.avg("sales").alias("m")).collect()[0]["m"]
     if not mean_sales:
         raise ValueError("sales are zero or missing")
     grid = _grid_frame(spark, decays, halves, slopes)
@@ -218,8 +218,8 @@ def fit_media(media: DataFrame, sales: DataFrame, channels: Sequence[str], decay
 
     scored = packed.mapInPandas(solve_rows, schema).join(F.broadcast(grid), "candidate")
     scored = spark.createDataFrame(scored.collect(), scored.schema)  # grid-sized
-    best = best_candidate(scored, ["candidate"], "rss").first()["candidate"]
-    top = scored.filter(F.col("candidate") == best).first()
+    best = best_candidate(scored, ["candidate"], "rss").collect()[0]["candidate"]
+    top = scored.filter(F.col("candidate") == best).collect()[0]
     fit = MediaFit(channels, top["decay"], top["half"], top["slope"], {c: float(found[c]) for c in channels},
                    float(mean_sales), np.array(top["coef"]), float(top["rss"]))
     return fit, scored.drop("coef")

@@ -213,10 +213,10 @@ def fit_all(df: DataFrame, features: Sequence[str], target: str,
     }
     if len(raw) > NATIVE_LIMIT:
         stats = {k: moments(rows, [*spaces[k][0], spaces[k][1]]) for k in kinds}
-        edges = rows.agg(*_edges(raw)).first()
+        edges = rows.agg(*_edges(raw)).collect()[0]
     else:
         aggs = [F.struct(*moment_columns([*spaces[k][0], spaces[k][1]])).alias(k) for k in kinds]
-        edges = rows.agg(*_edges(raw), *aggs).first()
+        edges = rows.agg(*_edges(raw), *aggs).collect()[0]
         stats = {k: moments_from_row(edges[k].asDict(), [*spaces[k][0], spaces[k][1]]) for k in kinds}
     bad = [c for c in logs if edges[f"lo_{c}"] is not None and edges[f"lo_{c}"] <= 0]
     if bad:
@@ -248,7 +248,7 @@ def compare_models(df: DataFrame, features: Sequence[str], target: str, with_spl
     double = models["doublelog"]
     err = F.col(f"`{target}`") - double.expression()
     s = complete_rows(df, [*features, target]).agg(
-        (F.lit(1.0) - F.try_divide(F.sum(err * err), F.var_pop(target) * F.count(target))).alias("r2")).first()
+        (F.lit(1.0) - F.try_divide(F.sum(err * err), F.var_pop(target) * F.count(target))).alias("r2")).collect()[0]
     rows = [("linear", models["linear"].r_squared), ("semilog", models["semilog"].r_squared), ("doublelog", s["r2"])]
     if with_spline:
         rows.append(("spline", SplineModel.fit(df, features, target).r_squared))
@@ -307,7 +307,7 @@ class SplineModel:
         require_columns(df, [*features, target])
         columns = [*features, target]
         clean = complete_rows(df, columns)
-        edges = clean.agg(*_edges(columns), F.stddev_pop(target).alias("sd")).first()
+        edges = clean.agg(*_edges(columns), F.stddev_pop(target).alias("sd")).collect()[0]
         if edges[f"lo_{target}"] is None:
             raise ValueError("no rows to fit")
         profile = Profile(*[{c: float(edges[f"{p}_{c}"]) for c in columns} for p in ("mean", "lo", "hi")])

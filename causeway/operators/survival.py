@@ -51,7 +51,7 @@ def log_rank(df: DataFrame, time: str, event: str, group: str, first, second) ->
     share = F.col("n1") / F.col("n")
     spread = F.when(
         F.col("n") > 1, F.col("d") * share * (1 - share) * (F.col("n") - F.col("d")) / (F.col("n") - 1)).otherwise(0.0)
-    row = at.agg(F.sum("d1").alias("o"), F.sum(F.col("d") * share).alias("e"), F.sum(spread).alias("v")).first()
+    row = at.agg(F.sum("d1").alias("o"), F.sum(F.col("d") * share).alias("e"), F.sum(spread).alias("v")).collect()[0]
     if not row["v"]:
         raise ValueError("no event time with both groups at risk")
     stat = (row["o"] - row["e"]) ** 2 / row["v"]
@@ -74,7 +74,7 @@ def concordance(df: DataFrame, time: str, event: str, risk: str) -> DataFrame:
     cells = rows.groupBy(F.col(risk).cast("double").alias("risk"), "time", "late").agg(F.count(F.lit(1)).alias("n"))
     codes = ordered_scan(cells.select("risk").distinct(), [], [F.asc("risk")], position="code")
     codes = codes.select(F.col("risk").alias("_r"), (F.col("code") - 1).alias("code"))
-    top = codes.agg(F.max("code").alias("m")).first()["m"]
+    top = codes.agg(F.max("code").alias("m")).collect()[0]["m"]
     bits = int(top or 0).bit_length()
     coded = cells.join(codes, F.col("risk") == F.col("_r"))
     hit = F.when(F.col("late") == 0, F.col("n")).otherwise(F.lit(0))
@@ -124,7 +124,7 @@ class HazardForest:
         rows = df.select(*features, F.col(time).cast("double").alias("_time"),
                          F.col(event).cast("boolean").alias("_event")).dropna()
         probs = [i / n_periods for i in range(1, n_periods)]
-        row = rows.filter("_event").agg(F.percentile_approx("_time", probs, 10000).alias("q")).first()
+        row = rows.filter("_event").agg(F.percentile_approx("_time", probs, 10000).alias("q")).collect()[0]
         if not row["q"]:
             raise ValueError("no events to fit")
         edges = tuple(sorted(set(float(v) for v in row["q"])))
