@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from causeway.operators.ordered import ordered_scan
+
 
 def elapsed(df: DataFrame, group: Sequence[str], time: str, name: str = "t") -> DataFrame:
     """``time - min(time) + 1`` per group. The minimum is a combined aggregate joined back,
@@ -28,17 +30,21 @@ def elapsed(df: DataFrame, group: Sequence[str], time: str, name: str = "t") ->
     return joined.select(*df.columns, (F.col(time) - F.col("_start") + 1).alias(name))
 
 
-def running_rows(df: DataFrame, group: Sequence[str], time: str, flag: Column, name: str) -> DataFrame:
+def running_rows(df: DataFrame, group: Sequence[str], time: str, flag: Column, name: str,
+                 calendar: bool = False) -> DataFrame:
     """Running number of flagged rows per group, for any number of rows per time.
 
-    Rows are first counted per (group, time) with map-side combine; the window sees distinct
-    times only. Rows sharing a time share the count, so row order never matters.
+    Rows are first counted per (group, time) with map-side combine. Rows sharing a time share the
+    count, so row order never matters. ``calendar`` promises a coarse time (months, days): one
+    window per group then holds the distinct times. Otherwise an ordered scan spreads them.
     """
     cells = df.groupBy(*group, time).agg(F.sum(flag.cast("bigint")).alias("_n"))
-    window = Window.partitionBy(*(group or [F.lit(0)])).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
-    counts = cells.select(
-        *[F.col(c).alias(f"_g_{c}") for c in group], F.col(time).alias("_time"), F.sum("_n").over(window).alias(name)
-    )
+    if calendar:
+        upto = Window.partitionBy(*(group or [F.lit(0)])).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
+        counted = cells.withColumn(name, F.sum("_n").over(upto))
+    else:
+        counted = ordered_scan(cells, group, [F.col(time)], {name: F.col("_n")}, position=None)
+    counts = counted.select(*[F.col(c).alias(f"_g_{c}") for c in group], F.col(time).alias("_time"), name)
     match = F.col(time).eqNullSafe(F.col("_time"))
     for c in group:
         match = match & F.col(c).eqNullSafe(F.col(f"_g_{c}"))

@@ -214,10 +214,18 @@ SELECT o_orderkey, CAST(CASE WHEN m >= 27 AND m < 54 THEN sum(CASE WHEN m >= 27
 def w2_running_rows_in_period(spark, sf):
     rows = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority", month_index("o_orderdate").alias("m"))
     inside = C.interval_dummy(F.col("m"), 27, 54)
-    counted = windows.running_rows(rows, ["o_orderpriority"], "m", inside, "n")
+    counted = windows.running_rows(rows, ["o_orderpriority"], "m", inside, "n", calendar=True)
     return counted.select("o_orderkey", F.when(inside == 1, F.col("n")).otherwise(0).alias("timedelta"))
 
 
+@query("w2_running_rows_fine_time", """SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY ts RANGE UNBOUNDED PRECEDING) AS n
+FROM events""")
+def w2_running_rows_fine_time(spark, sf):
+    """Microsecond times: the distinct times of a group are not bounded, so the ordered scan is used."""
+    rows = load(spark, sf, "events").select("event_id", "event_type", "ts")
+    return windows.running_rows(rows, ["event_type"], "ts", F.lit(1), "n").select("event_id", "n")
+
+
 @query("w3_row_number", """SELECT o_orderpriority, o_orderkey,
 row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS row_number FROM orders""")
 def w3_row_number(spark, sf):

@@ -46,6 +46,22 @@ def i3_segmented_ols(spark, sf):
     return rounded(pooled(spark, sf, "HAC").coefficient_table(spark).select("term", "coef"), 4, "coef")
 
 
+@query("i3_numeric_covariate", f"""WITH {SEGMENT_SQL}, f AS (SELECT p, regr_slope(value, time) AS by_, regr_intercept(value, time) AS ay,
+  regr_slope(n_orders, time) AS bx, regr_intercept(n_orders, time) AS ax FROM seg GROUP BY 1),
+ r AS (SELECT value - ay - by_*time AS ry, n_orders - ax - bx*time AS rx FROM seg JOIN f USING (p)),
+ c AS (SELECT sum(ry*rx)/sum(rx*rx) AS c FROM r),
+ g AS (SELECT max(CASE WHEN p = 0 THEN ay - c*ax END) AS a0, max(CASE WHEN p = 0 THEN by_ - c*bx END) AS b0,
+  max(CASE WHEN p = 1 THEN ay - c*ax END) AS a1, max(CASE WHEN p = 1 THEN by_ - c*bx END) AS b1,
+  max(CASE WHEN p = 2 THEN ay - c*ax END) AS a2, max(CASE WHEN p = 2 THEN by_ - c*bx END) AS b2, max(c) AS c FROM f CROSS JOIN c)
+SELECT 'const' AS term, round(a0 - b0, 3) AS coef FROM g UNION ALL SELECT 't', round(b0, 3) FROM g
+UNION ALL SELECT 'D_1', round(a1 - a0 + (b1 - b0)*26, 3) FROM g UNION ALL SELECT 'timedelta_1', round(b1 - b0, 3) FROM g
+UNION ALL SELECT 'D_2', round(a2 - a0 + (b2 - b0)*53, 3) FROM g UNION ALL SELECT 'timedelta_2', round(b2 - b0, 3) FROM g
+UNION ALL SELECT 'n_orders', round(c, 3) FROM g""")
+def i3_numeric_covariate(spark, sf):
+    model = SegmentedOls("time", POINTS, "group", bucketed=True).fit(orders_panel(spark, sf), "value", ["n_orders"])
+    return rounded(model.coefficient_table(spark).select("term", "coef"), 3, "coef")
+
+
 @query("i3_with_covariates")
 def i3_with_covariates(spark, sf):
     model = SegmentedOls("time", POINTS, "group", bucketed=True).fit(orders_panel(spark, sf), "value", ["n_orders", "group"])

@@ -32,3 +32,14 @@ def test_every_sql_has_a_query():
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+# operators of the survey, by id
+SURVEY_IDS = [f"{area}{i}" for area, n in (
+    ("s", 7), ("p", 12), ("j", 4), ("a", 13), ("w", 9), ("o", 5), ("u", 1), ("f", 21), ("m", 20), ("i", 15), ("t", 7),
+    ("x", 6), ("v", 5), ("g", 2)) for i in range(1, n + 1)]
+
+
+@pytest.mark.parametrize("operator", SURVEY_IDS)
+def test_every_operator_has_a_query(operator):
+    assert any(name.split("_")[0] == operator for name in QUERIES)
