@@ -7,12 +7,13 @@ Numbers therefore differ from a sampler with Laplace priors.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from causeway.functions.columns import period_label
@@ -43,8 +44,9 @@ def knot_positions(count: int, n_times: int) -> np.ndarray:
     return np.linspace(0.0, 0.8, count + 1)[1:] if count else np.zeros(0)
 
 
-def additive_design(regressors: Sequence[str], low: float, high: float, knots: np.ndarray, yearly: int, weekly: int,
+def additive_design(regressors: Sequence[str], low: float, high: float, knots: Sequence[float], yearly: int, weekly: int,
                     centre: Sequence[float], scale: Sequence[float]) -> WideDesign:
+    knots = np.asarray(knots, dtype=float)
     mid, unit = np.asarray(centre, dtype=float), np.asarray(scale, dtype=float)
     span = (high - low) or 1.0
 
@@ -94,17 +96,38 @@ class AdditiveFit:
     target: str
     fit: WideFit
     regressors: tuple[str, ...]
-    rows: DataFrame = field(compare=False, repr=False)
+    shape: dict
+    rows: DataFrame | None = field(compare=False, repr=False)
 
     def predict(self, df: DataFrame | None = None, counterfactual: bool = False, components: bool = False) -> DataFrame:
         """Rows with mean, lower, upper; the counterfactual sets the intervention regressors to zero."""
+        if df is None and self.rows is None:
+            raise ValueError("this model was loaded from disk; pass the rows to predict")
         rows = self.rows if df is None else _with_day(
             design(df, self.time, self.points, self.group, intercept=False, bucketed=True), self.time)
         if counterfactual:
             rows = rows.withColumns({c: F.lit(0) for c in intervention_terms(len(self.points))})
         return self.fit.predict(rows, components=components)
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        meta = {k: getattr(self, k) for k in ("time", "points", "group", "target", "regressors", "shape")}
+        f = self.fit
+        meta["fit"] = {"scale": f.scale, "coef": f.coef.tolist(), "inverse": f.inverse.tolist(), "sigma2": f.sigma2, "n": f.n}
+        spark.createDataFrame([("additive", json.dumps(meta))], "kind string, meta string") \
+            .write.mode("overwrite").parquet(f"{path}/meta")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> AdditiveFit:
+        meta = json.loads(spark.read.parquet(f"{path}/meta").collect()[0]["meta"])
+        f = meta.pop("fit")
+        meta = {k: tuple(v) if isinstance(v, list) else v for k, v in meta.items()}
+        d = additive_design(meta["regressors"], **meta["shape"])
+        fit = WideFit(d, meta["target"], 0.0, f["scale"], np.array(f["coef"]), np.array(f["inverse"]), f["sigma2"], f["n"])
+        return cls(fit=fit, rows=None, **meta)
+
     def effects(self) -> DataFrame:
+        if self.rows is None:
+            raise ValueError("this model was loaded from disk and holds no rows")
         keys = [self.group] if self.group else []
         both = self.fit.predict(self.rows, prefix="p_")
         zero = {c: F.lit(0) for c in intervention_terms(len(self.points))}
@@ -156,6 +179,10 @@ class ItsAdditive(CandidateChecks):
         return rows.agg(*self._fact_columns(target, regressors)).collect()[0]
 
     def _design(self, facts, regressors: Sequence[str], knots: np.ndarray) -> WideDesign:
+        return additive_design(regressors, **self._shape(facts, regressors, knots))
+
+    def _shape(self, facts, regressors: Sequence[str], knots: np.ndarray) -> dict:
+        """Arguments of ``additive_design``, plain values that can be stored."""
         span = facts["hi"] - facts["lo"]
         step = span / max(facts["times"] - 1, 1)
         yearly = 10 if span >= 730 else 0
@@ -165,7 +192,8 @@ class ItsAdditive(CandidateChecks):
         keep = [b or s == 0 for b, s in zip(binary, spread, strict=True)]
         centre = [0.0 if k else float(facts[f"m_{i}"]) for i, k in enumerate(keep)]
         scale = [1.0 if k else s for k, s in zip(keep, spread, strict=True)]
-        return additive_design(regressors, facts["lo"], facts["hi"], knots, yearly, weekly, centre, scale)
+        return {"low": float(facts["lo"]), "high": float(facts["hi"]), "knots": [float(k) for k in knots],
+                "yearly": yearly, "weekly": weekly, "centre": centre, "scale": scale}
 
     def fit(self, df: DataFrame, target: str, covariates: Sequence[str] = (),
             changepoint_scale: float = CHANGEPOINT_SCALE, n_changepoints: int = CHANGEPOINTS) -> AdditiveFit:
@@ -175,11 +203,12 @@ class ItsAdditive(CandidateChecks):
         facts = self._facts(rows, target, regressors)
         check_points(points, facts["lo"], facts["hi"])
         top = float(facts["top"] or 1.0)
-        d = self._design(facts, regressors, knot_positions(n_changepoints, facts["times"]))
+        shape = self._shape(facts, regressors, knot_positions(n_changepoints, facts["times"]))
+        d = additive_design(regressors, **shape)
         gram = collect_gram(d.gram(rows, target, 0.0, top), d.size + 2)
         coef, inverse, sigma2 = map_fit(gram, prior_penalty(d, changepoint_scale))
         fit = WideFit(d, target, 0.0, top, coef, inverse, sigma2, int(gram[0, 0]))
-        return AdditiveFit(self.time, points, self.group, target, fit, regressors, rows)
+        return AdditiveFit(self.time, points, self.group, target, fit, regressors, shape, rows)
 
     def _candidates(self, df: DataFrame, target: str, frame: DataFrame, covariates: Sequence[str]) -> DataFrame:
         """Cross-products grouped by candidate, one small solve each, one scoring pass.

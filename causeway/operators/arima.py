@@ -7,6 +7,7 @@ Each is a grouped cross-product. Estimates differ from a likelihood fit.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -19,13 +20,14 @@ from pyspark.sql import types as T
 from causeway.functions.columns import period_label
 from causeway.functions.stats import normal_quantile
 from causeway.operators.gram import (
-    apply_fit, coefficient_rows, complete_rows, field_list, fit_by, moments_by, moments_from_row, solve,
+    apply_fit, coefficient_rows, complete_rows, field_list, fit_by, linear_expression, moments_by, moments_from_row, solve,
 )
 from causeway.operators.its import MIN_ROWS, CandidateChecks, candidate_rows, design, intervention_terms, validate
 from causeway.operators.tables import best_candidate
 from causeway.operators.windows import difference
 from causeway.session import cut_lineage, keep, require_columns
 
+# fixed values: lags of the long autoregression and the default order grid
 LONG_LAGS = 4
 GRID = {"p": (0, 1, 2, 3), "d": (0, 1, 2), "q": (0, 1, 2, 3), "P": (0, 1, 2), "D": (0, 1), "Q": (0, 1, 2), "s": (0, 12, 30)}
 ORDER_COLUMNS = ["p", "d", "q", "seasonal_p", "seasonal_d", "seasonal_q", "s"]
@@ -58,10 +60,11 @@ class ArimaFit:
     exog: tuple[str, ...]
     order: tuple[int, int, int]
     seasonal_order: tuple[int, int, int, int]
-    rows: DataFrame = field(compare=False, repr=False)
+    by: tuple[str, ...]
+    rows: DataFrame | None = field(compare=False, repr=False)
     exog_fits: DataFrame = field(compare=False, repr=False)
     arma_fits: DataFrame | None = field(compare=False, repr=False)
-    by: tuple[str, ...] = ()
+    tail: DataFrame = field(compare=False, repr=False)
 
     def coefficient_table(self) -> DataFrame:
         """Intervention and covariate coefficients per group (statistic is asymptotically normal)."""
@@ -69,6 +72,8 @@ class ArimaFit:
 
     def predict(self, level: float = 0.95) -> DataFrame:
         """In-sample one-step means, interval and counterfactual (intervention terms at zero)."""
+        if self.rows is None:
+            raise ValueError("this model was loaded from disk; it forecasts but holds no rows")
         z = normal_quantile(0.5 + level / 2)
         keys = [self.group] if self.group else []
         return self.rows.select(
@@ -86,6 +91,96 @@ class ArimaFit:
             F.avg(F.col(self.target) - F.col("counterfactual")).alias("Effect_mean"))
 
 
+    def forecast(self, future: DataFrame, level: float = 0.95) -> DataFrame:
+        """Out-of-sample mean and interval for future rows ([group], time, covariates).
+
+        The last intervention stays on and its row count goes on. A series needs only its last few
+        rows: as many as the lags and differences reach back.
+        """
+        terms = intervention_terms(len(self.points))
+        covariates = [c for c in self.exog if c not in terms and c != "const"]
+        keys = [self.group] if self.group else []
+        require_columns(future, [self.time, *covariates, *keys])
+        rows = future if self.group else future.withColumn("_all", F.lit(0))
+        by = list(self.by)
+        ahead = rows.select(*by, self.time, *[F.col(c).cast("double").alias(c) for c in covariates])
+        schema = T.StructType(field_list(ahead, [*by, self.time]) + [
+            T.StructField(c, T.DoubleType()) for c in ("mean", "lower", "upper")])
+        (p, d, q), (sp, sd, sq, s) = self.order, self.seasonal_order
+        ar, ma, delta = lag_set(p, sp, s), lag_set(q, sq, s), _difference_weights(d, sd, s)
+        z, time, n_terms, has_const = normal_quantile(0.5 + level / 2), self.time, len(terms), self.exog[-1:] == ("const",)
+
+        def run(key, past, new):
+            if past.empty or new.empty:
+                return pd.DataFrame({f.name: [] for f in schema})
+            past, new = past.sort_values("_ord"), new.sort_values(time)
+            beta = np.asarray(past["_b"].iloc[0], dtype=float)
+            phi = np.asarray(past["_phi"].iloc[0], dtype=float) if ar or ma else np.zeros(0)
+            level_z, noise, shock = list(past["_z"]), list(past["_noise"]), list(past["_shock"])
+            count = past["_count"].iloc[-1]
+            const = beta[-1] if has_const else 0.0
+            mean = np.empty(len(new))
+            x = new[covariates].to_numpy(dtype=float)
+            for h in range(len(new)):
+                n = sum(phi[k] * noise[-i] for k, i in enumerate(ar))
+                n += sum(phi[len(ar) + k] * shock[-i] for k, i in enumerate(ma))
+                value = n + const - sum(w * level_z[-i] for i, w in enumerate(delta) if i)
+                noise.append(n)
+                shock.append(0.0)
+                level_z.append(value)
+                mean[h] = value + beta[n_terms - 2] + beta[n_terms - 1] * (count + h + 1) + x[h] @ beta[n_terms:n_terms + x.shape[1]]
+            half = z * past["_sigma"].iloc[-1] * np.sqrt(np.cumsum(_response_weights(phi, ar, ma, delta, len(new)) ** 2))
+            out = new[[*by, time]].copy()
+            out["mean"], out["lower"], out["upper"] = mean, mean - half, mean + half
+            return out
+
+        found = self.tail.groupBy(*by).cogroup(ahead.groupBy(*by)).applyInPandas(run, schema)
+        return found.select(*keys, time, "mean", "lower", "upper")
+
+    def save(self, path: str) -> None:
+        """Coefficients and the short tail of each series; no training rows."""
+        spark = self.exog_fits.sparkSession
+        meta = {k: getattr(self, k) for k in ("time", "points", "group", "target", "exog", "order", "seasonal_order", "by")}
+        spark.createDataFrame([("arima", json.dumps(meta))], "kind string, meta string").write.mode("overwrite").parquet(f"{path}/meta")
+        self.exog_fits.write.mode("overwrite").parquet(f"{path}/exog")
+        if self.arma_fits is not None:
+            self.arma_fits.write.mode("overwrite").parquet(f"{path}/arma")
+        self.tail.write.mode("overwrite").parquet(f"{path}/tail")
+
+    @classmethod
+    def load(cls, spark, path: str) -> ArimaFit:
+        meta = json.loads(spark.read.parquet(f"{path}/meta").collect()[0]["meta"])
+        meta = {k: tuple(v) if isinstance(v, list) else v for k, v in meta.items()}
+        has_arma = any(meta["order"][i] for i in (0, 2)) or any(meta["seasonal_order"][i] for i in (0, 2))
+        return cls(rows=None, exog_fits=spark.read.parquet(f"{path}/exog"),
+                   arma_fits=spark.read.parquet(f"{path}/arma") if has_arma else None,
+                   tail=spark.read.parquet(f"{path}/tail"), **meta)
+
+
+def _difference_weights(d: int, sd: int, s: int) -> np.ndarray:
+    """Coefficients of (1 - B)^d (1 - B^s)^D by power of B."""
+    out = np.ones(1)
+    for step in [1] * d + [s] * (sd if s else 0):
+        factor = np.zeros(step + 1)
+        factor[0], factor[step] = 1.0, -1.0
+        out = np.convolve(out, factor)
+    return out
+
+
+def _response_weights(phi: np.ndarray, ar: Sequence[int], ma: Sequence[int], delta: np.ndarray, h: int) -> np.ndarray:
+    """Weights of past shocks in the h-step forecast error."""
+    poly = np.zeros(max(ar, default=0) + 1)
+    poly[0] = 1.0
+    for k, i in enumerate(ar):
+        poly[i] = -phi[k]
+    full = np.convolve(poly, delta)
+    out = np.zeros(h)
+    for j in range(h):
+        out[j] = 1.0 if j == 0 else sum(phi[len(ar) + k] for k, i in enumerate(ma) if i == j)
+        out[j] -= sum(full[i] * out[j - i] for i in range(1, min(j, len(full) - 1) + 1))
+    return out
+
+
 @dataclass(frozen=True)
 class ItsArima(CandidateChecks):
     """``ItsArima("time", [27, 54], "group").fit(df, "value", (1, 0, 1))``, one row per (group, time)."""
@@ -148,19 +243,35 @@ class ItsArima(CandidateChecks):
                 "_ys": filtered("_y") - shock, "_c": ones if level else F.lit(0.0),
                 **{f"{x}s": filtered(x) for x in xs}})
         else:
-            ready = staged.withColumns({"_ys": F.col("_y"), "_c": F.lit(1.0 if level else 0.0), **{f"{x}s": F.col(x) for x in xs}})
-        ready = cut_lineage(ready.drop("_phi"))
+            ready = staged.withColumns({
+                "_ys": F.col("_y"), "_c": F.lit(1.0 if level else 0.0), "_phi": F.lit(None).cast("array<double>"),
+                **{f"{x}s": F.col(x) for x in xs}})
+        ready = cut_lineage(ready)
         final_x = [f"{x}s" for x in xs] + (["_c"] if level else [])
         final = fit_by(ready, final_x, "_ys", by, intercept=False)
-        scored = apply_fit(ready, final, final_x, by, "_final", intercept=False)
-        # the one-step error is the same in levels and differences
-        scored = apply_fit(scored.withColumn("mean", F.col(target) - (F.col("_ys") - F.col("_final"))),
-                           _impact_coef(final, len(points) * 2), exog[: len(points) * 2], by, "_impact", intercept=False)
-        sigma = final.select(*[F.col(c).alias(f"_g_{c}") for c in by],
-                             F.sqrt(F.try_divide(F.col("rss"), (F.col("n_obs") - F.col("rank")).cast("double"))).alias("_sigma"))
-        rows = scored.join(sigma, F.col(by[0]).eqNullSafe(F.col(f"_g_{by[0]}"))).drop(f"_g_{by[0]}")
+        slim = final.select(
+            *[F.col(c).alias(f"_g_{c}") for c in by], F.col("coef").alias("_b"),
+            F.sqrt(F.try_divide(F.col("rss"), (F.col("n_obs") - F.col("rank")).cast("double"))).alias("_sigma"))
+        joined = ready.join(slim, F.col(by[0]).eqNullSafe(F.col(f"_g_{by[0]}"))).drop(f"_g_{by[0]}")
+
+        def total(columns: Sequence[str]) -> Column:
+            return linear_expression([F.col("_b")[k] for k in range(len(columns))], [F.col(c) for c in columns])
+
+        const = F.col("_b")[len(xs)] if level else F.lit(0.0)
+        shock_now = F.col("_ys") - total(final_x)
+        n_terms = 2 * len(points)
+        rows = joined.withColumns({
+            "mean": F.col(target) - shock_now,  # the one-step error is the same in levels and differences
+            "_impact": total(exog[:n_terms]), "_shock": shock_now,
+            "_z": F.col(target) - total(exog), "_noise": F.col("_y") - total(xs) - const,
+        })
+        reach = max([*ar, *ma, len(_difference_weights(d, sd, s)) - 1, 1])
+        back = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(self.time)))
+        tail = rows.withColumn("_ord", -back).filter(F.col("_ord") >= -reach).select(
+            *by, "_ord", "_b", "_phi", "_z", "_noise", F.coalesce("_shock", F.lit(0.0)).alias("_shock"), "_sigma",
+            F.col(exog[n_terms - 1]).cast("double").alias("_count"))
         return ArimaFit(self.time, points, self.group, target, tuple([*exog, *(["const"] if level else [])]),
-                        tuple(order), tuple(seasonal_order), rows, final, arma_fits, tuple(by))
+                        tuple(order), tuple(seasonal_order), tuple(by), rows, final, arma_fits, tail)
 
     def _candidates(self, df: DataFrame, target: str, frame: DataFrame, covariates: Sequence[str]) -> DataFrame:
         """Each (candidate, group) is a series of its own, so one grouped fit serves all candidates."""
@@ -262,8 +373,3 @@ class ItsArima(CandidateChecks):
         if r["p"] is None:
             raise ValueError("no order could be scored")
         return (r["p"], r["d"], r["q"]), (r["seasonal_p"], r["seasonal_d"], r["seasonal_q"], r["s"])
-
-
-def _impact_coef(fits: DataFrame, n_terms: int) -> DataFrame:
-    """Coefficients of the intervention terms only (they lead the exogenous list)."""
-    return fits.withColumn("coef", F.slice("coef", 1, n_terms))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from causeway.functions.columns import even_grid
 from causeway.operators.gram import (
-    NATIVE_LIMIT, TERM_SCHEMA, Moments, Solution, collect_gram, complete_rows, linear_expression, moment_columns,
+    NATIVE_LIMIT, TERM_SCHEMA, Solution, collect_gram, complete_rows, linear_expression, moment_columns,
     moments, moments_from_row, newey_west, ridge, solve, term_rows, wide_gram,
 )
 from causeway.session import require_columns

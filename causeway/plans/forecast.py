@@ -109,6 +109,16 @@ def i8_arima_effects(spark, sf):
     return ItsArima("time", POINTS, "group").fit(orders_panel(spark, sf), "value", (1, 0, 1)).effects()
 
 
+@query("i8_arima_forecast")
+def i8_arima_forecast(spark, sf):
+    """Six months ahead for every priority with the last intervention still on."""
+    rows = orders_panel(spark, sf)
+    fit = ItsArima("time", POINTS, "group").fit(rows, "value", (1, 0, 1))
+    ends = rows.groupBy("group").agg(F.max("time").alias("last"))
+    ahead = ends.select("group", F.explode(F.sequence(F.col("last") + 1, F.col("last") + 6)).alias("time"))
+    return fit.forecast(ahead)
+
+
 @query("i9_order_search")
 def i9_order_search(spark, sf):
     return ItsArima("time", POINTS, "group").search(orders_panel(spark, sf), "value", {"s": (0, 12)})

@@ -250,3 +250,15 @@ def test_hazard_forest_orders_risk(spark):
     got = S.concordance(scored, "time", "event", "risk").first().concordance
     best = S.concordance(df, "time", "event", "x").first().concordance  # the true ordering of hazards
     assert best > 0.6 and got > best - 0.03
+
+
+def test_survival_edges(spark):
+    empty = spark.createDataFrame([], "time double, event boolean, g string, risk double")
+    assert S.survival_curve(empty, "time", "event", ["g"]).count() == 0
+    assert S.concordance(empty, "time", "event", "risk").first().concordance is None
+    one = spark.createDataFrame([(3.0, True, "x", 1.0), (None, True, "x", 2.0)], "time double, event boolean, g string, risk double")
+    assert [(r.time, r.survival) for r in S.survival_curve(one, "time", "event").collect()] == [(3.0, 0.0)]
+    with pytest.raises(ValueError, match="at risk"):
+        S.log_rank(one, "time", "event", "g", "x", "y")
+    with pytest.raises(ValueError, match="not found"):
+        S.survival_curve(one, "when", "event")

@@ -295,3 +295,57 @@ def test_placebo_of_every_model(spark):
     for kind in (SegmentedOls, ItsArima, ItsAdditive):
         r = kind("time", [100]).placebo_test(df, "value").first()
         assert r.n_placebo_tests == 3 and abs(r.mean_placebo_effect) < 1.0
+
+
+def test_arima_forecast_and_storage(spark):
+    rng = np.random.default_rng(30)
+    n, e = 500, rng.normal(0, 1, 500)
+    noise = np.zeros(n)
+    for i in range(1, n):
+        noise[i] = 0.7 * noise[i - 1] + e[i]
+    t = np.arange(n)
+    df = spark.createDataFrame(pd.DataFrame({"time": t, "value": 30 + noise + 6 * (t >= 250)}))
+    fit = ItsArima("time", [250]).fit(df, "value", (1, 0, 0))
+    future = spark.createDataFrame([(int(n + h),) for h in range(6)], "time long")
+    got = fit.forecast(future).orderBy("time").toPandas()
+    coef = {r.term: r.coef for r in fit.coefficient_table().collect()}
+    phi = fit.arma_fits.collect()[0].coef[0]
+    base = [coef["const"] + coef["D_1"] + coef["timedelta_1"] * (250 + h) for h in range(1, 7)]
+    last = 30 + noise[-1] + 6 - (coef["const"] + coef["D_1"] + coef["timedelta_1"] * 250)
+    assert np.allclose(got["mean"], [b + phi ** h * last for h, b in enumerate(base, 1)], rtol=1e-9)
+    half = (got.upper - got.lower).to_numpy() / 2
+    want = np.sqrt(np.cumsum(phi ** (2 * np.arange(6))))
+    assert np.allclose(half / half[0], want, rtol=1e-9)
+    path = scratch_path(spark, "arima")
+    fit.save(path)
+    from causeway.operators.arima import ArimaFit
+    back = ArimaFit.load(spark, path)
+    assert np.array_equal(back.forecast(future).orderBy("time").toPandas()["mean"], got["mean"])
+    with pytest.raises(ValueError, match="holds no rows"):
+        back.predict()
+
+
+def test_arima_forecast_continues_a_difference(spark):
+    y = 5.0 + 2.0 * np.arange(120) + np.tile([0.0, 3.0, -1.0, 1.0], 30)
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame(pd.DataFrame({"time": np.arange(120), "value": y + rng.normal(0, 1e-3, 120)}))
+    fit = ItsArima("time", [60]).fit(df, "value", (1, 0, 0), (0, 1, 0, 4))
+    future = spark.createDataFrame([(120 + h,) for h in range(4)], "time long")
+    got = fit.forecast(future).orderBy("time").toPandas()["mean"]
+    # every seasonal difference is 8, carried by the autoregression without a constant
+    assert np.allclose(got, y[-4:] + 8.0, atol=0.5)
+
+
+def test_additive_storage_round_trip(spark):
+    from causeway.operators.additive import AdditiveFit
+
+    df = spark.createDataFrame(series(points=(100,), levels=(20,), slopes=(0.0,), n=140, sd=0.5))
+    fit = ItsAdditive("time", [100]).fit(df, "value")
+    path = scratch_path(spark, "additive")
+    fit.save(spark, path)
+    back = AdditiveFit.load(spark, path)
+    a = fit.predict().orderBy("time").toPandas()
+    b = back.predict(df).orderBy("time").toPandas()
+    assert np.allclose(a["mean"], b["mean"], atol=1e-9) and np.allclose(a.upper, b.upper, atol=1e-9)
+    with pytest.raises(ValueError, match="pass the rows"):
+        back.predict()
