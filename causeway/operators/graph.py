@@ -25,8 +25,8 @@ def earliest_starts(tasks: DataFrame, edges: DataFrame) -> DataFrame:
     tasks = cut_lineage(tasks)
     n_tasks = tasks.count()
     lengths = tasks.select(F.col("task").alias("pred"), "duration")
-    # kept partitioned by pred, so that a round shuffles only the tasks it starts from
-    weighted = cut_lineage(edges.join(lengths, "pred").select("pred", "task", "duration").repartition("pred"))
+    # no fixed partitioning by pred: a task that precedes very many others must stay splittable by AQE
+    weighted = cut_lineage(edges.join(lengths, "pred").select("pred", "task", "duration"))
     front = tasks.select(F.col("task").alias("_at"), F.lit(0).cast(tasks.schema["duration"].dataType).alias("start"))
     rounds = [front]
     while True:

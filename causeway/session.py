@@ -22,7 +22,9 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="causeway-")
+    made = tempfile.mkdtemp(prefix="causeway-")
+    spark.sparkContext.setCheckpointDir(made)
+    return made
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -33,7 +35,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss and freezes row placement."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
+        folder = shared_dir(df.sparkSession)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
