@@ -24,3 +24,10 @@ def op5_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
     return shard_documents(load(spark, sf, "documents"), 16).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
+    from causeway.llm.packing import pack
+
+    return pack(load(spark, sf, "documents"), 1024, 2)
