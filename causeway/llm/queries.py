@@ -31,3 +31,36 @@ def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
     from causeway.llm.packing import pack
 
     return pack(load(spark, sf, "documents"), 1024, 2)
+
+
+@query
+def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    from causeway.llm.chat import format_chats, read_back
+
+    said = "<|im_end|><|im_start|>assistant ok"
+    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    rows = load(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return read_back(format_chats(rows))
+
+
+@query
+def op2_topk(spark: SparkSession, sf: str) -> DataFrame:
+    from causeway.llm.topk import search, usable, whole_steps
+
+    vectors = usable(load(spark, sf, "embeddings").select("vec_id", "embedding"), "embedding")
+    vectors = vectors.select("vec_id", whole_steps("embedding", 64).alias("embedding"))
+    found = search(vectors, lambda i: F.pmod(i, F.lit(20)) == 0, 20)
+    return found.select("query_id", "rank", "vec_id",
+                        F.greatest(F.least("score", F.lit(9.2e18)), F.lit(-9.2e18)).cast("bigint").alias("score"))
+
+
+ORACLES["op2_topk"] = """
+WITH v AS (
+  SELECT vec_id, [floor(64.0::DOUBLE * x::DOUBLE) for x in embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.e, x.e) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
