@@ -64,3 +64,10 @@ s AS (
   FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
+@query
+def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    from causeway.llm.simhash import near_duplicates
+
+    return near_duplicates(load(spark, sf, "documents"), distance=2, shingle=3, seed=42)
