@@ -71,3 +71,10 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     from causeway.llm.simhash import near_duplicates
 
     return near_duplicates(load(spark, sf, "documents"), distance=2, shingle=3, seed=42)
+
+
+@query
+def op10_language(spark: SparkSession, sf: str) -> DataFrame:
+    from causeway.llm.langid import identify
+
+    return identify(load(spark, sf, "documents"))
