@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from causeway.llm.common import remainder
 from causeway.session import cut_lineage
 
 FIT_DOCUMENTS = 1500  # expected number of documents per language that the fit reads
@@ -220,11 +221,6 @@ def _counted(pa, held: Counter):
          pa.array([held[k] for k in keys], pa.int64())], ["lang", "word", "n"])
 
 
-def remainder(doc_id, modulus: int):
-    """crc32 of the doc_id as text, modulo; a null doc_id counts as an empty text."""
-    return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
-
-
 def identify(documents: DataFrame, held_out: int = 2, modulus: int = 4) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) per row; learns from the rows that aren't held out."""
     model = LanguageModel.fit(documents.filter(remainder("doc_id", modulus) != held_out))

@@ -78,3 +78,10 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     from causeway.llm.langid import identify
 
     return identify(load(spark, sf, "documents"))
+
+
+@query
+def op9_ppm(spark: SparkSession, sf: str) -> DataFrame:
+    from causeway.llm.ppm import score_documents
+
+    return score_documents(load(spark, sf, "documents"))
