@@ -85,3 +85,10 @@ def op9_ppm(spark: SparkSession, sf: str) -> DataFrame:
     from causeway.llm.ppm import score_documents
 
     return score_documents(load(spark, sf, "documents"))
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    from causeway.llm.decontam import find
+
+    return find(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
