@@ -92,3 +92,11 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     from causeway.llm.decontam import find
 
     return find(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+
+
+@query
+def op4_substring(spark: SparkSession, sf: str) -> DataFrame:
+    from causeway.llm.substring import remove_repeats
+
+    found = remove_repeats(load(spark, sf, "documents").select("doc_id", "text"), 50)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
