@@ -18,3 +18,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the doc_id as text, modulo; a null doc_id counts as an empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
+
+
+def least_count(counted: DataFrame, most: int) -> int:
+    """Smallest power of two such that at most ``most`` rows have so high an ``n``."""
+    sizes = counted.groupBy((F.length(F.bin("n")) - 1).cast("int").alias("bit")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    rows, least = 0, 1 << 62
+    for r in sorted(sizes, key=lambda r: -r["bit"]):  # at most 63
+        rows += r["rows"]
+        if rows > most:
+            break
+        least = 1 << r["bit"]
+    return least

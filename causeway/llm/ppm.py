@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from causeway.llm.common import remainder, stored
+from causeway.llm.common import least_count, remainder, stored
 
 ORDER = 5
 END = b"\n"  # never inside a word
@@ -237,18 +237,6 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def least_count(counted: DataFrame, most: int) -> int:
-    """Smallest power of two such that at most ``most`` rows have so high an ``n``."""
-    sizes = counted.groupBy((F.length(F.bin("n")) - 1).cast("int").alias("bit")).agg(F.count(F.lit(1)).alias("rows")).collect()
-    rows, least = 0, 1 << 62
-    for r in sorted(sizes, key=lambda r: -r["bit"]):  # at most 63
-        rows += r["rows"]
-        if rows > most:
-            break
-        least = 1 << r["bit"]
-    return least
-
-
 def train(texts: DataFrame, order: int = ORDER, model_rows: int = MODEL_ROWS) -> Trie:
     """Trie of all ``texts``; of rare n-grams only so many are left out that ``model_rows`` hold."""
     import numpy as np

@@ -100,3 +100,13 @@ def op4_substring(spark: SparkSession, sf: str) -> DataFrame:
 
     found = remove_repeats(load(spark, sf, "documents").select("doc_id", "text"), 50)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
+
+
+@query
+def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    from causeway.llm.urlfilter import judge
+
+    return judge(load(spark, sf, "pages"), URL_RULES)

@@ -269,10 +269,3 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
     schema = kept.limit(0).select("*", F.lit(0).cast("bigint").alias("n_words"), F.lit(0).cast("bigint").alias("n_removed"),
                                   F.lit("").alias("kept_text"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("removed_spans")).schema
     return joined.mapInArrow(run, schema)
-
-
-def drop_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
-    """``documents`` without repeated passages; texts that lose nothing stay as they are."""
-    found = remove_repeats(documents, length)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    return found.select(*[text.alias(c) if c == "text" else F.col(c) for c in documents.columns])
