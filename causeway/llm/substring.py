@@ -231,8 +231,8 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
     spans = repeats(documents, length)
     kept = documents.drop(*added)
     order: Column = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID))
-    joined = kept.withColumns({"_order": order, "_digest": F.xxhash64(F.col("text").cast("string"))}).join(
-        spans.withColumnsRenamed({"order": "_order", "digest": "_digest", "spans": "_spans"}), ["_order", "_digest"], "left").drop("_order", "_digest")
+    joined = kept.withColumns({"_repeats_order": order, "_repeats_digest": F.xxhash64(F.col("text").cast("string"))}).join(
+        spans.withColumnsRenamed({"order": "_repeats_order", "digest": "_repeats_digest", "spans": "_repeats_spans"}), ["_repeats_order", "_repeats_digest"], "left").drop("_repeats_order", "_repeats_digest")
 
     def run(batches):
         import numpy as np
@@ -241,7 +241,7 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
         span_kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             columns: tuple = ([], [], [], [])
-            for text, own in zip(batch["text"].to_pylist(), batch["_spans"].to_pylist(), strict=True):
+            for text, own in zip(batch["text"].to_pylist(), batch["_repeats_spans"].to_pylist(), strict=True):
                 words = str(text).encode().split() if text is not None else []
                 gone, maximal = [], []
                 if own:
@@ -261,7 +261,7 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
                     left = words
                 for column, value in zip(columns, (len(words), sum(gone), b" ".join(left).decode(), maximal), strict=True):
                     column.append(value)
-            names = [c for c in batch.schema.names if c != "_spans"]
+            names = [c for c in batch.schema.names if c != "_repeats_spans"]
             yield pa.RecordBatch.from_arrays(
                 [*[batch[c] for c in names], *[pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.string(), span_kind), strict=True)]],
                 [*names, *added])
