@@ -2,7 +2,8 @@
 
 Every language has probabilities over the pieces of a fixed public vocabulary. A text's likelihood sums
 over all segmentations of its words into pieces, by the forward algorithm; single bytes are pieces,
-so every text has one. Words don't share pieces, so a word is summed once and then counted.
+so every text has one. Words are runs of letters and don't share pieces, so a word is summed once and
+then counted; digits, signs and white space tell no language apart and only end words.
 
 Probabilities are fitted by expectation maximisation: expected piece counts come from forward and
 backward sums over word counts that Spark adds up.
@@ -23,8 +24,12 @@ from causeway.session import cut_lineage
 FIT_DOCUMENTS = 1500  # expected number of documents per language that the fit reads
 ITERATIONS = 2
 FLOOR = 1e-4  # share of probability spread evenly over all pieces
-CACHE_LIMIT = 200_000  # words kept per task; the cache is emptied when full
+CACHE_LIMIT = 400_000  # words kept per task; the cache is emptied when full
 LINEAR = 32  # bytes of a word up to which products can't underflow
+GROUP_WORDS = 200_000  # words of whole documents scored at a time
+
+#: ASCII letters lower-cased, bytes above ASCII kept, all else a blank
+LETTER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
 class Pieces:
@@ -64,20 +69,59 @@ def log_add(x: float, y: float) -> float:
     return x if y == -math.inf else x + math.log1p(math.exp(y - x))
 
 
-def word_log_likelihood(edges, n: int, p, log_p) -> float:
-    """Log of the sum over all segmentations."""
+def log_likelihoods(words: list[bytes], pieces: Pieces, p, log_p: list[list[float]]):
+    """Logs of the sums over all segmentations: a row per word, a column per language.
+
+    The forward sums of many words go on together, from end position to end position.
+    """
+    import numpy as np
+
+    out = np.zeros((len(words), len(p)))
+    by_piece = np.ascontiguousarray(p.T)
+    for at in range(0, len(words), 4096):
+        flat: list[int] = []
+        long = []
+        for k, word in enumerate(words[at:at + 4096]):
+            edges = pieces.edges(word)
+            if len(word) > LINEAR:
+                long.append((k, edges))
+            else:
+                for i, j, piece in edges:
+                    flat += (k, i, j, piece)
+        n = np.fromiter(map(len, words[at:at + 4096]), np.int64)
+        edge = np.asarray(flat, np.int64).reshape(-1, 4)
+        edge = edge[np.argsort(edge[:, 2], kind="stable")]
+        steps = np.searchsorted(edge[:, 2], np.arange(1, LINEAR + 2))
+        a = np.zeros((len(n), LINEAR + 1, len(p)))
+        a[:, 0] = 1
+        for j in range(1, LINEAR + 1):
+            own = edge[steps[j - 1]:steps[j]]
+            if len(own):
+                first = np.flatnonzero(np.concatenate([[True], own[1:, 0] != own[:-1, 0]]))
+                a[own[first, 0], j] = np.add.reduceat(a[own[:, 0], own[:, 1]] * by_piece[own[:, 3]], first)
+        short = np.flatnonzero(n <= LINEAR)
+        out[at + short] = np.log(a[short, n[short]])
+        for k, edges in long:
+            for i, own in enumerate(log_p):
+                b = [0.0] + [-math.inf] * int(n[k])
+                for x, y, piece in edges:
+                    b[y] = log_add(b[y], b[x] + own[piece])
+                out[at + k, i] = b[-1]
+    return out
+
+
+def expected_counts(edges, n: int, p, log_p, times: float, into: dict[int, float]) -> None:
+    """Add ``times`` the expected uses of each piece in a word of ``n`` bytes."""
     if n <= LINEAR:
-        a = [1.0] + [0.0] * n
+        a, b = [1.0] + [0.0] * n, [0.0] * n + [1.0]
         for i, j, piece in edges:
             a[j] += a[i] * p[piece]
-        return math.log(a[n])
-    a = [0.0] + [-math.inf] * n
-    for i, j, piece in edges:
-        a[j] = log_add(a[j], a[i] + log_p[piece])
-    return a[n]
-
-
-def expected_counts(edges, n: int, log_p, times: float, into: dict[int, float]) -> None:
+        scale = times / a[n]
+        for i, j, piece in reversed(edges):
+            use = p[piece] * b[j]
+            b[i] += use
+            into[piece] = into.get(piece, 0.0) + a[i] * use * scale
+        return
     a, b = [0.0] + [-math.inf] * n, [-math.inf] * n + [0.0]
     for i, j, piece in edges:
         a[j] = log_add(a[j], a[i] + log_p[piece])
@@ -88,7 +132,7 @@ def expected_counts(edges, n: int, log_p, times: float, into: dict[int, float])
 
 
 def words_of(text: str) -> list[bytes]:
-    return text.encode().lower().split()
+    return text.encode().translate(LETTER_BYTES).split()
 
 
 def vocabulary_path() -> str:
@@ -141,17 +185,18 @@ class LanguageModel:
         words = sample.mapInArrow(count, "lang string, word binary, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
         words = cut_lineage(words)
         for _ in range(iterations):
-            log_p, codes = np.log(p), {lang: i for i, lang in enumerate(languages)}
+            log_p, linear, codes = np.log(p), p, {lang: i for i, lang in enumerate(languages)}
 
-            def expect(batches, log_p=log_p, codes=codes):
+            def expect(batches, log_p=log_p, linear=linear, codes=codes):
                 import pyarrow as pa
 
                 pieces, held = Pieces(path), {}
-                own = log_p.tolist()
+                own, own_linear = log_p.tolist(), linear.tolist()
                 for batch in batches:
                     for lang, word, n in zip(*(batch[c].to_pylist() for c in ("lang", "word", "n")), strict=True):
                         word = b" " + word
-                        expected_counts(pieces.edges(word), len(word), own[codes[lang]], n, held.setdefault(codes[lang], {}))
+                        code = codes[lang]
+                        expected_counts(pieces.edges(word), len(word), own_linear[code], own[code], n, held.setdefault(code, {}))
                 flat = [(code, piece, n) for code, sums in held.items() for piece, n in sums.items()]
                 columns = list(zip(*flat, strict=True)) or [[], [], []]
                 yield pa.RecordBatch.from_arrays(
@@ -179,35 +224,51 @@ class LanguageModel:
             import numpy as np
             import pyarrow as pa
 
-            pieces, cache = Pieces(path), {}
-            linear, log_p = p.tolist(), np.log(p).tolist()
-            every = range(len(languages))
+            pieces, log_p = Pieces(path), np.log(p).tolist()
+            cache: dict[bytes, int] = {}
+            table = np.zeros((0, len(languages)))
 
-            def scored(word: bytes):
-                marked = b" " + word
-                edges, n = pieces.edges(marked), len(marked)
-                found = tuple(word_log_likelihood(edges, n, linear[i], log_p[i]) for i in every)
-                if len(cache) >= CACHE_LIMIT:
+            def sums_of(texts: list[list[bytes]]):
+                """Log likelihoods of documents given as words."""
+                nonlocal table
+                new = list({w for words in texts for w in words if w not in cache})
+                if len(cache) + len(new) > CACHE_LIMIT:
                     cache.clear()
-                cache[word] = found
-                return found
+                    table = table[:0]
+                    new = list({w for words in texts for w in words})
+                cache.update(zip(new, range(len(table), len(table) + len(new)), strict=True))
+                table = np.concatenate([table, log_likelihoods([b" " + w for w in new], pieces, p, log_p)])
+                at = np.fromiter((cache[w] for words in texts for w in words), np.int64)
+                ends = np.cumsum([len(words) for words in texts])
+                total = np.concatenate([np.zeros((1, len(languages))), np.cumsum(table[at], 0)])
+                return total[ends] - total[np.concatenate([[0], ends[:-1]])]
 
             for batch in batches:
-                best, share = [], []
-                for text in batch["text"].to_pylist():
+                best, share = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
+                rows: list[int] = []
+                held: list[list[bytes]] = []
+                waiting = 0
+
+                def finish():
+                    sums = sums_of(held)
+                    for i, own in zip(rows, sums, strict=True):
+                        at = int(np.argmax(own))
+                        best[i], share[i] = languages[at], 1 / np.exp(own - own[at]).sum()
+
+                for i, text in enumerate(batch["text"].to_pylist()):
                     if text is None or not languages or not any(map(str.isalpha, text)):
-                        best.append("und")
-                        share.append(0.0)
                         continue
-                    counts = Counter(words_of(text))
-                    table = np.asarray([cache.get(w) or scored(w) for w in counts])
-                    sums = np.fromiter(counts.values(), np.float64, len(counts)) @ table
-                    at = int(np.argmax(sums))
-                    best.append(languages[at])
-                    share.append(float(1 / np.exp(sums - sums[at]).sum()))
+                    rows.append(i)
+                    held.append(words_of(text))
+                    waiting += len(held[-1])
+                    if waiting >= GROUP_WORDS:
+                        finish()
+                        rows, held, waiting = [], [], 0
+                if rows:
+                    finish()
                 kept = [c for c in batch.schema.names if c not in names]
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch[c] for c in kept], pa.array(best, pa.string()), pa.array(share, pa.float64())], [*kept, *names])
+                    [*[batch[c] for c in kept], pa.array(best, pa.string()), pa.array(share)], [*kept, *names])
 
         kept = documents.drop(*names).withColumn("text", F.col("text").cast("string"))
         schema = StructType(list(kept.schema)).add(names[0], "string").add(names[1], "double")
