@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from causeway.functions.columns import period_label
 from causeway.operators.gram import collect_gram, complete_rows, ridge, unpack_gram
-from causeway.operators.its import MIN_ROWS, CandidateChecks, candidate_rows, check_points, design, intervention_terms
+from causeway.operators.its import MIN_ROWS, CandidateChecks, candidate_rows, carried_design, check_points, design, intervention_terms, period_clock
 from causeway.operators.tables import best_candidate
 from causeway.operators.widefit import WideDesign, WideFit
 from causeway.session import keep, require_columns
@@ -98,13 +98,14 @@ class AdditiveFit:
     regressors: tuple[str, ...]
     shape: dict
     rows: DataFrame | None = field(compare=False, repr=False)
+    clock: DataFrame | None = field(default=None, compare=False, repr=False)
 
     def predict(self, df: DataFrame | None = None, counterfactual: bool = False, components: bool = False) -> DataFrame:
         """Rows with mean, lower, upper; the counterfactual sets the intervention regressors to zero."""
         if df is None and self.rows is None:
             raise ValueError("this model was loaded from disk; pass the rows to predict")
         rows = self.rows if df is None else _with_day(
-            design(df, self.time, self.points, self.group, intercept=False, bucketed=True), self.time)
+            carried_design(df, self.clock, self.time, self.points, self.group, intercept=False, bucketed=True), self.time)
         if counterfactual:
             rows = rows.withColumns({c: F.lit(0) for c in intervention_terms(len(self.points))})
         return self.fit.predict(rows, components=components)
@@ -115,6 +116,7 @@ class AdditiveFit:
         meta["fit"] = {"scale": f.scale, "coef": f.coef.tolist(), "inverse": f.inverse.tolist(), "sigma2": f.sigma2, "n": f.n}
         spark.createDataFrame([("additive", json.dumps(meta))], "kind string, meta string") \
             .write.mode("overwrite").parquet(f"{path}/meta")
+        self.clock.write.mode("overwrite").parquet(f"{path}/clock")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> AdditiveFit:
@@ -123,7 +125,7 @@ class AdditiveFit:
         meta = {k: tuple(v) if isinstance(v, list) else v for k, v in meta.items()}
         d = additive_design(meta["regressors"], **meta["shape"])
         fit = WideFit(d, meta["target"], 0.0, f["scale"], np.array(f["coef"]), np.array(f["inverse"]), f["sigma2"], f["n"])
-        return cls(fit=fit, rows=None, **meta)
+        return cls(fit=fit, rows=None, clock=spark.read.parquet(f"{path}/clock"), **meta)
 
     def effects(self) -> DataFrame:
         if self.rows is None:
@@ -208,12 +210,14 @@ class ItsAdditive(CandidateChecks):
         gram = collect_gram(d.gram(rows, target, 0.0, top), d.size + 2)
         coef, inverse, sigma2 = map_fit(gram, prior_penalty(d, changepoint_scale))
         fit = WideFit(d, target, 0.0, top, coef, inverse, sigma2, int(gram[0, 0]))
-        return AdditiveFit(self.time, points, self.group, target, fit, regressors, shape, rows)
+        clock = period_clock(rows, self.time, [self.group] if self.group else [])
+        return AdditiveFit(self.time, points, self.group, target, fit, regressors, shape, rows, clock)
 
     def _candidates(self, df: DataFrame, target: str, frame: DataFrame, covariates: Sequence[str]) -> DataFrame:
         """Cross-products grouped by candidate, one small solve each, one scoring pass.
 
-        Candidates whose windows have the same length share a design and a pass over the rows.
+        Candidates with the same facts share a design and a pass over the rows; scale and centre are
+        each candidate's own, so its effect doesn't depend on which others are asked.
         """
         keys = [self.group] if self.group else ["_all"]
         rows = df if self.group else df.withColumn("_all", F.lit(0))
@@ -227,12 +231,14 @@ class ItsAdditive(CandidateChecks):
         timed = timed.join(F.broadcast(starts), "candidate").withColumn("_day", F.col("_day") - F.col("_lo")).drop("_lo")
         shapes: dict[tuple, list] = {}
         for r in per:
-            shapes.setdefault((r["hi"] - r["lo"], r["times"]), []).append(r)
+            facts = r.asDict() | {"lo": 0.0, "hi": r["hi"] - r["lo"]}
+            own = tuple(facts[c] for c in sorted(facts) if c not in ("candidate", "n"))
+            shapes.setdefault(own, []).append(facts)
         out = None
-        for (span, times), members in shapes.items():
-            facts = members[0].asDict() | {"lo": 0.0, "hi": span}
-            d = self._design(facts, regressors, knot_positions(CHANGEPOINTS, times))
-            top = float(max(r["top"] for r in members) or 1.0)
+        for members in shapes.values():
+            facts = members[0]
+            d = self._design(facts, regressors, knot_positions(CHANGEPOINTS, facts["times"]))
+            top = float(facts["top"] or 1.0)
             own = timed.filter(F.col("candidate").isin([r["candidate"] for r in members]))
             cells: dict[int, np.ndarray] = {}
             for r in d.gram(own, target, 0.0, top, ["candidate"]).collect():

@@ -24,6 +24,9 @@ def earliest_starts(tasks: DataFrame, edges: DataFrame) -> DataFrame:
     require_columns(edges, ["pred", "task"])
     tasks = cut_lineage(tasks)
     n_tasks = tasks.count()
+    ends = edges.select(F.col("pred").alias("task")).unionByName(edges.select("task"))
+    if not ends.join(tasks, "task", "left_anti").isEmpty():
+        raise ValueError("an edge names an unknown task")
     lengths = tasks.select(F.col("task").alias("pred"), "duration")
     # no fixed partitioning by pred: a task that precedes very many others must stay splittable by AQE
     weighted = cut_lineage(edges.join(lengths, "pred").select("pred", "task", "duration"))

@@ -12,6 +12,7 @@ import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,7 @@ from causeway.operators.gram import (
     TERM_SCHEMA, Moments, Solution, complete_rows, field_list, linear_expression, merge_moments,
     moments_by, moments_from_row, newey_west, solve, term_rows,
 )
+from causeway.operators.ordered import running_sum
 from causeway.operators.windows import elapsed, running_rows
 from causeway.session import require_columns
 
@@ -82,6 +84,40 @@ def timed(df: DataFrame, time: str, points: Sequence[float], group: str | Sequen
     return out.withColumn("w", F.when(F.col("_period") > 0, F.col("w")).otherwise(F.lit(0)).cast("bigint"))
 
 
+def period_clock(df: DataFrame, time: str, keys: Sequence[str]) -> DataFrame:
+    """Rows per (group, time): what a stored model needs to go on counting on new rows."""
+    return df.groupBy(*keys, time).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def carried_design(df: DataFrame, clock: DataFrame, time: str, points: Sequence[float], group: str | None,
+                   intercept: bool = True, bucketed: bool = False) -> DataFrame:
+    """``design`` of new rows whose ``timedelta_i`` go on from the rows of the fit.
+
+    Times of the fit keep their count there, whichever of them the new rows hold; other times count
+    the new rows up to them as well.
+    """
+    keys = [group] if group else []
+    out = design(df, time, points, group, intercept, bucketed)
+
+    def same(right: DataFrame) -> Column:
+        return reduce(Column.__and__, [F.col(c).eqNullSafe(right[f"_c_{c}"]) for c in (*keys, time)])
+
+    known = clock.select(*[F.col(c).alias(f"_c_{c}") for c in (*keys, time)], F.col("_n"))
+    fresh = period_clock(df, time, keys)
+    fresh = fresh.join(known.drop("_n"), same(known), "left_anti")
+    cells = clock.select(*keys, time, "_n").unionByName(fresh).withColumn("_period", period_index(F.col(time), sorted(points)))
+    if bucketed:
+        upto = Window.partitionBy(*keys, "_period").orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
+        cells = cells.withColumn("_w", F.sum("_n").over(upto))
+    else:
+        cells = running_sum(cells, [*keys, "_period"], [F.col(time)], F.col("_n"), "_w")
+    cells = cells.select(*[F.col(c).alias(f"_c_{c}") for c in (*keys, time)], F.col("_period").alias("_c_period"), "_w")
+    joined = out.join(cells, same(cells))
+    terms = {f"timedelta_{i}": F.when(F.col("_c_period") == i, F.col("_w")).otherwise(F.lit(0)).cast("bigint")
+             for i in range(1, len(points) + 1)}
+    return joined.withColumns(terms).select(*out.columns)
+
+
 def intervention_terms(n: int) -> list[str]:
     return [name for i in range(1, n + 1) for name in (f"D_{i}", f"timedelta_{i}")]
 
@@ -191,6 +227,7 @@ class SegmentedFit:
     bucketed: bool
     rows: DataFrame | None = field(default=None, compare=False, repr=False)
     origins: DataFrame | None = field(default=None, compare=False, repr=False)
+    clock: DataFrame | None = field(default=None, compare=False, repr=False)
 
     @property
     def coefficients(self) -> dict[str, float]:
@@ -217,7 +254,7 @@ class SegmentedFit:
                 raise ValueError("this model was loaded from disk; pass the rows to predict")
             return self.rows
         require_columns(df, [self.time, *self.covariates] + ([self.group] if self.group else []))
-        out = design(df, self.time, self.points, self.group, bucketed=self.bucketed)
+        out = carried_design(df, self.clock, self.time, self.points, self.group, bucketed=self.bucketed)
         keys = [self.group] if self.group else []
         start = self.origins.select(*[F.col(k).alias(f"_g_{k}") for k in keys], F.col("origin").alias("_origin"))
         if keys:
@@ -300,6 +337,7 @@ class SegmentedFit:
             .write.mode("overwrite").parquet(f"{path}/meta")
         self.coefficient_table(spark).write.mode("overwrite").parquet(f"{path}/coefficients")
         self.origins.write.mode("overwrite").parquet(f"{path}/origins")
+        self.clock.write.mode("overwrite").parquet(f"{path}/clock")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> SegmentedFit:
@@ -309,7 +347,7 @@ class SegmentedFit:
         for name in ("points", "covariates", "terms", "coef"):
             meta[name] = tuple(meta[name])
         meta["covariance"] = tuple(tuple(r) for r in meta["covariance"])
-        return cls(encoder=encoder, origins=spark.read.parquet(f"{path}/origins"), **meta)
+        return cls(encoder=encoder, origins=spark.read.parquet(f"{path}/origins"), clock=spark.read.parquet(f"{path}/clock"), **meta)
 
 
 class CandidateChecks:
@@ -459,7 +497,7 @@ class SegmentedOls(CandidateChecks):
         return SegmentedFit(
             self.time, tuple(self.points), self.group, target, tuple(covariates), encoder, s.terms,
             tuple(map(float, s.coef)), tuple(tuple(map(float, r)) for r in cov), float(s.sigma2), int(s.n),
-            s.rank, cov_type, self.bucketed, rows.drop("_period", "w"), origins,
+            s.rank, cov_type, self.bucketed, rows.drop("_period", "w"), origins, period_clock(clean, self.time, keys),
         )
 
     # ---- refits as one job: candidates x buckets

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -340,8 +341,8 @@ class SplineModel:
         k = self.n_splines
         return {f: self.coef[1 + i * k: 1 + (i + 1) * k] for i, f in enumerate(self.features)}
 
-    def term_expression(self, feature: str, x: Column) -> Column:
-        """One spline term as a column expression: cell lookup and four weights, no Python."""
+    def _pieces(self, feature: str, x: Column) -> tuple[Column, Column, Column]:
+        """Value and slope of one spline term inside its range, and how far ``x`` lies outside."""
         k, lo, hi = self.n_splines, self.profile.low[feature], self.profile.high[feature]
         cells = k - 3
         clipped = F.least(F.greatest(x.cast("double"), F.lit(lo)), F.lit(hi))
@@ -352,11 +353,17 @@ class SplineModel:
         weights = [
             (1 - f) * (1 - f) * (1 - f), 3 * f * f * f - 6 * f * f + 4, -3 * f * f * f + 3 * f * f + 3 * f + 1, f * f * f,
         ]
-        total = None
-        for j, w in enumerate(weights):
-            part = F.get(table, cell + j) * w / F.lit(6.0)
-            total = part if total is None else total + part
-        return total
+        slopes = [-3 * (1 - f) * (1 - f), 9 * f * f - 12 * f, -9 * f * f + 6 * f + 3, 3 * f * f]
+        value, slope = (reduce(Column.__add__, [F.get(table, cell + j) * w / F.lit(6.0) for j, w in enumerate(ws)]) for ws in (weights, slopes))
+        return value, slope * F.lit(cells / ((hi - lo) or 1.0)), x.cast("double") - clipped
+
+    def term_expression(self, feature: str, x: Column) -> Column:
+        """One spline term as a column expression: cell lookup and four weights, no Python.
+
+        Outside the fitted range the term goes on in a straight line.
+        """
+        value, slope, outside = self._pieces(feature, x)
+        return value + slope * outside
 
     def expression(self, at: dict[str, Column] | None = None) -> Column:
         source = {f: F.col(f"`{f}`") for f in self.features} | (at or {})
@@ -377,12 +384,10 @@ class SplineModel:
         return base.select("x", self.term_expression(feature, F.col("x")).alias("partial"))
 
     def effect_expression(self, variable: str, x: Column) -> Column:
-        """Central difference; other features do not matter in an additive model."""
+        """Derivative of the basis; other features do not matter in an additive model."""
         if variable not in self.features:
             raise ValueError(f"variable {variable!r} is not in the model")
-        eps = 1e-5 * ((self.profile.high[variable] - self.profile.low[variable]) or 1.0)
-        up, down = self.term_expression(variable, x + eps), self.term_expression(variable, x - eps)
-        return (up - down) / F.lit(2 * eps)
+        return self._pieces(variable, x)[1]
 
     def saturation(self, spark: SparkSession, variable: str, n: int = 100) -> DataFrame:
         base = even_grid(spark.range(1), F.lit(self.profile.low[variable]), F.lit(self.profile.high[variable]), n)

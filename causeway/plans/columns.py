@@ -153,12 +153,14 @@ def f15_norms(spark, sf):
         "vec_id", F.round(V.norm_l1(v), 6).alias("l1"), F.round(V.norm_l2(v), 6).alias("l2"))
 
 
-@query("f16_linear_map", """SELECT vec_id, round(2 * embedding[1]::DOUBLE - 2 * embedding[2]::DOUBLE, 7) AS y1,
-round(embedding[1]::DOUBLE - 2 * embedding[2]::DOUBLE, 7) AS y2 FROM embeddings""")
+@query("f16_linear_map", """SELECT vec_id, round(list_sum(list_transform(range(1, 65), lambda j: embedding[j]::DOUBLE * (j % 5 - 2))), 6) AS y1,
+round(list_sum(list_transform(range(1, 65), lambda j: embedding[j]::DOUBLE * (3 * j % 7 - 3))), 6) AS y2 FROM embeddings""")
 def f16_linear_map(spark, sf):
-    mapped = V.linear_map(F.slice("embedding", 1, 2), [[2, -2], [1, -2]])
+    """All 64 components to two, by a matrix of whole numbers."""
+    matrix = [[j % 5 - 2 for j in range(1, 65)], [3 * j % 7 - 3 for j in range(1, 65)]]
+    mapped = V.linear_map(F.col("embedding"), matrix)
     return load(spark, sf, "embeddings").select("vec_id", mapped.alias("y")).select(
-        "vec_id", F.round(F.col("y")[0], 7).alias("y1"), F.round(F.col("y")[1], 7).alias("y2"))
+        "vec_id", F.round(F.col("y")[0], 6).alias("y1"), F.round(F.col("y")[1], 6).alias("y2"))
 
 
 @query("f17_matrix_product", f"""WITH {_LABELS_SQL} SELECT a.label::BIGINT AS i, b.label::BIGINT AS j, round(sum(a.v * b.v), 8) AS v

@@ -16,8 +16,8 @@ def month_index(date: str) -> Column:
 
 
 def orders_panel(spark: SparkSession, sf: str) -> DataFrame:
-    """Monthly order value and count per priority; the partial last month is left out."""
-    orders = load(spark, sf, "orders").filter(F.col("o_orderdate") < F.lit("2001-08-01").cast("timestamp_ntz"))
+    """Monthly order value and count per priority, over all orders."""
+    orders = load(spark, sf, "orders")
     return panel(orders, month_index("o_orderdate"), F.sum("o_totalprice"), F.col("o_orderpriority"),
                  {"n_orders": F.count(F.lit(1))})
 
@@ -25,7 +25,7 @@ def orders_panel(spark: SparkSession, sf: str) -> DataFrame:
 PANEL_SQL = """panel AS (
   SELECT o_orderpriority AS grp, CAST((year(o_orderdate)-1995)*12+month(o_orderdate)-1 AS BIGINT) AS time,
          sum(o_totalprice) AS value, count(*) AS n_orders
-  FROM orders WHERE o_orderdate < TIMESTAMP '2001-08-01' GROUP BY 1, 2)"""
+  FROM orders GROUP BY 1, 2)"""
 
 SEGMENT_SQL = PANEL_SQL + """, seg AS (
   SELECT *, CASE WHEN time < 27 THEN 0 WHEN time < 54 THEN 1 ELSE 2 END AS p FROM panel)"""

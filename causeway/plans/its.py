@@ -78,6 +78,14 @@ def i4_fitted_values(spark, sf):
                    "mean", "mean_ci_lower", "mean_ci_upper")
 
 
+@query("i4_new_rows", f"""WITH {POOLED_SQL} SELECT grp AS "group", time, round(a + b*time, 3) AS mean
+FROM seg JOIN fit USING (p) WHERE time >= 60""")
+def i4_new_rows(spark, sf):
+    """Rows that begin inside the last period get the values they have in the whole panel."""
+    late = orders_panel(spark, sf).filter("time >= 60")
+    return rounded(pooled(spark, sf).predict(late).select("group", "time", "mean"), 3, "mean")
+
+
 @query("i5_counterfactual", f"""WITH {POOLED_SQL} SELECT grp AS "group", time, round(a0 + b0*time, 3) AS mean
 FROM seg CROSS JOIN pre""")
 def i5_counterfactual(spark, sf):

@@ -77,7 +77,7 @@ _ENV = ("CASE WHEN {x} <= 0 THEN 0 WHEN slope > 1 AND {x} < touch THEN pow(touch
         "ELSE pow({x}, slope)/(pow({x}, slope)+pow(half, slope)) END")
 
 
-@query("x6_budget_split", f"""WITH {MEDIA_SQL}, {_PARAMS_SQL}, b AS (SELECT sum(spend) / 30 AS budget FROM media),
+@query("x6_budget_split", f"""WITH {MEDIA_SQL}, {_PARAMS_SQL}, b AS (SELECT sum(spend) / count(DISTINCT d) AS budget FROM media),
  t AS (SELECT *, half*pow(greatest(slope - 1, 0), 1/slope) AS touch, round(budget, 2)/100 AS size FROM params CROSS JOIN b),
  o AS (SELECT channel, half, slope, beta, price, size, i AS step, beta*(({_ENV.format(x='(i*size/price)')})
    - ({_ENV.format(x='((i-1)*size/price)')})) AS gain FROM t CROSS JOIN range(1, 101) r(i)),
@@ -87,6 +87,6 @@ SELECT channel, round(coalesce(spend, 0), 4) AS spend, round(CASE WHEN coalesce(
  beta*pow(spend/price, slope)/(pow(spend/price, slope) + pow(half, slope)) END, 6) AS response FROM params LEFT JOIN s USING (channel)""")
 def x6_budget_split(spark, sf):
     """Split the average daily spend of all channels."""
-    total = media_daily(spark, sf).agg(F.round(F.sum("spend") / 30, 2).alias("b")).first()["b"]
+    total = media_daily(spark, sf).agg(F.round(F.sum("spend") / F.count_distinct("date"), 2).alias("b")).first()["b"]
     out = X.budget_split(params(spark), float(total), 100)
     return out.select("channel", F.round("spend", 4).alias("spend"), F.round("response", 6).alias("response"))

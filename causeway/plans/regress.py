@@ -110,10 +110,11 @@ def power(spark, sf):
     return Regression.fit(load(spark, sf, "lineitem"), ["l_extendedprice"], "l_quantity", "doublelog")
 
 
-@query("m8_doublelog", f"""WITH {_POWER_SQL} SELECT s_suppkey, round(exp(a + b*ln(s_acctbal)), 7) AS prediction
-FROM supplier CROSS JOIN f WHERE s_acctbal > 0""")
+@query("m8_doublelog", f"""WITH {_POWER_SQL} SELECT s_suppkey,
+ round(CASE WHEN s_acctbal > 0 THEN exp(a + b*ln(CASE WHEN s_acctbal > 0 THEN s_acctbal END)) END, 7) AS prediction FROM supplier CROSS JOIN f""")
 def m8_doublelog(spark, sf):
-    rows = load(spark, sf, "supplier").filter("s_acctbal > 0").select("s_suppkey", F.col("s_acctbal").alias("l_extendedprice"))
+    """Every supplier; a balance without a logarithm has no prediction."""
+    rows = load(spark, sf, "supplier").select("s_suppkey", F.col("s_acctbal").alias("l_extendedprice"))
     return power(spark, sf).predict(rows).select("s_suppkey", F.round("prediction", 7).alias("prediction"))
 
 
@@ -237,9 +238,9 @@ def m17_turning_points(spark, sf):
 @query("m18_stop_point", f"""WITH {_BRAND_SQL}, {_gradient_sql('curve', 'y', 'd1', 'g1')},
  s AS (SELECT brand, min(x) FILTER (WHERE 100*d1 - 20 <= -18) AS xs FROM g1 GROUP BY 1)
 SELECT brand, round(xs, 5) AS x_stop, round(d1, 8) AS effect_at_stop, round(100*d1 - 20, 6) AS net_at_stop
-FROM s LEFT JOIN g1 USING (brand) WHERE x = xs""")
+FROM s LEFT JOIN g1 ON s.brand = g1.brand AND x = xs""".replace("SELECT brand, round(xs", "SELECT s.brand, round(xs"))
 def m18_stop_point(spark, sf):
     out = M.stop_point(brand_curves(spark, sf), ["brand"], "x", "y", 100.0, 20.0, -18.0)
-    return out.filter("x_stop IS NOT NULL").select(
+    return out.select(
         "brand", F.round("x_stop", 5).alias("x_stop"), F.round("effect_at_stop", 8).alias("effect_at_stop"),
         F.round("net_at_stop", 6).alias("net_at_stop"))

@@ -136,6 +136,15 @@ def test_saved_model_predicts_the_same_on_new_rows(spark, panel):
     # the time origin is the one stored at fit, not the minimum of the new rows
     own = fit.predict().filter("time >= 30").orderBy("g", "time").select("mean").toPandas()["mean"]
     assert np.allclose(a, own, atol=1e-9)
+    # rows that start inside a period go on from the count of the fit, and so do later times
+    for model in (fit, back):
+        inside = model.predict(late.filter("time >= 41")).orderBy("g", "time").select("mean").toPandas()["mean"]
+        whole = fit.predict().filter("time >= 41").orderBy("g", "time").select("mean").toPandas()["mean"]
+        assert np.allclose(inside, whole, atol=1e-9)
+    last = df.agg(F.max("time")).first()[0]
+    ahead = df.filter(F.col("time") == last).withColumn("time", F.lit(last + 1).cast(df.schema["time"].dataType))
+    both = fit.predict(df.unionByName(ahead)).filter(F.col("time") > last).orderBy("g").select("mean").toPandas()["mean"]
+    assert np.allclose(fit.predict(ahead).orderBy("g").select("mean").toPandas()["mean"], both, atol=1e-9)
     with pytest.raises(ValueError, match="pass the rows"):
         back.predict()
 
@@ -347,5 +356,19 @@ def test_additive_storage_round_trip(spark):
     a = fit.predict().orderBy("time").toPandas()
     b = back.predict(df).orderBy("time").toPandas()
     assert np.allclose(a["mean"], b["mean"], atol=1e-9) and np.allclose(a.upper, b.upper, atol=1e-9)
+    late = back.predict(df.filter("time >= 120")).orderBy("time").toPandas()  # starts inside a period
+    assert np.allclose(late["mean"], a["mean"][a.time >= 120], atol=1e-9)
     with pytest.raises(ValueError, match="pass the rows"):
         back.predict()
+
+
+def test_additive_candidate_alone_and_among_others(spark):
+    """The effect of a fake point doesn't depend on the other points asked."""
+    df = spark.createDataFrame(series(points=(100,), levels=(20,), slopes=(0.0,), n=140, sd=0.5)).filter("time < 100")
+    model = ItsAdditive("time", [100])
+
+    def ask(points):
+        effects = model._candidates(df, "value", model._frame(spark, [(0, 100, p) for p in points]), ())
+        return {points[r.candidate]: r.effect for r in effects.collect()}
+
+    assert ask([45])[45] == pytest.approx(ask([30, 45, 60])[45], rel=1e-9)  # sums in another order

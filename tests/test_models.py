@@ -224,3 +224,13 @@ def test_curve_analysis(spark):
     assert s.x_stop == pytest.approx(x[np.where(d1 - 100 <= 50)[0][0]])
     never = M.stop_point(df, ["k"], "x", "y", 1.0, 0.0, -1.0).first()
     assert never.x_stop is None and never.net_at_stop is None
+
+
+def test_spline_effects_at_and_beyond_the_ends(spark):
+    """On a straight line the slope is the same everywhere and predictions go on along it."""
+    x = np.linspace(0, 10, 201)
+    m = SplineModel.fit(frame(spark, x=x, y=3 * x + 5), ["x"], "y")
+    at = frame(spark, x=np.array([-2.0, 0.0, 0.01, 5.0, 9.99, 10.0, 12.0]))
+    got = m.predict(at).withColumn("effect", m.effect_expression("x", F.col("x"))).orderBy("x").toPandas()
+    assert got.effect.to_numpy() == pytest.approx(np.full(7, 3.0), abs=1e-3)
+    assert got.prediction.to_numpy() == pytest.approx(3 * got.x.to_numpy() + 5, abs=1e-2)

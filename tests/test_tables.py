@@ -119,13 +119,19 @@ def test_empty_inputs(spark):
 # ---------------------------------------------------------------- schedules and selection
 
 
-def test_schedule_of_eight_tasks(spark):
-    durations = {"A": 4, "B": 5, "C": 7, "D": 7, "E": 2, "F": 9, "G": 2, "T": 0}
-    before = {"C": "AB", "D": "B", "E": "C", "F": "CD", "G": "EF", "T": "G"}
-    tasks = spark.createDataFrame(list(durations.items()), "task string, duration long")
-    edges = spark.createDataFrame([(p, t) for t, ps in before.items() for p in ps], "pred string, task string")
-    got = {r.task: r.start for r in graph.earliest_starts(tasks, edges).collect()}
-    assert got == {"A": 0, "B": 0, "C": 5, "D": 5, "E": 12, "F": 12, "G": 21, "T": 23}
+def test_schedule_by_hand(spark):
+    """r waits for p (3), t for r (3 + 6), s and u only for q and s."""
+    tasks = spark.createDataFrame([("p", 3), ("q", 2), ("r", 6), ("s", 1), ("t", 4), ("u", 5)], "task string, duration long")
+    edges = spark.createDataFrame([("p", "r"), ("q", "r"), ("q", "s"), ("r", "t"), ("s", "t"), ("s", "u")], "pred string, task string")
+    got = {r.task: (r.start, r.finish) for r in graph.earliest_starts(tasks, edges).collect()}
+    assert got == {"p": (0, 3), "q": (0, 2), "r": (3, 9), "s": (2, 3), "t": (9, 13), "u": (3, 8)}
+
+
+def test_schedule_with_an_unknown_task_is_an_error(spark):
+    tasks = spark.createDataFrame([("a", 1)], "task string, duration long")
+    for edge in (("a", "b"), ("b", "a")):
+        with pytest.raises(ValueError, match="unknown task"):
+            graph.earliest_starts(tasks, spark.createDataFrame([edge], "pred string, task string"))
 
 
 def test_schedule_cycle_is_an_error(spark):
@@ -136,11 +142,9 @@ def test_schedule_cycle_is_an_error(spark):
 
 
 def test_greedy_selection_and_bound(spark):
-    value = {1: 18, 2: 12, 3: 14, 4: 19, 5: 11, 6: 15}
-    weight = {1: 22, 2: 9, 3: 13, 4: 24, 5: 21, 6: 14}
-    items = spark.createDataFrame([(i, float(value[i]), float(weight[i])) for i in value], "id long, value double, weight double")
-    picked = graph.budget_selection(items, "value", "weight", "id", 60.0)
-    assert sorted(r.id for r in picked.filter("selected").collect()) == [1, 2, 3, 6]
-    b = graph.selection_bound(picked, "value", "weight", "id", 60.0).first()
-    assert (b.value, b.weight, b.n_selected) == (59.0, 58.0, 4)
-    assert 60.0 <= b.upper_bound < 61.0
+    """Ratios 2, 1.5, 1, 0.6 under a cap of 11: two are taken, half of the third fits the bound."""
+    items = spark.createDataFrame([(1, 8.0, 4.0), (2, 9.0, 6.0), (3, 2.0, 2.0), (4, 3.0, 5.0)], "id long, value double, weight double")
+    picked = graph.budget_selection(items, "value", "weight", "id", 11.0)
+    assert sorted(r.id for r in picked.filter("selected").collect()) == [1, 2]
+    b = graph.selection_bound(picked, "value", "weight", "id", 11.0).first()
+    assert (b.value, b.weight, b.n_selected, b.upper_bound) == (17.0, 10.0, 2, 18.0)
