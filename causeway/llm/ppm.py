@@ -7,9 +7,13 @@ symbols gives a symbol seen n times (2n - 1) / 2N and the escape q / 2N, and aft
 of the longer context are excluded from both. Below order zero, all remaining bytes are alike.
 
 Training counts are sums of byte n-grams over all training texts, combined in the tasks first.
-The trie that is sent to tasks keeps n-grams from a count on, so that it has ``MODEL_ROWS`` at most;
-shorter n-grams are summed before anything is left out. Scoring is numpy over whole batches:
+A trie of up to ``MODEL_ROWS`` n-grams is sent to tasks whole. Scoring is numpy over whole batches then:
 one table lookup for a byte whose full context predicts it, a walk down the orders for the rest.
+
+Of a larger trie nothing is left out either. A byte's probability depends on the n-gram that ends
+with it alone, so tasks get the finished logarithms of the most frequent n-grams of full length and
+hand on what they don't find, counted by document. Different ones of these are looked up by
+joins with the stored counts, one order after the other, and their logarithms joined back.
 """
 
 from __future__ import annotations
@@ -18,14 +22,15 @@ import math
 from collections import Counter
 
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from causeway.llm.common import least_count, remainder, stored
 
 ORDER = 5
 END = b"\n"  # never inside a word
-MODEL_ROWS = 4_000_000  # n-grams of all orders in the broadcast trie
+MODEL_ROWS = 2_000_000  # n-grams of all orders in a trie that is broadcast whole, else of full length
+LOW = 2  # contexts of fewer bytes have a bounded number of n-grams, which joins broadcast
 HOT_WORDS = 300_000  # words whose counts are broadcast; the rest is joined
 CHUNK = 1 << 20  # bytes counted or scored at a time
 HELD = 1_000_000  # different n-grams or words a task gathers before it hands them on
@@ -237,17 +242,111 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def low_bytes(gram: Column, n: int) -> Column:
+    return gram.bitwiseAND(F.lit((1 << (8 * n)) - 1))
+
+
+def gram_levels(texts: DataFrame, order: int = ORDER) -> list[DataFrame]:
+    """Stored (gram, n) by order: item k has the runs of k + 1 bytes."""
+    levels = [stored(gram_counts(texts, order), "grams")]
+    for k in range(order - 1, -1, -1):
+        shorter = levels[0].groupBy(low_bytes(F.col("gram"), k + 1).alias("gram")).agg(F.sum("n").alias("n"))
+        levels.insert(0, stored(shorter, "grams"))
+    return levels
+
+
+def of_all_orders(levels: list[DataFrame]) -> DataFrame:
+    every = levels[0].withColumn("k", F.lit(0))
+    for k, level in enumerate(levels[1:], 1):
+        every = every.unionByName(level.withColumn("k", F.lit(k)))
+    return every
+
+
+def made(kept: DataFrame, order: int) -> Trie:
+    """Trie of the n-grams (k, gram, n)."""
+    import numpy as np
+
+    table = kept.toArrow()
+    k, gram, n = (table[c].to_numpy() for c in ("k", "gram", "n"))
+    return Trie([gram[k == i].astype(np.uint64) for i in range(order + 1)], [n[k == i] for i in range(order + 1)])
+
+
 def train(texts: DataFrame, order: int = ORDER, model_rows: int = MODEL_ROWS) -> Trie:
     """Trie of all ``texts``; of rare n-grams only so many are left out that ``model_rows`` hold."""
+    every = of_all_orders(gram_levels(texts, order))
+    return made(every.filter(F.col("n") >= least_count(every, model_rows)), order)
+
+
+def context_facts(level: DataFrame, k: int) -> DataFrame:
+    """(gram, n, owner, total, symbols, taken) of a level: sums over the n-grams with the same context.
+
+    ``taken`` is what the context's symbols count in the next shorter one. Both windows have at most
+    256 rows of a key, one for each value of the first or last byte.
+    """
+    shorter = F.sum("n").over(Window.partitionBy(low_bytes(F.col("gram"), k))) if k else F.lit(0).cast("bigint")
+    own = Window.partitionBy("owner")
+    return level.withColumn("shorter", shorter).withColumn("owner", F.shiftrightunsigned("gram", 8)).select(
+        "gram", "n", "owner", F.sum("n").over(own).alias("total"), F.count(F.lit(1)).over(own).alias("symbols"),
+        F.sum("shorter").over(own).alias("taken"))
+
+
+def log_probabilities(grams: DataFrame, levels: list[DataFrame], longest: DataFrame) -> DataFrame:
+    """(gram, logp): natural log of the probability of the last byte of each n-gram of full length.
+
+    ``grams`` are distinct, ``longest`` the ``context_facts`` of the last level.
+    """
+    order = len(levels) - 1
+    left = grams.select("gram", F.lit(0.0).alias("spent"), F.lit(0).cast("bigint").alias("above"), F.lit(0).cast("bigint").alias("above_symbols"))
+    out = None
+    for k in range(order, -1, -1):
+        small = F.broadcast if k < LOW else lambda df: df
+        facts = longest if k == order else context_facts(levels[k], k)
+        contexts = facts.groupBy("owner").agg(*[F.max(c).alias(c) for c in ("total", "symbols", "taken")])
+        seen = levels[k].select(F.col("gram").alias("own"), "n")
+        mass, kinds = F.col("total") - F.col("above"), F.col("symbols") - F.col("above_symbols")
+        now = left.withColumn("own", low_bytes(F.col("gram"), k + 1)).withColumn("owner", F.shiftrightunsigned("own", 8))
+        now = now.join(small(seen), "own", "left").join(small(contexts), "owner", "left").select(
+            "gram", F.when(F.col("n").isNotNull(), F.col("spent") + F.log((2 * F.col("n") - 1) / (2 * mass))).alias("logp"),
+            (F.col("spent") + F.when(kinds > 0, F.log(kinds / (2 * mass))).otherwise(0.0)).alias("spent"),
+            F.coalesce("taken", F.lit(0)).alias("above"), F.coalesce("symbols", F.lit(0)).alias("above_symbols"))
+        now = stored(now, "walk")
+        found = now.filter("logp IS NOT NULL").select("gram", "logp")
+        out = found if out is None else out.unionByName(found)
+        left = now.filter("logp IS NULL").drop("logp")
+    bytes_left = F.greatest(F.lit(256) - F.col("above_symbols"), F.lit(1))
+    return out.unionByName(left.select("gram", (F.col("spent") - F.log(bytes_left)).alias("logp")))
+
+
+def hot_logs(longest: DataFrame, model_rows: int) -> dict:
+    """Index and finished logarithms of the most frequent n-grams of full length, ``model_rows`` at most."""
     import numpy as np
 
-    full = stored(gram_counts(texts, order), "grams")
-    ways = F.array(*[F.struct(F.lit(k).alias("k"), F.col("gram").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1)).alias("gram"))
-                     for k in range(order + 1)])
-    every = stored(full.select("n", F.explode(ways).alias("g")).groupBy("g.k", "g.gram").agg(F.sum("n").alias("n")), "trie")
-    kept = every.filter(F.col("n") >= least_count(every, model_rows)).toArrow()
-    k, gram, n = (kept[c].to_numpy() for c in ("k", "gram", "n"))
-    return Trie([gram[k == i].astype(np.uint64) for i in range(order + 1)], [n[k == i] for i in range(order + 1)])
+    kept = longest.filter(F.col("n") >= least_count(longest, model_rows)).select(
+        "gram", F.log((2 * F.col("n") - 1) / (2 * F.col("total"))).alias("logp")).toArrow()
+    return {"index": vars(Index(kept["gram"].to_numpy().astype(np.uint64))), "logs": kept["logp"].to_numpy()}
+
+
+class Hot:
+    """Logarithms of the n-grams of ``hot_logs``; those of others are missing."""
+
+    def __init__(self, plain: dict, order: int):
+        self.order, self.logs = order, plain["logs"]
+        self.index = Index.__new__(Index)
+        self.index.__dict__.update(plain["index"])
+
+    def lookup(self, stream):
+        """(logp, n-grams, positions) from the ``order``-th byte on; the latter two of what is missing, where logp is 0."""
+        import numpy as np
+
+        n = len(stream) - self.order
+        padded = np.concatenate([np.zeros(7 - self.order, np.uint8), stream])
+        keys = np.ndarray((n,), ">u8", padded.tobytes(), strides=(1,)).astype(np.uint64)
+        keys &= np.uint64((1 << (8 * (self.order + 1))) - 1)
+        at = self.index.find(keys)
+        logp = np.zeros(n)
+        logp[at >= 0] = self.logs[at[at >= 0]]
+        missing = np.flatnonzero(at < 0)
+        return logp, keys[missing], missing
 
 
 def score(documents: DataFrame, learns: Column, order: int = ORDER, model_rows: int = MODEL_ROWS,
@@ -260,7 +359,8 @@ def score(documents: DataFrame, learns: Column, order: int = ORDER, model_rows:
     Without training rows every byte is equally likely. An empty table gives no rows; other columns
     are not read.
 
-    Counts of frequent words are broadcast (``hot_words`` at most), all others are joined.
+    Counts of frequent words are broadcast (``hot_words`` at most), all others are joined. So are
+    n-grams where the trie has more than ``model_rows``; no n-gram is left out of the model.
     """
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
@@ -274,22 +374,38 @@ def score(documents: DataFrame, learns: Column, order: int = ORDER, model_rows:
     least = least_count(words, hot_words)
     hot = words.filter(F.col("n") >= least).toArrow()
     hot_table = dict(zip(hot["word"].to_pylist(), hot["n"].to_pylist(), strict=True))
-    model = spark.sparkContext.broadcast((train(learned, order, model_rows).plain(), hot_table))
+    levels = gram_levels(learned, order)
+    whole = sum(level.count() for level in levels) <= model_rows
+    if whole:
+        grams = made(of_all_orders(levels), order).plain()
+    else:
+        longest = stored(context_facts(levels[order], order), "contexts")
+        grams = hot_logs(longest, model_rows)
+    model = spark.sparkContext.broadcast((grams, hot_table))
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         arrays, counts = model.value
-        trie = Trie.of(arrays)
+        trie = Trie.of(arrays) if whole else Hot(arrays, order)
         logs = {word: math.log10(n + 0.5) - scale for word, n in counts.items()}
         end_log = math.log10(ends + 0.5) - scale
         part, index = TaskContext.get().partitionId() << 40, 0
         word_kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+
+        def missed(parts, size):
+            """Lists of (gram, n) by text, from parts of (texts, n-grams, counts)."""
+            of, gram, n = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else np.empty((3, 0), np.int64)
+            by = np.argsort(of, kind="stable")
+            ends = np.searchsorted(of[by], np.arange(size + 1)).astype(np.int32)
+            fields = [pa.array(gram[by].astype(np.int64)), pa.array(n[by].astype(np.int64))]
+            return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(fields, ["gram", "n"]))
+
         for batch in batches:
             texts = batch["text"].to_pylist()
             scores = np.zeros(len(texts))
-            tokens, known, base, rare = [], [], [], []
+            tokens, known, base, rare, lost = [], [], [], [], []
 
             def items():
                 for i, text in enumerate(texts):
@@ -306,27 +422,44 @@ def score(documents: DataFrame, learns: Column, order: int = ORDER, model_rows:
                     yield i, words
 
             for data, spans in streams(items(), trie.order):
-                logp = trie.log_probability(np.frombuffer(data, np.uint8))
-                sums = np.concatenate([[0.0], np.cumsum(logp)])
+                stream = np.frombuffer(data, np.uint8)
                 of, first, end = (np.asarray(c, np.int64) for c in zip(*spans, strict=True))
+                if whole:
+                    logp = trie.log_probability(stream)
+                else:
+                    logp, gram, spot = trie.lookup(stream)
+                    span = np.searchsorted(first - trie.order, spot, side="right") - 1
+                    inside = spot < end[span] - trie.order  # others are padding between texts
+                    span, gram = span[inside], gram[inside]
+                    by = np.lexsort((gram, span))
+                    span, gram = span[by], gram[by]
+                    new = np.flatnonzero(np.concatenate([[True], (span[1:] != span[:-1]) | (gram[1:] != gram[:-1])])) if len(span) else by
+                    lost.append((of[span[new]], gram[new].astype(np.int64), np.diff(np.append(new, len(span)))))
+                sums = np.concatenate([[0.0], np.cumsum(logp)])
                 np.add.at(scores, of, sums[end - trie.order] - sums[first - trie.order])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(index, index + len(texts)) + part), batch["doc_id"], batch["learned"], pa.array(tokens, pa.int64()),
-                 pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(scores / math.log(10)), pa.array(rare, word_kind)],
-                ["row", "doc_id", "learned", "n_tokens", "known", "base", "score", "rare"])
+                 pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(scores / math.log(10)), pa.array(rare, word_kind), missed(lost, len(texts))],
+                ["row", "doc_id", "learned", "n_tokens", "known", "base", "score", "rare", "lost"])
             index += len(texts)
 
     schema = ("row bigint, doc_id bigint, learned boolean, n_tokens bigint, known bigint, base double, score double, "
-              "rare array<struct<word:binary,n:bigint>>")
+              "rare array<struct<word:binary,n:bigint>>, lost array<struct<gram:bigint,n:bigint>>")
     scored = stored(rows.mapInArrow(run, schema), "scored")
     others = scored.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.n").alias("times"))
     seen = F.coalesce("n", F.lit(0))
     sums = others.join(words.filter(F.col("n") < least), "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * (F.log10(seen + 0.5) - F.lit(scale))).alias("more_base"),
         F.sum(F.when(seen > 0, F.col("times")).otherwise(0)).alias("more_known"))
-    return scored.drop("rare").join(sums, "row", "left").select(
+    score = F.col("score")
+    if not whole:
+        lost = scored.select("row", F.explode("lost").alias("l")).select("row", "l.gram", F.col("l.n").alias("times"))
+        logs = log_probabilities(lost.select("gram").distinct(), levels, longest)
+        more = lost.join(logs, "gram").groupBy("row").agg((F.sum(F.col("times") * F.col("logp")) / math.log(10)).alias("more_score"))
+        sums, score = sums.join(more, "row", "full"), score + F.coalesce("more_score", F.lit(0.0))
+    return scored.drop("rare", "lost").join(sums, "row", "left").select(
         "doc_id", "learned", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"), (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), "score")
+        F.lit(total).cast("bigint").alias("train_tokens"), (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), score.alias("score"))
 
 
 def score_documents(documents: DataFrame, held_out: int = 1, modulus: int = 5) -> DataFrame:

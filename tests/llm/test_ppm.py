@@ -67,6 +67,23 @@ def test_against_brute_force(spark, monkeypatch, order):
             assert r.base_score == pytest.approx(sum(math.log10((c + 0.5) / (total + 0.5 * (different + 1))) for c in own), rel=1e-9)
 
 
+@pytest.mark.parametrize("order", [1, 3, 5])
+@pytest.mark.parametrize("model_rows", [0, 40])
+def test_no_ngram_is_left_out_of_a_large_trie(spark, monkeypatch, order, model_rows):
+    monkeypatch.setattr(ppm, "CHUNK", 64)
+    rows = [(i, t) for i, t in enumerate(TRAIN)] + [(100 + i, t) for i, t in enumerate(TEST)]
+    seen = counts(TRAIN, order)
+    found = ppm.score(documents(spark, rows), F.col("doc_id") < 100, order, model_rows=model_rows).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert r.score == pytest.approx(log10(seen, dict(rows)[r.doc_id], order), rel=1e-9)
+
+
+def test_no_training_rows_and_no_room(spark):
+    (alone,) = ppm.score(documents(spark, [(1, "ab")]), F.lit(False), model_rows=-1).collect()
+    assert alone.score == pytest.approx(3 * math.log10(1 / 256))
+
+
 def test_probabilities_sum_to_one():
     order = 3
     seen = counts(TRAIN, order)
