@@ -93,7 +93,7 @@ def token_pieces(documents: DataFrame, capacity: int, end_id: int, keep_ids: boo
         import numpy as np
         import pyarrow as pa
 
-        coder, seen, end = Coder(*files), {}, np.asarray([end_id], "<u4").tobytes()
+        coder, seen, end = Coder(*files, added=True), {}, np.asarray([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         for batch in batches:
             rows = ([], [], [], [], [], [], [], [])

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from causeway.llm.common import stored
 from causeway.llm.components import min_labels
 from causeway.session import cut_lineage
 
@@ -24,13 +25,17 @@ LEAF = 32768  # a node pair with at most so many fingerprints is finished in one
 WIDE = 1 << 20  # bytes of one slab of majority counting
 
 
-def fingerprints(documents: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
+def fingerprints(documents: DataFrame, shingle: int = 3, seed: int = 42, key: str | None = None) -> DataFrame:
     """(doc_id, fingerprint bigint) per row: bit majority over the XXH64 of all word shingles.
 
+    A bigint column ``key`` is carried along after these.
+
     A-Z are lower-cased, words are runs without ASCII white space, repeated shingles count each time.
     Fewer words than a shingle give one shingle of all words; null texts and texts without words
     have fingerprint zero. A bit is one if it is set in more than half of the hashes.
     """
+    carried = [key] if key else []
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -57,10 +62,11 @@ def fingerprints(documents: DataFrame, shingle: int = 3, seed: int = 42) -> Data
                     ones += slab.sum(0, dtype=np.int64)
                 bits = np.packbits((2 * ones > n).astype(np.uint8), bitorder="little")
                 found[row] = bits.view(np.uint64)[0]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found.view(np.int64))], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found.view(np.int64)), *[batch[c] for c in carried]],
+                                             ["doc_id", "fingerprint", *carried])
 
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, fingerprint bigint")
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried)
+    return rows.mapInArrow(run, "doc_id bigint, fingerprint bigint" + "".join(f", {c} bigint" for c in carried))
 
 
 def prefix(fingerprint: Column, bits: int) -> Column:
@@ -183,6 +189,14 @@ def near_links(distinct: DataFrame, distance: int, leaf: int = LEAF) -> DataFram
     return placed.groupBy("depth", "a", "b").applyInArrow(meet, "a bigint, b bigint")
 
 
+def labelled(distinct: DataFrame, distance: int) -> DataFrame:
+    """Rows of distinct fingerprints with a ``label`` that those of one component share."""
+    links = cut_lineage(near_links(distinct.select("fingerprint"), distance))
+    labels = min_labels(links, "a", "b")  # (node, label) of linked fingerprints
+    return distinct.join(labels, F.col("fingerprint") == F.col("node"), "left").select(
+        *distinct.columns, F.coalesce("label", "fingerprint").alias("label"))
+
+
 def near_duplicates(documents: DataFrame, distance: int = 2, shingle: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fingerprint, component_id) per row of ``documents``.
 
@@ -194,10 +208,7 @@ def near_duplicates(documents: DataFrame, distance: int = 2, shingle: int = 3, s
     """
     rows = cut_lineage(fingerprints(documents, shingle, seed))
     distinct = cut_lineage(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
-    links = cut_lineage(near_links(distinct.select("fingerprint"), distance))
-    labels = min_labels(links, "a", "b")  # (node, label) of linked fingerprints
-    own = distinct.join(labels, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "least", F.coalesce("label", "fingerprint").alias("label"))
+    own = labelled(distinct, distance)
     # label sizes may be large, so the least doc_id is aggregated and joined back rather than windowed
     least = own.groupBy("label").agg(F.min("least").alias("component_id"))
     components = own.join(least, "label").select("fingerprint", "component_id")
@@ -208,10 +219,12 @@ def near_duplicates(documents: DataFrame, distance: int = 2, shingle: int = 3, s
 def keep_one(documents: DataFrame, distance: int = 2, shingle: int = 3, seed: int = 42) -> DataFrame:
     """Documents without the near-duplicates of a document with a smaller doc_id.
 
-    One row of each component stays: that with the smallest doc_id, of repeated rows one.
+    One row of each component stays: that with the smallest doc_id, of rows that share it one. Null
+    doc_ids come last. Rows are told apart by numbers written with them, so components may share ids.
     """
-    key = {"_dedup_null": F.col("doc_id").isNull(), "_dedup_id": F.coalesce("doc_id", F.lit(0))}
-    found = near_duplicates(documents, distance, shingle, seed).select(F.col("component_id").alias("doc_id")).withColumns(key)
-    first = found.groupBy(*key).agg(F.lit(True).alias("_dedup_one")).drop("_dedup_one")
-    kept = documents.withColumns(key).join(first, list(key), "left_semi")  # one shuffle serves the join and the next line
-    return kept.dropDuplicates(list(key)).drop(*key)
+    key = "_dedup_row"
+    rows = stored(documents.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", key)
+    distinct = cut_lineage(fingerprints(rows, shingle, seed, key).groupBy("fingerprint").agg(F.min(order).alias("least")))
+    first = labelled(distinct, distance).groupBy("label").agg(F.min("least").alias("least")).select(F.col(f"least.{key}").alias(key))
+    return rows.join(first, key, "left_semi").drop(key)

@@ -3,42 +3,54 @@
 Pieces between single spaces are tokenized on their own, since no token of the vocabulary's pattern
 reaches across a space that follows and precedes a visible character. The ids equal those of the
 ``tokenizers`` file of the same vocabulary (tested); ``tiktoken`` reads its ranks and is faster.
+Texts that contain an added token of that file are tokenized as a whole.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 
 CACHE_LIMIT = 400_000  # pieces kept per task; the cache is emptied when full
 LONGEST_CACHED = 40  # characters
 
 
 class Coder:
-    """Texts to little-endian unsigned 32-bit ids. One object per task."""
+    """Texts to little-endian unsigned 32-bit ids. One object per task.
 
-    def __init__(self, ranks_path: str, json_path: str, pattern: str):
+    With ``added``, the file's added tokens are found in texts, as the ``tokenizers`` library does unless
+    its ``encode_special_tokens`` is set; without, they are text like any other.
+    """
+
+    def __init__(self, ranks_path: str, json_path: str, pattern: str, added: bool = False):
         import tiktoken
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self._fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self._added = {}
+        if added:
+            with open(json_path, encoding="utf-8") as file:
+                self._added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+        self._fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=self._added)
         self._json_path, self._slow, self._cache = json_path, None, {}
 
     def _ids(self, text: str) -> bytes:
         import numpy as np
 
         try:
-            ids = self._fast.encode_ordinary(text)
+            ids = self._fast.encode(text, allowed_special="all") if self._added else self._fast.encode_ordinary(text)
         except Exception:  # its pattern engine gives up on very long runs of one class; the other library doesn't
             if self._slow is None:
                 from tokenizers import Tokenizer
 
                 self._slow = Tokenizer.from_file(self._json_path)
-                self._slow.encode_special_tokens = True
+                self._slow.encode_special_tokens = not self._added
             ids = self._slow.encode(text, add_special_tokens=False).ids
         return np.asarray(ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
+        if any(token in text for token in self._added):
+            return self._ids(text)
         first, *rest = text.split(" ")
         cache = self._cache
         parts = list(map(cache.get, rest))

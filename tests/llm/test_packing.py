@@ -35,6 +35,21 @@ def test_ids_equal_the_tokenizers_library(tokenizer, sf):
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == expected.ids, text[:80]
 
 
+def test_added_tokens_are_found_as_the_unmodified_library_does(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    token = "<|endoftext|>"
+    texts = TEXTS + [f"hello {token} world", token, token * 3, f"a{token}b", f"x  {token}  y", f" {token} \n{token}\n", "<|endoftext", prose(50, 1),
+                     "a" * 30_000 + token, f"{token} " + "1" * 30_000, f"{prose(2000, 8)} {token}"]
+    coder = Coder(*byte_bpe(), added=True)
+    for text in texts:
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text[:80]
+    found = packing.pack(documents(spark, list(enumerate(texts))), 1024, 2, keep_ids=True).collect()
+    check(found, plain, dict(enumerate(texts)))
+
+
 def check(rows, tokenizer, texts, capacity=1024):
     pieces, bins = defaultdict(list), defaultdict(list)
     for r in rows:

@@ -10,7 +10,7 @@ import xxhash
 from causeway.llm import simhash
 from causeway.llm.components import min_labels
 from causeway.llm.queries import QUERIES
-from tests.llm.data import SPACE, documents, lowered, odd_rows, table
+from tests.llm.data import SPACE, documents, lowered, odd_rows, prose, table
 
 
 def fingerprint(text) -> int:
@@ -63,6 +63,16 @@ def test_odd_rows(spark):
     assert simhash.keep_one(frame.limit(0)).collect() == []
 
 
+def test_one_row_of_each_component_is_kept(spark):
+    """Components of null ids alone, and ids that several components share."""
+    texts = [prose(100, seed) for seed in range(60, 66)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (5, texts[3]),
+            (7, texts[4]), (7, texts[5]), (3, texts[4])]
+    kept = simhash.keep_one(documents(spark, rows)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(
+        [(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (3, texts[4]), (7, texts[5])])
+
+
 @pytest.mark.parametrize("leaf", [4, 16, 1000])
 def test_trie_join(spark, leaf):
     rng = random.Random(leaf)
