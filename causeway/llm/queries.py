@@ -110,3 +110,52 @@ def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     from causeway.llm.urlfilter import judge
 
     return judge(load(spark, sf, "pages"), URL_RULES)
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    from causeway.llm.vectorcodes import encode
+
+    found, books = encode(load(spark, sf, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+    told = F.lit(books.sha256() if books else None).cast("string")
+    return found.select("vec_id", "code", "error", "label_error", told.alias("codebooks_sha256"))
+
+
+def _codes_sql(rounds: int) -> str:
+    """Rounds unrolled: each part meets all entries."""
+    steps = ["""v AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS r, len(embedding) // 16 AS w,
+      [CAST(floor(256 * x::DOUBLE) AS BIGINT) for x in embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+ pts AS (SELECT r, p, e[p * w + 1 : (p + 1) * w] AS c FROM v CROSS JOIN range(16) t(p)),
+ b0 AS (SELECT p, r - 1 AS i, c FROM pts WHERE r <= 64)"""]
+    for n in range(rounds + 1):
+        steps.append(f""" a{n} AS (SELECT r, p, c, min(d) AS d, arg_min(i, (d, i)) AS i FROM (
+   SELECT r, p, i, pts.c, list_sum([(x - b.c[k]) * (x - b.c[k]) for x, k in pts.c]) AS d FROM pts JOIN b{n} b USING (p)) GROUP BY 1, 2, 3)""")
+        if n < rounds:
+            steps.append(f""" s{n} AS (SELECT p, i, k, sum(c[k]) AS s, count(*) AS n FROM (SELECT p, i, c, unnest(range(1, len(c) + 1)) AS k FROM a{n}) GROUP BY 1, 2, 3),
+ m{n} AS (SELECT p, i, list(CAST(floor_div AS BIGINT) ORDER BY k) AS c FROM (
+   SELECT p, i, k, CASE WHEN s < 0 AND s % n <> 0 THEN s // n - 1 ELSE s // n END AS floor_div FROM s{n}) GROUP BY 1, 2),
+ b{n + 1} AS (SELECT p, i, coalesce(m.c, b.c) AS c FROM b{n} b LEFT JOIN m{n} m USING (p, i))""")
+    steps.append(f""" h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, i)) AS codebooks_sha256 FROM b{rounds}),
+ f AS (SELECT r, string_agg(printf('%02x', i), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY 1)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM f JOIN v USING (r) CROSS JOIN h""")
+    return "WITH " + ",\n".join(steps)
+
+
+ORACLES["op11_vector_codes"] = _codes_sql(2)
+
+
+@query
+def op12_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    from causeway.llm.merkle import proof_digest, verify_lowered
+
+    found = verify_lowered(load(spark, sf, "documents"))
+    return found.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified")
+
+
+@query
+def op13_token_count(spark: SparkSession, sf: str) -> DataFrame:
+    from causeway.llm.tokencount import count_tokens
+
+    return count_tokens(load(spark, sf, "documents"), 1024)
