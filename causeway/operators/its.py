@@ -26,9 +26,10 @@ from causeway.operators.gram import (
     TERM_SCHEMA, Moments, Solution, complete_rows, field_list, linear_expression, merge_moments,
     moments_by, moments_from_row, newey_west, solve, term_rows,
 )
+from causeway.operators.intervals import added, moments_of, window_moments
 from causeway.operators.ordered import running_sum
 from causeway.operators.windows import elapsed, running_rows
-from causeway.session import require_columns
+from causeway.session import cut_lineage, require_columns
 
 # fixed values: smallest sample of a check and the default (before, after) windows
 MIN_ROWS = 10
@@ -500,37 +501,43 @@ class SegmentedOls(CandidateChecks):
             s.rank, cov_type, self.bucketed, rows.drop("_period", "w"), origins, period_clock(clean, self.time, keys),
         )
 
-    # ---- refits as one job: candidates x buckets
+    # ---- refits from one read of the rows
 
     def _candidates(self, df: DataFrame, target: str, frame: DataFrame, covariates: Sequence[str]) -> DataFrame:
-        """(candidate, group, effect) where each candidate row is (candidate, lo, hi, point).
+        """(candidate, group, n_obs, effect) where each candidate row is (candidate, lo, hi, point).
 
-        The candidate list is a parameter-sized frame, broadcast; buckets are filtered to
-        ``lo <= time < hi`` and every candidate is fitted from grouped moments.
+        Rows are reduced to moments per (group, elementary interval) once; a candidate is fitted from the
+        intervals of its window, pooled over groups.
         """
         keys = [self.group] if self.group else []
-        group = keys or ["_all"]
-        rows = df if keys else df.withColumn("_all", F.lit(0))
-        rows = complete_rows(rows, [self.time, target, *covariates]).select(*group, self.time, target, *covariates)
-        spread = candidate_rows(rows, frame, self.time)
-        cells = timed(spread, self.time, (0.0,), ["candidate", *group], self.bucketed)
-        names = ["t", "w", *covariates, target]
+        windows = [(r["lo"], r["hi"], r["point"]) for r in sorted(frame.collect())]  # parameter-sized
+        values = [*covariates, target]
+        names = ["t", "w", *values]
+        size = 1 + len(names) + len(names) * (len(names) + 1) // 2
+        cells = cut_lineage(window_moments(df, self.time, values, windows, keys))
+        sums = added(cells, ["pre", "post"], size, ["candidate", "at"])
         covs = list(covariates)
-        stats = moments_by(cells, names, ["candidate", "_period"])
 
-        def fit_one(key, pdf):
-            parts = _segment_rows(pdf.to_dict("records"), names)
-            s = solve(assemble(parts, 1, covs, target), ["t", "D_1", "timedelta_1", *covs], target)
-            return pd.DataFrame([(key[0], s.coef.tolist(), int(s.n))], columns=["fitted", "coef", "n_obs"])
-
-        fits = stats.groupBy("candidate").applyInPandas(fit_one, "fitted bigint, coef array<double>, n_obs bigint")
-        post = cells.filter("_period = 1").groupBy("candidate", *group).agg(
-            F.avg(target).alias("_y"), F.avg("t").alias("_t"), *[F.avg(c).alias(f"_c_{c}") for c in covs])
+        def fit_rows(batches):
+            for pdf in batches:
+                out = []
+                for r in pdf.itertuples(index=False):
+                    parts = {i: m for i, m in enumerate(moments_of(x, names, r.at) for x in (r.pre, r.post)) if m.n}
+                    s = solve(assemble(parts, 1, covs, target), ["t", "D_1", "timedelta_1", *covs], target)
+                    out.append((r.candidate, s.coef.tolist(), int(s.n)))
+                yield pd.DataFrame(out, columns=["fitted", "coef", "n_obs"])
+
+        fits = sums.mapInPandas(fit_rows, "fitted bigint, coef array<double>, n_obs bigint")
+        group = [F.col(c) for c in keys] or [F.lit(0).alias("_all")]
+        n = F.col("post")[0]
+        post = cells.filter(n > 0).select(
+            "candidate", *group, (F.col("post")[1] / n).alias("_t"),
+            *[(F.col("post")[3 + i] / n + F.col("at")[i]).alias(f"_v{i}") for i in range(len(values))])
         joined = post.join(fits, F.col("candidate") == F.col("fitted"))
         baseline = F.col("coef")[0] + F.col("coef")[1] * F.col("_t")
-        for i, c in enumerate(covs):
-            baseline = baseline + F.col("coef")[4 + i] * F.col(f"_c_{c}")
-        return joined.select("candidate", *group, "n_obs", (F.col("_y") - baseline).alias("effect"))
+        for i in range(len(covs)):
+            baseline = baseline + F.col("coef")[4 + i] * F.col(f"_v{i}")
+        return joined.select("candidate", *(keys or ["_all"]), "n_obs", (F.col(f"_v{len(covs)}") - baseline).alias("effect"))
 
 
 PLACEBO_SCHEMA = (

@@ -8,29 +8,18 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from causeway.functions.columns import even_grid
-from causeway.operators.gram import pack_by, ridge, unpack_gram, wide_gram
-from causeway.operators.ordered import ordered_scan
-from causeway.operators.tables import best_candidate
-from causeway.session import keep, require_columns
+from causeway.operators.gram import collect_gram, pack_by, ridge, unpack_gram, wide_gram
+from causeway.operators.ordered import affine_scan, ordered_scan
+from causeway.session import require_columns
 
-# candidate grid and carry-over length
+# candidate grid
 DECAYS = (0.0, 0.3, 0.6)
 HALVES = (0.5, 1.0, 2.0)
 SLOPES = (0.7, 1.0)
-MAX_LAG = 8
-
-
-def stock(x: str, decay: Column, max_lag: int, window) -> Column:
-    """Geometric carry-over with a decay column; missing earlier buckets count as zero."""
-    total = F.col(x).cast("double")
-    for j in range(1, max_lag + 1):
-        total = total + F.pow(decay, F.lit(float(j))) * F.coalesce(F.lag(x, j).over(window), F.lit(0.0))
-    return total
 
 
 def saturate(x: Column, half: Column, slope: Column) -> Column:
@@ -38,15 +27,15 @@ def saturate(x: Column, half: Column, slope: Column) -> Column:
     return F.when(x <= 0, F.lit(0.0)).otherwise(powered / (powered + F.pow(half, slope)))
 
 
-def channel_effects(media: DataFrame, params: DataFrame, max_lag: int = MAX_LAG) -> DataFrame:
+def channel_effects(media: DataFrame, params: DataFrame) -> DataFrame:
     """(date, channel, x, spend, stock, effect) for given (channel, decay, half, slope, beta).
 
-    ``params`` has one row per channel and joins on it; windows run over the dates of one channel.
+    ``params`` has one row per channel and joins on it. The carry-over reaches back to a channel's first
+    date; a channel's dates may be spread over many tasks.
     """
     require_columns(media, ["date", "channel", "x", "spend"])
     require_columns(params, ["channel", "decay", "half", "slope", "beta"])
-    per_channel = Window.partitionBy("channel").orderBy("date")
-    rows = media.join(params, "channel").withColumn("stock", stock("x", F.col("decay"), max_lag, per_channel))
+    rows = affine_scan(media.join(params, "channel"), ["channel"], [F.col("date")], {"stock": (F.col("decay"), F.col("x"))})
     effect = F.col("beta") * saturate(F.col("stock"), F.col("half"), F.col("slope"))
     return rows.select("date", "channel", "x", "spend", "stock", effect.alias("effect"))
 
@@ -109,22 +98,72 @@ def budget_split(params: DataFrame, budget: float, steps: int = 100) -> DataFram
 
 @dataclass(frozen=True)
 class MediaFit:
-    """Best grid candidate with its coefficients, in raw units of media and sales."""
+    """Shape (decay, half-point, slope) and effect of each channel, trained in units of the means.
+
+    ``coef`` holds the constant, the channels' effects and the calendar terms. ``gram`` are the
+    cross-products [1, saturated channels, calendar, sales] of the training rows at these shapes.
+    """
 
     channels: tuple[str, ...]
-    decay: float
-    half: float
-    slope: float
+    shapes: tuple[tuple[float, float, float], ...]
     scale: dict[str, float]
     sales_scale: float
     coef: np.ndarray
     rss: float
+    orders: int
+    gram: np.ndarray
+
+    def _common(self, i: int) -> float:
+        values = {shape[i] for shape in self.shapes}
+        if len(values) > 1:
+            raise ValueError("channels have shapes of their own; see shapes")
+        return values.pop()
+
+    @property
+    def decay(self) -> float:
+        return self._common(0)
+
+    @property
+    def half(self) -> float:
+        return self._common(1)
+
+    @property
+    def slope(self) -> float:
+        return self._common(2)
 
     def params(self, spark) -> DataFrame:
-        rows = [(c, self.decay, self.half * self.scale[c], self.slope, float(self.coef[1 + i]) * self.sales_scale)
-                for i, c in enumerate(self.channels)]
+        rows = [(c, d, h * self.scale[c], s, float(self.coef[1 + i]) * self.sales_scale)
+                for i, (c, (d, h, s)) in enumerate(zip(self.channels, self.shapes, strict=True))]
         return spark.createDataFrame(rows, "channel string, decay double, half double, slope double, beta double")
 
+    def design_rows(self, media: DataFrame) -> DataFrame:
+        """(date, s0_0, s1_0, ..., dow, doy): the channels' scaled carry-over at their own decay."""
+        own = F.create_map(*[F.lit(v) for c, (d, _, _) in zip(self.channels, self.shapes, strict=True) for v in (c, d)])
+        return _carried(media, self.channels, self.scale, [own[F.col("channel")]])
+
+    def columns(self) -> list[str]:
+        return [*[f"s{i}_0" for i in range(len(self.channels))], "dow", "doy"]
+
+    def expand(self, x: np.ndarray) -> np.ndarray:
+        m = len(self.channels)
+        shaped = [_saturated(x[:, i], h, s) for i, (_, h, s) in enumerate(self.shapes)]
+        return np.column_stack([*shaped, _season(x[:, m], x[:, m + 1], self.orders)])
+
+    def predict(self, media: DataFrame) -> DataFrame:
+        """(date, predicted) in units of sales for every date of ``media``.
+
+        Give the training dates too when later ones are wanted: the carry-over goes on from them. Dates of
+        before and after are scaled by the training means, and the result is scaled back.
+        """
+        coef, expand, unit = self.coef, self.expand, self.sales_scale
+
+        @F.pandas_udf("double")
+        def score(*columns: pd.Series) -> pd.Series:
+            x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+            return pd.Series((coef[0] + expand(x) @ coef[1:]) * unit)
+
+        return self.design_rows(media).select("date", score(*self.columns()).alias("predicted"))
+
 
 def _season(day_of_week: np.ndarray, day_of_year: np.ndarray, orders: int) -> np.ndarray:
     parts = [(day_of_week == d).astype(float) for d in range(1, 7)]
@@ -134,28 +173,24 @@ def _season(day_of_week: np.ndarray, day_of_year: np.ndarray, orders: int) -> np
     return np.column_stack(parts)
 
 
-def _design_rows(media: DataFrame, sales: DataFrame, channels: Sequence[str], scale: dict[str, float],
-                 sales_scale: float, grid: DataFrame, max_lag: int) -> DataFrame:
-    """(candidate, date, one column per channel, calendar, y): calendar-sized times the grid."""
+def _saturated(x: np.ndarray, half: float, slope: float) -> np.ndarray:
+    powered = np.power(np.maximum(x, 0.0), slope)
+    return np.where(x > 0, powered / (powered + half**slope), 0.0)
+
+
+def _carried(media: DataFrame, channels: Sequence[str], scale: dict[str, float], decays: Sequence[Column]) -> DataFrame:
+    """One row per date: carry-over ``s{channel}_{decay}`` of each channel in units of its mean, and the calendar."""
     means = F.create_map(*[F.lit(v) for c in channels for v in (c, float(scale[c]))])
-    scaled = media.withColumn("x", F.col("x") / means[F.col("channel")])
-    decays = grid.select("decay").distinct()
-    stocked = scaled.crossJoin(F.broadcast(decays)).withColumn(
-        "stock", stock("x", F.col("decay"), max_lag, Window.partitionBy("channel", "decay").orderBy("date")))
-    spread = stocked.join(F.broadcast(grid), "decay").withColumn(
-        "f", saturate(F.col("stock"), F.col("half"), F.col("slope")))
-    wide = spread.groupBy("candidate", "date").agg(*[
-        F.coalesce(F.sum(F.when(F.col("channel") == c, F.col("f"))), F.lit(0.0)).alias(f"c{i}")
-        for i, c in enumerate(channels)])
-    target = sales.select("date", (F.col("sales") / F.lit(sales_scale)).alias("y"))
-    return wide.join(target, "date").select(
-        "candidate", "date", *[f"c{i}" for i in range(len(channels))],
-        F.weekday("date").cast("double").alias("dow"), F.dayofyear("date").cast("double").alias("doy"), "y")
-
-
-def _grid_frame(spark, decays, halves, slopes) -> DataFrame:
-    rows = [(i, float(d), float(h), float(s)) for i, (d, h, s) in enumerate(product(decays, halves, slopes))]
-    return spark.createDataFrame(rows, "candidate int, decay double, half double, slope double")
+    own = media.filter(F.col("channel").isin(*channels)).select("date", "channel", (F.col("x") / means[F.col("channel")]).alias("x"))
+    states = affine_scan(own, ["channel"], [F.col("date")], {f"_s{j}": (d, F.col("x")) for j, d in enumerate(decays)})
+    return states.groupBy("date").agg(*[
+        F.coalesce(F.sum(F.when(F.col("channel") == c, F.col(f"_s{j}"))), F.lit(0.0)).alias(f"s{i}_{j}")
+        for i, c in enumerate(channels) for j in range(len(decays))]).withColumns({
+            "dow": F.weekday("date").cast("double"), "doy": F.dayofyear("date").cast("double")})
+
+
+def _with_sales(rows: DataFrame, sales: DataFrame, sales_scale: float) -> DataFrame:
+    return rows.join(sales.select("date", (F.col("sales") / F.lit(sales_scale)).alias("y")), "date")
 
 
 def _media_solve(gram: np.ndarray, n_media: int, strength: float) -> tuple[np.ndarray, float]:
@@ -174,72 +209,89 @@ def _media_solve(gram: np.ndarray, n_media: int, strength: float) -> tuple[np.nd
         live = [i for i in live if i not in bad]
 
 
-def fit_media(media: DataFrame, sales: DataFrame, channels: Sequence[str], decays=DECAYS, halves=HALVES,
-              slopes=SLOPES, orders: int = 1, strength: float = 0.1, max_lag: int = MAX_LAG) -> tuple[MediaFit, DataFrame]:
-    """Grid of (decay, half-point, slope) candidates, each fitted from one grouped cross-product.
-
-    Returns the best fit and the candidate score table. Media and sales are scaled by their means.
+def _search_shapes(score, n_channels: int, n_shapes: int, start: int) -> list[int]:
+    """Coordinate search: each channel in turn takes its best shape given the others', until none changes."""
+    chosen = [start] * n_channels
+    best = score(chosen)
+    changed = True
+    while changed:
+        changed = False
+        for i in range(n_channels):
+            for g in range(n_shapes):
+                tried = [*chosen[:i], g, *chosen[i + 1:]]
+                rss = score(tried)
+                if rss < best * (1 - 1e-12):
+                    best, chosen, changed = rss, tried, True
+    return chosen
+
+
+def fit_media(media: DataFrame, sales: DataFrame, channels: Sequence[str] | None = None, decays=DECAYS, halves=HALVES,
+              slopes=SLOPES, orders: int = 1, strength: float = 0.1, own_shapes: bool = False) -> tuple[MediaFit, DataFrame]:
+    """Fit (decay, half-point, slope) and effects from one pooled cross-product.
+
+    The rows are read for the means and once more for the cross-products of all (channel, decay,
+    half-point, slope) columns; every candidate is then a sub-matrix. One shape for all channels is the best
+    of the grid; with ``own_shapes`` each channel then searches its own from there. Returns the fit and the
+    score table of the common shapes. Media and sales are scaled by their means. Without ``channels`` all
+    channels of the table are taken, in order of name; their number sets the size of the cross-products.
     """
     require_columns(media, ["date", "channel", "x"])
     require_columns(sales, ["date", "sales"])
     spark = media.sparkSession
-    media, sales = keep(media), keep(sales)
-    channels = tuple(channels)
-    found = {r["channel"]: r["m"] for r in media.filter(F.col("channel").isin(*channels)).groupBy("channel").agg(
-        F.avg("x").alias("m")).collect()}
+    picked = media if channels is None else media.filter(F.col("channel").isin(*channels))
+    found = {r["channel"]: r["m"] for r in picked.groupBy("channel").agg(F.avg("x").alias("m")).collect()}
+    channels = tuple(sorted(c for c in found if c is not None)) if channels is None else tuple(channels)
     missing = [c for c in channels if not found.get(c)]
-    if missing:
+    if missing or not channels:
         raise ValueError(f"channels without data: {missing}")
     mean_sales = sales.agg(F.avg("sales").alias("m")).collect()[0]["m"]
     if not mean_sales:
         raise ValueError("sales are zero or missing")
-    grid = _grid_frame(spark, decays, halves, slopes)
-    own = media.filter(F.col("channel").isin(*channels))
-    rows = _design_rows(own, sales, channels, found, mean_sales, grid, max_lag)
-    m = len(channels)
+    scale, m = {c: float(found[c]) for c in channels}, len(channels)
+    rows = _with_sales(_carried(media, channels, scale, [F.lit(float(d)) for d in decays]), sales, mean_sales)
+    shapes = [(float(d), float(h), float(s)) for d, h, s in product(decays, halves, slopes)]
+    pairs = list(product(halves, slopes))
+    states = m * len(decays)
 
     def expand(x):
-        return np.column_stack([x[:, :m], _season(x[:, m], x[:, m + 1], orders), x[:, -1]])
+        shaped = [_saturated(x[:, i], h, s) for i in range(states) for h, s in pairs]
+        return np.column_stack([*shaped, _season(x[:, states], x[:, states + 1], orders), x[:, -1]])
 
-    columns = [*[f"c{i}" for i in range(m)], "dow", "doy", "y"]
-    packed = pack_by(wide_gram(rows, columns, expand, ["candidate"]), ["candidate"])
-    size = m + 6 + 2 * orders + 2
-    schema = T.StructType([
-        T.StructField("candidate", T.IntegerType()), T.StructField("rss", T.DoubleType()),
-        T.StructField("coef", T.ArrayType(T.DoubleType()))])
+    columns = [*[f"s{i}_{j}" for i in range(m) for j in range(len(decays))], "dow", "doy", "y"]
+    rest = 6 + 2 * orders + 1
+    gram = collect_gram(wide_gram(rows, columns, expand), 1 + m * len(shapes) + rest)
 
-    def solve_rows(batches):
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                coef, rss = _media_solve(unpack_gram(np.asarray(r.entries), size), m, strength)
-                out.append((r.candidate, rss, coef.tolist()))
-            yield pd.DataFrame(out, columns=["candidate", "rss", "coef"])
+    def part(chosen: Sequence[int]) -> np.ndarray:
+        index = [0, *[1 + i * len(shapes) + g for i, g in enumerate(chosen)], *range(len(gram) - rest, len(gram))]
+        return gram[np.ix_(index, index)]
+
+    def score(chosen: Sequence[int]) -> float:
+        return _media_solve(part(chosen), m, strength)[1]
 
-    scored = packed.mapInPandas(solve_rows, schema).join(F.broadcast(grid), "candidate")
-    scored = spark.createDataFrame(scored.collect(), scored.schema)  # grid-sized
-    best = best_candidate(scored, ["candidate"], "rss").collect()[0]["candidate"]
-    top = scored.filter(F.col("candidate") == best).collect()[0]
-    fit = MediaFit(channels, top["decay"], top["half"], top["slope"], {c: float(found[c]) for c in channels},
-                   float(mean_sales), np.array(top["coef"]), float(top["rss"]))
-    return fit, scored.drop("coef")
+    scores = [(g, score([g] * m), *shape) for g, shape in enumerate(shapes)]
+    best = min(scores, key=lambda r: (r[1], r[0]))[0]
+    chosen = _search_shapes(score, m, len(shapes), best) if own_shapes else [best] * m
+    coef, rss = _media_solve(part(chosen), m, strength)
+    fit = MediaFit(channels, tuple(shapes[g] for g in chosen), scale, float(mean_sales), coef, float(rss), orders, part(chosen))
+    return fit, spark.createDataFrame(scores, "candidate int, rss double, decay double, half double, slope double")
 
 
 def _poisson_weight(u: Column) -> Column:
-    """Poisson(1) draw from a uniform value by its cumulative distribution."""
-    out, cumulative, p = F.lit(8), 0.0, float(np.exp(-1.0))
-    steps = []
-    for k in range(8):
+    """Poisson(1) draw from a uniform value of 30 bits by its cumulative distribution."""
+    steps, cumulative, p, k = [], 0.0, float(np.exp(-1.0)), 0
+    while cumulative < 1.0 - 2.0**-31:  # beyond this no uniform value lies
         cumulative += p
         steps.append((k, cumulative))
-        p /= k + 1
-    for k, limit in reversed(steps):
-        out = F.when(u < limit, F.lit(k)).otherwise(out)
+        k += 1
+        p /= k
+    out = F.lit(k)
+    for value, limit in reversed(steps):
+        out = F.when(u < limit, F.lit(value)).otherwise(out)
     return out.cast("double")
 
 
 def bootstrap_effects(media: DataFrame, sales: DataFrame, fit: MediaFit, replicates: int = 200, block_days: int = 7,
-                      orders: int = 1, strength: float = 0.1, max_lag: int = MAX_LAG, seed: int = 42) -> DataFrame:
+                      strength: float = 0.1, seed: int = 42) -> DataFrame:
     """Block bootstrap of channel effects: (channel, mean, lower, median, upper) in raw units.
 
     Cross-products are summed per time block once; a replicate only reweights the block sums, so
@@ -247,21 +299,19 @@ def bootstrap_effects(media: DataFrame, sales: DataFrame, fit: MediaFit, replica
     """
     spark = media.sparkSession
     m = len(fit.channels)
-    grid = _grid_frame(spark, [fit.decay], [fit.half], [fit.slope])
-    own = media.filter(F.col("channel").isin(*fit.channels))
-    rows = _design_rows(own, sales, fit.channels, fit.scale, fit.sales_scale, grid, max_lag)
+    rows = _with_sales(fit.design_rows(media), sales, fit.sales_scale)
     blocks = rows.withColumn("block", F.floor(F.date_diff("date", F.lit("1970-01-01").cast("date")) / block_days).cast("bigint"))
+    shaped = fit.expand
 
     def expand(x):
-        return np.column_stack([x[:, :m], _season(x[:, m], x[:, m + 1], orders), x[:, -1]])
+        return np.column_stack([shaped(x[:, :-1]), x[:, -1]])
 
-    columns = [*[f"c{i}" for i in range(m)], "dow", "doy", "y"]
-    sums = wide_gram(blocks, columns, expand, ["block"])
+    sums = wide_gram(blocks, [*fit.columns(), "y"], expand, ["block"])
     reps = spark.range(replicates).select(F.col("id").cast("int").alias("replicate"))
     uniform = F.pmod(F.xxhash64("block", "replicate", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     weighted = sums.crossJoin(F.broadcast(reps)).groupBy("replicate", "pos").agg(
         F.sum(F.col("value") * _poisson_weight(uniform)).alias("value"))
-    size = m + 6 + 2 * orders + 2
+    size = len(fit.gram)
     names, scale = list(fit.channels), fit.sales_scale
 
     def solve_rows(batches):
@@ -276,7 +326,87 @@ def bootstrap_effects(media: DataFrame, sales: DataFrame, fit: MediaFit, replica
             yield pd.DataFrame(out, columns=["replicate", "channel", "beta"])
 
     draws = pack_by(weighted, ["replicate"]).mapInPandas(solve_rows, "replicate int, channel string, beta double")
+    return _summary(draws)
+
+
+def _summary(draws: DataFrame) -> DataFrame:
     return draws.groupBy("channel").agg(
         F.count(F.lit(1)).alias("n_replicates"), F.avg("beta").alias("mean"),
         F.percentile("beta", F.lit(0.025)).alias("lower"), F.percentile("beta", F.lit(0.5)).alias("median"),
         F.percentile("beta", F.lit(0.975)).alias("upper"))
+
+
+# ---------------------------------------------------------------- posterior
+
+
+def _half_normal_tail(rng: np.random.Generator, mean: float, sd: float) -> float:
+    """A normal draw that is not negative."""
+    low = -mean / sd
+    if low < 0.5:
+        while True:
+            z = rng.standard_normal()
+            if z >= low:
+                return mean + sd * z
+    rate = (low + np.sqrt(low * low + 4)) / 2  # exponential proposals far in the tail
+    while True:
+        z = low + rng.exponential(1 / rate)
+        if rng.random() <= np.exp(-((z - rate) ** 2) / 2):
+            return mean + sd * z
+
+
+def _gibbs(gram: np.ndarray, m: int, draws: int, warmup: int, rng: np.random.Generator) -> np.ndarray:
+    """Draws (effects..., residual sd) of y = constant + calendar + media effects >= 0 + noise.
+
+    Constant and calendar have flat priors and are integrated out by the Schur complement, effects are
+    flat on the non-negative half line, the residual variance has the prior 1/variance.
+    """
+    media, others, y = slice(1, 1 + m), [0, *range(1 + m, len(gram) - 1)], len(gram) - 1
+    keep = [*range(1, 1 + m), y]
+    away = np.linalg.pinv(gram[np.ix_(others, others)], rcond=1e-12, hermitian=True)
+    left = gram[np.ix_(keep, keep)] - gram[np.ix_(keep, others)] @ away @ gram[np.ix_(others, keep)]
+    xx, xy, yy = left[:-1, :-1], left[:-1, -1], left[-1, -1]
+    dof = gram[0, 0] - np.linalg.matrix_rank(gram[np.ix_(others, others)], tol=1e-9 * gram[0, 0], hermitian=True)
+    if dof <= 0:
+        raise ValueError("fewer rows than calendar terms")
+    beta = np.abs(rng.standard_normal(m)) * 0.1
+    out = np.empty((draws, m + 1))
+    floor = 1e-12 * max(yy, 1e-300)
+    for n in range(-warmup, draws):
+        rss = max(yy - 2 * beta @ xy + beta @ xx @ beta, floor)
+        variance = rss / (2 * rng.standard_gamma(dof / 2))
+        for j in range(m):
+            if xx[j, j] > 1e-12 * gram[media, media][j, j]:
+                mean = beta[j] + (xy[j] - xx[j] @ beta) / xx[j, j]
+                beta[j] = _half_normal_tail(rng, mean, np.sqrt(variance / xx[j, j]))
+        if n >= 0:
+            out[n, :m], out[n, m] = beta, np.sqrt(variance)
+    return out
+
+
+def posterior_draws(spark, fit: MediaFit, chains: int = 4, draws: int = 1000, warmup: int = 500, seed: int = 42) -> DataFrame:
+    """(chain, draw, channel, beta) in raw units: Gibbs chains on the fit's cross-products, one chain a task.
+
+    A chain depends on the seed and its number only.
+    """
+    gram, names, unit, m = fit.gram, list(fit.channels), fit.sales_scale, len(fit.channels)
+
+    def run(frames):
+        for pdf in frames:
+            for chain in pdf["id"].tolist():
+                found = _gibbs(gram, m, draws, warmup, np.random.default_rng([seed, chain]))[:, :m] * unit
+                yield pd.DataFrame({"chain": chain, "draw": np.repeat(np.arange(draws), m), "channel": names * draws, "beta": found.ravel()})
+
+    return spark.range(0, chains, 1, chains).mapInPandas(run, "chain bigint, draw bigint, channel string, beta double")
+
+
+def posterior_effects(draws: DataFrame) -> DataFrame:
+    """(channel, n_replicates, mean, lower, median, upper, split_rhat): posterior summary and convergence.
+
+    ``split_rhat`` compares the halves of all chains: near 1 when they agree.
+    """
+    top = draws.agg(((F.max("draw") + 1) / 2).alias("_half"))  # one row
+    parts = draws.crossJoin(F.broadcast(top)).groupBy("channel", "chain", (F.col("draw") < F.col("_half")).alias("early")).agg(
+        F.avg("beta").alias("mean"), F.var_samp("beta").alias("var"), F.count(F.lit(1)).alias("n"))
+    spread = parts.groupBy("channel").agg(F.var_samp("mean").alias("between"), F.avg("var").alias("within"), F.avg("n").alias("n"))
+    rhat = spread.select("channel", F.sqrt((F.col("n") - 1) / F.col("n") + F.try_divide("between", "within")).alias("split_rhat"))
+    return _summary(draws).join(rhat, "channel")

@@ -9,6 +9,7 @@ each partition, and the windows run inside (group, partition) only.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,3 +66,139 @@ def row_number(df: DataFrame, by: Sequence[str], order: Sequence[Column], name:
 
 def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[Column], value: Column, name: str) -> DataFrame:
     return ordered_scan(df, by, order, {name: value}, position=None)
+
+
+# ---------------------------------------------------------------- affine scans
+
+
+class Edge(NamedTuple):
+    """What a block tells its neighbours: its first and last group, and the composed maps of the last."""
+
+    block: int
+    first: tuple
+    last: tuple
+    one: bool  # both are the same run of rows
+    a: list
+    b: list
+
+
+def _starts(batch, by: Sequence[str], before):
+    """Whether each row begins a group, given the row before the batch (a one-row batch, or None)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    out = np.zeros(batch.num_rows, bool)
+    out[0] = before is None
+    for c in by:
+        column = batch.column(c)
+        if before is not None:
+            column = pa.concat_arrays([before.column(c), column])
+        left, right = column.slice(0, len(column) - 1), column.slice(1)
+        differ = pc.or_(pc.xor(pc.is_null(left), pc.is_null(right)), pc.fill_null(pc.not_equal(left, right), False))
+        out[-len(left):] |= np.asarray(differ.to_numpy(zero_copy_only=False), bool) if len(left) else False
+    return out
+
+
+def _compose(a, b, starts):
+    """Inclusive products of the maps s -> a s + b along each run of rows, by doubling steps."""
+    import numpy as np
+
+    closed, step = starts.copy(), 1
+    while step < len(a):
+        free = ~closed[step:, None]
+        b = np.concatenate([b[:step], np.where(free, b[step:] + a[step:] * b[:-step], b[step:])])
+        a = np.concatenate([a[:step], np.where(free, a[step:] * a[:-step], a[step:])])
+        closed = np.concatenate([closed[:step], closed[step:] | closed[:-step]])
+        step *= 2
+    return a, b
+
+
+def _composed_batches(batches, by: Sequence[str], n: int):
+    """(batch, starts, a, b): maps composed from the start of the block or the group, over batch borders."""
+    import numpy as np
+
+    before, last_a, last_b = None, None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        a, b = (np.column_stack([batch.column(f"_{kind}{i}").to_numpy(zero_copy_only=False) for i in range(n)]) for kind in "ab")
+        starts = _starts(batch, by, before)
+        a, b = _compose(a, b, starts)
+        if before is not None and not starts[0]:
+            upto = np.argmax(starts) if starts.any() else len(starts)
+            b[:upto] += a[:upto] * last_b
+            a[:upto] *= last_a
+        before, last_a, last_b = batch.slice(batch.num_rows - 1), a[-1].copy(), b[-1].copy()
+        yield batch, starts, a, b  # the caller may change a and b
+
+
+def _entering(edges: list[Edge], n: int) -> dict[int, list]:
+    """State that each block's first group brings from earlier blocks."""
+    out, held, state = {}, None, [0.0] * n
+    for e in sorted(edges):
+        coming = state if held is not None and held == e.first else [0.0] * n
+        out[e.block] = coming
+        state = [x * s + y for x, s, y in zip(e.a, coming, e.b, strict=True)] if e.one else e.b
+        held = e.last
+    return out
+
+
+def affine_scan(df: DataFrame, by: Sequence[str], order: Sequence[Column], maps: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Add columns that follow ``s = decay * s_before + x`` along each group, from zero, without a cut.
+
+    ``maps`` names (decay, x); both may differ by row, nulls count as zero. Maps compose, so a group is
+    scanned in blocks on many tasks: a first pass composes the maps of each block, the driver chains one
+    state per block (at most the number of partitions), and a second pass starts each block from its
+    state. Rows don't move after the range partitioning. ``order`` must be a total order in a group.
+    """
+    names, n, columns = list(maps), len(maps), df.columns
+    staged = df.withColumns({f"_{kind}{i}": F.coalesce(column.cast("double"), F.lit(0.0))
+                             for i, name in enumerate(names) for kind, column in zip("ab", maps[name], strict=True)})
+    placed = place(staged, by, order)
+    rows = placed.sortWithinPartitions(*[F.col(c).asc() for c in by], *order)
+    keys = [*by, *[f"_{kind}{i}" for kind in "ab" for i in range(n)], "_block"]
+
+    def edges_of(batches):
+        import pyarrow as pa
+
+        first = last = None
+        one = True
+        for batch, starts, a, b in _composed_batches(batches, by, n):
+            if first is None:
+                first, starts = batch.slice(0, 1), starts[1:]
+            one = one and not starts.any()
+            last = batch.slice(batch.num_rows - 1), a[-1], b[-1]
+        if first is not None:
+            for row, told in ((first, False), (last[0], True)):
+                own = [row.column(c) for c in (*by, "_block")]
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.array([told]), pa.array([one]), *[pa.array([last[k].tolist()], pa.list_(pa.float64())) for k in (1, 2)]],
+                    [*by, "_block", "last", "one", "a", "b"])
+
+    schema = placed.select(*by, "_block", F.lit(True).alias("last"), F.lit(True).alias("one"),
+                           F.array(F.lit(0.0)).alias("a"), F.array(F.lit(0.0)).alias("b")).schema
+    told = rows.select(*keys).mapInArrow(edges_of, schema).collect()  # two rows a partition
+    ends = {(r["_block"], r["last"]): r for r in told}
+    group = range(len(by))
+    entering = _entering([Edge(block, tuple(ends[block, False][i] for i in group), tuple(r[i] for i in group), r["one"], r["a"], r["b"])
+                          for (block, last), r in ends.items() if last], n)
+
+    def states(batches):
+        import pyarrow as pa
+
+        begun, inside = False, True
+        for batch, starts, a, b in _composed_batches(batches, by, n):
+            later = starts.cumsum() > (0 if begun else 1)
+            if inside:
+                held = ~later
+                b[held] += a[held] * entering[batch.column("_block")[0].as_py()]
+                inside = not later.any()
+            begun = True
+            kept = [batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays([*kept, *[pa.array(b[:, i]) for i in range(n)]], [*columns, *names])
+
+    out = df.schema
+    for name in names:
+        out = out.add(name, "double")
+    return rows.mapInArrow(states, out)

@@ -29,8 +29,11 @@ def last_periods_split(df: DataFrame, period: str, n_test: int) -> DataFrame:
     return df.crossJoin(F.broadcast(cut)).withColumn("is_test", F.col(period) >= F.col("_cut")).drop("_cut")
 
 
-def pivot_sum(df: DataFrame, index: str, column: str, value: str, levels: Sequence[str]) -> DataFrame:
-    """Long to wide with zero fill. Levels are given, so no extra pass finds them."""
+def pivot_sum(df: DataFrame, index: str, column: str, value: str, levels: Sequence[str] | None = None) -> DataFrame:
+    """Long to wide with zero fill. Levels that are given need no extra pass; without them one combined
+    aggregate finds all that the table has, one result column each."""
+    if levels is None:
+        levels = sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
     return df.groupBy(index).pivot(column, list(levels)).agg(F.sum(value)).fillna(0, subset=list(levels))
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from causeway.operators.ordered import ordered_scan
+from causeway.operators.ordered import affine_scan, ordered_scan
 
 
 def elapsed(df: DataFrame, group: Sequence[str], time: str, name: str = "t") -> DataFrame:
@@ -72,13 +72,10 @@ def interpolate(df: DataFrame, by: Sequence[str], x: str, y: str, at: Column, na
     return ends.select(*by, F.coalesce(inside, F.col("_lo.y"), F.col("_hi.y")).alias(name))
 
 
-def adstock(df: DataFrame, by: Sequence[str], time: str, x: str, decay: float, max_lag: int, name: str) -> DataFrame:
-    """Carry-over: sum over j <= max_lag of decay^j times the value j buckets earlier."""
-    w = Window.partitionBy(*by).orderBy(time)
-    total = F.col(x).cast("double")
-    for j in range(1, max_lag + 1):
-        total = total + F.lit(float(decay) ** j) * F.coalesce(F.lag(x, j).over(w), F.lit(0.0))
-    return df.withColumn(name, total)
+def adstock(df: DataFrame, by: Sequence[str], time: str, x: str, decay: float | Column, name: str) -> DataFrame:
+    """Carry-over ``s = decay * s_before + x`` over the buckets of a series; all earlier buckets count."""
+    share = decay if isinstance(decay, Column) else F.lit(float(decay))
+    return affine_scan(df, by, [F.col(time)], {name: (share, F.col(x))})
 
 
 def lags(df: DataFrame, by: Sequence[str], time: str, column: str, steps: Sequence[int]) -> DataFrame:

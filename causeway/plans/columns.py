@@ -8,7 +8,7 @@ from causeway.functions import columns as C
 from causeway.functions import text as X
 from causeway.functions import vectors as V
 from causeway.operators import ordered, windows
-from causeway.plans.common import MEDIA_SQL, PANEL_SQL, POINTS, media_daily, month_index, orders_panel
+from causeway.plans.common import MEDIA_SQL, PANEL_SQL, POINTS, carried_sql, media_daily, month_index, orders_panel
 from causeway.plans.registry import query
 from causeway.plans.relational import _CURVE, quantity_curve
 from causeway.sources.tables import load
@@ -261,12 +261,10 @@ def w5_interpolation(spark, sf):
     return out.withColumn("value", F.round("value", 6))
 
 
-@query("w6_adstock", f"""WITH {MEDIA_SQL}, lagged AS (SELECT d, channel, x,
- {', '.join(f'coalesce(lag(x, {j}) OVER w, 0) AS x{j}' for j in range(1, 6))}
- FROM media WINDOW w AS (PARTITION BY channel ORDER BY d))
-SELECT d AS date, channel, round(x + {' + '.join(f'{0.6 ** j!r}::DOUBLE * x{j}' for j in range(1, 6))}, 6) AS stock FROM lagged""")
+@query("w6_adstock", f"""WITH RECURSIVE {MEDIA_SQL}, {carried_sql("0.6")}
+SELECT d AS date, channel, round(stock, 6) AS stock FROM carried""")
 def w6_adstock(spark, sf):
-    stocked = windows.adstock(media_daily(spark, sf), ["channel"], "date", "x", 0.6, 5, "stock")
+    stocked = windows.adstock(media_daily(spark, sf), ["channel"], "date", "x", 0.6, "stock")
     return stocked.select("date", "channel", F.round("stock", 6).alias("stock"))
 
 

@@ -51,8 +51,6 @@ ADS_SQL = """ads AS (
   SELECT CAST(ts AS DATE) AS d, event_type AS channel, 1.0::DOUBLE AS imp, value AS spend,
          CASE WHEN event_type = 'purchase' THEN value ELSE 0.0::DOUBLE END AS sales FROM events)"""
 
-CHANNELS = ("click", "error", "signup", "view")
-
 
 def media_daily(spark: SparkSession, sf: str) -> DataFrame:
     """(date, channel, x, spend): media channels per day without the sales channel."""
@@ -69,6 +67,13 @@ MEDIA_SQL = ADS_SQL + """, media AS (
   SELECT d, channel, sum(imp) AS x, sum(spend) AS spend FROM ads WHERE channel <> 'purchase' GROUP BY 1, 2)"""
 
 
+def carried_sql(decay: str, joined: str = "") -> str:
+    """Carry-over of ``media`` by recursion over the days of a channel."""
+    return f"""numbered AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY d) AS i FROM media),
+ carried AS (SELECT *, x::DOUBLE AS stock FROM numbered WHERE i = 1
+  UNION ALL SELECT n.*, n.x + {decay}::DOUBLE * c.stock FROM carried c JOIN numbered n ON n.channel = c.channel AND n.i = c.i + 1 {joined})"""
+
+
 def customer_survival(spark: SparkSession, sf: str) -> DataFrame:
     """Days from a customer's first to last order; churned when the last order is over 180 days old.
 

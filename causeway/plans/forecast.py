@@ -65,7 +65,7 @@ def t5_forecast_interval(spark, sf):
 
 
 _T6_SQL = """WITH p AS (SELECT o_orderpriority AS grp, CAST((year(o_orderdate)-1995)*12+month(o_orderdate)-1 AS BIGINT) AS time,
-  sum(o_totalprice) AS y FROM orders WHERE o_orderdate < TIMESTAMP '2001-08-01' GROUP BY 1, 2),
+  sum(o_totalprice) AS y FROM orders GROUP BY 1, 2),
  m AS (SELECT grp, regr_slope(y, time) AS b, regr_intercept(y, time) AS a FROM p WHERE time < 59 GROUP BY 1),
  e AS (SELECT grp, time >= 59 AS is_test, y, a + b*time AS f FROM p JOIN m USING (grp)),
  s AS (SELECT grp, is_test, count(*) AS n, avg(abs((y-f)/y))*100 AS mape, avg(abs(y-f)) AS mae, sqrt(avg((y-f)*(y-f))) AS rmse,
@@ -76,15 +76,14 @@ _T6_SQL = """WITH p AS (SELECT o_orderpriority AS grp, CAST((year(o_orderdate)-1
  round(r2, 7) AS r2, round(correlation, 7) AS correlation,
  CAST(row_number() OVER (PARTITION BY is_test ORDER BY mape) AS INTEGER) AS rank FROM s""")
 def t6_metrics(spark, sf):
-    from pyspark.sql import Window
-
     from causeway.operators.gram import apply_fit, fit_by
+    from causeway.operators.ordered import row_number
 
     rows = orders_panel(spark, sf)
     fits = fit_by(rows.filter("time < 59"), ["time"], "value", ["group"])
     scored = apply_fit(rows, fits, ["time"], ["group"], "fitted").withColumn("is_test", F.col("time") >= 59)
     table = R.metric_table(scored, F.col("value"), F.col("fitted"), ["group", "is_test"])
-    ranked = table.withColumn("rank", F.row_number().over(Window.partitionBy("is_test").orderBy("mape")))
+    ranked = row_number(table, ["is_test"], [F.col("mape")], "rank").withColumn("rank", F.col("rank").cast("int"))
     digits = {"mape": 6, "mae": 3, "rmse": 3, "r2": 7, "correlation": 7}
     return ranked.withColumns({c: F.round(c, d) for c, d in digits.items()})
 

@@ -5,48 +5,75 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from causeway.operators import media as X
-from causeway.plans.common import CHANNELS, MEDIA_SQL, media_daily, sales_daily
+from causeway.operators.ordered import row_number
+from causeway.operators.tables import last_periods_split, metric_table
+from causeway.plans.common import MEDIA_SQL, carried_sql, media_daily, sales_daily
 from causeway.plans.registry import query
 
-# fixed channel parameters: channel, decay, half-point, slope, effect, price per unit
-FIXED = [
-    ("click", 0.6, 120.0, 0.8, 900.0, 45.0), ("error", 0.3, 90.0, 1.0, 150.0, 50.0),
-    ("signup", 0.5, 150.0, 0.7, 700.0, 52.0), ("view", 0.2, 60.0, 1.6, 400.0, 48.0),
-]
+# parameters of every channel of the table, from its data and its place in the order of names
+_PARAMS_SQL = """params AS (SELECT channel, 0.2::DOUBLE + 0.15::DOUBLE*(row_number() OVER o % 4) AS decay, avg(x) AS half,
+  0.7::DOUBLE + 0.3::DOUBLE*(row_number() OVER o % 4) AS slope, (SELECT sum(sales)/count(DISTINCT d) FROM ads) / count(*) OVER () AS beta,
+  sum(spend)/sum(x) AS price FROM media GROUP BY channel WINDOW o AS (ORDER BY channel))"""
 
-_PARAMS_SQL = "params AS (SELECT * FROM (VALUES " + ", ".join(
-    f"('{c}', {d}::DOUBLE, {h}::DOUBLE, {s}::DOUBLE, {b}::DOUBLE, {p}::DOUBLE)" for c, d, h, s, b, p in FIXED
-) + ") v(channel, decay, half, slope, beta, price))"
-
-_EFFECT_SQL = f"""WITH {MEDIA_SQL}, {_PARAMS_SQL},
- lagged AS (SELECT *, {', '.join(f'coalesce(lag(x, {j}) OVER w, 0) AS x{j}' for j in range(1, 9))}
-  FROM media JOIN params USING (channel) WINDOW w AS (PARTITION BY channel ORDER BY d)),
- stocked AS (SELECT *, x + {' + '.join(f'pow(decay, {j})*x{j}' for j in range(1, 9))} AS stock FROM lagged),
+_EFFECT_SQL = f"""WITH RECURSIVE {MEDIA_SQL}, {_PARAMS_SQL}, {carried_sql("p.decay", "JOIN params p ON p.channel = n.channel")},
+ stocked AS (SELECT c.*, decay, half, slope, beta, price FROM carried c JOIN params USING (channel)),
  eff AS (SELECT *, beta * pow(stock, slope) / (pow(stock, slope) + pow(half, slope)) AS effect FROM stocked),
  sale AS (SELECT d, sum(sales) AS sales FROM ads GROUP BY 1)"""
 
 
-def params(spark):
-    return spark.createDataFrame(FIXED, "channel string, decay double, half double, slope double, beta double, price double")
+def params(spark, sf):
+    """Channel parameters: a channel-sized frame."""
+    media, sales = media_daily(spark, sf), sales_daily(spark, sf)
+    mean = sales.agg((F.sum("sales") / F.count("date")).alias("_sales"))
+    own = media.groupBy("channel").agg(F.avg("x").alias("half"), (F.sum("spend") / F.sum("x")).alias("price"))
+    placed = row_number(own, [], [F.col("channel")], "_place")
+    turn = F.col("_place") % 4
+    total = own.agg(F.count(F.lit(1)).alias("_n")).crossJoin(F.broadcast(mean))
+    return placed.crossJoin(F.broadcast(total)).select(
+        "channel", (0.2 + 0.15 * turn).alias("decay"), "half", (0.7 + 0.3 * turn).alias("slope"),
+        (F.col("_sales") / F.col("_n")).alias("beta"), "price")
 
 
 def effects(spark, sf):
-    return X.channel_effects(media_daily(spark, sf), params(spark))
+    return X.channel_effects(media_daily(spark, sf), params(spark, sf))
 
 
 @query("x1_media_fit")
 def x1_media_fit(spark, sf):
-    _, scores = X.fit_media(media_daily(spark, sf), sales_daily(spark, sf), CHANNELS)
+    _, scores = X.fit_media(media_daily(spark, sf), sales_daily(spark, sf))
     return scores
 
 
+@query("x1_media_own_shapes")
+def x1_media_own_shapes(spark, sf):
+    fit, _ = X.fit_media(media_daily(spark, sf), sales_daily(spark, sf), own_shapes=True)
+    return fit.params(spark)
+
+
+@query("x1_media_holdout")
+def x1_media_holdout(spark, sf):
+    """Fit without the last 28 dates, predict all, and score both parts."""
+    media, sales = media_daily(spark, sf), sales_daily(spark, sf)
+    split = last_periods_split(sales, "date", 28)
+    train = split.filter("NOT is_test")
+    fit, _ = X.fit_media(media.join(train.select("date"), "date", "left_semi"), train, own_shapes=True)
+    scored = split.join(fit.predict(media), "date")
+    return metric_table(scored, F.col("sales"), F.col("predicted"), ["is_test"])
+
+
 @query("x2_bootstrap_effects")
 def x2_bootstrap_effects(spark, sf):
     media, sales = media_daily(spark, sf), sales_daily(spark, sf)
-    fit, _ = X.fit_media(media, sales, CHANNELS)
+    fit, _ = X.fit_media(media, sales)
     return X.bootstrap_effects(media, sales, fit)
 
 
+@query("x2_posterior_effects")
+def x2_posterior_effects(spark, sf):
+    fit, _ = X.fit_media(media_daily(spark, sf), sales_daily(spark, sf), own_shapes=True)
+    return X.posterior_effects(X.posterior_draws(spark, fit))
+
+
 @query("x3_contribution_and_roi", _EFFECT_SQL + """ SELECT channel, round(sum(effect), 5) AS contribution, round(sum(spend), 2) AS spend,
  round(sum(effect) / (SELECT sum(sales) FROM sale), 9) AS share, round(sum(effect) / sum(spend), 9) AS roi FROM eff GROUP BY 1""")
 def x3_contribution_and_roi(spark, sf):
@@ -60,7 +87,7 @@ def x3_contribution_and_roi(spark, sf):
 SELECT channel, round(x, 6) AS x, round(CASE WHEN x <= 0 THEN 0 ELSE beta*pow(x, slope)/(pow(x, slope) + pow(half, slope)) END, 6) AS response FROM g""")
 def x4_response_curves(spark, sf):
     ranges = effects(spark, sf).groupBy("channel").agg(F.max("stock").alias("high"))
-    out = X.response_curves(params(spark), ranges, 50)
+    out = X.response_curves(params(spark, sf), ranges, 50)
     return out.withColumns({c: F.round(c, 6) for c in ("x", "response")})
 
 
@@ -88,5 +115,5 @@ SELECT channel, round(coalesce(spend, 0), 4) AS spend, round(CASE WHEN coalesce(
 def x6_budget_split(spark, sf):
     """Split the average daily spend of all channels."""
     total = media_daily(spark, sf).agg(F.round(F.sum("spend") / F.count_distinct("date"), 2).alias("b")).first()["b"]
-    out = X.budget_split(params(spark), float(total), 100)
+    out = X.budget_split(params(spark, sf), float(total), 100)
     return out.select("channel", F.round("spend", 4).alias("spend"), F.round("response", 6).alias("response"))

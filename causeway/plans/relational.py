@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from causeway.functions import columns as C
 from causeway.operators import tables as R
+from causeway.operators.intervals import window_moments
 from causeway.operators.its import SegmentedOls, compare_effects
 from causeway.operators.regress import Regression
 from causeway.plans.common import (
-    ADS_SQL, CHANNELS, MEDIA_SQL, PANEL_SQL, POINTS, POOLED_SQL, events_ads, media_daily, orders_panel,
+    ADS_SQL, MEDIA_SQL, PANEL_SQL, POINTS, POOLED_SQL, events_ads, media_daily, orders_panel,
 )
 from causeway.plans.registry import query
 from causeway.session import scratch_path
@@ -169,10 +172,13 @@ WITH {PANEL_SQL}, c AS (SELECT * FROM (VALUES (6.0), (13.0), (20.0)) v(point))
 SELECT CAST(point AS DOUBLE) AS point, count(*) AS n, round(regr_slope(value, time), 4) AS slope
 FROM panel CROSS JOIN c WHERE time < point GROUP BY 1""")
 def j3_candidates_by_rows(spark, sf):
-    points = spark.createDataFrame([(6.0,), (13.0,), (20.0,)], "point double")
-    rows = orders_panel(spark, sf).join(F.broadcast(points), F.col("time") < F.col("point"))
-    return rows.groupBy("point").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.regr_slope("value", F.col("time").cast("double")), 4).alias("slope"))
+    """Fits on the rows before each candidate point, from one read of the rows."""
+    points = [6.0, 13.0, 20.0]
+    rows = window_moments(orders_panel(spark, sf), "time", ["value"], [(-math.inf, p, p) for p in points], [])
+    n, t, y, tt, ty = (F.col("pre")[i] for i in (0, 1, 3, 4, 6))
+    slope = (ty - t * y / n) / (tt - t * t / n)
+    at = F.array(*[F.lit(p) for p in points])
+    return rows.select(F.get(at, F.col("candidate").cast("int")).alias("point"), n.cast("bigint").alias("n"), F.round(slope, 4).alias("slope"))
 
 
 _METRICS = """round(avg(abs((y - f) / y)) * 100, 5) AS mape, round(avg(abs(y - f)), 3) AS mae,
@@ -234,10 +240,11 @@ def a4_group_means(spark, sf):
         F.round(F.avg("l_discount"), 8).alias("discount"), F.round(F.avg("l_tax"), 8).alias("tax"))
 
 
-@query("a5_pivot_zero_fill", f"""WITH {MEDIA_SQL} SELECT d AS date,
-{', '.join(f"coalesce(sum(x) FILTER (WHERE channel = '{c}'), 0) AS {c}" for c in CHANNELS)} FROM media GROUP BY 1""")
+@query("a5_pivot_zero_fill", """SELECT date, coalesce(COLUMNS(* EXCLUDE date), 0) AS '\\0' FROM (
+ PIVOT (SELECT CAST(ts AS DATE) AS date, event_type AS channel, 1.0::DOUBLE AS x FROM events WHERE event_type <> 'purchase')
+ ON channel USING sum(x) GROUP BY date)""")
 def a5_pivot_zero_fill(spark, sf):
-    return R.pivot_sum(media_daily(spark, sf), "date", "channel", "x", CHANNELS)
+    return R.pivot_sum(media_daily(spark, sf), "date", "channel", "x")
 
 
 @query("a6_weekly_resample", """

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from causeway.functions.columns import ordinal
 from causeway.operators import survival as S
+from causeway.operators.forest import SurvivalForest
 from causeway.operators.logistic import compare_penalties, fit_logistic
 from causeway.operators.tables import hash_split, head_and_tail
 from causeway.plans.common import SURVIVAL_SQL, customer_survival
@@ -73,6 +74,29 @@ def v4_predicted_curves(spark, sf):
     return forest(rows).curves(chosen, "c_custkey")
 
 
+def survival_forest(rows):
+    """1000 trees, split from 10 rows on, 15 rows a leaf, as many levels as those allow."""
+    return SurvivalForest.fit(rows, "c_custkey", _FEATURES, "time", "event", trees=1000, min_split=10, min_leaf=15)
+
+
+@query("v3_survival_forest")
+def v3_survival_forest(spark, sf):
+    """Concordance of the log-rank forest on held-out customers."""
+    rows = hash_split(encoded(spark, sf), F.col("c_custkey"), 25, 20)
+    model = survival_forest(rows.filter(~F.col("is_test")))
+    test = rows.filter("is_test")
+    scored = test.join(model.risk(test, "c_custkey"), "c_custkey")
+    return S.concordance(scored, "time", "event", "risk")
+
+
+@query("v4_forest_curves")
+def v4_forest_curves(spark, sf):
+    """Curves of six held-out customers at every event time of the others."""
+    rows = hash_split(encoded(spark, sf), F.col("c_custkey"), 25, 20)
+    chosen = head_and_tail(rows.filter("is_test"), ["c_acctbal", "c_custkey"], 3)
+    return survival_forest(rows.filter(~F.col("is_test"))).curves(chosen, "c_custkey")
+
+
 _LOGIT_FEATURES = ["quantity", "price", "discount", "tax"]
 
 
