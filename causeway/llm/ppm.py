@@ -33,7 +33,8 @@ MODEL_ROWS = 2_000_000  # n-grams of all orders in a trie that is broadcast whol
 LOW = 2  # contexts of fewer bytes have a bounded number of n-grams, which joins broadcast
 HOT_WORDS = 300_000  # words whose counts are broadcast; the rest is joined
 CHUNK = 1 << 20  # bytes counted or scored at a time
-HELD = 1_000_000  # different n-grams or words a task gathers before it hands them on
+HELD = 1_000_000  # different n-grams a task gathers before it hands them on
+HELD_WORDS = 250_000  # the same for words
 SCATTER = 0x9E3779B97F4A7C15  # odd, so multiplication permutes the 64-bit numbers
 
 
@@ -94,7 +95,7 @@ class Trie:
                 taken = np.add.reduceat(below[1][below[0].find(shorter)], first)
             self.contexts.append((Index(owner[first]), total, symbols, taken))
             if k == self.order:
-                self.full = np.log((2 * n - 1) / (2 * np.repeat(total, symbols.astype(np.int64)))).astype(np.float32)
+                self.full = np.log((2 * n - 1) / (2 * np.repeat(total, symbols.astype(np.int64))))
             below = (table, n)
 
     def plain(self) -> dict:
@@ -122,7 +123,7 @@ class Trie:
         keys = np.ndarray((n,), ">u8", padded.tobytes(), strides=(1,)).astype(np.uint64)
         keys &= np.uint64((1 << (8 * (self.order + 1))) - 1)
         at = self.grams[self.order].find(keys)
-        out = self.full[at].astype(np.float64) if len(self.full) else np.zeros(n)
+        out = self.full[at] if len(self.full) else np.zeros(n)
         left = np.flatnonzero(at < 0)
         spent = np.zeros(len(left))
         taken, taken_symbols = np.zeros(len(left)), np.zeros(len(left))
@@ -157,6 +158,18 @@ def normal_words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+def slices(batch):
+    """Parts (first row, texts) of a batch with about ``CHUNK`` bytes of text, or one longer text."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0)).astype(np.int64)
+    part = np.cumsum(sizes) // CHUNK
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)] if len(sizes) else []
+    for a, b in zip(edges, edges[1:], strict=False):
+        yield a, batch.column("text").slice(a, b - a).to_pylist()
+
+
 def streams(items, order: int):
     """Chunks (bytes, [(item, first, end)]) of padded streams; parts of one long item overlap by the context.
 
@@ -195,8 +208,9 @@ def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
 
         def rows():
             for batch in batches:
-                for text in batch["text"].to_pylist():
-                    yield None, normal_words(text)
+                for _, texts in slices(batch):
+                    for text in texts:
+                        yield None, normal_words(text)
 
         held: list = []
         waiting = 0
@@ -232,11 +246,12 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
         held: Counter = Counter()
         for batch in batches:
-            for text in batch["text"].to_pylist():
-                held.update(normal_words(text))
-                if len(held) >= HELD // 2:
+            for _, texts in slices(batch):
+                for text in texts:
+                    held.update(normal_words(text))
+                if len(held) >= HELD_WORDS:
                     yield handed(held)
-                    held.clear()
+                    held = Counter()
         yield handed(held)
 
     return texts.select("text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -271,12 +286,6 @@ def made(kept: DataFrame, order: int) -> Trie:
     return Trie([gram[k == i].astype(np.uint64) for i in range(order + 1)], [n[k == i] for i in range(order + 1)])
 
 
-def train(texts: DataFrame, order: int = ORDER, model_rows: int = MODEL_ROWS) -> Trie:
-    """Trie of all ``texts``; of rare n-grams only so many are left out that ``model_rows`` hold."""
-    every = of_all_orders(gram_levels(texts, order))
-    return made(every.filter(F.col("n") >= least_count(every, model_rows)), order)
-
-
 def context_facts(level: DataFrame, k: int) -> DataFrame:
     """(gram, n, owner, total, symbols, taken) of a level: sums over the n-grams with the same context.
 
@@ -326,6 +335,27 @@ def hot_logs(longest: DataFrame, model_rows: int) -> dict:
     return {"index": vars(Index(kept["gram"].to_numpy().astype(np.uint64))), "logs": kept["logp"].to_numpy()}
 
 
+def hot_word_table(words: DataFrame) -> tuple[bytes, object, object]:
+    """Words as one run of bytes with their ends, and their counts."""
+    import numpy as np
+
+    table = words.select("word", F.octet_length("word").alias("size"), "n").toArrow()
+    return b"".join(table["word"].to_pylist()), np.cumsum(table["size"].to_numpy()), table["n"].to_numpy()
+
+
+def word_logs(table, scale: float) -> dict[bytes, float]:
+    """Logarithms by word; words with equal counts share the number."""
+    text, ends, counts = table
+    by_count: dict[int, float] = {}
+    out, at = {}, 0
+    for end, n in zip(ends.tolist(), counts.tolist(), strict=True):
+        if n not in by_count:
+            by_count[n] = math.log10(n + 0.5) - scale
+        out[text[at:end]] = by_count[n]
+        at = end
+    return out
+
+
 class Hot:
     """Logarithms of the n-grams of ``hot_logs``; those of others are missing."""
 
@@ -372,8 +402,6 @@ def score(documents: DataFrame, learns: Column, order: int = ORDER, model_rows:
     total, different = facts["n"] + ends, facts["v"] + (ends > 0)
     scale = math.log10(total + 0.5 * (different + 1))
     least = least_count(words, hot_words)
-    hot = words.filter(F.col("n") >= least).toArrow()
-    hot_table = dict(zip(hot["word"].to_pylist(), hot["n"].to_pylist(), strict=True))
     levels = gram_levels(learned, order)
     whole = sum(level.count() for level in levels) <= model_rows
     if whole:
@@ -381,67 +409,73 @@ def score(documents: DataFrame, learns: Column, order: int = ORDER, model_rows:
     else:
         longest = stored(context_facts(levels[order], order), "contexts")
         grams = hot_logs(longest, model_rows)
-    model = spark.sparkContext.broadcast((grams, hot_table))
+    model = spark.sparkContext.broadcast((grams, hot_word_table(words.filter(F.col("n") >= least))))
+    del grams
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        arrays, counts = model.value
+        arrays, table = model.value
         trie = Trie.of(arrays) if whole else Hot(arrays, order)
-        logs = {word: math.log10(n + 0.5) - scale for word, n in counts.items()}
+        logs = word_logs(table, scale)
         end_log = math.log10(ends + 0.5) - scale
         part, index = TaskContext.get().partitionId() << 40, 0
-        word_kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+
+        def lists(offsets, **columns):
+            fields = pa.StructArray.from_arrays(list(columns.values()), list(columns))
+            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), fields)
 
         def missed(parts, size):
             """Lists of (gram, n) by text, from parts of (texts, n-grams, counts)."""
             of, gram, n = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else np.empty((3, 0), np.int64)
             by = np.argsort(of, kind="stable")
-            ends = np.searchsorted(of[by], np.arange(size + 1)).astype(np.int32)
-            fields = [pa.array(gram[by].astype(np.int64)), pa.array(n[by].astype(np.int64))]
-            return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(fields, ["gram", "n"]))
+            return lists(np.searchsorted(of[by], np.arange(size + 1)), gram=pa.array(gram[by].astype(np.int64)), n=pa.array(n[by].astype(np.int64)))
 
         for batch in batches:
-            texts = batch["text"].to_pylist()
-            scores = np.zeros(len(texts))
-            tokens, known, base, rare, lost = [], [], [], [], []
-
-            def items():
-                for i, text in enumerate(texts):
-                    words = normal_words(text)
-                    found = list(map(logs.get, words))
-                    missing: Counter = Counter()
-                    if None in found:
-                        missing.update(w for w, x in zip(words, found, strict=True) if x is None)
-                        found = [x for x in found if x is not None]
-                    tokens.append(len(words) + 1)
-                    known.append(len(found) + (ends > 0))
-                    base.append(math.fsum(found) + end_log)
-                    rare.append([{"word": w, "n": n} for w, n in missing.items()])
-                    yield i, words
-
-            for data, spans in streams(items(), trie.order):
-                stream = np.frombuffer(data, np.uint8)
-                of, first, end = (np.asarray(c, np.int64) for c in zip(*spans, strict=True))
-                if whole:
-                    logp = trie.log_probability(stream)
-                else:
-                    logp, gram, spot = trie.lookup(stream)
-                    span = np.searchsorted(first - trie.order, spot, side="right") - 1
-                    inside = spot < end[span] - trie.order  # others are padding between texts
-                    span, gram = span[inside], gram[inside]
-                    by = np.lexsort((gram, span))
-                    span, gram = span[by], gram[by]
-                    new = np.flatnonzero(np.concatenate([[True], (span[1:] != span[:-1]) | (gram[1:] != gram[:-1])])) if len(span) else by
-                    lost.append((of[span[new]], gram[new].astype(np.int64), np.diff(np.append(new, len(span)))))
-                sums = np.concatenate([[0.0], np.cumsum(logp)])
-                np.add.at(scores, of, sums[end - trie.order] - sums[first - trie.order])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(index, index + len(texts)) + part), batch["doc_id"], batch["learned"], pa.array(tokens, pa.int64()),
-                 pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(scores / math.log(10)), pa.array(rare, word_kind), missed(lost, len(texts))],
-                ["row", "doc_id", "learned", "n_tokens", "known", "base", "score", "rare", "lost"])
-            index += len(texts)
+            for start, texts in slices(batch):
+                scores = np.zeros(len(texts))
+                tokens, known, base, lost = [], [], [], []
+                rare, times, rare_ends = [], [], [0]
+
+                def items(texts=texts, tokens=tokens, known=known, base=base, rare=rare, times=times, rare_ends=rare_ends):
+                    for i, text in enumerate(texts):
+                        words = normal_words(text)
+                        found = list(map(logs.get, words))
+                        if None in found:
+                            missing = Counter(w for w, x in zip(words, found, strict=True) if x is None)
+                            rare.extend(missing)
+                            times.extend(missing.values())
+                            found = [x for x in found if x is not None]
+                        rare_ends.append(len(rare))
+                        tokens.append(len(words) + 1)
+                        known.append(len(found) + (ends > 0))
+                        base.append(math.fsum(found) + end_log)
+                        yield i, words
+
+                for data, spans in streams(items(), trie.order):
+                    stream = np.frombuffer(data, np.uint8)
+                    of, first, end = (np.asarray(c, np.int64) for c in zip(*spans, strict=True))
+                    if whole:
+                        logp = trie.log_probability(stream)
+                    else:
+                        logp, gram, spot = trie.lookup(stream)
+                        span = np.searchsorted(first - trie.order, spot, side="right") - 1
+                        inside = spot < end[span] - trie.order  # others are padding between texts
+                        span, gram = span[inside], gram[inside]
+                        by = np.lexsort((gram, span))
+                        span, gram = span[by], gram[by]
+                        new = np.flatnonzero(np.concatenate([[True], (span[1:] != span[:-1]) | (gram[1:] != gram[:-1])])) if len(span) else by
+                        lost.append((of[span[new]], gram[new].astype(np.int64), np.diff(np.append(new, len(span)))))
+                    sums = np.concatenate([[0.0], np.cumsum(logp)])
+                    np.add.at(scores, of, sums[end - trie.order] - sums[first - trie.order])
+                own = [batch[c].slice(start, len(texts)) for c in ("doc_id", "learned")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(index, index + len(texts)) + part), *own, pa.array(tokens, pa.int64()), pa.array(known, pa.int64()),
+                     pa.array(base, pa.float64()), pa.array(scores / math.log(10)),
+                     lists(rare_ends, word=pa.array(rare, pa.binary()), n=pa.array(times, pa.int64())), missed(lost, len(texts))],
+                    ["row", "doc_id", "learned", "n_tokens", "known", "base", "score", "rare", "lost"])
+                index += len(texts)
 
     schema = ("row bigint, doc_id bigint, learned boolean, n_tokens bigint, known bigint, base double, score double, "
               "rare array<struct<word:binary,n:bigint>>, lost array<struct<gram:bigint,n:bigint>>")

@@ -52,6 +52,7 @@ TEST = [*TRAIN, "the rat sat xq on vu\x01 the zcat", "日本", "b" * 3000, "  Th
 def test_against_brute_force(spark, monkeypatch, order):
     monkeypatch.setattr(ppm, "CHUNK", 64)  # long texts are scored in parts
     monkeypatch.setattr(ppm, "HELD", 50)
+    monkeypatch.setattr(ppm, "HELD_WORDS", 3)
     rows = [(i, t) for i, t in enumerate(TRAIN)] + [(100 + i, t) for i, t in enumerate(TEST)]
     seen = counts(TRAIN, order)
     for hot in (1000, 0):
@@ -61,7 +62,7 @@ def test_against_brute_force(spark, monkeypatch, order):
         total, different = sum(words.values()) + len(TRAIN), len(words) + 1
         for r in found:
             text = dict(rows)[r.doc_id]
-            assert r.score == pytest.approx(log10(seen, text, order), rel=1e-6)
+            assert r.score == pytest.approx(log10(seen, text, order), rel=1e-9)
             own = [words[w] for w in ppm.normal_words(text)] + [len(TRAIN)]
             assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(c > 0 for c in own), total)
             assert r.base_score == pytest.approx(sum(math.log10((c + 0.5) / (total + 0.5 * (different + 1))) for c in own), rel=1e-9)
@@ -84,6 +85,25 @@ def test_no_training_rows_and_no_room(spark):
     assert alone.score == pytest.approx(3 * math.log10(1 / 256))
 
 
+def test_both_ways_of_scoring_agree(spark, sf):
+    """The same scores from a trie that is broadcast whole and from joins, on the given table."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id % 9 = 0")
+    one, two = ({r.doc_id: r for r in ppm.score(docs, F.col("doc_id") % 2 == 0, model_rows=m, hot_words=h).collect()} for m, h in ((2_000_000, 300_000), (5_000, 50)))
+    for d, r in one.items():
+        assert two[d].score == pytest.approx(r.score, rel=1e-10) and two[d].base_score == pytest.approx(r.base_score, rel=1e-10)
+        assert (two[d].n_tokens, two[d].n_known) == (r.n_tokens, r.n_known)
+
+
+def test_slices_hold_every_text_once(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(ppm, "CHUNK", 10)
+    texts = ["a" * 25, None, "", "b" * 4, "c" * 4, "d" * 4, None, "é" * 9, ""]
+    parts = list(ppm.slices(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]).slice(1)))
+    assert [t for _, p in parts for t in p] == texts[1:] and [a for a, _ in parts] == [sum(len(p) for _, p in parts[:i]) for i in range(len(parts))]
+    assert len(parts) > 2 and list(ppm.slices(pa.RecordBatch.from_arrays([pa.array([], pa.string())], ["text"]))) == []
+
+
 def test_probabilities_sum_to_one():
     order = 3
     seen = counts(TRAIN, order)
@@ -97,13 +117,6 @@ def test_probabilities_sum_to_one():
         assert sum(map(math.exp, logs)) == pytest.approx(1, abs=1e-6)
 
 
-def test_pruned_trie_still_sums_to_one(spark):
-    trie = ppm.train(documents(spark, list(enumerate(TRAIN))), 3, 40)
-    assert sum(len(n) for n in trie.counts) <= 40
-    for context in (b"the", b"zzz", b"aaa"):
-        assert sum(math.exp(trie.log_probability(np.frombuffer(context + bytes([s]), np.uint8))[0]) for s in range(256)) == pytest.approx(1, abs=1e-6)
-
-
 def test_odd_rows_and_empty_tables(spark):
     rows = odd_rows()
     found = ppm.score_documents(documents(spark, rows)).collect()
