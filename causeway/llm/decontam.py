@@ -7,12 +7,15 @@ over all segments.
 
 A phrase is searched from its rarest term in the segment: that list, minus the term's place in the phrase,
 gives possible starts; the offset-adjusted lists of the other terms, rarer ones first, are
-intersected with them. All phrases of a block are intersected at once in numpy.
+intersected with them. A proximity match needs all words of a phrase, as often as it has them, in any order within
+the phrase's length and some slack: places of the rarest term are kept where every other list has a
+position near enough, and the few that are left are checked word by word. All phrases of a block
+are intersected at once in numpy.
 """
 
 from __future__ import annotations
 
-import itertools
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark import TaskContext
@@ -26,7 +29,9 @@ BLOCK_WORDS = 400_000  # words of test items that are searched at a time
 
 INDEX = ("segment bigint, doc_ids array<bigint>, doc_starts array<bigint>, doc_words array<bigint>, "
          "terms array<binary>, list_ends array<bigint>, positions array<int>")
-FOUND = ("segment bigint, slot int, doc_id bigint, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>")
+FOUND = ("segment bigint, slot int, doc_id bigint, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>, "
+         "near array<string>")
+SLACK = 2  # words that a proximity match may be longer than its phrase
 
 #: ASCII letters lower-cased, digits and bytes above ASCII kept, all else a blank
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -36,63 +41,46 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().translate(WORD_BYTES).split() if text else []
 
 
-def build_index(documents: DataFrame, terms: frozenset[bytes] | None = None) -> DataFrame:
-    """Write the positional index of (doc_id, text) rows and return it.
+def build_index(documents: DataFrame) -> DataFrame:
+    """Write the positional index of all tokens of (doc_id, text) rows and return it.
 
-    ``terms`` restricts the postings to those terms; None stores every token. Each row of
-    ``documents`` has its own slot, in the order of the task's rows.
+    Each row of ``documents`` has its own slot, in the order of the task's rows.
     """
-    spark = documents.sparkSession
-    kept = spark.sparkContext.broadcast(None if terms is None else {t: i for i, t in enumerate(sorted(terms))})
     limit = SEGMENT_WORDS
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        wanted, part = kept.value, TaskContext.get().partitionId() << 32
-        state = {"n": 0}
-
-        def begin():
-            state.update(ids=[], starts=[], sizes=[], at=[], term=[], words=0, own={} if wanted is None else None)
-
-        def close():
-            term = np.concatenate(state["term"]) if state["term"] else np.empty(0, np.int64)
-            at = np.concatenate(state["at"]) if state["at"] else np.empty(0, np.int64)
-            order = np.argsort(term, kind="stable")
-            term, at = term[order], at[order]
-            last = np.flatnonzero(np.concatenate([term[1:] != term[:-1], [True]])) if len(term) else np.empty(0, np.int64)
-            names = list(wanted if wanted is not None else state["own"])
-            row = ([part + state["n"]], [state["ids"]], [state["starts"]], [state["sizes"]],
-                   [[names[t] for t in term[last].tolist()]], [last + 1], [at])
+        part, closed = TaskContext.get().partitionId() << 32, 0
+        ids, starts, sizes, coded, own, words = [], [], [], [], {}, 0
+
+        def segment():
+            term = np.concatenate(coded)
+            at = np.flatnonzero(term >= 0)  # the free places behind documents are no terms
+            order = at[np.argsort(term[at], kind="stable")].astype(np.int32)
+            ends = np.cumsum(np.bincount(term[at], minlength=len(own)))
+            row = ([part + closed], [ids], [starts], [sizes], [list(own)], [ends], [order])
             kinds = [pa.int64(), *[pa.list_(k) for k in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32())]]
             columns = ["segment", "doc_ids", "doc_starts", "doc_words", "terms", "list_ends", "positions"]
-            state["n"] += 1
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], columns)
 
-        begin()
         for batch in batches:
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                words = words_of(text)
-                state["ids"].append(doc)
-                state["starts"].append(state["words"])
-                state["sizes"].append(len(words))
-                if wanted is not None:
-                    term = np.fromiter((wanted.get(w, -1) for w in words), np.int64, len(words))
-                    at = np.flatnonzero(term >= 0)
-                    term = term[at]
-                else:
-                    own = state["own"]
-                    term = np.fromiter((own.setdefault(w, len(own)) for w in words), np.int64, len(words))
-                    at = np.arange(len(words))
-                state["term"].append(term)
-                state["at"].append(at + state["words"])
-                state["words"] += len(words) + 1
-                if state["words"] >= limit:
-                    yield close()
-                    begin()
-        if state["ids"]:
-            yield close()
+            texts = batch["text"]
+            for i, doc in enumerate(batch["doc_id"].to_pylist()):
+                found = words_of(texts[i].as_py())
+                ids.append(doc)
+                starts.append(words)
+                sizes.append(len(found))
+                coded.append(np.fromiter((own.setdefault(w, len(own)) for w in found), np.int32, len(found)))
+                coded.append(np.array([-1], np.int32))
+                words += len(found) + 1
+                if words >= limit:
+                    yield segment()
+                    closed += 1
+                    ids, starts, sizes, coded, own, words = [], [], [], [], {}, 0
+        if ids:
+            yield segment()
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return stored(rows.mapInArrow(run, INDEX), "postings")
@@ -145,30 +133,83 @@ class Postings:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return (position >= 0) & (self.keys[at] == key)
 
+    def holds_near(self, term, low, high):
+        """Whether each term's list holds a position from ``low`` to ``high``."""
+        import numpy as np
 
-def phrase_starts(postings: Postings, phrases, sizes):
-    """(phrase, start) of every occurrence."""
+        first = (self.list_of[term] << 40) + np.maximum(low, 0)
+        at = np.minimum(np.searchsorted(self.keys, first), len(self.keys) - 1)
+        return (self.keys[at] >= first) & (self.keys[at] <= (self.list_of[term] << 40) + high)
+
+
+def rarest_places(postings: Postings, phrases, sizes):
+    """(row of phrases, position, places by rarity): all positions of the rarest term of phrases whose terms all occur."""
     import numpy as np
 
-    width = phrases.shape[1]
     rows = np.arange(len(phrases))
     inside = phrases >= 0
     length = np.where(inside, postings.size[np.maximum(phrases, 0)], np.iinfo(np.int64).max)
     rows = rows[(length > 0).all(1) & (sizes > 0)]
-    if not len(rows):
-        return rows, rows
     places = np.argsort(length[rows], axis=1, kind="stable")  # rarest first, places behind the end last
+    if not len(rows):
+        return rows, rows, places
     rarest = phrases[rows, places[:, 0]]
     n = postings.size[rarest]
     which = np.repeat(np.arange(len(rows)), n)
     nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    start = postings.positions[postings.begin[rarest][which] + nth] - places[which, 0]
-    for k in range(1, width):
-        place = places[which, k]
-        term = phrases[rows[which], place]
+    return rows[which], postings.positions[postings.begin[rarest][which] + nth], places[which]
+
+
+def phrase_starts(postings: Postings, phrases, sizes):
+    """(phrase, start) of every occurrence."""
+    import numpy as np
+
+    row, position, places = rarest_places(postings, phrases, sizes)
+    start = position - places[:, 0] if len(row) else position
+    for k in range(1, phrases.shape[1]):
+        place = places[:, k]
+        term = phrases[row, place]
         left = (term < 0) | postings.holds(np.maximum(term, 0), start + place)
-        which, start = which[left], start[left]
-    return rows[which], start
+        row, start, places = row[left], start[left], places[left]
+    return row, start
+
+
+def near_places(postings: Postings, phrases, sizes, slack: int):
+    """(phrase, position of its rarest term) around which each of its terms has a position near enough."""
+    import numpy as np
+
+    row, position, places = rarest_places(postings, phrases, sizes)
+    for k in range(1, phrases.shape[1]):
+        term, reach = phrases[row, places[:, k]], sizes[row] + slack - 1
+        left = (term < 0) | postings.holds_near(np.maximum(term, 0), position - reach, position + reach)
+        row, position, places = row[left], position[left], places[left]
+    return row, position
+
+
+def window_around(postings: Postings, terms: list[int], slack: int, at: int, low: int, high: int) -> tuple[int, int] | None:
+    """Smallest window (start, end) over position ``at`` within ``low`` to ``high`` that has all ``terms``, each as
+    often as the list does, and is at most ``slack`` words longer than the list. Of equal ones the first."""
+    import numpy as np
+
+    need = Counter(terms)
+    span = len(terms) + slack
+    low, high = max(low, at - span + 1), min(high, at + span)
+    places = []
+    for t in need:
+        own = postings.positions[postings.begin[t]:postings.begin[t] + postings.size[t]]
+        places += [(int(p), t) for p in own[np.searchsorted(own, low):np.searchsorted(own, high)]]
+    places.sort()
+    best, left, lacking = None, 0, sum(need.values())
+    for place, t in places:
+        need[t] -= 1
+        lacking -= need[t] >= 0
+        while places[left][0] < at and need[places[left][1]] < 0:
+            need[places[left][1]] += 1
+            left += 1
+        first = places[left][0]
+        if not lacking and first <= at <= place and place - first < span and (best is None or place + 1 - first < best[1] - best[0]):
+            best = (first, place + 1)
+    return best
 
 
 def covered(starts, ends):
@@ -183,8 +224,9 @@ def covered(starts, ends):
     return starts[first], reach[np.concatenate([first[1:], [True]])]
 
 
-def search_block(index: DataFrame, block: Block) -> DataFrame:
-    """Per document of the index: spans that phrases of the block cover and the items they come from."""
+def search_block(index: DataFrame, block: Block, slack: int = SLACK):
+    """Per document of the index: spans that phrases of the block cover, the items they come from and items with a
+    proximity match. Also returns the broadcast, to be freed after use."""
     held = index.sparkSession.sparkContext.broadcast(
         (block.names, block.terms, block.phrases, block.sizes, block.pair_phrase, block.pair_item))
 
@@ -201,6 +243,7 @@ def search_block(index: DataFrame, block: Block) -> DataFrame:
                 docs = len(starts)
                 spans: list[list] = [[] for _ in range(docs)]
                 items: list[list] = [[] for _ in range(docs)]
+                close: list[list] = [[] for _ in range(docs)]
                 if len(row["positions"]):
                     postings = Postings(row["terms"].to_pylist(), row["list_ends"].to_numpy(), row["positions"].to_numpy(), terms)
                     phrase, at = phrase_starts(postings, phrases, sizes)
@@ -212,72 +255,56 @@ def search_block(index: DataFrame, block: Block) -> DataFrame:
                     low, high = np.searchsorted(pair_phrase, pairs[:, 1]), np.searchsorted(pair_phrase, pairs[:, 1], "right")
                     for d, a, b in zip(pairs[:, 0].tolist(), low.tolist(), high.tolist(), strict=True):
                         items[d].extend(names[k] for k in pair_item[a:b])
+                    seen = set(map(tuple, pairs.tolist()))  # an occurrence is a proximity match
+                    close = [list(x) for x in items]
+                    phrase, at = near_places(postings, phrases, sizes, slack)
+                    for d, k, p in zip((np.searchsorted(starts, at, "right") - 1).tolist(), phrase.tolist(), at.tolist(), strict=True):
+                        if (d, k) not in seen and window_around(
+                                postings, phrases[k, :sizes[k]].tolist(), slack, p, int(starts[d]), int(starts[d] + n_words[d])):
+                            seen.add((d, k))
+                            a, b = np.searchsorted(pair_phrase, [k, k + 1])
+                            close[d].extend(names[i] for i in pair_item[a:b])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([batch["segment"][i].as_py()] * docs, pa.int64()), pa.array(np.arange(docs, dtype=np.int32)), row["doc_ids"],
-                     row["doc_words"], pa.array(spans, span_kind), pa.array([sorted(set(x)) for x in items], pa.list_(pa.string()))],
-                    ["segment", "slot", "doc_id", "n_words", "spans", "items"])
+                     row["doc_words"], pa.array(spans, span_kind), *[pa.array([sorted(set(x)) for x in own], pa.list_(pa.string())) for own in (items, close)]],
+                    ["segment", "slot", "doc_id", "n_words", "spans", "items", "near"])
 
-    return index.mapInArrow(run, FOUND)
+    return index.mapInArrow(run, FOUND), held
 
 
-def near(postings: Postings, terms: list[int], span: int, starts) -> list[tuple[int, int]]:
-    """Smallest windows (start, end) of at most ``span`` words of one document that hold all ``terms`` in any order."""
-    import numpy as np
-
-    terms = sorted(set(terms), key=lambda t: postings.size[t])
-    if not terms or not postings.size[terms].all():
-        return []
-    lists = [postings.positions[postings.begin[t]:postings.begin[t] + postings.size[t]] for t in terms]
-    anchor = lists[0]  # the rarest term; windows lie around one of its places
-    for own in lists[1:]:
-        next_at = np.searchsorted(own, anchor - span + 1)
-        anchor = anchor[(next_at < len(own)) & (own[np.minimum(next_at, len(own) - 1)] < anchor + span)]
-    out = set()
-    for p in anchor.tolist():
-        doc = np.searchsorted(starts, p, "right") - 1
-        low = max(p - span + 1, int(starts[doc]))
-        high = min(p + span, int(starts[doc + 1]) - 1 if doc + 1 < len(starts) else p + span)
-        places = sorted((int(x), k) for k, own in enumerate(lists)
-                        for x in own[np.searchsorted(own, low):np.searchsorted(own, high)])
-        last: dict[int, int] = {}
-        best = None
-        for at, k in places:
-            last[k] = at
-            if len(last) == len(lists):
-                first = min(last.values())
-                if at - first < span and first <= p <= at and (best is None or at - first < best[1] - best[0] - 1):
-                    best = (first, at + 1)
-        if best:
-            out.add(best)
-    return sorted(out)
-
-
-def proximity(index: DataFrame, phrases: list[list[bytes]], slack: int) -> DataFrame:
+def proximity(index: DataFrame, phrases: list[list[bytes]], slack: int = SLACK) -> DataFrame:
     """(segment, slot, doc_id, phrase, start, end): documents with all words of a phrase, in any order, close together.
 
-    A match spans at most as many words as the phrase plus ``slack``; around each place of the rarest word
-    the smallest one is given. Start and end count the document's words.
+    A match spans at most as many words as the phrase plus ``slack`` and holds a word as often as the phrase
+    does; around each place of the rarest word the smallest one is given. Start and end count the
+    document's words. Phrases without words match nothing.
     """
+    import numpy as np
+
     numbers = {t: i for i, t in enumerate(sorted({w for p in phrases for w in p}))}
-    coded = [[numbers[w] for w in p] for p in phrases]
+    sizes = np.array([len(p) for p in phrases], np.int64)
+    table = np.full((len(phrases), max(sizes, default=0)), -1, np.int64)
+    for k, p in enumerate(phrases):
+        table[k, :len(p)] = [numbers[w] for w in p]
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            out: list[tuple] = []
+            out = set()
             for i in range(batch.num_rows):
-                row = {c: batch[c][i].values for c in ("doc_ids", "doc_starts", "terms", "list_ends", "positions")}
-                if not len(row["positions"]):
+                row = {c: batch[c][i].values for c in ("doc_ids", "doc_starts", "doc_words", "terms", "list_ends", "positions")}
+                if not len(row["positions"]) or not table.size:
                     continue
-                starts, ids = row["doc_starts"].to_numpy(), row["doc_ids"].to_pylist()
+                starts, n_words, ids = row["doc_starts"].to_numpy(), row["doc_words"].to_numpy(), row["doc_ids"].to_pylist()
                 postings = Postings(row["terms"].to_pylist(), row["list_ends"].to_numpy(), row["positions"].to_numpy(), numbers)
-                for k, terms in enumerate(coded):
-                    for a, b in near(postings, terms, len(terms) + slack, starts):
-                        d = int(np.searchsorted(starts, a, "right") - 1)
-                        out.append((batch["segment"][i].as_py(), d, ids[d], k, a - int(starts[d]), b - int(starts[d])))
-            columns = list(zip(*out, strict=True)) or [[]] * 6
+                for k, at in zip(*(x.tolist() for x in near_places(postings, table, sizes, slack)), strict=True):
+                    d = int(np.searchsorted(starts, at, "right") - 1)
+                    first = int(starts[d])
+                    found = window_around(postings, table[k, :sizes[k]].tolist(), slack, at, first, first + int(n_words[d]))
+                    if found:
+                        out.add((batch["segment"][i].as_py(), d, ids[d], k, found[0] - first, found[1] - first))
+            columns = list(zip(*sorted(out, key=lambda r: (r[0], r[1], *r[3:])), strict=True)) or [[]] * 6
             names = ["segment", "slot", "doc_id", "phrase", "start", "end"]
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
@@ -300,38 +327,55 @@ def blocks(items: DataFrame, window: int, most: int = BLOCK_WORDS) -> Iterator[B
         yield Block(held, window)
 
 
-def find(documents: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) per row of ``documents``.
+def find(documents: DataFrame, items: DataFrame, window: int = 10, slack: int = SLACK) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near) per row of ``documents``.
 
     Words are ASCII letters (lower-cased), digits and all characters above ASCII. A window is ``window``
     consecutive words of an item (of a shorter item all its words); document words inside any
-    occurrence are hit. Null and empty texts have no words. Rows sharing a doc_id are separate, repeated item
+    occurrence are hit. ``n_near`` counts the items with a proximity match of a window, occurrences included.
+    Null and empty texts have no words. Rows sharing a doc_id are separate, repeated item
     ids are one item, a null item id is written as an empty string. Other columns are not
     read; empty tables give no rows or no hits.
 
-    The postings hold only the items' terms if those fit one block, else all terms.
+    The postings hold all tokens. Items are searched in blocks of ``BLOCK_WORDS`` words, one block
+    at a time on the driver and in the tasks; of several blocks each writes its finds.
     """
-    source = blocks(items, window)
-    first, second = next(source), next(source, None)
-    index = build_index(documents, frozenset(first.terms) if second is None else None)
-    parts = [search_block(index, b) for b in itertools.chain([first], [second] if second else [], source)]
-    found = parts[0]
-    for other in parts[1:]:
-        found = found.unionByName(other)
-    if len(parts) > 1:
+    index = build_index(documents)
+    parts, waiting = [], None
+    for block in blocks(items, window):
+        if waiting is not None:
+            parts.append(_written(*waiting))
+        waiting = search_block(index, block, slack)
+    found = waiting[0]
+    if parts:
+        found = _written(*waiting)
+        for other in parts:
+            found = found.unionByName(other)
         found = found.groupBy("segment", "slot").agg(
             F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
-            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+            *[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("items", "near")])
     step = F.aggregate(
         F.array_sort("spans"), F.struct(F.lit(0).cast("bigint").alias("hit"), F.lit(0).cast("bigint").alias("end")),
         lambda s, x: F.struct((s["hit"] + F.greatest(x["end"] - F.greatest(x["start"], s["end"]), F.lit(0))).alias("hit"),
                               F.greatest(s["end"], x["end"]).alias("end")), lambda s: s["hit"])
-    return found.select("doc_id", "n_words", step.alias("n_hit"), "items").select(
+    return found.select("doc_id", "n_words", step.alias("n_hit"), "items", "near").select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
-        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near").cast("bigint").alias("n_near"))
+
+
+def _written(found: DataFrame, held) -> DataFrame:
+    out = stored(found, "found")
+    held.destroy()
+    return out
 
 
 def keep_clean(documents: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
-    """Documents without any occurrence of a window of the items; of a contaminated doc_id no row stays."""
-    hit = find(documents, items, window).filter("contaminated").select(F.col("doc_id").alias("_hit_id")).distinct()
-    return documents.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit_id")), "left_anti")
+    """Documents without any occurrence of a window of the items.
+
+    Rows are told apart by numbers written with them, so clean rows stay whatever rows share their id.
+    """
+    key = "_decontam_row"
+    rows = stored(documents.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    hit = find(rows.select(F.col(key).alias("doc_id"), "text"), items, window).filter("contaminated").select(F.col("doc_id").alias(key))
+    return rows.join(hit, key, "left_anti").drop(key)

@@ -2,8 +2,8 @@
 
 Every language has probabilities over the pieces of a fixed public vocabulary. A text's likelihood sums
 over all segmentations of its words into pieces, by the forward algorithm; single bytes are pieces,
-so every text has one. Words are runs of letters and don't share pieces, so a word is summed once and
-then counted; digits, signs and white space tell no language apart and only end words.
+so every text has one. Words are runs without ASCII white space, signs and digits included, with a blank in
+front; they don't share pieces, so a word is summed once and then counted. ASCII letters are lower-cased.
 
 Probabilities are fitted by expectation maximisation: expected piece counts come from forward and
 backward sums over word counts that Spark adds up.
@@ -25,12 +25,10 @@ FIT_DOCUMENTS = 1500  # expected number of documents per language that the fit r
 ITERATIONS = 2
 FLOOR = 1e-4  # share of probability spread evenly over all pieces
 CACHE_LIMIT = 400_000  # words kept per task; the cache is emptied when full
+CACHE_CELLS = 4_000_000  # words times languages kept per task
 LINEAR = 32  # bytes of a word up to which products can't underflow
 GROUP_WORDS = 200_000  # words of whole documents scored at a time
 
-#: ASCII letters lower-cased, bytes above ASCII kept, all else a blank
-LETTER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
-
 
 class Pieces:
     """Vocabulary as a prefix table: bytes to piece number, -1 for a mere prefix."""
@@ -132,7 +130,7 @@ def expected_counts(edges, n: int, p, log_p, times: float, into: dict[int, float
 
 
 def words_of(text: str) -> list[bytes]:
-    return text.encode().translate(LETTER_BYTES).split()
+    return text.encode().lower().split()
 
 
 def vocabulary_path() -> str:
@@ -226,18 +224,20 @@ class LanguageModel:
 
             pieces, log_p = Pieces(path), np.log(p).tolist()
             cache: dict[bytes, int] = {}
-            table = np.zeros((0, len(languages)))
+            room = min(CACHE_LIMIT, max(1, CACHE_CELLS // max(1, len(languages))))
+            table = np.empty((0, len(languages)))
 
             def sums_of(texts: list[list[bytes]]):
                 """Log likelihoods of documents given as words."""
                 nonlocal table
                 new = list({w for words in texts for w in words if w not in cache})
-                if len(cache) + len(new) > CACHE_LIMIT:
+                if len(cache) + len(new) > len(table):
                     cache.clear()
-                    table = table[:0]
                     new = list({w for words in texts for w in words})
-                cache.update(zip(new, range(len(table), len(table) + len(new)), strict=True))
-                table = np.concatenate([table, log_likelihoods([b" " + w for w in new], pieces, p, log_p)])
+                    if max(room, len(new)) != len(table):  # more than room only where one group needs it
+                        table = np.empty((max(room, len(new)), len(languages)))
+                table[len(cache):len(cache) + len(new)] = log_likelihoods([b" " + w for w in new], pieces, p, log_p)
+                cache.update(zip(new, range(len(cache), len(cache) + len(new)), strict=True))
                 at = np.fromiter((cache[w] for words in texts for w in words), np.int64)
                 ends = np.cumsum([len(words) for words in texts])
                 total = np.concatenate([np.zeros((1, len(languages))), np.cumsum(table[at], 0)])

@@ -17,7 +17,9 @@ from typing import NamedTuple
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
+from causeway.llm.common import stored
 from causeway.llm.tokens import Coder, byte_bpe
 from causeway.session import cut_lineage
 
@@ -77,58 +79,69 @@ def plan(counts: dict[int, int], capacity: int) -> list[Slot]:
     return slots
 
 
-PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, _part int, _local bigint"
+PIECES = "doc_id bigint, piece int, start bigint, length bigint, _ids binary, _part int, _local bigint"
+BROADCAST_ROWS = 100_000  # (task, length) pairs up to which their starts are broadcast: a few MB
 
 
-def token_pieces(documents: DataFrame, capacity: int, end_id: int, keep_ids: bool = False) -> DataFrame:
+def token_pieces(documents: DataFrame, capacity: int, end_id: int) -> DataFrame:
     """Tokenize every text (null: empty), add ``end_id``, cut documents longer than ``capacity``.
 
-    Cuts are made from the end, so only the first piece may be shorter. One row per piece, with the
-    number ``_local`` of earlier pieces of its length in its task ``_part``. ``keep_ids`` adds the ids
-    themselves as ``ids``.
+    Cuts are made from the end, so only the first piece may be shorter. One row per piece with its ids as
+    little-endian 16-bit numbers where the vocabulary allows it, else 32-bit, and the number ``_local`` of earlier
+    pieces of its length in its task ``_part``.
     """
     files = byte_bpe()
+    kind = id_kind(end_id)
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        coder, seen, end = Coder(*files, added=True), {}, np.asarray([end_id], "<u4").tobytes()
-        part = TaskContext.get().partitionId()
+        coder, seen, part = Coder(*files, added=True), {}, TaskContext.get().partitionId()
+        names = ["doc_id", "piece", "start", "length", "_ids", "_part", "_local"]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
         for batch in batches:
-            rows = ([], [], [], [], [], [], [], [])
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                ids = coder.encode(text or "") + end
-                total, piece, start = len(ids) // 4, 0, 0
-                while start < total:
-                    length = (total - start) % capacity or capacity
-                    own = ids[4 * start:4 * (start + length)]
-                    local = seen.get(length, 0)
-                    seen[length] = local + 1
-                    found = (doc, piece, start, length, zlib.crc32(own), part, local)
-                    for column, value in zip(rows, found, strict=False):
-                        column.append(value)
-                    if keep_ids:
-                        rows[7].append(np.frombuffer(own, "<u4").astype("int32"))
-                    piece, start = piece + 1, start + length
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32())]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "_part", "_local", "ids"]
-            n = 7 + keep_ids
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows[:n], kinds[:n], strict=True)], names[:n])
-
-    schema = PIECE_SCHEMA + (", ids array<int>" if keep_ids else "")
-    return documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+            texts, docs, at = batch["text"], batch["doc_id"].to_pylist(), 0
+            while at < len(docs):
+                rows, held = tuple([] for _ in names), 0
+                while at < len(docs) and held < BATCH_IDS:
+                    ids = np.frombuffer(coder.encode(texts[at].as_py() or ""), "<u4")
+                    ids = np.append(ids, np.uint32(end_id)).astype(kind)
+                    total, piece, start = len(ids), 0, 0
+                    while start < total:
+                        length = (total - start) % capacity or capacity
+                        local = seen.get(length, 0)
+                        seen[length] = local + 1
+                        for column, value in zip(rows, (docs[at], piece, start, length, ids[start:start + length].tobytes(), part, local), strict=True):
+                            column.append(value)
+                        piece, start = piece + 1, start + length
+                    held, at = held + total, at + 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names)
+
+    return documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
+
+
+BATCH_IDS = 1 << 20  # ids of a batch that leaves a tokenizing task
+
+
+def id_kind(end_id: int) -> str:
+    """Unsigned numbers that hold all ids of the vocabulary and the end id."""
+    return "<u2" if max(VOCABULARY - 1, end_id) < 1 << 16 else "<u4"
+
+
+VOCABULARY = 50_257  # ids of the byte-level vocabulary, its added token included
 
 
 def place(pieces: DataFrame, capacity: int) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to rows with ``length``, ``_part`` and ``_local``."""
-    pieces = cut_lineage(pieces)
-    sizes = pieces.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("_n"))
+    pieces = stored(pieces, "pieces")
+    sizes = cut_lineage(pieces.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("_n")))
     counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     slots = sorted(plan(counts, capacity), key=lambda s: (s.length, s.rank))
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", "length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    ranked = pieces.join(starts, ["_part", "length"]).withColumn("_rank", F.col("_before") + F.col("_local"))
+    few = sizes.count() <= BROADCAST_ROWS
+    ranked = pieces.join(F.broadcast(starts) if few else starts, ["_part", "length"]).withColumn("_rank", F.col("_before") + F.col("_local"))
 
     def run(batches):
         import numpy as np
@@ -150,14 +163,39 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
     return ranked.mapInArrow(run, kept.add("sequence_id", "long").add("offset", "long"))
 
 
-def pack(documents: DataFrame, capacity: int = 1024, end_id: int = 2, keep_ids: bool = False) -> DataFrame:
-    """One row per piece: (doc_id, piece, start, length, ids_crc32, sequence_id, offset[, ids]).
+def with_ids(placed: DataFrame, kind: str) -> DataFrame:
+    """``_ids`` as an array ``ids``, and the checksum of the ids as unsigned 32-bit numbers."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            step = max(1, BATCH_IDS // max(1, int(np.max(batch.column("length").to_numpy(), initial=1))))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                ids = [np.frombuffer(x, kind) for x in part.column("_ids").to_pylist()]
+                flat = np.concatenate(ids) if ids else np.empty(0, kind)
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                checks = [zlib.crc32(x.astype("<u4").tobytes()) for x in ids]
+                kept = [c for c in part.schema.names if c != "_ids"]
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c) for c in kept], pa.array(checks, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))],
+                    [*kept, "ids_crc32", "ids"])
+
+    out = placed.drop("_ids").schema.add("ids_crc32", "long").add("ids", ArrayType(IntegerType()))
+    return placed.mapInArrow(run, out)
+
+
+def pack(documents: DataFrame, capacity: int = 1024, end_id: int = 2, in_order: bool = False) -> DataFrame:
+    """One row per piece: (doc_id, piece, start, length, ids_crc32, sequence_id, offset, ids).
 
     Null and empty texts become one piece with the end id; rows that share a doc_id are packed
     each on their own; null doc_ids stay null; an empty table gives no rows; other columns are not read.
     Long documents give as many pieces as they need. Which of two equally long pieces goes into
-    which bin follows the order of tasks and rows.
+    which bin follows the order of tasks and rows. With ``in_order`` rows are ranged by sequence and offset, so
+    a written table holds each sequence's ids one after the other.
     """
-    out = place(token_pieces(documents, capacity, end_id, keep_ids), capacity)
-    first = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    return out.select(*first, *(["ids"] if keep_ids else []))
+    placed = place(token_pieces(documents, capacity, end_id), capacity)
+    if in_order:
+        placed = placed.repartitionByRange("sequence_id", "offset").sortWithinPartitions("sequence_id", "offset")
+    return with_ids(placed, id_kind(end_id)).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")

@@ -32,7 +32,7 @@ END = b"\n"  # never inside a word
 MODEL_ROWS = 2_000_000  # n-grams of all orders in a trie that is broadcast whole, else of full length
 LOW = 2  # contexts of fewer bytes have a bounded number of n-grams, which joins broadcast
 HOT_WORDS = 300_000  # words whose counts are broadcast; the rest is joined
-CHUNK = 1 << 20  # bytes counted or scored at a time
+CHUNK = 1 << 18  # bytes counted or scored at a time
 HELD = 1_000_000  # different n-grams a task gathers before it hands them on
 HELD_WORDS = 250_000  # the same for words
 SCATTER = 0x9E3779B97F4A7C15  # odd, so multiplication permutes the 64-bit numbers

@@ -20,9 +20,9 @@ def query(fn):
 
 @query
 def op5_sharding(spark: SparkSession, sf: str) -> DataFrame:
-    from causeway.llm.sharding import shard_documents
+    from causeway.llm.sharding import shard_documents, text_facts
 
-    return shard_documents(load(spark, sf, "documents"), 16).select(
+    return text_facts(shard_documents(load(spark, sf, "documents"), 16)).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
@@ -30,7 +30,7 @@ def op5_sharding(spark: SparkSession, sf: str) -> DataFrame:
 def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
     from causeway.llm.packing import pack
 
-    return pack(load(spark, sf, "documents"), 1024, 2)
+    return pack(load(spark, sf, "documents"), 1024, 2).drop("ids")
 
 
 @query
@@ -50,9 +50,7 @@ def op2_topk(spark: SparkSession, sf: str) -> DataFrame:
 
     vectors = usable(load(spark, sf, "embeddings").select("vec_id", "embedding"), "embedding")
     vectors = vectors.select("vec_id", whole_steps("embedding", 64).alias("embedding"))
-    found = search(vectors, lambda i: F.pmod(i, F.lit(20)) == 0, 20)
-    return found.select("query_id", "rank", "vec_id",
-                        F.greatest(F.least("score", F.lit(9.2e18)), F.lit(-9.2e18)).cast("bigint").alias("score"))
+    return search(vectors, lambda i: F.pmod(i, F.lit(20)) == 0, 20, whole=True)
 
 
 ORACLES["op2_topk"] = """

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from causeway.llm.common import stored
 from causeway.session import cut_lineage, require_columns
 
 ROUNDS = 6
@@ -75,16 +76,16 @@ def numbered(df: DataFrame, order: Sequence[str], name: str) -> tuple[DataFrame,
 
     Range partitioning spreads a hot key over tasks because the row's own scan position breaks
     ties; rows equal in every ordering column are interchangeable. The placement is frozen by a
-    checkpoint before partition sizes are counted.
+    written table before partition sizes are counted; later steps read the columns they need from it.
     """
     require_columns(df, order)
     keys = [F.col(c).asc_nulls_first() for c in order]
     placed = df.withColumn("_scan", F.monotonically_increasing_id())
     placed = placed.repartitionByRange(*keys, F.col("_scan").asc()).sortWithinPartitions(*keys, F.col("_scan").asc())
-    placed = cut_lineage(placed.drop("_scan").withColumns({
+    placed = stored(placed.drop("_scan").withColumns({
         "_block": F.spark_partition_id(),
         "_index": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
-    }))
+    }), "numbered")
     sizes = {r["_block"]: r["n"] for r in placed.groupBy("_block").agg(F.count(F.lit(1)).alias("n")).collect()}
     starts, total = [], 0
     for block in range(max(sizes, default=-1) + 1):
@@ -112,13 +113,23 @@ def shard_rows(df: DataFrame, order: Sequence[str], shards: int, seed: int = 0)
 
 
 def shard_documents(documents: DataFrame, shards: int, seed: int = 0) -> DataFrame:
-    """(doc_id, size, text_crc32, shard, slot) per row of ``documents``.
+    """``documents`` with ``shard`` and ``slot``: whole rows, numbered by doc_id and text.
 
-    Size is the UTF-8 length plus one, null texts count as empty. Rows are numbered by doc_id,
-    size, checksum and a 64-bit hash of the text, so rows that may swap places hold equal texts.
+    Rows are ordered by doc_id, size, checksum and a 64-bit hash of the text (null: empty), so rows that
+    may swap places hold equal texts. Columns named ``shard`` or ``slot`` are replaced.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = documents.select(
-        "doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("_hash"))
-    return shard_rows(rows, ["doc_id", "size", "text_crc32", "_hash"], shards, seed).drop("_hash")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    order = {"_size": F.octet_length(text), "_crc32": F.crc32(text.cast("binary")), "_hash": F.xxhash64(text)}
+    return shard_rows(documents.withColumns(order), ["doc_id", *order], shards, seed).drop(*order)
+
+
+def text_facts(sharded: DataFrame) -> DataFrame:
+    """(doc_id, size, text_crc32, shard, slot) of sharded rows; size is the UTF-8 length plus one."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return sharded.select("doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"),
+                          F.crc32(text.cast("binary")).alias("text_crc32"), "shard", "slot")
+
+
+def write_shards(sharded: DataFrame, path: str) -> None:
+    """Write whole rows to one folder per shard, in order of slot; a large shard is several files in that order."""
+    sharded.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -14,6 +15,12 @@ def words(text):
     return LETTERS.findall(lowered(text or ""))
 
 
+def close(own, phrase, slack=2):
+    """Whether some run of at most ``slack`` more words than the phrase has them all, as often as it does."""
+    need, span = Counter(phrase), len(phrase) + slack
+    return any(not need - Counter(own[k:k + span]) for k in range(max(1, len(own) - len(phrase) + 1)))
+
+
 def expected(docs, items, window=10):
     phrases = defaultdict(set)
     for item, text in items:
@@ -30,7 +37,8 @@ def expected(docs, items, window=10):
                 if got:
                     found |= got
                     hit[k:k + n] = [True] * n
-        out.append((doc, len(own), sum(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), any(hit)))
+        near = {item for p, names in phrases.items() if set(p) <= set(own) and close(own, p) for item in names}
+        out.append((doc, len(own), sum(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), any(hit), len(near)))
     return Counter(out)
 
 
@@ -40,7 +48,8 @@ def items_frame(spark, items):
 
 ITEMS = [(1, prose(14, 50)), (2, "short Item"), (3, None), (4, " .,- "), (5, "solo"), (None, prose(12, 51)), (1, prose(14, 50)), (20, "the the the")]
 DOCS = [(1, "x " + prose(14, 50) + " y"), (2, "SHORT, item! and solo."), (3, "the the the the"), (3, "the the"), (None, prose(12, 51)),
-        (6, " ".join(prose(14, 50).split()[:9])), (7, "short"), (8, "item"), (9, prose(14, 50).replace(" ", "...\n"))]
+        (6, " ".join(prose(14, 50).split()[:9])), (30, " ".join(prose(14, 50).split()[3:][::-1])), (31, "the q the"), (32, "the q w the e the"),
+        (33, " ".join(w + " gap" * (i in (3, 7)) for i, w in enumerate(prose(12, 51).split()))), (7, "short"), (8, "item"), (9, prose(14, 50).replace(" ", "...\n"))]
 
 
 @pytest.mark.parametrize("block,segment", [(400_000, 100_000), (15, 100_000), (15, 4), (400_000, 1)])
@@ -57,10 +66,16 @@ def test_empty_tables(spark):
     docs, items = documents(spark, DOCS), items_frame(spark, ITEMS)
     assert decontam.find(docs.limit(0), items).collect() == []
     assert Counter(map(tuple, decontam.find(docs, items.limit(0)).collect())) == expected(DOCS, [])
-    kept = decontam.keep_clean(docs, items)
-    dirty = {row[0] for row in expected(DOCS, ITEMS) if row[5]}
-    assert Counter(r.doc_id for r in kept.collect()) == Counter(d for d, _ in DOCS if d not in dirty)
+
+
+def test_clean_rows_stay_whatever_ids_they_share(spark):
+    rows = DOCS + [(None, "clean without an id"), (1, "clean too"), (1, "clean too"), (None, None)] + odd_rows()
+    docs = documents(spark, rows)
+    kept = decontam.keep_clean(docs, items_frame(spark, ITEMS))
     assert kept.columns == docs.columns
+    want = Counter((d, t) for d, t in rows if not next(iter(expected([(d, t)], ITEMS)))[5])
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == want
+    assert want[1, "clean too"] == 2 and want[None, "clean without an id"] == 1 and (None, prose(12, 51)) not in want
 
 
 def test_query(spark, sf):
@@ -69,7 +84,25 @@ def test_query(spark, sf):
 
 
 def test_proximity(spark):
-    docs = [(1, "alpha x beta y gamma"), (2, "gamma beta alpha"), (3, "alpha a b c d e beta gamma"), (4, "alpha beta"), (5, "gamma"), (6, "beta alpha q gamma alpha beta")]
+    docs = [(1, "alpha x beta y gamma"), (2, "gamma beta alpha"), (3, "alpha a b c d e beta gamma"), (4, "alpha beta"), (5, "gamma"), (6, "beta alpha q gamma alpha beta"),
+            (None, None), (7, ""), (8, "two x two one"), (9, "two one"), (8, "one two two")]
     index = decontam.build_index(documents(spark, docs))
-    found = decontam.proximity(index, [[b"alpha", b"beta", b"gamma"]], 2).collect()
-    assert {(r.doc_id, r.start, r.end) for r in found} == {(1, 0, 5), (2, 0, 3), (6, 3, 6)}
+    found = decontam.proximity(index, [[b"alpha", b"beta", b"gamma"], [b"two", b"one", b"two"], [], [b"absent"]], 2).collect()
+    assert {(r.doc_id, r.start, r.end) for r in found if r.phrase == 0} == {(1, 0, 5), (2, 0, 3), (6, 3, 6)}
+    assert {(r.doc_id, r.start, r.end) for r in found if r.phrase == 1} == {(8, 0, 4), (8, 0, 3)}
+    assert {r.phrase for r in found} == {0, 1}
+    assert decontam.proximity(decontam.build_index(documents(spark, [])), [[b"a"]]).collect() == []
+
+
+@pytest.mark.parametrize("segment", [7, 100_000])
+def test_proximity_equals_brute_force(spark, monkeypatch, segment):
+    """Random words of a small vocabulary: repeated words, overlapping windows, document borders."""
+    monkeypatch.setattr(decontam, "SEGMENT_WORDS", segment)
+    rng = random.Random(8)
+    docs = [(i, " ".join(rng.choices("abcdef", k=rng.randrange(0, 30)))) for i in range(80)]
+    phrases = [rng.choices("abcdef", k=rng.randrange(1, 6)) for _ in range(40)]
+    found = decontam.proximity(decontam.build_index(documents(spark, docs)), [[w.encode() for w in p] for p in phrases], 1).collect()
+    assert {(r.doc_id, r.phrase) for r in found} == {(d, k) for d, t in docs for k, p in enumerate(phrases) if t and close(t.split(), p, 1)}
+    for r in found:
+        own = docs[r.doc_id][1].split()[r.start:r.end]
+        assert not Counter(phrases[r.phrase]) - Counter(own) and len(own) <= len(phrases[r.phrase]) + 1

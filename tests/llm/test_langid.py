@@ -72,6 +72,47 @@ def test_held_out_accuracy(spark, sf):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.97 * len(held)
 
 
+def whole_text(text, pieces, own):
+    """Log of the sum over all segmentations of a text's words, one forward sum after the other."""
+    total = 0.0
+    for word in text.encode().lower().split():
+        word = b" " + word
+        sums = [1.0] + [0.0] * len(word)
+        scale = 0.0
+        for j in range(1, len(word) + 1):
+            sums[j] = sum(sums[i] * own[pieces.table[word[i:j]]] for i in range(max(0, j - 60), j) if pieces.table.get(word[i:j], -1) >= 0)
+            if j % 50 == 0:  # keep long words in range
+                top = max(sums[j - 49:j + 1])
+                sums = [x / top for x in sums]
+                scale += math.log(top)
+        total += math.log(sums[-1]) + scale
+    return total
+
+
+def test_predictions_equal_brute_force(spark, sf, monkeypatch):
+    """Whole texts with digits and signs, word by word without a cache or numpy; small caches and groups in the operator."""
+    monkeypatch.setattr(langid, "CACHE_LIMIT", 40)
+    monkeypatch.setattr(langid, "GROUP_WORDS", 30)
+    rows = table(sf, "documents", "doc_id, text, lang")[:60]
+    model = langid.LanguageModel.fit(documents(spark, rows))
+    rows = [(d, t[:400], lang) for d, t, lang in rows] + [(900, "Call 555-0199 on 12/24 at 7pm!", "en"), (901, "x" * 300 + " und 3.14", "de")]
+    pieces = langid.Pieces(model.model_path)
+    for r in model.predict(documents(spark, rows)).collect():
+        sums = [whole_text(r.text, pieces, own.tolist()) for own in model.probabilities]
+        best = max(sums)
+        assert r.lang_pred == model.languages[sums.index(best)]
+        assert r.lang_score == pytest.approx(1 / sum(math.exp(x - best) for x in sums), rel=1e-6)
+
+
+def test_digits_and_signs_count(spark):
+    """Texts of two languages that share their letters and differ in numbers and signs only."""
+    train = [(i, f"abc {'12:30' if i % 2 else '#77'} def", "ab"[i % 2]) for i in range(60)]
+    model = langid.LanguageModel.fit(documents(spark, train))
+    found = model.predict(documents(spark, [(1, "def 12:30 abc"), (2, "abc #77")])).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {1: "b", 2: "a"}
+    assert langid.words_of("call 555-0199 on 12/24 at 7PM") == [b"call", b"555-0199", b"on", b"12/24", b"at", b"7pm"]
+
+
 def test_odd_rows(spark, sf):
     train = [(i, t, lang) for i, (t, lang) in enumerate(table(sf, "documents", "text, lang")[:200])] + [(900, None, "en"), (901, "text", None)]
     model = langid.LanguageModel.fit(documents(spark, train))

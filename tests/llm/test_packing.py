@@ -46,7 +46,7 @@ def test_added_tokens_are_found_as_the_unmodified_library_does(spark):
     coder = Coder(*byte_bpe(), added=True)
     for text in texts:
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text[:80]
-    found = packing.pack(documents(spark, list(enumerate(texts))), 1024, 2, keep_ids=True).collect()
+    found = packing.pack(documents(spark, list(enumerate(texts))), 1024, 2).collect()
     check(found, plain, dict(enumerate(texts)))
 
 
@@ -82,7 +82,7 @@ def test_query(spark, sf, tokenizer):
 
 def test_odd_rows(spark, tokenizer):
     rows = [(i, text) for i, (_, text) in enumerate(odd_rows())]
-    found = packing.pack(documents(spark, rows), 1024, 2, keep_ids=True).collect()
+    found = packing.pack(documents(spark, rows), 1024, 2).collect()
     check(found, tokenizer, dict(rows))
     assert all(len(r.ids) == r.length for r in found)
     same = packing.pack(documents(spark, [(None, "a"), (None, "a"), (3, "a"), (3, "a")]), 16, 2).collect()
@@ -126,3 +126,18 @@ def test_long_texts_of_one_class(tokenizer):
     coder = Coder(*byte_bpe())
     for text in ("a" * 30_000, "\n" * 30_000, "1" * 30_000, prose(3000, 9)):
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_sequences_are_written_in_order(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(300)
+    packing.pack(docs, 256, 2, in_order=True).write.parquet(str(tmp_path / "packed"))
+    import pyarrow.parquet as pq
+
+    rows = [r for f in sorted((tmp_path / "packed").glob("*.parquet")) for r in pq.read_table(f).to_pylist()]
+    places = [(r["sequence_id"], r["offset"]) for r in rows]
+    assert places == sorted(places)
+    ends = {}
+    for r in rows:  # each sequence's ids follow each other without a gap
+        assert r["offset"] == ends.get(r["sequence_id"], 0) and len(r["ids"]) == r["length"]
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 256

@@ -55,12 +55,27 @@ def test_query_is_the_permutation_of_doc_order(spark, sf):
 
 def test_odd_rows(spark):
     rows = odd_rows() + [(7, "same")] * 50
-    found = sharding.shard_documents(documents(spark, rows), 4).collect()
+    frame = documents(spark, rows)
+    whole = sharding.shard_documents(frame, 4)
+    assert whole.columns == [*frame.columns, "shard", "slot"]
+    assert Counter((r.doc_id, r.text, r.n_chars) for r in whole.collect()) == Counter((r.doc_id, r.text, r.n_chars) for r in frame.collect())
+    found = sharding.text_facts(whole).collect()
     slots = defaultdict(list)
     for r in found:
         slots[r.shard].append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
     assert Counter((r.doc_id, r.size) for r in found) == Counter((d, len((t or "").encode()) + 1) for d, t in rows)
-    assert sharding.shard_documents(documents(spark, []), 4).collect() == []
+    assert sharding.text_facts(sharding.shard_documents(documents(spark, []), 4)).collect() == []
     assert [r.slot for r in sharding.shard_documents(documents(spark, [(None, None)]), 4).collect()] == [0]
+
+
+def test_written_shards_hold_whole_rows_in_order(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    sharding.write_shards(sharding.shard_documents(docs, 5), str(tmp_path / "out"))
+    read = spark.read.parquet(str(tmp_path / "out"))
+    assert Counter((r.doc_id, r.text, r.lang) for r in read.collect()) == Counter((r.doc_id, r.text, r.lang) for r in docs.collect())
+    for k in range(5):
+        files = sorted((tmp_path / "out" / f"shard={k}").glob("*.parquet"))
+        slots = [x.as_py() for f in files for x in __import__("pyarrow.parquet", fromlist=["x"]).read_table(f)["slot"]]
+        assert slots == list(range(len(slots))) and abs(len(slots) - docs.count() / 5) < 1

@@ -51,3 +51,39 @@ def test_odd_rows(spark, monkeypatch):
         assert {tuple(r) for r in found} == expected and len(found) == 9
     assert topk.search(frame.limit(0), lambda i: i == 0, 3).collect() == []
     assert topk.search(frame.filter("vec_id = 20"), lambda i: i == 20, 3).collect() == []
+
+
+def exact(rows, k):
+    out = set()
+    for i, (qid, q) in enumerate(rows):
+        if qid % 20 == 0:
+            scores = sorted((-sum(int(a) * int(b) for a, b in zip(q, x, strict=True)), vid, j) for j, (vid, x) in enumerate(rows) if j != i)[:k]
+            out |= {(qid, r, vid, max(-(1 << 63), min((1 << 63) - 1, -s))) for r, (s, vid, _) in enumerate(scores, 1)}
+    return out
+
+
+@pytest.mark.parametrize("block", [2048, 7])
+@pytest.mark.parametrize("size", [3.0, 2.0**27, 2.0**40, 1e150])
+def test_whole_scores_are_exact_at_any_size(spark, monkeypatch, size, block):
+    """Neighbours that doubles can't tell apart, scores beyond 64 bits, negative ones and ties."""
+    monkeypatch.setattr(topk, "ROW_BLOCK", block)
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(np.floor(size)) * s + (d if size < 2.0**50 else 0.0) for s, d in zip(rng.choice([-1.0, 1.0], 3), rng.integers(-2, 3, 3).tolist(), strict=True)])
+            for i in range(60)]
+    rows[7:9] = [(7, rows[3][1]), (8, rows[3][1])]
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id bigint, embedding array<double>")
+    found = topk.search(frame, lambda i: F.pmod(i, F.lit(20)) == 0, 9, whole=True)
+    assert found.schema["score"].dataType.simpleString() == "bigint"
+    assert {tuple(r) for r in found.collect()} == exact(rows, 9)
+
+
+def test_neighbouring_products_beyond_doubles(spark):
+    rows = [(0, [134217728.0, 134217729.0]), (1, [134217728.0, 134217728.0]), (2, [134217727.0, 134217729.0]), (3, [134217728.0, 134217729.0])]
+    found = topk.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), lambda i: i == 0, 3, whole=True)
+    assert {tuple(r) for r in found.collect()} == exact(rows, 3)
+
+
+def test_steps_of_large_components(spark):
+    rows = [([0.99, -0.01, 2.0**60, -1e200, None],)]
+    (row,) = spark.createDataFrame(rows, "v array<double>").select(topk.whole_steps("v", 64).alias("v")).collect()
+    assert row.v == [63.0, -1.0, 2.0**66, -64e200, None]
