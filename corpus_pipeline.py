@@ -4,7 +4,7 @@
 2. SimHash near-dedup keeps one document of each group of linked fingerprints;
 3. substring dedup cuts passages of 50 words or more that an earlier document has, n_chars follows;
 4. decontamination drops documents with an occurrence of 10 consecutive benchmark words;
-5. packing places what is left, tokenized, into sequences of 1024 ids.
+5. packing places what is left, tokenized, into sequences of 1024 ids, written in order with their ids.
 
 Stages 1 to 4 return the columns of ``documents``.
 """
@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, 1024, 2)
+    return pack(docs, 1024, 2, in_order=True)
 
 
 STAGES = [
