@@ -143,47 +143,48 @@ class Postings:
 
 
 def rarest_places(postings: Postings, phrases, sizes):
-    """(row of phrases, position, places by rarity): all positions of the rarest term of phrases whose terms all occur."""
+    """(rows, places, which, position): phrases whose terms all occur, their places by rarity, and for all
+    positions of each one's rarest term the index into ``rows``."""
     import numpy as np
 
     rows = np.arange(len(phrases))
-    inside = phrases >= 0
-    length = np.where(inside, postings.size[np.maximum(phrases, 0)], np.iinfo(np.int64).max)
+    length = np.where(phrases >= 0, postings.size[np.maximum(phrases, 0)], np.iinfo(np.int64).max)
     rows = rows[(length > 0).all(1) & (sizes > 0)]
-    places = np.argsort(length[rows], axis=1, kind="stable")  # rarest first, places behind the end last
+    places = np.argsort(length[rows], axis=1, kind="stable").astype(np.int32)  # rarest first, places behind the end last
     if not len(rows):
-        return rows, rows, places
+        return rows, places, rows, rows
     rarest = phrases[rows, places[:, 0]]
     n = postings.size[rarest]
     which = np.repeat(np.arange(len(rows)), n)
     nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    return rows[which], postings.positions[postings.begin[rarest][which] + nth], places[which]
+    return rows, places, which, postings.positions[postings.begin[rarest][which] + nth]
 
 
 def phrase_starts(postings: Postings, phrases, sizes):
     """(phrase, start) of every occurrence."""
     import numpy as np
 
-    row, position, places = rarest_places(postings, phrases, sizes)
-    start = position - places[:, 0] if len(row) else position
-    for k in range(1, phrases.shape[1]):
-        place = places[:, k]
-        term = phrases[row, place]
+    rows, places, which, start = rarest_places(postings, phrases, sizes)
+    start = start - places[which, 0] if len(rows) else start
+    for k in range(1, phrases.shape[1] if len(rows) else 1):
+        place = places[which, k]
+        term = phrases[rows[which], place]
         left = (term < 0) | postings.holds(np.maximum(term, 0), start + place)
-        row, start, places = row[left], start[left], places[left]
-    return row, start
+        which, start = which[left], start[left]
+    return rows[which], start
 
 
 def near_places(postings: Postings, phrases, sizes, slack: int):
     """(phrase, position of its rarest term) around which each of its terms has a position near enough."""
     import numpy as np
 
-    row, position, places = rarest_places(postings, phrases, sizes)
-    for k in range(1, phrases.shape[1]):
-        term, reach = phrases[row, places[:, k]], sizes[row] + slack - 1
+    rows, places, which, position = rarest_places(postings, phrases, sizes)
+    for k in range(1, phrases.shape[1] if len(rows) else 1):
+        row = rows[which]
+        term, reach = phrases[row, places[which, k]], sizes[row] + slack - 1
         left = (term < 0) | postings.holds_near(np.maximum(term, 0), position - reach, position + reach)
-        row, position, places = row[left], position[left], places[left]
-    return row, position
+        which, position = which[left], position[left]
+    return rows[which], position
 
 
 def window_around(postings: Postings, terms: list[int], slack: int, at: int, low: int, high: int) -> tuple[int, int] | None:

@@ -76,27 +76,34 @@ def log_likelihoods(words: list[bytes], pieces: Pieces, p, log_p: list[list[floa
 
     out = np.zeros((len(words), len(p)))
     by_piece = np.ascontiguousarray(p.T)
+    get = pieces.table.get
     for at in range(0, len(words), 4096):
-        flat: list[int] = []
-        long = []
+        packed: list[int] = []  # end, word, start and piece in one number, so that sorting orders them
+        add, long = packed.append, []
         for k, word in enumerate(words[at:at + 4096]):
-            edges = pieces.edges(word)
-            if len(word) > LINEAR:
-                long.append((k, edges))
-            else:
-                for i, j, piece in edges:
-                    flat += (k, i, j, piece)
+            size = len(word)
+            if size > LINEAR:
+                long.append((k, pieces.edges(word)))
+                continue
+            for i in range(size):
+                for j in range(i + 1, size + 1):
+                    piece = get(word[i:j])
+                    if piece is None:
+                        break
+                    if piece >= 0:
+                        add((((j << 12 | k) << 6) | i) << 20 | piece)
         n = np.fromiter(map(len, words[at:at + 4096]), np.int64)
-        edge = np.asarray(flat, np.int64).reshape(-1, 4)
-        edge = edge[np.argsort(edge[:, 2], kind="stable")]
-        steps = np.searchsorted(edge[:, 2], np.arange(1, LINEAR + 2))
+        edge = np.sort(np.asarray(packed, np.int64))
+        steps = np.searchsorted(edge >> 38, np.arange(1, LINEAR + 2))
+        word_of, start, piece_of = (edge >> 26) & 4095, (edge >> 20) & 63, edge & ((1 << 20) - 1)
         a = np.zeros((len(n), LINEAR + 1, len(p)))
         a[:, 0] = 1
         for j in range(1, LINEAR + 1):
-            own = edge[steps[j - 1]:steps[j]]
+            part = slice(steps[j - 1], steps[j])
+            own = word_of[part]
             if len(own):
-                first = np.flatnonzero(np.concatenate([[True], own[1:, 0] != own[:-1, 0]]))
-                a[own[first, 0], j] = np.add.reduceat(a[own[:, 0], own[:, 1]] * by_piece[own[:, 3]], first)
+                first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                a[own[first], j] = np.add.reduceat(a[own, start[part]] * by_piece[piece_of[part]], first)
         short = np.flatnonzero(n <= LINEAR)
         out[at + short] = np.log(a[short, n[short]])
         for k, edges in long:

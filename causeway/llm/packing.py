@@ -173,14 +173,15 @@ def with_ids(placed: DataFrame, kind: str) -> DataFrame:
             step = max(1, BATCH_IDS // max(1, int(np.max(batch.column("length").to_numpy(), initial=1))))
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                ids = [np.frombuffer(x, kind) for x in part.column("_ids").to_pylist()]
-                flat = np.concatenate(ids) if ids else np.empty(0, kind)
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                checks = [zlib.crc32(x.astype("<u4").tobytes()) for x in ids]
+                column = part.column("_ids")
+                offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + part.num_rows + 1]
+                flat = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(kind).astype("<u4")
+                ends = (offsets - offsets[0]) // np.dtype(kind).itemsize
+                checks = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
                 kept = [c for c in part.schema.names if c != "_ids"]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in kept], pa.array(checks, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))],
-                    [*kept, "ids_crc32", "ids"])
+                    [*[part.column(c) for c in kept], pa.array(checks, pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int32)))], [*kept, "ids_crc32", "ids"])
 
     out = placed.drop("_ids").schema.add("ids_crc32", "long").add("ids", ArrayType(IntegerType()))
     return placed.mapInArrow(run, out)
