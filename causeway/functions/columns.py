@@ -102,6 +102,10 @@ def ordinal(column: Column, levels: Sequence[str]) -> Column:
     )
 
 
+class TooManyLevels(ValueError):
+    """A category has more levels than dummies as columns are made for; ``operators.sparse`` takes any number."""
+
+
 @dataclass(frozen=True)
 class OneHot:
     """Category levels learned once; first sorted level is the base."""
@@ -110,7 +114,7 @@ class OneHot:
 
     @classmethod
     def fit(cls, df: DataFrame, columns: Sequence[str], max_levels: int = 200) -> OneHot:
-        """Levels per column from one grouped pass; a column above the cap is refused."""
+        """Levels per column from one grouped pass. More than the cap don't become columns: see ``operators.sparse``."""
         require_columns(df, columns)
         if not columns:
             return cls({})
@@ -123,7 +127,7 @@ class OneHot:
         )
         levels = {c: tuple(sorted(r.v for r in found if r.i == i)) for i, c in enumerate(columns)}
         if len(found) > max_levels * len(columns) or any(len(v) > max_levels for v in levels.values()):
-            raise ValueError(f"more than {max_levels} levels in one of {list(columns)}; bin the column first")
+            raise TooManyLevels(f"more than {max_levels} levels in one of {list(columns)}; operators.sparse fits and encodes them")
         return cls(levels)
 
     @property

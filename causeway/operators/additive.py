@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from causeway.functions.columns import period_label
 from causeway.operators.gram import collect_gram, complete_rows, ridge, unpack_gram
-from causeway.operators.its import MIN_ROWS, CandidateChecks, candidate_rows, carried_design, check_points, design, intervention_terms, period_clock
+from causeway.operators.its import (
+    MIN_ROWS, CandidateChecks, candidate_rows, carried_design, check_points, design, intervention_terms, period_clock, require_bucketed,
+)
 from causeway.operators.tables import best_candidate
 from causeway.operators.widefit import WideDesign, WideFit
 from causeway.session import keep, require_columns
@@ -167,6 +169,7 @@ class ItsAdditive(CandidateChecks):
     def _prepare(self, df: DataFrame, target: str, covariates: Sequence[str]) -> DataFrame:
         require_columns(df, [self.time, target, *covariates] + ([self.group] if self.group else []))
         clean = complete_rows(df, [self.time, target, *covariates] + ([self.group] if self.group else []))
+        require_bucketed(clean, [self.group] if self.group else [], self.time)
         return _with_day(design(clean, self.time, sorted(self.points), self.group, intercept=False, bucketed=True), self.time)
 
     def _fact_columns(self, target: str, regressors: Sequence[str]) -> list[Column]:
@@ -222,6 +225,7 @@ class ItsAdditive(CandidateChecks):
         keys = [self.group] if self.group else ["_all"]
         rows = df if self.group else df.withColumn("_all", F.lit(0))
         rows = complete_rows(rows, [self.time, target, *covariates, *keys]).select(*keys, self.time, target, *covariates)
+        require_bucketed(rows, keys, self.time)
         series = candidate_rows(rows, frame, self.time).withColumn("_series", F.struct("candidate", *keys).cast("string"))
         timed = design(series, self.time, (0.0,), "_series", intercept=False, bucketed=True).withColumn("_day", F.col(self.time))
         regressors = (*intervention_terms(1), *covariates)

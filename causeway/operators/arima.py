@@ -2,7 +2,8 @@
 
 Steps: regression on the intervention terms, a long autoregression of its residuals, a second
 regression on lagged values and lagged innovations, and a regression on the filtered series.
-Each is a grouped cross-product. Estimates differ from a likelihood fit.
+Each is a grouped cross-product. ``fit_exact`` goes on from there to the maximum of the exact likelihood,
+and the order search scores every order by it. Seasonal lags are additive.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ from causeway.functions.stats import normal_quantile
 from causeway.operators.gram import (
     apply_fit, coefficient_rows, complete_rows, field_list, fit_by, linear_expression, moments_by, moments_from_row, solve,
 )
-from causeway.operators.its import MIN_ROWS, CandidateChecks, candidate_rows, design, intervention_terms, validate
+from causeway.operators.its import MIN_ROWS, CandidateChecks, candidate_rows, design, intervention_terms, require_bucketed, validate
+from causeway.operators.ordered import row_number
+from causeway.operators.statespace import exact_fits, innovations, maximise, polynomials
 from causeway.operators.tables import best_candidate
 from causeway.operators.windows import difference
 from causeway.session import cut_lineage, keep, require_columns
@@ -181,6 +184,35 @@ def _response_weights(phi: np.ndarray, ar: Sequence[int], ma: Sequence[int], del
     return out
 
 
+@dataclass(frozen=True)
+class ExactArima:
+    """Maximum-likelihood fit per group: coefficients with standard errors, in-sample means and effects."""
+
+    time: str
+    points: tuple[float, ...]
+    group: str | None
+    target: str
+    exog: tuple[str, ...]
+    order: tuple[int, int, int]
+    seasonal_order: tuple[int, int, int, int]
+    by: tuple[str, ...]
+    rows: DataFrame = field(compare=False, repr=False)
+    fits: DataFrame = field(compare=False, repr=False)
+    params: DataFrame = field(compare=False, repr=False)
+
+    predict = ArimaFit.predict
+    effects = ArimaFit.effects
+
+    def coefficient_table(self) -> DataFrame:
+        """(group, ord, term, coef, std_error, statistic, loglik) by generalised least squares at the ARMA estimates."""
+        k = len(self.exog)
+        entries = F.explode(F.array(*[F.struct(
+            F.lit(i).alias("ord"), F.lit(t).alias("term"), F.col("beta")[i].alias("coef"),
+            F.sqrt(F.greatest(F.col("covariance")[i * k + i], F.lit(0.0))).alias("std_error")) for i, t in enumerate(self.exog)])).alias("e")
+        return self.fits.select(*self.by, "loglik", entries).select(
+            *self.by, "e.*", F.try_divide("e.coef", "e.std_error").alias("statistic"), "loglik")
+
+
 @dataclass(frozen=True)
 class ItsArima(CandidateChecks):
     """``ItsArima("time", [27, 54], "group").fit(df, "value", (1, 0, 1))``, one row per (group, time)."""
@@ -202,6 +234,7 @@ class ItsArima(CandidateChecks):
         clean, by = self._keyed(df, target, covariates)
         clean = keep(clean)
         validate(clean, self.time, points, self.group)
+        require_bucketed(clean, by, self.time)
         (p, d, q), (sp, sd, sq, s) = order, seasonal_order
         exog = [*intervention_terms(len(points)), *covariates]
         level = d == 0 and (sd == 0 or s == 0)
@@ -285,62 +318,116 @@ class ItsArima(CandidateChecks):
         return effects.filter("Period != 'Pre-intervention'").join(names, "_series").join(size, "candidate").select(
             "candidate", *by, F.col("_n").alias("n_obs"), F.col("Effect_mean").alias("effect"))
 
-    def search(self, df: DataFrame, target: str, grid: dict[str, Sequence[int]] | None = None) -> DataFrame:
-        """Order scores per group on pre-intervention rows, without intervention terms.
-
-        All (p, q, P, Q) of one (d, D, s) share one cross-product and are solved as sub-matrices; a
-        series too short for the lags of its kind gives no score.
-        The score is AIC per used row, because differencing and lags leave different row counts.
+    def fit_exact(self, df: DataFrame, target: str, order: tuple[int, int, int] = (1, 0, 1),
+                  seasonal_order: tuple[int, int, int, int] = (0, 0, 0, 0), covariates: Sequence[str] = ()) -> ExactArima:
+        """Per-group maximum of the exact likelihood of the differenced series, from the least-squares start."""
+        points = tuple(sorted(self.points))
+        start = self.fit(df, target, order, seasonal_order, covariates)
+        clean, by = self._keyed(df, target, covariates)
+        (p, d, q), (sp, sd, sq, s) = order, seasonal_order
+        terms = intervention_terms(len(points))
+        exog = [*terms, *covariates]
+        level = d == 0 and (sd == 0 or s == 0)
+        base = design(clean, self.time, points, self.group, intercept=False, bucketed=True)
+        xs = [f"_x{i}" for i in range(len(exog))]
+        base = base.withColumns({"_y": F.col(target).cast("double"), **{x: F.col(c).cast("double") for x, c in zip(xs, exog, strict=True)}})
+        moved = difference(base, by, self.time, ["_y", *xs], d, sd, s).dropna(subset=["_y", *xs])
+        if level:
+            moved = moved.withColumn("_c", F.lit(1.0))
+        columns = ["_y", *xs, *(["_c"] if level else [])]
+        series = row_number(moved, by, [F.col(self.time)], "_pos").withColumn("_pos", F.col("_pos") - 1)
+        series = cut_lineage(series)
+        ar, ma = lag_set(p, sp, s), lag_set(q, sq, s)
+        first = series.select(*by).distinct()
+        if ar or ma:
+            first = first.join(start.arma_fits.select(*by, F.col("coef").alias("point")), by)
+        else:
+            first = first.withColumn("point", F.array().cast("array<double>"))
+        params = cut_lineage(maximise(series, first, by, columns, ar, ma))
+        fits = cut_lineage(exact_fits(series, params, by, columns))
+        shocks = innovations(series, params, by, columns)
+        found = series.join(shocks, [*by, "_pos"]).join(fits.select(*by, "beta", "variance"), by)
+        shock = F.col("shock")[0] - linear_expression([F.col("beta")[i] for i in range(len(columns) - 1)],
+                                                      [F.col("shock")[i + 1] for i in range(len(columns) - 1)])
+        impact = linear_expression([F.col("beta")[i] for i in range(len(terms))], [F.col(c) for c in terms])
+        rows = found.select(*by, self.time, target, (F.col(target) - shock).alias("mean"),
+                            F.sqrt(F.col("variance") * F.col("spread")).alias("_sigma"), impact.alias("_impact"))
+        return ExactArima(self.time, points, self.group, target, (*exog, *(["const"] if level else [])), tuple(order), tuple(seasonal_order),
+                          tuple(by), rows, fits, params)
+
+    def search(self, df: DataFrame, target: str, grid: dict[str, Sequence[int]] | None = None,
+               covariates: Sequence[str] = ()) -> DataFrame:
+        """Order scores per group on pre-intervention rows, without intervention terms, with ``covariates``.
+
+        Coefficients of an order come from cross-products over the rows that are complete in its own lags; all
+        (p, q) of one (d, D, s, P, Q) share them. The score is the AIC of the exact likelihood over all
+        rows of the differenced series, per row, because differencing leaves different row counts. A
+        series too short for the lags of an order gives no score for it.
         """
         unknown = set(grid or {}) - set(GRID)
         if unknown:
             raise ValueError(f"unknown grid keys: {sorted(unknown)}")
         g = GRID | (grid or {})
-        clean, by = self._keyed(df, target, ())
-        pre = clean.filter(F.col(self.time) < min(self.points)).select(*by, self.time, F.col(target).cast("double").alias("_y"))
+        clean, by = self._keyed(df, target, covariates)
+        names = ["_v0", *[f"_v{i}" for i in range(1, len(covariates) + 1)]]
+        pre = clean.filter(F.col(self.time) < min(self.points)).select(
+            *by, self.time, *[F.col(c).cast("double").alias(v) for v, c in zip(names, [target, *covariates], strict=True)])
         n = pre.count()
         if n < MIN_ROWS:
             raise ValueError(f"{n} rows before the first intervention, {MIN_ROWS} are needed")
-        return self._scores(pre, by, g)
+        require_bucketed(pre, by, self.time)
+        return self._scores(pre, by, g, names)
 
-    def _scores(self, pre: DataFrame, by: list[str], g: dict) -> DataFrame:
+    def _scores(self, pre: DataFrame, by: list[str], g: dict, values: list[str]) -> DataFrame:
         """One pipeline for all (d, D, s): every differenced version is a series of its own."""
         kinds = [(d, sd, s) for d in g["d"] for sd, s in sorted({(D if s else 0, s) for D in g["D"] for s in g["s"]})]
         w = _series(by, self.time)
-        rows, name = pre, {0: "_y"}
+        rows, name = pre, {(0, v): v for v in values}
         for d in range(1, max(g["d"]) + 1):
-            rows = rows.withColumn(f"_y_{d}", F.col(name[d - 1]) - F.lag(name[d - 1], 1).over(w))
-            name[d] = f"_y_{d}"
+            rows = rows.withColumns({f"{v}_{d}": F.col(name[d - 1, v]) - F.lag(name[d - 1, v], 1).over(w) for v in values})
+            name |= {(d, v): f"{v}_{d}" for v in values}
         versions = []
         for i, (d, sd, s) in enumerate(kinds):
-            column = name[d]
+            now = {v: name[d, v] for v in values}
             for k in range(sd):
-                rows = rows.withColumn(f"_v{i}_{k}", F.col(column) - F.lag(column, s).over(w))
-                column = f"_v{i}_{k}"
-            versions.append(F.struct(F.lit(i).alias("_kind"), F.col(column).alias("_x")))
-        long = rows.select(*by, self.time, F.explode(F.array(*versions)).alias("_e")).select(
-            *by, self.time, "_e.*").filter(F.col("_x").isNotNull())
+                rows = rows.withColumns({f"_k{i}_{k}{v}": F.col(now[v]) - F.lag(now[v], s).over(w) for v in values})
+                now = {v: f"_k{i}_{k}{v}" for v in values}
+            versions.append(F.struct(F.lit(i).alias("_kind"), *[F.col(now[v]).alias(v) for v in values]))
+        long = rows.select(*by, self.time, F.explode(F.array(*versions)).alias("_e")).select(*by, self.time, "_e.*").dropna(subset=values)
         keys = ["_kind", *by]
-        shocked = cut_lineage(_innovations(long, keys, self.time, "_x", "_e"))
+        level = [i for i, (d, sd, _) in enumerate(kinds) if d == 0 and sd == 0]
+        long = row_number(long, keys, [F.col(self.time)], "_pos").withColumns({
+            "_pos": F.col("_pos") - 1, "_c": F.col("_kind").isin(level).cast("double")})
+        long = cut_lineage(long)
+        xs = ["_c", *values[1:]]
+        staged = apply_fit(long, fit_by(long, xs, "_v0", keys, intercept=False), xs, keys, "_fit", intercept=False)
+        staged = cut_lineage(staged.withColumn("_u", F.col("_v0") - F.col("_fit")))
+        shocked = cut_lineage(_innovations(staged, keys, self.time, "_u", "_e"))
 
         each = _series(keys, self.time)
-        periods = sorted({s for _, _, s in kinds if s})
-        top_p, top_q = max(g["P"]), max(g["Q"])
-        columns = {**{f"_a{i}": F.lag("_x", i).over(each) for i in range(1, max(g["p"]) + 1)},
-                   **{f"_m{i}": F.lag("_e", i).over(each) for i in range(1, max(g["q"]) + 1)}}
-        for source, mark, top in (("_x", "_sa", top_p), ("_e", "_sm", top_q)):
+        seasonal = [i for i, kind in enumerate(kinds) if kind[2]]
+        depths = F.explode(F.when(F.col("_kind").isin(seasonal), F.array(*[
+            F.struct(F.lit(P).alias("_P"), F.lit(Q).alias("_Q")) for P in g["P"] for Q in g["Q"]])).otherwise(
+                F.array(F.struct(F.lit(0).alias("_P"), F.lit(0).alias("_Q"))))).alias("_depth")
+        lags = {**{f"_a{i}": F.lag("_u", i).over(each) for i in range(1, max(g["p"]) + 1)},
+                **{f"_m{i}": F.lag("_e", i).over(each) for i in range(1, max(g["q"]) + 1)}}
+        for source, mark, top in (("_u", "_sa", max(g["P"])), ("_e", "_sm", max(g["Q"]))):
             for k in range(1, top + 1):
-                value = F.lit(0.0)  # series without a season do not use it
-                for s in periods:
+                value = F.lit(None).cast("double")
+                for s in sorted({s for _, _, s in kinds if s}):
                     own = [i for i, kind in enumerate(kinds) if kind[2] == s]
                     value = F.when(F.col("_kind").isin(own), F.lag(source, s * k).over(each)).otherwise(value)
-                columns[f"{mark}{k}"] = value
-        lagged = shocked.withColumns(columns)
-        names = [*columns, "_x"]
-        stats = moments_by(lagged.drop("_e"), names, keys)
-        schema = T.StructType(field_list(pre, by) + [T.StructField(c, T.IntegerType()) for c in ORDER_COLUMNS]
-                              + [T.StructField("n_obs", T.LongType()), T.StructField("aic", T.DoubleType())])
-        out_keys = list(by)
+                lags[f"{mark}{k}"] = value
+        deep = shocked.withColumns(lags).select("*", depths).select("*", "_depth.*")
+        for mark, depth, top in (("_sa", "_P", max(g["P"])), ("_sm", "_Q", max(g["Q"]))):  # lags beyond an order's own aren't asked for
+            deep = deep.withColumns({f"{mark}{k}": F.when(F.col(depth) >= k, F.col(f"{mark}{k}")).otherwise(F.lit(0.0)) for k in range(1, top + 1)})
+        names = [*lags, "_u"]
+        stats = moments_by(deep, names, [*keys, "_P", "_Q"])
+        orders = [(p, d, q, P, D, Q, s) for d, D, s in kinds for p in g["p"] for q in g["q"]
+                  for P in (g["P"] if s else (0,)) for Q in (g["Q"] if s else (0,))]
+        place = {o: i for i, o in enumerate(orders)}
+        array = T.ArrayType(T.DoubleType())
+        schema = T.StructType(field_list(long, keys) + [T.StructField("candidate", T.LongType()), T.StructField("phi", array), T.StructField("theta", array)])
 
         def solve_rows(batches):
             for pdf in batches:
@@ -349,22 +436,26 @@ class ItsArima(CandidateChecks):
                     m = moments_from_row(row, names)
                     if m.n < MIN_ROWS:
                         continue
-                    d, sd, s = kinds[int(row["_kind"])]
+                    (d, sd, s), sp, sq = kinds[int(row["_kind"])], int(row["_P"]), int(row["_Q"])
                     for p in g["p"]:
                         for q in g["q"]:
-                            for sp in (g["P"] if s else (0,)):
-                                for sq in (g["Q"] if s else (0,)):
-                                    use = [f"_a{i}" for i in range(1, p + 1)] + [f"_sa{k}" for k in range(1, sp + 1)]
-                                    use += [f"_m{i}" for i in range(1, q + 1)] + [f"_sm{k}" for k in range(1, sq + 1)]
-                                    fit = solve(m, use, "_x", d == 0 and sd == 0)
-                                    params = fit.rank + 1
-                                    if m.n <= params:
-                                        continue
-                                    aic = float(np.log(max(fit.rss / m.n, 1e-300)) + 2.0 * params / m.n)
-                                    out.append([row[c] for c in out_keys] + [p, d, q, sp, sd, sq, s, int(m.n), aic])
+                            ar, ma = lag_set(p, sp, s), lag_set(q, sq, s)
+                            use = [f"_a{i}" if i <= p else f"_sa{i // s}" for i in ar] + [f"_m{i}" if i <= q else f"_sm{i // s}" for i in ma]
+                            if m.n <= len(use) + 1:
+                                continue
+                            phi, theta = polynomials(solve(m, use, "_u", False).coef, ar, ma)
+                            out.append([row[c] for c in keys] + [place[p, d, q, sp, sd, sq, s], phi.tolist(), theta.tolist()])
                 yield pd.DataFrame(out, columns=[f.name for f in schema])
 
-        return stats.mapInPandas(solve_rows, schema)
+        params = cut_lineage(stats.mapInPandas(solve_rows, schema))
+        fits = exact_fits(long, params, keys, ["_v0", *xs])
+        n_x = len(values) - 1
+        sizes = [len(lag_set(p, P, s)) + len(lag_set(q, Q, s)) + n_x + (d == 0 and D == 0) + 1 for p, d, q, P, D, Q, s in orders]
+        named = pre.sparkSession.createDataFrame(
+            [(i, *o, k) for i, (o, k) in enumerate(zip(orders, sizes, strict=True))],
+            "candidate bigint, " + ", ".join(f"{c} int" for c in ORDER_COLUMNS) + ", _k int")
+        return fits.join(F.broadcast(named), "candidate").filter(F.col("n") > F.col("_k")).select(
+            *by, *ORDER_COLUMNS, F.col("n").alias("n_obs"), ((2 * F.col("_k") - 2 * F.col("loglik")) / F.col("n")).alias("aic"))
 
     def best_order(self, scores: DataFrame) -> tuple[tuple[int, int, int], tuple[int, int, int, int]]:
         """One order for all groups: smallest mean score."""

@@ -97,6 +97,28 @@ def _wide_moments(df: DataFrame, names: Sequence[str]) -> Moments:
     return Moments(tuple(names), n, centre + shift * scale, cov)
 
 
+def _wide_moments_by(df: DataFrame, names: Sequence[str], by: Sequence[str]):
+    """A row per group for any number of variables, and the function that reads moments from it.
+
+    Cross-products are summed in units of the overall spread around the overall mean, so little is lost.
+    """
+    clean = complete_rows(df, names)
+    row = clean.agg(
+        *[F.avg(F.col(f"`{c}`").cast("double")).alias(f"a{i}") for i, c in enumerate(names)],
+        *[F.stddev_pop(F.col(f"`{c}`").cast("double")).alias(f"s{i}") for i, c in enumerate(names)]).collect()[0]
+    centre = np.array([row[f"a{i}"] or 0.0 for i in range(len(names))])
+    scale = np.array([row[f"s{i}"] or 1.0 for i in range(len(names))])
+
+    def read(found, names) -> Moments:
+        raw = unpack_gram(np.asarray(found["entries"], float), len(names) + 1)
+        n = raw[0, 0]
+        shift = raw[0, 1:] / n
+        cov = (raw[1:, 1:] / n - np.outer(shift, shift)) * np.outer(scale, scale)
+        return Moments(tuple(names), float(n), centre + shift * scale, cov)
+
+    return pack_by(wide_gram(clean, names, lambda x: (x - centre) / scale, by), by), read
+
+
 def merge_moments(parts: Iterable[Moments]) -> Moments:
     parts = [p for p in parts if p.n > 0]
     if not parts:
@@ -218,9 +240,9 @@ def fit_by(
 ) -> DataFrame:
     """One least-squares fit per group, lazily: (by..., coef[], inverse[], rss, tss, rank, n_obs)."""
     names = [*features, target]
+    stats, read = moments_by(df, names, by), moments_from_row
     if len(names) > NATIVE_LIMIT:
-        raise ValueError(f"at most {NATIVE_LIMIT - 1} features per grouped fit; use wide_gram")
-    stats = moments_by(df, names, by)
+        stats, read = _wide_moments_by(df, names, by)
     schema = T.StructType(field_list(df, by) + FIT_FIELDS)
     keys, wanted = list(by), list(features)
 
@@ -228,7 +250,7 @@ def fit_by(
         for pdf in batches:
             out = []
             for row in pdf.to_dict("records"):
-                s = solve(moments_from_row(row, names), wanted, target, intercept)
+                s = solve(read(row, names), wanted, target, intercept)
                 out.append([row[c] for c in keys] + [
                     s.coef.tolist(), s.inverse.ravel().tolist(), s.rss, s.tss, s.rank, int(s.n),
                 ])

@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 import numpy as np
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from causeway.functions.columns import OneHot, interval_dummy, period_index, period_label, string_columns
+from causeway.functions.columns import OneHot, TooManyLevels, interval_dummy, period_index, period_label, string_columns
 from causeway.functions.stats import normal_quantile, one_sample_t
 from causeway.operators.gram import (
     TERM_SCHEMA, Moments, Solution, complete_rows, field_list, linear_expression, merge_moments,
@@ -28,6 +28,7 @@ from causeway.operators.gram import (
 )
 from causeway.operators.intervals import added, moments_of, window_moments
 from causeway.operators.ordered import running_sum
+from causeway.operators.sparse import SparseFit, fit_sparse
 from causeway.operators.windows import elapsed, running_rows
 from causeway.session import cut_lineage, require_columns
 
@@ -60,6 +61,14 @@ def check_points(points: Sequence[float], low, high) -> None:
             raise ValueError(f"intervention {p} lies outside the time range {low}..{high}")
 
 
+def require_bucketed(df: DataFrame, keys: Sequence[str], time: str) -> None:
+    """Raise unless there is one row per (group, time): lags and windows over buckets rest on it."""
+    twice = df.groupBy(*keys, time).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").limit(1).collect()
+    if twice:
+        where = ", ".join(f"{c}={twice[0][c]!r}" for c in (*keys, time))
+        raise ValueError(f"{twice[0]['_n']} rows at {where}; bring facts to one row per (group, time) first, as panel does")
+
+
 def timed(df: DataFrame, time: str, points: Sequence[float], group: str | Sequence[str] | None = None,
           bucketed: bool = False, from_one: bool = True) -> DataFrame:
     """Add ``t``, ``_period`` and ``w`` (rows since the period began, 0 before the first point).
@@ -351,6 +360,42 @@ class SegmentedFit:
         return cls(encoder=encoder, origins=spark.read.parquet(f"{path}/origins"), clock=spark.read.parquet(f"{path}/clock"), **meta)
 
 
+@dataclass(frozen=True)
+class SparseSegmentedFit:
+    """Segmented fit whose covariate levels lie in a table: dense coefficients, in-sample means and effects."""
+
+    time: str
+    points: tuple[float, ...]
+    group: str | None
+    target: str
+    fit: SparseFit
+    cov_type: str
+    rows: DataFrame = field(compare=False, repr=False)
+
+    @property
+    def coefficients(self) -> dict[str, float]:
+        return self.fit.coefficients
+
+    def coefficient_table(self, spark: SparkSession) -> DataFrame:
+        return self.fit.coefficient_table(spark)
+
+    def level_coefficients(self) -> DataFrame:
+        """(covariate, level, coef) of all levels but the bases."""
+        names = F.array(*[F.lit(c) for c in self.fit.categories])
+        return self.fit.levels.select(F.get(names, F.col("column")).alias("covariate"), "level", "coef")
+
+    def predict(self, counterfactual: bool = False) -> DataFrame:
+        """Training rows plus ``mean``; the counterfactual drops the intervention terms."""
+        return self.fit.mean(self.rows, intervention_terms(len(self.points)) if counterfactual else ())
+
+    def effects(self) -> DataFrame:
+        keys = [self.group] if self.group else []
+        both = self.fit.mean(self.fit.mean(self.rows), intervention_terms(len(self.points)), "_without")
+        return both.groupBy(*keys, period_label(F.col(self.time), self.points).alias("Period")).agg(
+            F.avg(self.target).alias("Actual_mean"), F.avg("mean").alias("Predicted_mean"),
+            F.avg("_without").alias("Counterfactual_mean"), F.avg(F.col(self.target) - F.col("_without")).alias("Effect_mean"))
+
+
 class CandidateChecks:
     """Placebo tests and window sensitivity for any study model.
 
@@ -458,12 +503,16 @@ class SegmentedOls(CandidateChecks):
         object.__setattr__(self, "points", tuple(sorted(self.points)))
 
     def fit(self, df: DataFrame, target: str, covariates: Sequence[str] = (), cov_type: str = "HAC",
-            hac_lags: int = 3, intercept: bool = True, cache: bool = True) -> SegmentedFit:
+            hac_lags: int = 3, intercept: bool = True, cache: bool = True) -> SegmentedFit | SparseSegmentedFit:
+        """Pooled fit. Text covariates become dummies; where one has very many levels the fit is a ``fit_sparse``."""
         if cov_type not in ("HAC", "nonrobust"):
             raise ValueError(f"unknown cov_type {cov_type!r}")
         require_columns(df, [self.time, target, *covariates] + ([self.group] if self.group else []))
         texts = set(string_columns(df))
-        encoder = OneHot.fit(df, [c for c in covariates if c in texts])
+        try:
+            encoder = OneHot.fit(df, [c for c in covariates if c in texts])
+        except TooManyLevels:
+            return self.fit_sparse(df, target, covariates, cov_type, hac_lags, intercept)
         numeric = [c for c in covariates if c not in texts]
         cov_terms = [n for c in covariates for n in (
             [f"{c}_{v}" for v in encoder.levels[c][1:]] if c in texts else [c])]
@@ -501,6 +550,33 @@ class SegmentedOls(CandidateChecks):
             s.rank, cov_type, self.bucketed, rows.drop("_period", "w"), origins, period_clock(clean, self.time, keys),
         )
 
+    def fit_sparse(self, df: DataFrame, target: str, covariates: Sequence[str] = (), cov_type: str = "HAC",
+                   hac_lags: int = 3, intercept: bool = True) -> SparseSegmentedFit:
+        """The same fit with the levels of text covariates in a table, for any number of them."""
+        if cov_type not in ("HAC", "nonrobust"):
+            raise ValueError(f"unknown cov_type {cov_type!r}")
+        keys = [self.group] if self.group else []
+        require_columns(df, [self.time, target, *covariates, *keys])
+        texts = set(string_columns(df))
+        categories, numeric = ([c for c in covariates if (c in texts) == want] for want in (True, False))
+        clean = complete_rows(df, [self.time, target, *keys, *covariates])
+        span = clean.agg(F.min(self.time).alias("lo"), F.max(self.time).alias("hi")).collect()[0]
+        check_points(self.points, span["lo"], span["hi"])
+        rows = timed(clean, self.time, self.points, self.group, self.bucketed)
+        rows = rows.withColumns({
+            **{f"D_{i}": (F.col("_period") == i).cast("int") for i in range(1, len(self.points) + 1)},
+            **{f"timedelta_{i}": F.when(F.col("_period") == i, F.col("w")).otherwise(F.lit(0)) for i in range(1, len(self.points) + 1)},
+            **({"const": F.lit(1.0)} if intercept else {})}).drop("_period", "w")
+        rows = cut_lineage(rows)
+        dense = [*(["const"] if intercept else []), "t", *intervention_terms(len(self.points)), *numeric]
+        fit = fit_sparse(rows, dense, categories, target)
+        if cov_type == "HAC":
+            moved, names = fit.influence(fit.mean(rows, name="_mean"))
+            hac = newey_west(moved, [F.col(c) for c in names], F.col(target) - F.col("_mean"), F.col(self.time), keys, hac_lags,
+                             np.eye(len(dense)), self.bucketed)
+            fit = replace(fit, covariance=hac)
+        return SparseSegmentedFit(self.time, tuple(self.points), self.group, target, fit, cov_type, rows)
+
     # ---- refits from one read of the rows
 
     def _candidates(self, df: DataFrame, target: str, frame: DataFrame, covariates: Sequence[str]) -> DataFrame:

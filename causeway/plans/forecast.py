@@ -118,9 +118,20 @@ def i8_arima_forecast(spark, sf):
     return fit.forecast(ahead)
 
 
+@query("i8_exact_effects")
+def i8_exact_effects(spark, sf):
+    """The same study at the maximum of the exact likelihood."""
+    return ItsArima("time", POINTS, "group").fit_exact(orders_panel(spark, sf), "value", (1, 0, 1)).effects()
+
+
 @query("i9_order_search")
 def i9_order_search(spark, sf):
-    return ItsArima("time", POINTS, "group").search(orders_panel(spark, sf), "value", {"s": (0, 12)})
+    return ItsArima("time", POINTS, "group").search(orders_panel(spark, sf), "value")
+
+
+@query("i9_order_search_covariate")
+def i9_order_search_covariate(spark, sf):
+    return ItsArima("time", POINTS, "group").search(orders_panel(spark, sf), "value", {"d": (0, 1), "s": (0, 12)}, ["n_orders"])
 
 
 @query("i10_additive_effects")
