@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from causeway.functions.columns import even_grid
+from causeway.operators.choice import allocate
 from causeway.operators.gram import collect_gram, pack_by, ridge, unpack_gram, wide_gram
 from causeway.operators.ordered import affine_scan, ordered_scan
 from causeway.session import require_columns
@@ -93,6 +94,18 @@ def budget_split(params: DataFrame, budget: float, steps: int = 100) -> DataFram
         "channel", "spend", response.alias("response"))
 
 
+def exact_budget_split(params: DataFrame, budget: float, steps: int = 100) -> DataFrame:
+    """``budget_split`` by (max, +) convolution: the best split into whole steps for curves of any shape."""
+    require_columns(params, ["channel", "half", "slope", "beta", "price"])
+    size = budget / steps
+    x = F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda i: i * F.lit(size) / F.col("price"))
+    values = F.transform(x, lambda v: F.col("beta") * saturate(v, F.col("half"), F.col("slope")))
+    found = allocate(params.select(F.col("channel").alias("item"), values.alias("values")), [], steps)
+    spent = found.select(F.col("item").alias("channel"), (F.col("weight") * F.lit(size)).alias("spend"))
+    response = F.col("beta") * saturate(F.col("spend") / F.col("price"), F.col("half"), F.col("slope"))
+    return params.join(spent, "channel").select("channel", "spend", response.alias("response"))
+
+
 # ---------------------------------------------------------------- fit
 
 

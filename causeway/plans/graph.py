@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from causeway.operators import graph as G
+from causeway.operators.choice import exact_selection
 from causeway.plans.registry import query
 from causeway.sources.tables import load
 
@@ -67,3 +68,16 @@ def g2_selection_bound(spark, sf):
     out = G.selection_bound(picked(spark, sf), "p_retailprice", "p_size", "p_partkey", CAP, ["p_brand"])
     return out.select("p_brand", "n_selected", F.round("value", 2).alias("value"), "weight",
                       F.round("upper_bound", 4).alias("upper_bound"))
+
+
+@query("g2_exact_selection", """WITH RECURSIVE o AS (SELECT p_brand, p_retailprice AS v, CAST(p_size AS BIGINT) AS s,
+  row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS i FROM part),
+ dp AS (SELECT DISTINCT p_brand, 0::BIGINT AS i, [0.0::DOUBLE for k in range(601)] AS best FROM part
+  UNION ALL SELECT o.p_brand, o.i, [CASE WHEN w >= o.s THEN greatest(dp.best[w + 1], dp.best[w - o.s + 1] + o.v) ELSE dp.best[w + 1] END for w in range(601)]
+  FROM dp JOIN o ON o.p_brand = dp.p_brand AND o.i = dp.i + 1)
+SELECT p_brand, round(max(best[601]), 2) AS value FROM dp GROUP BY 1""")
+def g2_exact_selection(spark, sf):
+    """Largest total price within the cap on size, per brand."""
+    items = load(spark, sf, "part").select("p_brand", "p_partkey", "p_retailprice", F.col("p_size").cast("double").alias("p_size"))
+    chosen = exact_selection(items, "p_retailprice", "p_size", "p_partkey", CAP, ["p_brand"])
+    return chosen.groupBy("p_brand").agg(F.round(F.sum(F.when(F.col("selected"), F.col("p_retailprice")).otherwise(0.0)), 2).alias("value"))

@@ -117,3 +117,15 @@ def x6_budget_split(spark, sf):
     total = media_daily(spark, sf).agg(F.round(F.sum("spend") / F.count_distinct("date"), 2).alias("b")).first()["b"]
     out = X.budget_split(params(spark, sf), float(total), 100)
     return out.select("channel", F.round("spend", 4).alias("spend"), F.round("response", 6).alias("response"))
+
+
+@query("x6_budget_split_exact", f"""WITH RECURSIVE {MEDIA_SQL}, {_PARAMS_SQL}, b AS (SELECT round(sum(spend) / count(DISTINCT d), 2) AS budget FROM media),
+ o AS (SELECT row_number() OVER (ORDER BY channel) AS i, [CASE WHEN k = 0 THEN 0 ELSE beta*pow(k*budget/100/price, slope)/(pow(k*budget/100/price, slope) + pow(half, slope)) END
+   for k in range(101)] AS v FROM params CROSS JOIN b),
+ dp AS (SELECT 0::BIGINT AS i, [0.0::DOUBLE for k in range(101)] AS best
+  UNION ALL SELECT o.i, [list_max([dp.best[w - k + 1] + o.v[k + 1] for k in range(w + 1)]) for w in range(101)] FROM dp JOIN o ON o.i = dp.i + 1)
+SELECT round(best[101], 6) AS response FROM dp ORDER BY i DESC LIMIT 1""")
+def x6_budget_split_exact(spark, sf):
+    """Best total response to the average daily spend, whatever the curves' shape."""
+    total = media_daily(spark, sf).agg(F.round(F.sum("spend") / F.count_distinct("date"), 2).alias("b")).first()["b"]
+    return X.exact_budget_split(params(spark, sf), float(total), 100).agg(F.round(F.sum("response"), 6).alias("response"))
