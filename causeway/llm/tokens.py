@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import base64
 import json
+from struct import pack
+
+import numpy as np
 
 CACHE_LIMIT = 400_000  # pieces kept per task; the cache is emptied when full
 LONGEST_CACHED = 40  # characters
@@ -34,11 +37,10 @@ class Coder:
         self._fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=self._added)
         self._json_path, self._slow, self._cache = json_path, None, {}
 
-    def _ids(self, text: str) -> bytes:
-        import numpy as np
-
+    def _ids(self, text: str, special: bool = False) -> bytes:
+        """``special``: the text holds added tokens."""
         try:
-            ids = self._fast.encode(text, allowed_special="all") if self._added else self._fast.encode_ordinary(text)
+            ids = self._fast.encode(text, allowed_special="all") if special else self._fast.encode_ordinary(text)
         except Exception:  # its pattern engine gives up on very long runs of one class; the other library doesn't
             if self._slow is None:
                 from tokenizers import Tokenizer
@@ -46,40 +48,42 @@ class Coder:
                 self._slow = Tokenizer.from_file(self._json_path)
                 self._slow.encode_special_tokens = not self._added
             ids = self._slow.encode(text, add_special_tokens=False).ids
-        return np.asarray(ids, "<u4").tobytes()
+        return pack(f"<{len(ids)}I", *ids) if len(ids) < 64 else np.asarray(ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         if any(token in text for token in self._added):
-            return self._ids(text)
-        first, *rest = text.split(" ")
-        cache = self._cache
-        parts = list(map(cache.get, rest))
-        if None in parts:
-            for i, piece in enumerate(rest):
-                if parts[i] is None:
-                    if not piece or piece[0].isspace() or piece[-1].isspace():
-                        return self._joined(first, rest)
-                    parts[i] = found = self._ids(" " + piece)
-                    if len(piece) <= LONGEST_CACHED:
-                        if len(cache) >= CACHE_LIMIT:
-                            cache.clear()
-                        cache[piece] = found
-        if rest and first[-1:].isspace():
-            return self._joined(first, rest)
-        return self._ids(first) + b"".join(parts)
-
-    def _joined(self, first: str, rest: list[str]) -> bytes:
-        """The same where pieces touch white space: those stay with what is before them."""
-        chunks, now, open_end = [], [first], first[-1:].isspace()
-        for piece in rest:
-            if open_end or not piece or piece[0].isspace():
-                now.append(piece)
-            else:
-                chunks.append(" ".join(now))
-                now = ["", piece]
-            open_end = not piece or piece[-1].isspace()
-        chunks.append(" ".join(now))
-        return b"".join(map(self._ids, chunks))
+            return self._ids(text, True)
+        pieces = text.split(" ")
+        n, parts = len(pieces), list(map(self._cache.get, pieces))
+        parts[0] = None  # no space before it
+        missing = [i for i, ids in enumerate(parts) if ids is None]
+        upto = 0  # pieces before this are done
+        for i in missing:
+            if i < upto:
+                continue
+            piece = pieces[i]
+            if i and piece and not piece[0].isspace() and not piece[-1].isspace() and not _open(pieces[i - 1]):
+                ids = self._ids(" " + piece)
+                if len(piece) <= LONGEST_CACHED:
+                    if len(self._cache) >= CACHE_LIMIT:
+                        self._cache.clear()
+                    self._cache[piece] = ids
+                parts[i] = ids
+                continue
+            # white space stays with what is before it, and what follows a space at an end stays with that
+            first, last = i, i + 1
+            while first and (_open(pieces[first - 1]) or not pieces[first] or pieces[first][0].isspace()):
+                first -= 1
+            while last < n and (_open(pieces[last - 1]) or not pieces[last] or pieces[last][0].isspace()):
+                last += 1
+            parts[first:last] = [self._ids((" " if first else "") + " ".join(pieces[first:last])), *[b""] * (last - first - 1)]
+            upto = last
+        return b"".join(parts)
+
+
+def _open(piece: str) -> bool:
+    """Whether the space after a piece belongs to a run of white space."""
+    return not piece or piece[-1].isspace()
 
 
 def byte_bpe() -> tuple[str, str, str]:
