@@ -202,3 +202,131 @@ def affine_scan(df: DataFrame, by: Sequence[str], order: Sequence[Column], maps:
     for name in names:
         out = out.add(name, "double")
     return rows.mapInArrow(states, out)
+
+
+# ---------------------------------------------------------------- carried values
+
+
+class Margin(NamedTuple):
+    """What a block tells its neighbours: first and last group, and the known values nearest to its ends."""
+
+    block: int
+    first: tuple
+    last: tuple
+    one: bool
+    first_known: tuple | None
+    last_known: tuple | None
+
+
+def _runs(batches, by: Sequence[str]):
+    """(rows of one group in the block, whether it is the block's first run, whether the last), as Arrow tables."""
+    import numpy as np
+    import pyarrow as pa
+
+    held, before, index = [], None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        starts = _starts(batch, by, before)
+        before = batch.slice(batch.num_rows - 1)
+        at = 0
+        for cut in np.flatnonzero(starts):
+            if cut > at:
+                held.append(batch.slice(at, cut - at))
+            if held:
+                yield held, index == 0, False
+                held, index = [], index + 1
+            at = cut
+        held.append(batch.slice(at))
+    if held:
+        yield held, index == 0, True
+
+
+def nearest_known(df: DataFrame, by: Sequence[str], order: Sequence[Column], at: str, value: str) -> DataFrame:
+    """Add ``_before`` and ``_after``: (at, value) of the nearest row with a known value up to each row and from it on.
+
+    Rows are ordered by ``order`` in each group; ``at`` and ``value`` are doubles, ``value`` null where unknown.
+    A group may lie in any number of blocks: each block tells its outermost known values, at most two rows a
+    block reach the driver, and a second pass fills the blocks from their neighbours.
+    """
+    placed = place(df, by, order)
+    rows = placed.sortWithinPartitions(*[F.col(c).asc() for c in by], *order)
+    keys, columns = [*by, at, value, "_block"], df.columns
+    pair = "struct<at:double,value:double>"
+
+    def known(held):
+        import numpy as np
+
+        x, y = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False).astype(float) for b in held]) for c in (at, value))
+        spots = np.flatnonzero(~np.isnan(y))
+        return x, y, spots
+
+    def margins(batches):
+        import pyarrow as pa
+
+        first = last = None
+        for held, is_first, _ in _runs(batches, by):
+            x, y, spots = known(held)
+            ends = [(float(x[i]), float(y[i])) for i in spots[[0, -1]]] if len(spots) else [None, None]
+            last = (held[0].slice(0, 1), is_first, ends)
+            first = first or last
+        if first is not None:
+            for row, told, one, end in ((first[0], False, last[1], first[2][0]), (last[0], True, last[1], last[2][1])):
+                yield pa.RecordBatch.from_arrays(
+                    [*[row.column(c) for c in (*by, "_block")], pa.array([told]), pa.array([one]), pa.array([end[0] if end else None], pa.float64()),
+                     pa.array([end[1] if end else None], pa.float64())], [*by, "_block", "last", "one", "at", "value"])
+
+    unknown = F.lit(None).cast("double")
+    schema = placed.select(*by, "_block", F.lit(True).alias("last"), F.lit(True).alias("one"), unknown.alias("at"), unknown.alias("value")).schema
+    ends = {(r["_block"], r["last"]): r for r in rows.select(*keys).mapInArrow(margins, schema).collect()}  # two rows a block
+    group = range(len(by))
+
+    def told(r):
+        return None if r["at"] is None else (r["at"], r["value"])
+
+    blocks = [Margin(block, tuple(r[i] for i in group), tuple(ends[block, True][i] for i in group), r["one"], told(r), told(ends[block, True]))
+              for (block, last), r in sorted(ends.items(), key=lambda e: e[0]) if not last]
+    coming, going = _chained(blocks)
+
+    def fill(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for held, is_first, is_last in _runs(batches, by):
+            block = held[0].column("_block")[0].as_py()
+            x, y, spots = known(held)
+            x_known, y_known = x[spots], y[spots]
+            outside = coming.get(block) if is_first else None, going.get(block) if is_last else None
+            x_known = np.concatenate([[outside[0][0] if outside[0] else np.nan], x_known, [outside[1][0] if outside[1] else np.nan]])
+            y_known = np.concatenate([[outside[0][1] if outside[0] else np.nan], y_known, [outside[1][1] if outside[1] else np.nan]])
+            before = np.searchsorted(spots, np.arange(len(x)), "right")
+            after = np.searchsorted(spots, np.arange(len(x)), "left") + 1
+            done = 0
+            for b in held:
+                part = slice(done, done + b.num_rows)
+                done += b.num_rows
+                filled = []
+                for spot in (before[part], after[part]):
+                    missing = np.isnan(y_known[spot])
+                    filled.append(pa.StructArray.from_arrays(
+                        [pa.array(x_known[spot]), pa.array(y_known[spot])], ["at", "value"], mask=pa.array(missing)))
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in columns], *filled], [*columns, "_before", "_after"])
+
+    out = df.withColumns({"_before": F.lit(None).cast(pair), "_after": F.lit(None).cast(pair)}).schema
+    return rows.mapInArrow(fill, out)
+
+
+def _chained(blocks: list[Margin]) -> tuple[dict, dict]:
+    """Known value that comes into each block's first group from the left, and into its last from the right."""
+    coming, going = {}, {}
+    held, value = None, None
+    for b in blocks:
+        coming[b.block] = value if held is not None and held == b.first else None
+        value = b.last_known or (coming[b.block] if b.one else None)
+        held = b.last
+    held, value = None, None
+    for b in reversed(blocks):
+        going[b.block] = value if held is not None and held == b.last else None
+        value = b.first_known or (going[b.block] if b.one else None)
+        held = b.first
+    return coming, going

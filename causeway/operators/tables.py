@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from causeway.operators.ordered import ordered_scan
+from causeway.operators.ranks import order_statistics
 from causeway.session import require_columns
 
 
@@ -52,67 +53,9 @@ def drop_ends(df: DataFrame, key: str) -> DataFrame:
     return df.crossJoin(F.broadcast(bounds)).filter(inside).drop("_lo", "_hi")
 
 
-SKETCH = 10000
-
-
-def _percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    """(by..., column, p, value) for several columns from the same two passes."""
-    require_columns(df, [*columns, *by])
-    values = [F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)]
-    rows = df.select(*by, *values)
-    margin = 3.0 / SKETCH
-    lows, highs = [max(p - margin, 0.0) for p in probs], [min(p + margin, 1.0) for p in probs]
-    aggs = []
-    for i in range(len(columns)):
-        aggs += [F.count(f"_v{i}").alias(f"_n{i}"), F.min(f"_v{i}").alias(f"_min{i}"), F.max(f"_v{i}").alias(f"_max{i}"),
-                 F.percentile_approx(f"_v{i}", [*lows, *highs], SKETCH).alias(f"_q{i}")]
-    sketch = rows.groupBy(*by).agg(*aggs)
-    edges = []
-    for i in range(len(columns)):
-        for k in range(len(probs)):
-            # under 2 * SKETCH values the margin is only a few ranks, so all of them are ordered
-            few = F.col(f"_n{i}") < 2 * SKETCH
-            low, high = F.col(f"_q{i}")[k], F.col(f"_q{i}")[len(probs) + k]
-            edges.append(F.when(few | F.lit(lows[k] == 0.0), F.col(f"_min{i}")).otherwise(low).alias(f"_lo{i}_{k}"))
-            edges.append(F.when(few | F.lit(highs[k] == 1.0), F.col(f"_max{i}")).otherwise(high).alias(f"_hi{i}_{k}"))
-    bounds = sketch.select(*[F.col(c).alias(f"_g_{c}") for c in by], *[f"_n{i}" for i in range(len(columns))], *edges)
-    match = F.lit(True)
-    for c in by:
-        match = match & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    marked = rows.join(bounds, match) if by else rows.crossJoin(F.broadcast(bounds))
-    hits = []
-    for i in range(len(columns)):
-        v = F.col(f"_v{i}")
-        for k in range(len(probs)):
-            hits.append(F.when(v <= F.col(f"_hi{i}_{k}"), F.struct(
-                F.lit(i).alias("i"), F.lit(k).alias("k"), F.col(f"_n{i}").alias("total"),
-                F.when(v >= F.col(f"_lo{i}_{k}"), v).alias("v"))))
-    counts = marked.select(*by, F.explode(F.array(*hits)).alias("h")).filter(F.col("h").isNotNull()).groupBy(
-        *by, F.col("h.i").alias("_i"), F.col("h.k").alias("_k"), F.col("h.total").alias("_total"), F.col("h.v").alias("_v")
-    ).agg(F.count(F.lit(1)).alias("_n"))
-    keys = [*by, "_i", "_k"]
-    ranked = ordered_scan(counts, keys, [F.col("_v").asc_nulls_first()], {"_to": F.col("_n")}, position=None)
-    p = F.array(*[F.lit(float(v)) for v in probs])[F.col("_k")]
-    spot = p * (F.col("_total") - 1)
-    near = ranked.groupBy(*keys, "_total").agg(
-        F.min(F.when(F.col("_to") > F.floor(spot), F.col("_v"))).alias("_lo"),
-        F.min(F.when(F.col("_to") > F.ceil(spot), F.col("_v"))).alias("_hi"),
-        F.max(F.when(F.col("_v").isNull(), F.col("_n"))).alias("_below"))
-    safe = (F.coalesce("_below", F.lit(0)) <= F.floor(spot)) & F.col("_lo").isNotNull() & F.col("_hi").isNotNull()
-    value = F.col("_lo") + (spot - F.floor(spot)) * (F.col("_hi") - F.col("_lo"))
-    checked = F.when(safe, value).otherwise(F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-    named = F.array(*[F.lit(c) for c in columns])[F.col("_i")]
-    return near.select(*by, named.alias("column"), p.alias("p"), checked.alias("value"))
-
-
 def exact_percentiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Interpolated percentiles (by..., p, value), exact, without sorting the table or gathering a group.
-
-    A quantile sketch, whose rank error is bounded, brackets each percentile. A second pass counts the
-    rows below each bracket and the values inside it; only those few values are ordered. A bracket that
-    misses its rank fails the query, so a wrong value cannot come out.
-    """
-    return _percentiles(df, [column], probs, by).drop("column")
+    """Interpolated percentiles (by..., p, value), exact, without sorting the table or gathering a group."""
+    return order_statistics(df, [column], probs, by).drop("column")
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -124,7 +67,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         stats.append(F.struct(F.lit(c).alias("column"), F.count(v).alias("n"), F.avg(v).alias("mean"),
                               F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")).alias(f"_{i}"))
     basic = df.agg(*stats).select(F.explode(F.array(*[F.col(f"_{i}") for i in range(len(columns))])).alias("r")).select("r.*")
-    quartiles = _percentiles(df, columns, [0.25, 0.5, 0.75], ()).groupBy("column").agg(
+    quartiles = order_statistics(df, columns, [0.25, 0.5, 0.75]).groupBy("column").agg(
         *[F.max(F.when(F.col("p") == q, F.col("value"))).alias(f"p{int(q * 100)}") for q in (0.25, 0.5, 0.75)])
     return basic.join(quartiles, "column", "left").select("column", "n", "mean", "std", "min", "p25", "p50", "p75", "max")
 

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from causeway.operators.ordered import affine_scan, ordered_scan
+from causeway.operators.ordered import affine_scan, nearest_known, ordered_scan
+from causeway.session import require_columns
 
 
 def elapsed(df: DataFrame, group: Sequence[str], time: str, name: str = "t") -> DataFrame:
@@ -72,6 +73,30 @@ def interpolate(df: DataFrame, by: Sequence[str], x: str, y: str, at: Column, na
     return ends.select(*by, F.coalesce(inside, F.col("_lo.y"), F.col("_hi.y")).alias(name))
 
 
+def interpolate_points(curve: DataFrame, points: DataFrame, by: Sequence[str], x: str, y: str, name: str) -> DataFrame:
+    """``points`` (by..., x, ...) with ``name``: the value of their group's curve (by..., x, y), linear between its
+    rows and clamped outside its range.
+
+    Points and curve rows are merged in one order and each point looks at the curve rows next to it, so nothing is
+    joined and a long curve or very many points are spread over tasks. Several curve rows at one x
+    count with their mean; rows without x or y are no part of it. Points without a curve or x get null.
+    """
+    require_columns(curve, [*by, x, y])
+    require_columns(points, [*by, x])
+    own = curve.select(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).dropna(subset=["_x", "_y"])
+    own = own.groupBy(*by, "_x").agg(F.avg("_y").alias("_y"))
+    asked = points.select(*by, F.col(x).cast("double").alias("_x"), F.struct(*[F.col(f"`{c}`") for c in points.columns]).alias("_point"))
+    both = asked.withColumn("_y", F.lit(None).cast("double")).unionByName(own, allowMissingColumns=True)
+    # of rows at one x the curve's comes first, and the points' own order doesn't matter
+    found = nearest_known(both, list(by), [F.col("_x"), F.col("_y").isNull(), F.xxhash64("_point"), F.monotonically_increasing_id()], "_x", "_y")
+    low, high = F.col("_before"), F.col("_after")
+    share = (F.col("_x") - low["at"]) / (high["at"] - low["at"])
+    inside = F.when(low["at"] == F.col("_x"), low["value"]).when(high["at"] == low["at"], low["value"]).otherwise(
+        low["value"] + share * (high["value"] - low["value"]))
+    value = F.when(F.col("_x").isNotNull() & ~F.isnan("_x"), F.coalesce(inside, low["value"], high["value"]))
+    return found.filter(F.col("_point").isNotNull()).select("_point.*", value.alias(name))
+
+
 def adstock(df: DataFrame, by: Sequence[str], time: str, x: str, decay: float | Column, name: str) -> DataFrame:
     """Carry-over ``s = decay * s_before + x`` over the buckets of a series; all earlier buckets count."""
     share = decay if isinstance(decay, Column) else F.lit(float(decay))

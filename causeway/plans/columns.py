@@ -256,9 +256,24 @@ SELECT CAST(q AS DOUBLE) AS q, round(CASE WHEN xl IS NULL THEN h.y WHEN xh IS NU
 FROM e LEFT JOIN curve l ON l.x = xl LEFT JOIN curve h ON h.x = xh""")
 def w5_interpolation(spark, sf):
     points = spark.createDataFrame([(0.5,), (10.25,), (31.5,), (99.0,)], "q double")
-    rows = quantity_curve(spark, sf).crossJoin(F.broadcast(points))
-    out = windows.interpolate(rows, ["q"], "x", "y", F.col("q"), "value")
-    return out.withColumn("value", F.round("value", 6))
+    out = windows.interpolate_points(quantity_curve(spark, sf), points.withColumn("x", F.col("q")), [], "x", "y", "value")
+    return out.select("q", F.round("value", 6).alias("value"))
+
+
+@query("w5_interpolation_table", """WITH o AS (SELECT c_nationkey AS g, round(o_totalprice, -3) AS x, avg(c_acctbal) AS y
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 7 = 0 GROUP BY 1, 2),
+ p AS (SELECT o_orderkey, c_nationkey AS g, o_totalprice AS x FROM orders JOIN customer ON o_custkey = c_custkey),
+ l AS (SELECT p.*, o.x AS xl, o.y AS yl FROM p ASOF LEFT JOIN o ON p.g = o.g AND p.x >= o.x),
+ h AS (SELECT l.*, o.x AS xh, o.y AS yh FROM l ASOF LEFT JOIN o ON l.g = o.g AND l.x <= o.x)
+SELECT o_orderkey, round(CASE WHEN xl IS NULL THEN yh WHEN xh IS NULL OR xh = xl THEN yl ELSE yl + (x - xl)/(xh - xl)*(yh - yl) END, 2) AS value FROM h""")
+def w5_interpolation_table(spark, sf):
+    """Every order's price looked up on the balance curve of its customer's nation."""
+    orders = load(spark, sf, "orders").join(load(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    points = orders.select("o_orderkey", F.col("c_nationkey").alias("g"), F.col("o_totalprice").alias("x"))
+    curve = orders.filter("o_orderkey % 7 = 0").groupBy(F.col("c_nationkey").alias("g"), F.round("o_totalprice", -3).alias("x")).agg(
+        F.avg("c_acctbal").alias("y"))
+    out = windows.interpolate_points(curve, points, ["g"], "x", "y", "value")
+    return out.select("o_orderkey", F.round("value", 2).alias("value"))
 
 
 @query("w6_adstock", f"""WITH RECURSIVE {MEDIA_SQL}, {carried_sql("0.6")}
