@@ -22,6 +22,7 @@ from causeway.operators.its import (
     MIN_ROWS, CandidateChecks, candidate_rows, carried_design, check_points, design, intervention_terms, period_clock, require_bucketed,
 )
 from causeway.operators.tables import best_candidate
+from causeway.operators.trend import with_trend_interval
 from causeway.operators.widefit import WideDesign, WideFit
 from causeway.session import keep, require_columns
 
@@ -112,6 +113,20 @@ class AdditiveFit:
             rows = rows.withColumns({c: F.lit(0) for c in intervention_terms(len(self.points))})
         return self.fit.predict(rows, components=components)
 
+    def forecast(self, df: DataFrame, level: float = 0.95, replicates: int = 1000, seed: int = 42) -> DataFrame:
+        """``df`` with mean and interval; after the training rows the interval holds future slope changes.
+
+        They come as often as changepoints in the training time and with their mean absolute change of slope.
+        """
+        knots, span = len(self.shape["knots"]), self.shape["high"] - self.shape["low"]
+        rows = self.predict(df)
+        if not knots or not span:
+            return rows.drop("_day")
+        part = self.fit.design.block_slices()["changepoints"]
+        size = float(np.abs(self.fit.coef[part.start + 1:part.stop + 1]).mean()) * self.fit.scale / span
+        noise = float(np.sqrt(self.fit.sigma2)) * self.fit.scale
+        return with_trend_interval(rows, self.shape["high"], knots / span, size, noise, level, replicates, seed).drop("_day")
+
     def save(self, spark: SparkSession, path: str) -> None:
         meta = {k: getattr(self, k) for k in ("time", "points", "group", "target", "regressors", "shape")}
         f = self.fit

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from causeway.operators.gram import collect_gram, unpack_gram
+from causeway.operators.trend import with_trend_interval
 from causeway.operators.widefit import WideDesign, WideFit, fit_wide, solve_wide
 from causeway.session import keep, require_columns
 
@@ -196,6 +197,23 @@ def forecast(fit: WideFit, series: DataFrame, steps: int, freq: str = "week", le
     return fit.predict(_dated(ahead), level=level).drop("_day")
 
 
+def forecast_with_trend(fit: WideFit, series: DataFrame, steps: int, freq: str = "week", level: float = 0.95,
+                        replicates: int = 1000, seed: int = 42) -> DataFrame:
+    """``forecast`` whose interval widens by future slope changes, drawn like the selected changepoints.
+
+    A model without changepoints has none ahead either.
+    """
+    facts = series_facts(series)
+    part = fit.design.block_slices()["changepoints"]
+    knots, span = part.stop - part.start, facts.last - facts.first
+    rows = _dated(forecast(fit, series, steps, freq, level))
+    if not knots or not span:
+        return rows.drop("_day")
+    size = float(np.abs(fit.coef[part.start + 1:part.stop + 1]).mean()) * fit.scale / YEAR
+    noise = float(np.sqrt(fit.sigma2)) * fit.scale
+    return with_trend_interval(rows, facts.last, knots / span, size, noise, level, replicates, seed).drop("_day")
+
+
 # ---------------------------------------------------------------- expanding-window validation
 
 
@@ -224,7 +242,8 @@ def cross_validate(model: CalendarForecast, series: DataFrame, horizon: int = 4,
     """Test and train error per (strength, split).
 
     Cross-products are summed once per block between split points; the training set of a split is
-    a sum of blocks, so rows are read once for all splits and strengths.
+    a sum of blocks, so rows are read once for all splits and strengths. Centre and scale of the target only
+    keep the sums small: the constant isn't penalised, so predictions don't depend on them.
     """
     spark = series.sparkSession
     series = keep(series)

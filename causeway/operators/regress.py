@@ -29,8 +29,46 @@ class Profile:
     high: dict[str, float]
 
 
+class EffectReports:
+    """Elasticity, responsiveness and the report of all variables, for any model with a profile of its training
+    rows, ``marginal_effect``, ``effect_expression`` and ``saturation``."""
+
+    def elasticity(self, variable: str, x: float, y: float) -> float:
+        if y == 0:
+            raise ValueError("elasticity is undefined at y = 0")
+        return self.marginal_effect(variable, x) * x / y
+
+    def elasticity_expression(self, variable: str, x: Column, y: Column) -> Column:
+        return F.try_divide(self.effect_expression(variable, x) * x, y)
+
+    def responsiveness(self, spark: SparkSession, variable: str, percent: float = 1.0) -> DataFrame:
+        """Change of y for a percent change of x around the means."""
+        x, y = self.profile.mean[self._known(variable)], self.profile.mean[self.target]
+        step = percent / 100.0 * x
+        change = self.marginal_effect(variable) * step
+        return spark.createDataFrame(
+            [(variable, x, y, float(percent), step, change, change / y * 100.0 if y else None)],
+            "variable string, base_x_mean double, base_y_mean double, percentage_change_x double, "
+            "absolute_x_change double, absolute_y_effect double, percentage_y_effect double")
+
+    def variable_report(self, spark: SparkSession, n: int = 50) -> DataFrame:
+        """Effect at the mean, saturation and responsiveness of every variable."""
+        out = None
+        for v in self.features:
+            one = self.saturation(spark, v, n).crossJoin(
+                self.responsiveness(spark, v).select("base_x_mean", "base_y_mean", "absolute_y_effect", "percentage_y_effect")
+            ).withColumn("marginal_effect", F.lit(self.marginal_effect(v)))
+            out = one if out is None else out.unionByName(one)
+        return out
+
+    def _known(self, variable: str) -> str:
+        if variable not in self.features:
+            raise ValueError(f"variable {variable!r} is not in the model")
+        return variable
+
+
 @dataclass(frozen=True)
-class Regression:
+class Regression(EffectReports):
     """Fitted linear, semi-log (y ~ ln x) or double-log (ln y ~ ln x) model."""
 
     kind: str
@@ -129,14 +167,6 @@ class Regression:
             return beta / x
         return beta * self.predict_one(**(self.profile.mean | {variable: x})) / x
 
-    def elasticity(self, variable: str, x: float, y: float) -> float:
-        if y == 0:
-            raise ValueError("elasticity is undefined at y = 0")
-        return self.marginal_effect(variable, x) * x / y
-
-    def elasticity_expression(self, variable: str, x: Column, y: Column) -> Column:
-        return F.try_divide(self.effect_expression(variable, x) * x, y)
-
     def grid(self, spark: SparkSession, variable: str, n: int = 100) -> DataFrame:
         """(x, prediction, marginal_effect) over the training range of one variable."""
         low, high = self.profile.low[self._known(variable)], self.profile.high[variable]
@@ -149,31 +179,6 @@ class Regression:
         """Constant effect for linear models; otherwise the first grid x with |ME| <= 1% of its maximum."""
         return saturation_rows(self.grid(spark, variable, n), variable, self.kind, self._slope(variable))
 
-    def responsiveness(self, spark: SparkSession, variable: str, percent: float = 1.0) -> DataFrame:
-        """Change of y for a percent change of x around the means."""
-        x, y = self.profile.mean[self._known(variable)], self.profile.mean[self.target]
-        step = percent / 100.0 * x
-        change = self.marginal_effect(variable) * step
-        return spark.createDataFrame(
-            [(variable, x, y, float(percent), step, change, change / y * 100.0 if y else None)],
-            "variable string, base_x_mean double, base_y_mean double, percentage_change_x double, "
-            "absolute_x_change double, absolute_y_effect double, percentage_y_effect double")
-
-    def variable_report(self, spark: SparkSession, n: int = 50) -> DataFrame:
-        """Effect at the mean, saturation and responsiveness of every variable."""
-        out = None
-        for v in self.features:
-            one = self.saturation(spark, v, n).crossJoin(
-                self.responsiveness(spark, v).select("base_x_mean", "base_y_mean", "absolute_y_effect", "percentage_y_effect")
-            ).withColumn("marginal_effect", F.lit(self.marginal_effect(v)))
-            out = one if out is None else out.unionByName(one)
-        return out
-
-    def _known(self, variable: str) -> str:
-        if variable not in self.features:
-            raise ValueError(f"variable {variable!r} is not in the model")
-        return variable
-
     def _slope(self, variable: str) -> float:
         return self.slopes[self._known(variable)]
 
@@ -287,7 +292,7 @@ def spline_basis(x: np.ndarray, low: float, high: float, n: int) -> np.ndarray:
 
 
 @dataclass(frozen=True)
-class SplineModel:
+class SplineModel(EffectReports):
     """Sum of penalised cubic B-spline terms (second-difference penalty, Eilers and Marx 1996)."""
 
     features: tuple[str, ...]
@@ -385,9 +390,17 @@ class SplineModel:
 
     def effect_expression(self, variable: str, x: Column) -> Column:
         """Derivative of the basis; other features do not matter in an additive model."""
-        if variable not in self.features:
-            raise ValueError(f"variable {variable!r} is not in the model")
-        return self._pieces(variable, x)[1]
+        return self._pieces(self._known(variable), x)[1]
+
+    def marginal_effect(self, variable: str, x: float | None = None) -> float:
+        """Slope of one spline term at ``x``, by default at the variable's mean."""
+        k, lo, hi = self.n_splines, self.profile.low[self._known(variable)], self.profile.high[variable]
+        width = (hi - lo) or 1.0
+        u = (min(max(self.profile.mean[variable] if x is None else float(x), lo), hi) - lo) / width * (k - 3)
+        cell = min(int(u), k - 4)
+        f = u - cell
+        slopes = np.array([-3 * (1 - f) ** 2, 9 * f * f - 12 * f, -9 * f * f + 6 * f + 3, 3 * f * f])
+        return float(self._blocks()[variable][cell:cell + 4] @ slopes) / 6.0 * (k - 3) / width
 
     def saturation(self, spark: SparkSession, variable: str, n: int = 100) -> DataFrame:
         base = even_grid(spark.range(1), F.lit(self.profile.low[variable]), F.lit(self.profile.high[variable]), n)

@@ -13,8 +13,13 @@ from causeway.session import require_columns
 
 
 def hash_split(df: DataFrame, key: Column, percent_test: int = 25, seed: int = 20) -> DataFrame:
-    """Repeatable split flag ``is_test``: a hash of a row key, whatever the partitioning."""
-    return df.withColumn("is_test", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(100)) < percent_test)
+    """Repeatable split flag ``is_test``: a hash of a row key, whatever the partitioning or the engine.
+
+    The first 32 bits of the md5 of ``key:seed`` as text; a null key counts as an empty text.
+    """
+    text = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}"))
+    number = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return df.withColumn("is_test", F.pmod(number, F.lit(100)) < percent_test)
 
 
 def last_periods_split(df: DataFrame, period: str, n_test: int) -> DataFrame:

@@ -64,6 +64,23 @@ def t5_forecast_interval(spark, sf):
     return T.forecast(T.CalendarForecast().fit(series), series, 4)
 
 
+@query("t5_trend_interval")
+def t5_trend_interval(spark, sf):
+    """Twelve weeks ahead with an interval that holds future changes of slope."""
+    series = weekly(spark, sf)
+    return T.forecast_with_trend(T.CalendarForecast().fit(series), series, 12)
+
+
+@query("i10_additive_forecast")
+def i10_additive_forecast(spark, sf):
+    """A year ahead for every priority with the last intervention still on."""
+    rows = orders_panel(spark, sf)
+    fit = ItsAdditive("time", POINTS, "group").fit(rows, "value")
+    ends = rows.groupBy("group").agg(F.max("time").alias("last"))
+    ahead = ends.select("group", F.explode(F.sequence(F.col("last") + 1, F.col("last") + 12)).alias("time"))
+    return fit.forecast(ahead).select("group", "time", "mean", "lower", "upper")
+
+
 _T6_SQL = """WITH p AS (SELECT o_orderpriority AS grp, CAST((year(o_orderdate)-1995)*12+month(o_orderdate)-1 AS BIGINT) AS time,
   sum(o_totalprice) AS y FROM orders GROUP BY 1, 2),
  m AS (SELECT grp, regr_slope(y, time) AS b, regr_intercept(y, time) AS a FROM p WHERE time < 59 GROUP BY 1),

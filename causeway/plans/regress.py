@@ -134,6 +134,24 @@ def m10_partial_dependence(spark, sf):
     return spline(spark, sf).partial_dependence(spark, "l_quantity", 50)
 
 
+@query("m12_spline_elasticity")
+def m12_spline_elasticity(spark, sf):
+    """Elasticity of the spline model at every quantity, against the mean price there."""
+    model = spline(spark, sf)
+    cells = load(spark, sf, "lineitem").groupBy("l_quantity").agg(F.avg("l_extendedprice").alias("y"))
+    return cells.select("l_quantity", model.elasticity_expression("l_quantity", F.col("l_quantity"), F.col("y")).alias("elasticity"))
+
+
+@query("m14_spline_responsiveness")
+def m14_spline_responsiveness(spark, sf):
+    return spline(spark, sf).responsiveness(spark, "l_quantity", 5.0)
+
+
+@query("m15_spline_report")
+def m15_spline_report(spark, sf):
+    return spline(spark, sf).variable_report(spark, 50)
+
+
 @query("m11_marginal_effects", f"""WITH {_POWER_SQL}, g AS (SELECT lo + i*(hi - lo)/99.0 AS x, f.* FROM f CROSS JOIN range(100) r(i))
 SELECT round(x, 4) AS x, round(exp(a + b*ln(x)), 7) AS prediction, round(b*exp(a + b*ln(x))/x, 12) AS marginal_effect FROM g""")
 def m11_marginal_effects(spark, sf):

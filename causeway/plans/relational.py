@@ -133,7 +133,8 @@ def p11_last_periods_split(spark, sf):
     return R.last_periods_split(rows, "day", 10)
 
 
-@query("p12_hash_split")
+@query("p12_hash_split", """SELECT o_orderkey, o_totalprice,
+ CAST('0x' || substr(md5(o_orderkey || ':20'), 1, 8) AS BIGINT) % 100 < 25 AS is_test FROM orders""")
 def p12_hash_split(spark, sf):
     return R.hash_split(load(spark, sf, "orders").select("o_orderkey", "o_totalprice"), F.col("o_orderkey"))
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from causeway.operators.ordered import row_number
+
 SPECIFICATION = """\
 ## Model specification
 
@@ -21,11 +23,14 @@ autocorrelation (Bartlett weights). The counterfactual sets all D_i and timedelt
 
 def text_lines(spark: SparkSession, text: str, section: int) -> DataFrame:
     return spark.createDataFrame(
-        [(section, i, line) for i, line in enumerate(text.split("\n"))], "section int, ord int, line string")
+        [(section, i, line) for i, line in enumerate(text.split("\n"))], "section int, ord bigint, line string")
 
 
 def markdown_table(df: DataFrame, order: Sequence[str], section: int, digits: int = 4) -> DataFrame:
-    """A small result frame as Markdown rows (section, ord, line); numbers get fixed decimals."""
+    """A result frame of any size as Markdown rows (section, ord, line); numbers get fixed decimals.
+
+    ``order`` should be unique; rows that share it keep some order.
+    """
     cells = []
     for name, kind in df.dtypes:
         if kind in ("double", "float"):
@@ -34,9 +39,10 @@ def markdown_table(df: DataFrame, order: Sequence[str], section: int, digits: in
         else:
             text = F.col(name).cast("string")
         cells.append(F.coalesce(text, F.lit("")))
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
-    body = df.select(F.lit(section).alias("section"), (place + 1).alias("ord"),
-                     F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+    lines = df.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                      F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+    placed = row_number(lines, [], [F.col(f"_o{i}") for i in range(len(order))], "_place")
+    body = placed.select(F.lit(section).alias("section"), (F.col("_place") + 1).alias("ord"), "line")
     head = f"| {' | '.join(df.columns)} |\n|{'|'.join([' --- '] * len(df.columns))}|"
     return text_lines(df.sparkSession, head, section).unionByName(body)
 
@@ -47,10 +53,11 @@ def build_report(spark: SparkSession, title: str, tables: Sequence[tuple[str, Da
     for i, (heading, table, order) in enumerate(tables):
         out = out.unionByName(text_lines(spark, f"## {heading}\n", 2 * i + 1))
         out = out.unionByName(markdown_table(table, order, 2 * i + 2))
-        out = out.unionByName(spark.createDataFrame([(2 * i + 2, 1 << 30, "")], "section int, ord int, line string"))
+        out = out.unionByName(spark.createDataFrame([(2 * i + 2, 1 << 62, "")], "section int, ord bigint, line string"))
     return out
 
 
 def write_report(lines: DataFrame, path: str) -> None:
-    """One ordered text file; a report holds result rows only."""
-    lines.orderBy("section", "ord").select("line").coalesce(1).write.mode("overwrite").text(path)
+    """Text files whose names, in order, give the report; a small one is a single file."""
+    ordered = lines.repartitionByRange("section", "ord").sortWithinPartitions("section", "ord")
+    ordered.select("line").write.mode("overwrite").text(path)
