@@ -58,6 +58,29 @@ def test_small_batches_give_the_same(spark, monkeypatch):
     assert got(chat.read_back(chat.format_chats(frame))) == expected(rows)
 
 
+def test_long_conversations_are_chunks(spark, monkeypatch):
+    """A conversation with most of the rows: several chunks from several tasks, spans from the conversation's start."""
+    rows = [(1 if t % 5 else 2 + t, t, "assistant" if t % 2 else "user", f"t{t}é <|im_end|>" * (t % 7)) for t in range(3000)]
+    rows += [(None, None, "assistant", f"x{t}") for t in range(300)]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(6)
+    monkeypatch.setattr(chat, "BATCH_BYTES", 5000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        formatted = chat.format_chats(frame)
+        chunks = [r for r in formatted.collect() if r.conv_id == 1]
+        assert got(chat.read_back(formatted)) == expected(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(chunks) > 10 and sorted(r.chunk for r in chunks) == list(range(len(chunks)))
+    assert all(len(r.formatted) == r.chars and len(r.formatted.encode()) < 8000 for r in chunks)
+    whole = {r.conv_id: r for r in chat.whole_conversations(formatted).collect()}
+    assert whole[1].formatted == "".join(r.formatted for r in sorted(chunks, key=lambda r: r.chunk))
+    said = [chat.unescape(whole[1].formatted[s.start:s.end]) for s in whole[1].loss]
+    assert said == [r[3] for r in rows if r[0] == 1 and r[2] == "assistant"]
+    monkeypatch.setattr(chat, "BROADCAST_ROWS", 0)
+    assert got(chat.read_back(chat.format_chats(frame))) == expected(rows)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="<|\\n\nim_start>é"))
 def test_escapes_are_reversible(text):
