@@ -15,6 +15,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_slices(batch, size: int, column: str = "text"):
+    """Parts of a batch with about ``size`` bytes of text, or one longer text, so few texts are strings at a time."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
+    part = np.cumsum(sizes) // size
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)] if len(sizes) else []
+    for a, b in zip(edges, edges[1:], strict=False):
+        yield batch.slice(a, b - a)
+
+
 def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the doc_id as text, modulo; a null doc_id counts as an empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

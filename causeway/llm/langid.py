@@ -18,16 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from causeway.llm.common import remainder
+from causeway.llm.common import remainder, text_slices
 from causeway.session import cut_lineage
 
 FIT_DOCUMENTS = 1500  # expected number of documents per language that the fit reads
 ITERATIONS = 2
 FLOOR = 1e-4  # share of probability spread evenly over all pieces
-CACHE_LIMIT = 400_000  # words kept per task; the cache is emptied when full
+CACHE_LIMIT = 250_000  # words kept per task; the cache is emptied when full
+HELD_WORDS = 250_000  # different words a task gathers before it hands them on
+TEXT_BYTES = 1 << 20  # texts that are strings at a time
 CACHE_CELLS = 4_000_000  # words times languages kept per task
 LINEAR = 32  # bytes of a word up to which products can't underflow
-GROUP_WORDS = 200_000  # words of whole documents scored at a time
 
 
 class Pieces:
@@ -180,11 +181,12 @@ class LanguageModel:
 
             held: Counter = Counter()
             for batch in batches:
-                for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                    held.update((lang, word) for word in words_of(text))
-                if len(held) >= CACHE_LIMIT:
-                    yield _counted(pa, held)
-                    held.clear()
+                for part in text_slices(batch, TEXT_BYTES):
+                    for lang, text in zip(part["lang"].to_pylist(), part["text"].to_pylist(), strict=True):
+                        held.update((lang, word) for word in words_of(text))
+                    if len(held) >= HELD_WORDS:
+                        yield _counted(pa, held)
+                        held = Counter()
             yield _counted(pa, held)
 
         words = sample.mapInArrow(count, "lang string, word binary, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -250,32 +252,25 @@ class LanguageModel:
                 total = np.concatenate([np.zeros((1, len(languages))), np.cumsum(table[at], 0)])
                 return total[ends] - total[np.concatenate([[0], ends[:-1]])]
 
-            for batch in batches:
-                best, share = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
+            def judged(part):
+                best, share = ["und"] * part.num_rows, np.zeros(part.num_rows)
                 rows: list[int] = []
                 held: list[list[bytes]] = []
-                waiting = 0
-
-                def finish():
-                    sums = sums_of(held)
-                    for i, own in zip(rows, sums, strict=True):
-                        at = int(np.argmax(own))
-                        best[i], share[i] = languages[at], 1 / np.exp(own - own[at]).sum()
-
-                for i, text in enumerate(batch["text"].to_pylist()):
+                for i, text in enumerate(part["text"].to_pylist()):
                     if text is None or not languages or not any(map(str.isalpha, text)):
                         continue
                     rows.append(i)
                     held.append(words_of(text))
-                    waiting += len(held[-1])
-                    if waiting >= GROUP_WORDS:
-                        finish()
-                        rows, held, waiting = [], [], 0
                 if rows:
-                    finish()
-                kept = [c for c in batch.schema.names if c not in names]
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch[c] for c in kept], pa.array(best, pa.string()), pa.array(share)], [*kept, *names])
+                    for i, own in zip(rows, sums_of(held), strict=True):
+                        at = int(np.argmax(own))
+                        best[i], share[i] = languages[at], 1 / np.exp(own - own[at]).sum()
+                kept = [c for c in part.schema.names if c not in names]
+                return pa.RecordBatch.from_arrays([*[part[c] for c in kept], pa.array(best, pa.string()), pa.array(share)], [*kept, *names])
+
+            for batch in batches:
+                for part in text_slices(batch, TEXT_BYTES):
+                    yield judged(part)
 
         kept = documents.drop(*names).withColumn("text", F.col("text").cast("string"))
         schema = StructType(list(kept.schema)).add(names[0], "string").add(names[1], "double")

@@ -132,8 +132,9 @@ def id_kind(end_id: int) -> str:
 VOCABULARY = 50_257  # ids of the byte-level vocabulary, its added token included
 
 
-def place(pieces: DataFrame, capacity: int) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to rows with ``length``, ``_part`` and ``_local``."""
+def place(pieces: DataFrame, capacity: int, kind: str | None = None) -> DataFrame:
+    """Add ``sequence_id`` and ``offset`` to rows with ``length``, ``_part`` and ``_local``; with ``kind`` also what
+    ``with_ids`` adds, in the same pass."""
     pieces = stored(pieces, "pieces")
     sizes = cut_lineage(pieces.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("_n")))
     counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
@@ -156,32 +157,38 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
             sequence = slot[:, 4] + nth // slot[:, 3]
             offset = slot[:, 5] + nth % slot[:, 3] * length
             kept = [c for c in batch.schema.names if c not in ("_part", "_local", "_before", "_rank")]
-            yield pa.RecordBatch.from_arrays(
+            placed = pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in kept], pa.array(sequence), pa.array(offset)], [*kept, "sequence_id", "offset"])
+            yield from [placed] if kind is None else _id_arrays(placed, kind)
 
-    kept = ranked.drop("_part", "_local", "_before", "_rank").schema
-    return ranked.mapInArrow(run, kept.add("sequence_id", "long").add("offset", "long"))
+    out = ranked.drop("_part", "_local", "_before", "_rank", *(["_ids"] if kind else [])).schema.add("sequence_id", "long").add("offset", "long")
+    return ranked.mapInArrow(run, out.add("ids_crc32", "long").add("ids", ArrayType(IntegerType())) if kind else out)
+
+
+def _id_arrays(batch, kind: str):
+    """Parts of a batch with ``_ids`` as an array ``ids``, and the checksum of the ids as unsigned 32-bit numbers."""
+    import numpy as np
+    import pyarrow as pa
+
+    step = max(1, BATCH_IDS // max(1, int(np.max(batch.column("length").to_numpy(), initial=1))))
+    for at in range(0, batch.num_rows, step):
+        part = batch.slice(at, step)
+        column = part.column("_ids")
+        offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + part.num_rows + 1]
+        flat = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(kind).astype("<u4")
+        ends = (offsets - offsets[0]) // np.dtype(kind).itemsize
+        checks = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        kept = [c for c in part.schema.names if c != "_ids"]
+        yield pa.RecordBatch.from_arrays(
+            [*[part.column(c) for c in kept], pa.array(checks, pa.int64()),
+             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int32)))], [*kept, "ids_crc32", "ids"])
 
 
 def with_ids(placed: DataFrame, kind: str) -> DataFrame:
-    """``_ids`` as an array ``ids``, and the checksum of the ids as unsigned 32-bit numbers."""
+    """``_ids`` of a placed table as an array ``ids``, and their checksum."""
     def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
         for batch in batches:
-            step = max(1, BATCH_IDS // max(1, int(np.max(batch.column("length").to_numpy(), initial=1))))
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                column = part.column("_ids")
-                offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + part.num_rows + 1]
-                flat = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(kind).astype("<u4")
-                ends = (offsets - offsets[0]) // np.dtype(kind).itemsize
-                checks = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-                kept = [c for c in part.schema.names if c != "_ids"]
-                yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in kept], pa.array(checks, pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int32)))], [*kept, "ids_crc32", "ids"])
+            yield from _id_arrays(batch, kind)
 
     out = placed.drop("_ids").schema.add("ids_crc32", "long").add("ids", ArrayType(IntegerType()))
     return placed.mapInArrow(run, out)
@@ -196,7 +203,10 @@ def pack(documents: DataFrame, capacity: int = 1024, end_id: int = 2, in_order:
     which bin follows the order of tasks and rows. With ``in_order`` rows are ranged by sequence and offset, so
     a written table holds each sequence's ids one after the other.
     """
-    placed = place(token_pieces(documents, capacity, end_id), capacity)
+    kind, pieces = id_kind(end_id), token_pieces(documents, capacity, end_id)
     if in_order:
-        placed = placed.repartitionByRange("sequence_id", "offset").sortWithinPartitions("sequence_id", "offset")
-    return with_ids(placed, id_kind(end_id)).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")
+        placed = place(pieces, capacity).repartitionByRange("sequence_id", "offset").sortWithinPartitions("sequence_id", "offset")
+        placed = with_ids(placed, kind)
+    else:
+        placed = place(pieces, capacity, kind)
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from causeway.llm.common import least_count, remainder, stored
+from causeway.llm.common import least_count, remainder, stored, text_slices
 
 ORDER = 5
 END = b"\n"  # never inside a word
@@ -160,14 +160,10 @@ def normal_words(text: str | None) -> list[bytes]:
 
 def slices(batch):
     """Parts (first row, texts) of a batch with about ``CHUNK`` bytes of text, or one longer text."""
-    import numpy as np
-    import pyarrow.compute as pc
-
-    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0)).astype(np.int64)
-    part = np.cumsum(sizes) // CHUNK
-    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)] if len(sizes) else []
-    for a, b in zip(edges, edges[1:], strict=False):
-        yield a, batch.column("text").slice(a, b - a).to_pylist()
+    at = 0
+    for part in text_slices(batch, CHUNK):
+        yield at, part.column("text").to_pylist()
+        at += part.num_rows
 
 
 def streams(items, order: int):

@@ -43,8 +43,9 @@ def fingerprints(documents: DataFrame, shingle: int = 3, seed: int = 42, key: st
 
         digest = xxhash.xxh64_intdigest
         for batch in batches:
-            found = np.zeros(batch.num_rows, np.uint64)
-            for row, text in enumerate(batch["text"].to_pylist()):
+            found, texts = np.zeros(batch.num_rows, np.uint64), batch["text"]
+            for row in range(batch.num_rows):
+                text = texts[row].as_py()  # one text as a string at a time
                 words = text.encode().lower().split() if text else ()
                 if not words:
                     continue

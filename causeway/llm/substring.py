@@ -13,8 +13,9 @@ select the same anchor form a stretch around it. Extension compares stretches of
 Overlapping repeats are united, so what remains are maximal repeats of ``length`` words or more. No
 step pairs the documents of an anchor; each is a minimum by key, combined in the tasks first.
 
-Texts are read in three narrow passes rather than shuffled. Bit tables of a fixed size tell a later
-pass which stretches matter; a wrong bit lets a row through and changes nothing else.
+Texts are read in three narrow passes rather than shuffled. Bit tables, sized by what they hold, tell a later
+pass which stretches matter; a wrong bit lets a row through and changes nothing else. Nothing is joined by anchor,
+so a line that very many documents share stays spread.
 Words and runs are compared by 64-bit hashes.
 """
 
@@ -23,12 +24,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from causeway.llm.common import stored
+from causeway.llm.common import stored, text_slices
 from causeway.session import cut_lineage
 
 SEED = 20  # words of an anchor
-TABLE_BITS = 27  # a bit table has 2^27 bits, 16 MB
+LEAST_BITS, MOST_BITS = 20, 29  # a bit table has 2^20 to 2^29 bits, 64 MB at most
+BITS_PER_KEY = 16  # wanted, as long as the largest table allows it
 GROUP_WORDS = 100_000  # words worked on at a time; only a longer document exceeds it
+TEXT_BYTES = 1 << 20  # texts that are strings at a time
 LAST_ID = (1 << 63) - 1
 
 BASE = 0xD6E8FEB86659FD93  # odd
@@ -106,14 +109,20 @@ def stretches(hashes, ends, length: int, rolling: Rolling):
     return document[first], a, b, grams[p], mix(rolling.run(a, b + length) ^ place)
 
 
+def table_bits(keys: int) -> int:
+    """Logarithm of a table's size for so many keys."""
+    return min(MOST_BITS, max(LEAST_BITS, (max(keys, 1) * BITS_PER_KEY - 1).bit_length()))
+
+
 def bit_table(keys: DataFrame, name: str):
-    """Bits set at the low ``TABLE_BITS`` of all keys, as 64-bit words."""
+    """Bits set at the low bits of all keys, as 64-bit words; the table grows with the number of keys up to a bound."""
     import numpy as np
 
-    low = F.col(name).bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
+    bits = table_bits(keys.count())
+    low = F.col(name).bitwiseAND(F.lit((1 << bits) - 1))
     words = keys.select(low.alias("k")).select(F.shiftright("k", 6).alias("w"), F.expr("shiftleft(1L, cast(k & 63 as int))").alias("b"))
-    found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()  # at most 2^21 rows
-    table = np.zeros(1 << (TABLE_BITS - 6), np.uint64)
+    found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()  # at most 2^23 rows
+    table = np.zeros(1 << (bits - 6), np.uint64)
     table[found["w"].to_numpy()] = found["b"].to_numpy().view(np.uint64)
     return table
 
@@ -121,10 +130,24 @@ def bit_table(keys: DataFrame, name: str):
 def marked(table, keys):
     import numpy as np
 
-    low = keys & np.uint64((1 << TABLE_BITS) - 1)
+    low = keys & np.uint64(len(table) * 64 - 1)
     return (table[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1) == 1
 
 
+def marked_rows(rows: DataFrame, name: str, table) -> DataFrame:
+    """Rows whose key may be in the table; where they lie stays as it is."""
+    held = rows.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            yield batch.filter(pa.array(marked(held.value, batch.column(name).to_numpy().view(np.uint64))))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _rows(documents: DataFrame) -> DataFrame:
     """(doc_id, order, digest, text); null ids come last in order."""
     text = F.col("text").cast("string")
@@ -145,8 +168,8 @@ def _pass(rows: DataFrame, length: int, schema: str, made) -> DataFrame:
 
         def groups():
             held, sizes, orders, digests, words = [], [], [], [], 0
-            for batch in batches:
-                for order, mark, text in zip(*(batch[c].to_pylist() for c in ("order", "digest", "text")), strict=True):
+            for part in (part for batch in batches for part in text_slices(batch, TEXT_BYTES)):
+                for order, mark, text in zip(*(part[c].to_pylist() for c in ("order", "digest", "text")), strict=True):
                     own = text.encode().split() if text else ()
                     if len(own) < length:
                         continue
@@ -185,7 +208,7 @@ def repeats(documents: DataFrame, length: int = 50) -> DataFrame:
 
     anchors = _pass(rows, length, "anchor bigint, order bigint", seeds).groupBy("anchor").agg(
         F.min("order").alias("low"), F.max("order").alias("high"))
-    shared = sc.broadcast(bit_table(anchors.filter("low < high"), "anchor"))
+    shared = sc.broadcast(bit_table(stored(anchors.filter("low < high").select("anchor"), "anchors"), "anchor"))
 
     def shared_stretches(order, digest, found, begins, rolling):
         document, a, b, anchor, kind = (c[marked(shared.value, found[3])] for c in found)
@@ -197,13 +220,15 @@ def repeats(documents: DataFrame, length: int = 50) -> DataFrame:
         "owner < order").select("order", "digest", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("owner").alias("least"), F.max("owner").alias("most")).filter(
         "n > 1 AND least < most").select("anchor")
-    owners = classes.join(several, "anchor", "left_semi").select(F.col("class").bitwiseXOR(F.col("owner")).alias("key"))
-    contested = sc.broadcast(bit_table(owners, "key"))
+    several = bit_table(cut_lineage(several), "anchor")
+    owners = marked_rows(classes.select("anchor", F.col("class").bitwiseXOR(F.col("owner")).alias("key")), "anchor", several)
+    contested = sc.broadcast(bit_table(cut_lineage(owners.select("key")), "key"))
+    several = sc.broadcast(several)
 
     def extended(order, digest, found, begins, rolling):
         import numpy as np
 
-        keep = marked(shared.value, found[3]) & marked(contested.value, found[4] ^ order[found[0]].view(np.uint64))
+        keep = marked(several.value, found[3]) & marked(contested.value, found[4] ^ order[found[0]].view(np.uint64))
         document, a, b = (c[keep] for c in found[:3])
         n = b - a + 1
         window = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
@@ -239,7 +264,7 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
         import pyarrow as pa
 
         span_kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole, TEXT_BYTES)):
             columns: tuple = ([], [], [], [])
             for text, own in zip(batch["text"].to_pylist(), batch["_repeats_spans"].to_pylist(), strict=True):
                 words = str(text).encode().split() if text is not None else []

@@ -14,7 +14,7 @@ from struct import pack
 
 import numpy as np
 
-CACHE_LIMIT = 400_000  # pieces kept per task; the cache is emptied when full
+CACHE_LIMIT = 300_000  # pieces kept per task; the cache is emptied when full
 LONGEST_CACHED = 40  # characters
 
 
@@ -33,7 +33,10 @@ class Coder:
         self._added = {}
         if added:
             with open(json_path, encoding="utf-8") as file:
-                self._added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+                told = file.read()  # only this list is parsed: vocabulary and merges would take much memory
+            told = told[told.index('"added_tokens"') + len('"added_tokens"'):].lstrip(" \t\r\n:")
+            self._added = {t["content"]: t["id"] for t in json.JSONDecoder().raw_decode(told)[0]}
+            del told
         self._fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=self._added)
         self._json_path, self._slow, self._cache = json_path, None, {}
 

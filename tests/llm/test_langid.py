@@ -92,7 +92,7 @@ def whole_text(text, pieces, own):
 def test_predictions_equal_brute_force(spark, sf, monkeypatch):
     """Whole texts with digits and signs, word by word without a cache or numpy; small caches and groups in the operator."""
     monkeypatch.setattr(langid, "CACHE_LIMIT", 40)
-    monkeypatch.setattr(langid, "GROUP_WORDS", 30)
+    monkeypatch.setattr(langid, "TEXT_BYTES", 200)
     rows = table(sf, "documents", "doc_id, text, lang")[:60]
     model = langid.LanguageModel.fit(documents(spark, rows))
     rows = [(d, t[:400], lang) for d, t, lang in rows] + [(900, "Call 555-0199 on 12/24 at 7pm!", "en"), (901, "x" * 300 + " und 3.14", "de")]

@@ -69,3 +69,21 @@ def test_minimum_is_the_leftmost():
     for width in (1, 2, 3, 5, 16, 31):
         found = substring.leftmost_minimum(values, width)
         assert found.tolist() == [i + int(np.argmin(values[i:i + width])) for i in range(200 - width + 1)]
+
+
+def test_full_bit_tables_only_let_rows_through(spark, monkeypatch):
+    """Tables far too small for their keys: the same result."""
+    monkeypatch.setattr(substring, "LEAST_BITS", 6)
+    monkeypatch.setattr(substring, "MOST_BITS", 7)
+    assert got(documents(spark, odd_rows())) == expected(odd_rows())
+    assert [substring.table_bits(n) for n in (0, 1, 8, 10**12)] == [6, 6, 7, 7]
+
+
+def test_a_line_that_all_documents_share(spark):
+    """One common passage with different surroundings: a class per document of one anchor, and edited copies of it."""
+    rng = random.Random(9)
+    line = [f"w{i}" for i in range(55)]
+    rows = [(i, " ".join([f"a{rng.randrange(10**6)}" for _ in range(rng.randrange(1, 60))] + line + [f"b{rng.randrange(10**6)}" for _ in range(rng.randrange(1, 60))]))
+            for i in range(150)]
+    rows += [(200 + i, " ".join(line[:50 + i % 6])) for i in range(12)]
+    assert got(documents(spark, rows)) == expected(rows)
