@@ -10,8 +10,8 @@ from causeway.operators import forecast as T
 from causeway.operators import tables as R
 from causeway.operators.additive import ItsAdditive
 from causeway.operators.arima import ItsArima
-from causeway.operators.its import SegmentedOls, compare_effects
-from causeway.plans.common import POINTS, orders_panel
+from causeway.operators.its import SegmentedOls, compare_effects, effects_per_group
+from causeway.plans.common import PANEL_SQL, POINTS, SEGMENT_SQL, orders_panel
 from causeway.plans.registry import query
 from causeway.sources.tables import load
 
@@ -141,6 +141,44 @@ def i8_exact_effects(spark, sf):
     return ItsArima("time", POINTS, "group").fit_exact(orders_panel(spark, sf), "value", (1, 0, 1)).effects()
 
 
+_LEVEL_SQL = """SELECT seg.grp AS "group", CASE WHEN p = 0 THEN 'Pre-intervention' ELSE 'Intervention_D_' || p END AS "Period",
+ avg(value) AS actual, max(m) AS without FROM seg JOIN (SELECT grp, avg(value) AS m FROM seg WHERE p = 0 GROUP BY 1) b USING (grp) GROUP BY 1, 2"""
+
+
+@query("i8_exact_effects_white", f"""WITH {SEGMENT_SQL}, e AS ({_LEVEL_SQL})
+SELECT "group", "Period", round(actual, 2) AS "Actual_mean", round(actual, 2) AS "Predicted_mean", round(without, 2) AS "Counterfactual_mean",
+ round(actual - without, 2) + 0 AS "Effect_mean" FROM e""")
+def i8_exact_effects_white(spark, sf):
+    """With uncorrelated errors the exact likelihood is least squares on a constant and the intervention terms."""
+    out = ItsArima("time", POINTS, "group").fit_exact(orders_panel(spark, sf), "value", (0, 0, 0)).effects()
+    return out.withColumns({c: F.round(c, 2) + F.lit(0.0) for c in ("Actual_mean", "Predicted_mean", "Counterfactual_mean", "Effect_mean")})
+
+
+@query("i9_order_search_white", f"""WITH {PANEL_SQL}, y AS (SELECT grp, value, value - lag(value) OVER (PARTITION BY grp ORDER BY time) AS step FROM panel WHERE time < 27),
+ k AS (SELECT grp, 0 AS d, count(*) AS n, var_pop(value) AS v, 2 AS k FROM y GROUP BY 1
+  UNION ALL SELECT grp, 1, count(step), sum(step * step) / count(step), 1 FROM y GROUP BY 1)
+SELECT grp AS "group", 0 AS p, d, 0 AS q, 0 AS seasonal_p, 0 AS seasonal_d, 0 AS seasonal_q, 0 AS s, n AS n_obs,
+ round(ln(2*pi()*v) + 1 + 2.0*k/n, 8) AS aic FROM k""")
+def i9_order_search_white(spark, sf):
+    """Scores of the orders without lags, where the likelihood has a closed form."""
+    grid = {"p": (0,), "d": (0, 1), "q": (0,), "P": (0,), "D": (0,), "Q": (0,), "s": (0,)}
+    return ItsArima("time", POINTS, "group").search(orders_panel(spark, sf), "value", grid).withColumn("aic", F.round("aic", 8))
+
+
+@query("i15_model_comparison_white", f"""WITH {SEGMENT_SQL}, e AS ({_LEVEL_SQL}),
+ g AS (SELECT grp, p, regr_slope(value, time) AS b, regr_intercept(value, time) AS a FROM seg WHERE p = 0 GROUP BY 1, 2),
+ o AS (SELECT seg.grp AS "group", CASE WHEN seg.p = 0 THEN 'Pre-intervention' ELSE 'Intervention_D_' || seg.p END AS "Period", avg(value - a - b*time) AS effect
+  FROM seg JOIN g USING (grp) GROUP BY 1, 2)
+SELECT "group", "Period", round(effect, 2) + 0 AS effect_ols, round(actual - without, 2) + 0 AS effect_arima FROM o JOIN e USING ("group", "Period")""")
+def i15_model_comparison_white(spark, sf):
+    """Effects with a trend before the intervention next to those against a constant level."""
+    rows = orders_panel(spark, sf)
+    out = compare_effects({
+        "ols": effects_per_group(rows, "time", POINTS, "value", "group", bucketed=True),
+        "arima": ItsArima("time", POINTS, "group").fit_exact(rows, "value", (0, 0, 0)).effects()}, ["group", "Period"])
+    return out.withColumns({c: F.round(c, 2) + F.lit(0.0) for c in ("effect_ols", "effect_arima")})
+
+
 @query("i9_order_search")
 def i9_order_search(spark, sf):
     return ItsArima("time", POINTS, "group").search(orders_panel(spark, sf), "value")

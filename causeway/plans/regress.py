@@ -129,6 +129,34 @@ def m9_additive_splines(spark, sf):
     return model.predict(cells).withColumn("r_squared", F.lit(model.r_squared))
 
 
+_CUBIC_SQL = """d AS (SELECT l_quantity AS x, count(*)::DOUBLE AS n, avg(l_extendedprice) AS y FROM lineitem GROUP BY 1),
+ q1 AS (SELECT *, x - (SELECT sum(n*x)/sum(n) FROM d) AS a FROM d),
+ q2 AS (SELECT *, x*x - (SELECT sum(n*x*x)/sum(n) FROM q1) - a*(SELECT sum(n*x*x*a)/sum(n*a*a) FROM q1) AS b FROM q1),
+ q3 AS (SELECT *, x*x*x - (SELECT sum(n*x*x*x)/sum(n) FROM q2) - a*(SELECT sum(n*x*x*x*a)/sum(n*a*a) FROM q2) - b*(SELECT sum(n*x*x*x*b)/sum(n*b*b) FROM q2) AS c FROM q2),
+ f AS (SELECT x, (SELECT sum(n*y)/sum(n) FROM q3) + a*(SELECT sum(n*y*a)/sum(n*a*a) FROM q3) + b*(SELECT sum(n*y*b)/sum(n*b*b) FROM q3)
+  + c*(SELECT sum(n*y*c)/sum(n*c*c) FROM q3) AS y FROM q3)"""
+
+
+def cubic(spark, sf):
+    """Four basis functions without a penalty span the cubic polynomials."""
+    return M.SplineModel.fit(load(spark, sf, "lineitem"), ["l_quantity"], "l_extendedprice", lam=0.0, n_splines=4)
+
+
+@query("m9_one_cell_spline", f"WITH {_CUBIC_SQL} SELECT x AS l_quantity, round(y, 1) AS prediction FROM f")
+def m9_one_cell_spline(spark, sf):
+    cells = load(spark, sf, "lineitem").select("l_quantity").distinct()
+    return cubic(spark, sf).predict(cells).select("l_quantity", F.round("prediction", 1).alias("prediction"))
+
+
+@query("m10_one_cell_dependence", f"""WITH {_CUBIC_SQL} SELECT x, round(y - (SELECT y FROM f ORDER BY x LIMIT 1), 1) + 0 AS partial FROM f""")
+def m10_one_cell_dependence(spark, sf):
+    """The term at the whole numbers of its range, from its start."""
+    model = cubic(spark, sf)
+    grid = model.partial_dependence(spark, "l_quantity", 50)
+    start = model.term_expression("l_quantity", F.lit(model.profile.low["l_quantity"]))
+    return grid.select(F.round("x", 6).alias("x"), (F.round(F.col("partial") - start, 1) + F.lit(0.0)).alias("partial"))
+
+
 @query("m10_partial_dependence")
 def m10_partial_dependence(spark, sf):
     return spline(spark, sf).partial_dependence(spark, "l_quantity", 50)

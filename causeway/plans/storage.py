@@ -8,7 +8,8 @@ from causeway.operators.its import SegmentedFit, SegmentedOls
 from causeway.plans.common import POINTS, orders_panel
 from causeway.plans.registry import ORACLES, query
 from causeway.session import scratch_path
-from causeway.sources.report import build_report, write_report
+from causeway.sources.report import build_report, markdown_table, write_report
+from causeway.sources.tables import load
 
 
 @query("s4_save_model", ORACLES.get("i3_segmented_ols"))
@@ -27,6 +28,16 @@ def s5_load_model(spark, sf):
     return model.counterfactual(rows, interval=False).select("group", "time", F.round("mean", 3).alias("mean"))
 
 
+@query("s6_report_table", """WITH t AS (SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS total FROM orders GROUP BY 1),
+ b AS (SELECT 1 AS section, row_number() OVER (ORDER BY o_custkey) + 1 AS ord, '| ' || o_custkey || ' | ' || n || ' | ' || printf('%.2f', round(total, 2)) || ' |' AS line FROM t)
+SELECT section, CAST(ord AS BIGINT) AS ord, line FROM b
+UNION ALL SELECT 1, 0, '| o_custkey | n | total |' UNION ALL SELECT 1, 1, '| --- | --- | --- |'""")
+def s6_report_table(spark, sf):
+    """Numbered report lines of a table with a row per customer."""
+    totals = load(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return markdown_table(totals, ["o_custkey"], 1, 2)
+
+
 @query("s6_report")
 def s6_report(spark, sf):
     rows = orders_panel(spark, sf)

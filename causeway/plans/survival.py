@@ -118,3 +118,29 @@ def m19_logistic(spark, sf):
 @query("m20_penalty_comparison")
 def m20_penalty_comparison(spark, sf):
     return compare_penalties(returned_lines(spark, sf), _LOGIT_FEATURES, "returned")
+
+
+def quantity_bands(spark, sf):
+    """Returned or not, with a dummy for each of three bands of quantity: coefficients are the bands' log odds."""
+    q = F.col("quantity")
+    bands = {"low": q < 1.7, "middle": (q >= 1.7) & (q < 3.4), "high": q >= 3.4}
+    return returned_lines(spark, sf).select(*[c.cast("double").alias(n) for n, c in bands.items()], "returned"), list(bands)
+
+
+_BANDS_SQL = """WITH l AS (SELECT CASE WHEN l_quantity / 10 < 1.7 THEN 'low' WHEN l_quantity / 10 < 3.4 THEN 'middle' ELSE 'high' END AS features,
+  avg(CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0 END) AS p FROM lineitem WHERE l_returnflag IN ('R', 'N') GROUP BY 1)"""
+
+
+@query("m19_logistic_bands", _BANDS_SQL + " SELECT features, round(ln(p / (1 - p)), 5) AS params FROM l")
+def m19_logistic_bands(spark, sf):
+    rows, names = quantity_bands(spark, sf)
+    fit = fit_logistic(rows, names, "returned")
+    return spark.createDataFrame([(f, round(v, 5)) for f, v in fit.items()], "features string, params double")
+
+
+@query("m20_penalty_comparison_bands", _BANDS_SQL + """ SELECT features, round(ln(p / (1 - p)), 5) AS none,
+ round(ln(p / (1 - p)), 5) AS l2_tiny FROM l""")
+def m20_penalty_comparison_bands(spark, sf):
+    """Without a penalty and with a vanishing one; the default penalty has no closed form."""
+    rows, names = quantity_bands(spark, sf)
+    return compare_penalties(rows, names, "returned").select("features", F.round("none", 5).alias("none"), F.round("l2_tiny", 5).alias("l2_tiny"))
