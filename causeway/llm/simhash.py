@@ -114,15 +114,27 @@ def trie_links(fingerprints, side, distance: int):
     """
     import numpy as np
 
-    links: list[tuple] = []
+    parent, kept = list(range(len(fingerprints))), []
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
 
     def finish(a, b, same: bool) -> None:
+        """Unite what links; only links that connect something new are kept."""
         for at in range(0, len(a), 256):
             own = a[at:at + 256]
             near = np.bitwise_count(fingerprints[own][:, None] ^ fingerprints[b][None, :]) <= distance
             i, j = np.nonzero(near)
             i, j = own[i], b[j]
-            links.append((i[i < j], j[i < j]) if same else (i, j))
+            if same:
+                i, j = i[i < j], j[i < j]
+            for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                u, v = root(x), root(y)
+                if u != v:
+                    parent[u] = v
+                    kept.append((x, y))
 
     def halves(nodes, bit: int):
         one = (fingerprints[nodes] >> np.uint64(bit)) & np.uint64(1) == 1
@@ -147,20 +159,6 @@ def trie_links(fingerprints, side, distance: int):
         walk(everything, everything, BITS - 1, 0, True)
     else:
         walk(everything[side == 0], everything[side == 1], BITS - 1, 0, False)
-    parent = list(range(len(fingerprints)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
-
-    kept = []
-    for left, right in links:
-        for i, j in zip(left.tolist(), right.tolist(), strict=True):
-            a, b = root(i), root(j)
-            if a != b:
-                parent[a] = b
-                kept.append((i, j))
     return kept
 
 
