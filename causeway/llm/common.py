@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from causeway.session import scratch_path
@@ -10,11 +12,32 @@ from causeway.session import scratch_path
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: compact, columnar, and safe from lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    return stored_at(df, scratch_path(df.sparkSession, name))
+
+
+def stored_at(df: DataFrame, path: str) -> DataFrame:
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """A function like ``stored`` whose tables go when the block ends: all that leaves it must be written or checkpointed."""
+    paths: list[str] = []
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        paths.append(scratch_path(spark, name))
+        return stored_at(df, paths[-1])
+
+    try:
+        yield store
+    finally:
+        hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            target = hadoop.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+
+
 def text_slices(batch, size: int, column: str = "text"):
     """Parts of a batch with about ``size`` bytes of text, or one longer text, so few texts are strings at a time."""
     import numpy as np

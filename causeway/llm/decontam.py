@@ -19,17 +19,18 @@ from collections import Counter
 from collections.abc import Iterator
 
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from causeway.llm.common import stored
+from causeway.llm.common import scratch, stored
+from causeway.session import cut_lineage
 
 SEGMENT_WORDS = 100_000  # a segment is closed when it holds so many; only a longer document exceeds it
 BLOCK_WORDS = 400_000  # words of test items that are searched at a time
 
-INDEX = ("segment bigint, doc_ids array<bigint>, doc_starts array<bigint>, doc_words array<bigint>, "
+INDEX = ("segment bigint, doc_ids array<bigint>, doc_marks array<bigint>, doc_starts array<bigint>, doc_words array<bigint>, "
          "terms array<binary>, list_ends array<bigint>, positions array<int>")
-FOUND = ("segment bigint, slot int, doc_id bigint, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>, "
+FOUND = ("segment bigint, slot int, doc_id bigint, mark bigint, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>, "
          "near array<string>")
 SLACK = 2  # words that a proximity match may be longer than its phrase
 
@@ -41,10 +42,10 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().translate(WORD_BYTES).split() if text else []
 
 
-def build_index(documents: DataFrame) -> DataFrame:
+def build_index(documents: DataFrame, mark: Column | None = None, store=stored) -> DataFrame:
     """Write the positional index of all tokens of (doc_id, text) rows and return it.
 
-    Each row of ``documents`` has its own slot, in the order of the task's rows.
+    Each row of ``documents`` has its own slot, in the order of the task's rows. ``mark`` is a number carried along.
     """
     limit = SEGMENT_WORDS
 
@@ -53,23 +54,24 @@ def build_index(documents: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         part, closed = TaskContext.get().partitionId() << 32, 0
-        ids, starts, sizes, coded, own, words = [], [], [], [], {}, 0
+        ids, marks, starts, sizes, coded, own, words = [], [], [], [], [], {}, 0
 
         def segment():
             term = np.concatenate(coded)
             at = np.flatnonzero(term >= 0)  # the free places behind documents are no terms
             order = at[np.argsort(term[at], kind="stable")].astype(np.int32)
             ends = np.cumsum(np.bincount(term[at], minlength=len(own)))
-            row = ([part + closed], [ids], [starts], [sizes], [list(own)], [ends], [order])
-            kinds = [pa.int64(), *[pa.list_(k) for k in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32())]]
-            columns = ["segment", "doc_ids", "doc_starts", "doc_words", "terms", "list_ends", "positions"]
+            row = ([part + closed], [ids], [marks], [starts], [sizes], [list(own)], [ends], [order])
+            kinds = [pa.int64(), *[pa.list_(k) for k in (*[pa.int64()] * 4, pa.binary(), pa.int64(), pa.int32())]]
+            columns = ["segment", "doc_ids", "doc_marks", "doc_starts", "doc_words", "terms", "list_ends", "positions"]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], columns)
 
         for batch in batches:
             texts = batch["text"]
-            for i, doc in enumerate(batch["doc_id"].to_pylist()):
+            for i, (doc, own_mark) in enumerate(zip(batch["doc_id"].to_pylist(), batch["mark"].to_pylist(), strict=True)):
                 found = words_of(texts[i].as_py())
                 ids.append(doc)
+                marks.append(own_mark)
                 starts.append(words)
                 sizes.append(len(found))
                 coded.append(np.fromiter((own.setdefault(w, len(own)) for w in found), np.int32, len(found)))
@@ -78,12 +80,13 @@ def build_index(documents: DataFrame) -> DataFrame:
                 if words >= limit:
                     yield segment()
                     closed += 1
-                    ids, starts, sizes, coded, own, words = [], [], [], [], {}, 0
+                    ids, marks, starts, sizes, coded, own, words = [], [], [], [], [], {}, 0
         if ids:
             yield segment()
 
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stored(rows.mapInArrow(run, INDEX), "postings")
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), (F.lit(0) if mark is None else mark).cast("bigint").alias("mark"),
+                            F.col("text").cast("string").alias("text"))
+    return store(rows.mapInArrow(run, INDEX), "postings")
 
 
 class Block:
@@ -239,7 +242,7 @@ def search_block(index: DataFrame, block: Block, slack: int = SLACK):
         span_kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch[c][i].values for c in ("doc_ids", "doc_starts", "doc_words", "terms", "list_ends", "positions")}
+                row = {c: batch[c][i].values for c in ("doc_ids", "doc_marks", "doc_starts", "doc_words", "terms", "list_ends", "positions")}
                 starts, n_words = row["doc_starts"].to_numpy(), row["doc_words"].to_numpy()
                 docs = len(starts)
                 spans: list[list] = [[] for _ in range(docs)]
@@ -267,8 +270,8 @@ def search_block(index: DataFrame, block: Block, slack: int = SLACK):
                             close[d].extend(names[i] for i in pair_item[a:b])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([batch["segment"][i].as_py()] * docs, pa.int64()), pa.array(np.arange(docs, dtype=np.int32)), row["doc_ids"],
-                     row["doc_words"], pa.array(spans, span_kind), *[pa.array([sorted(set(x)) for x in own], pa.list_(pa.string())) for own in (items, close)]],
-                    ["segment", "slot", "doc_id", "n_words", "spans", "items", "near"])
+                     row["doc_marks"], row["doc_words"], pa.array(spans, span_kind), *[pa.array([sorted(set(x)) for x in own], pa.list_(pa.string())) for own in (items, close)]],
+                    ["segment", "slot", "doc_id", "mark", "n_words", "spans", "items", "near"])
 
     return index.mapInArrow(run, FOUND), held
 
@@ -341,20 +344,29 @@ def find(documents: DataFrame, items: DataFrame, window: int = 10, slack: int =
     The postings hold all tokens. Items are searched in blocks of ``BLOCK_WORDS`` words, one block
     at a time on the driver and in the tasks; of several blocks each writes its finds.
     """
-    index = build_index(documents)
+    return summed_up(search(build_index(documents), items, window, slack))
+
+
+def search(index: DataFrame, items: DataFrame, window: int = 10, slack: int = SLACK, store=stored) -> DataFrame:
+    """(doc_id, mark, n_words, spans, items, near) of each document of an index, over all blocks of items."""
     parts, waiting = [], None
     for block in blocks(items, window):
         if waiting is not None:
-            parts.append(_written(*waiting))
+            parts.append(_written(*waiting, store))
         waiting = search_block(index, block, slack)
     found = waiting[0]
     if parts:
-        found = _written(*waiting)
+        found = _written(*waiting, store)
         for other in parts:
             found = found.unionByName(other)
         found = found.groupBy("segment", "slot").agg(
-            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
+            *[F.first(c).alias(c) for c in ("doc_id", "mark", "n_words")], F.flatten(F.collect_list("spans")).alias("spans"),
             *[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("items", "near")])
+    return found
+
+
+def summed_up(found: DataFrame) -> DataFrame:
+    """The counts of ``find`` from what ``search`` gives."""
     step = F.aggregate(
         F.array_sort("spans"), F.struct(F.lit(0).cast("bigint").alias("hit"), F.lit(0).cast("bigint").alias("end")),
         lambda s, x: F.struct((s["hit"] + F.greatest(x["end"] - F.greatest(x["start"], s["end"]), F.lit(0))).alias("hit"),
@@ -365,8 +377,8 @@ def find(documents: DataFrame, items: DataFrame, window: int = 10, slack: int =
         F.size("near").cast("bigint").alias("n_near"))
 
 
-def _written(found: DataFrame, held) -> DataFrame:
-    out = stored(found, "found")
+def _written(found: DataFrame, held, store=stored) -> DataFrame:
+    out = store(found, "found")
     held.destroy()
     return out
 
@@ -374,9 +386,13 @@ def _written(found: DataFrame, held) -> DataFrame:
 def keep_clean(documents: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """Documents without any occurrence of a window of the items.
 
-    Rows are told apart by numbers written with them, so clean rows stay whatever rows share their id.
+    Whether a row goes depends on its text alone, so rows are told apart by two 64-bit hashes of it: clean rows
+    stay whatever rows share their id. The index goes when the contaminated hashes are known.
     """
-    key = "_decontam_row"
-    rows = stored(documents.withColumn(key, F.monotonically_increasing_id()), "numbered")
-    hit = find(rows.select(F.col(key).alias("doc_id"), "text"), items, window).filter("contaminated").select(F.col("doc_id").alias(key))
-    return rows.join(hit, key, "left_anti").drop(key)
+    text = F.col("text").cast("string")
+    marks = {"_decontam_a": F.xxhash64(text), "_decontam_b": F.xxhash64(F.lit(1), text)}
+    with scratch(documents.sparkSession) as store:
+        index = build_index(documents.select(marks["_decontam_a"].alias("doc_id"), "text"), marks["_decontam_b"], store)
+        found = search(index, items, window, store=store).filter(F.size("spans") > 0)
+        hit = cut_lineage(found.select(F.col("doc_id").alias("_decontam_a"), F.col("mark").alias("_decontam_b")).distinct())
+    return documents.withColumns(marks).join(hit, list(marks), "left_anti").drop(*marks)

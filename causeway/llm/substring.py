@@ -24,12 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from causeway.llm.common import stored, text_slices
+from causeway.llm.common import scratch, text_slices
 from causeway.session import cut_lineage
 
 SEED = 20  # words of an anchor
 LEAST_BITS, MOST_BITS = 20, 29  # a bit table has 2^20 to 2^29 bits, 64 MB at most
-BITS_PER_KEY = 16  # wanted, as long as the largest table allows it
+BITS_PER_KEY = 64  # wanted, as long as the largest table allows it
 GROUP_WORDS = 100_000  # words worked on at a time; only a longer document exceeds it
 TEXT_BYTES = 1 << 20  # texts that are strings at a time
 LAST_ID = (1 << 63) - 1
@@ -200,6 +200,11 @@ def repeats(documents: DataFrame, length: int = 50) -> DataFrame:
     ``order`` is the doc_id (null: the largest number), ``digest`` the XXH64 of the text; spans are
     pieces [start, end) of at least ``length`` words that may overlap.
     """
+    with scratch(documents.sparkSession) as store:
+        return _repeats(documents, length, store)
+
+
+def _repeats(documents: DataFrame, length: int, store) -> DataFrame:
     sc = documents.sparkSession.sparkContext
     rows = _rows(documents)
 
@@ -208,13 +213,13 @@ def repeats(documents: DataFrame, length: int = 50) -> DataFrame:
 
     anchors = _pass(rows, length, "anchor bigint, order bigint", seeds).groupBy("anchor").agg(
         F.min("order").alias("low"), F.max("order").alias("high"))
-    shared = sc.broadcast(bit_table(stored(anchors.filter("low < high").select("anchor"), "anchors"), "anchor"))
+    shared = sc.broadcast(bit_table(store(anchors.filter("low < high").select("anchor"), "anchors"), "anchor"))
 
     def shared_stretches(order, digest, found, begins, rolling):
         document, a, b, anchor, kind = (c[marked(shared.value, found[3])] for c in found)
         return anchor, kind, order[document], digest[document], a - begins[document], b - begins[document]
 
-    held = stored(_pass(rows, length, "anchor bigint, class bigint, order bigint, digest bigint, first int, last int", shared_stretches), "stretches")
+    held = store(_pass(rows, length, "anchor bigint, class bigint, order bigint, digest bigint, first int, last int", shared_stretches), "stretches")
     classes = cut_lineage(held.groupBy("anchor", "class").agg(F.min("order").alias("owner"), F.max("order").alias("high")))
     whole = held.join(classes.filter("owner < high").select("anchor", "class", "owner"), ["anchor", "class"]).filter(
         "owner < order").select("order", "digest", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
@@ -235,7 +240,7 @@ def repeats(documents: DataFrame, length: int = 50) -> DataFrame:
         document = np.repeat(document, n)
         return rolling.run(window, window + length), order[document], digest[document], window - begins[document]
 
-    places = stored(_pass(rows, length, "words bigint, order bigint, digest bigint, start int", extended), "places")
+    places = store(_pass(rows, length, "words bigint, order bigint, digest bigint, start int", extended), "places")
     least = cut_lineage(places.groupBy("words").agg(F.min("order").alias("least"), F.max("order").alias("most")).filter(
         "least < most").select("words", "least"))
     partly = places.join(least, "words").filter("least < order").select("order", "digest", "start", (F.col("start") + length).alias("end"))
