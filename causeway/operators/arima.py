@@ -232,6 +232,7 @@ class ItsArima(CandidateChecks):
         """Per-group fit. An undifferenced series gets a constant."""
         points = tuple(sorted(self.points))
         clean, by = self._keyed(df, target, covariates)
+        ours = not clean.is_cached
         clean = keep(clean)
         validate(clean, self.time, points, self.group)
         require_bucketed(clean, by, self.time)
@@ -247,6 +248,8 @@ class ItsArima(CandidateChecks):
         staged = apply_fit(moved, first, xs, by, "_fit0", intercept=level)
         staged = cut_lineage(staged.withColumn("_n", F.col("_y") - F.col("_fit0")).drop("_fit0"))
         staged = cut_lineage(_innovations(staged, by, self.time, "_n", "_e"))
+        if ours:
+            clean.unpersist()  # what follows starts from the checkpoint
 
         ar, ma = lag_set(p, sp, s), lag_set(q, sq, s)
         w = _series(by, self.time)

@@ -178,11 +178,16 @@ class CalendarForecast:
         return replace(self, knots=tuple(select_changepoints(series, self.changepoint_strength)))
 
     def fit(self, series: DataFrame) -> WideFit:
+        ours = not series.is_cached
         series = keep(series)
-        model = self.with_knots(series)
-        facts = series_facts(series)
-        design = model.design(facts, model.knots)
-        return fit_wide(_dated(series), design, "value", model.penalty(design), facts.mean, facts.std)
+        try:
+            model = self.with_knots(series)
+            facts = series_facts(series)
+            design = model.design(facts, model.knots)
+            return fit_wide(_dated(series), design, "value", model.penalty(design), facts.mean, facts.std)
+        finally:
+            if ours:
+                series.unpersist()
 
 
 def fitted_rows(fit: WideFit, series: DataFrame, components: bool = False) -> DataFrame:
