@@ -24,7 +24,7 @@ from causeway.session import cut_lineage
 FIT_DOCUMENTS = 1500  # expected number of documents per language that the fit reads
 ITERATIONS = 2
 FLOOR = 1e-4  # share of probability spread evenly over all pieces
-CACHE_LIMIT = 250_000  # words kept per task; the cache is emptied when full
+CACHE_LIMIT = 500_000  # words kept per task; the cache is emptied when full
 HELD_WORDS = 250_000  # different words a task gathers before it hands them on
 TEXT_BYTES = 1 << 20  # texts that are strings at a time
 CACHE_CELLS = 4_000_000  # words times languages kept per task
