@@ -148,60 +148,60 @@ def affine_scan(df: DataFrame, by: Sequence[str], order: Sequence[Column], maps:
     """Add columns that follow ``s = decay * s_before + x`` along each group, from zero, without a cut.
 
     ``maps`` names (decay, x); both may differ by row, nulls count as zero. Maps compose, so a group is
-    scanned in blocks on many tasks: a first pass composes the maps of each block, the driver chains one
-    state per block (at most the number of partitions), and a second pass starts each block from its
-    state. Rows don't move after the range partitioning. ``order`` must be a total order in a group.
+    scanned in blocks on many tasks: the pass that places the rows composes the maps of each block, the
+    driver chains one state per block (at most the number of partitions), and rows of a block's first group
+    add what its state gives them. Rows move once. ``order`` must be a total order in a group.
     """
+    require_columns(df, by)
     names, n, columns = list(maps), len(maps), df.columns
     staged = df.withColumns({f"_{kind}{i}": F.coalesce(column.cast("double"), F.lit(0.0))
                              for i, name in enumerate(names) for kind, column in zip("ab", maps[name], strict=True)})
-    placed = place(staged, by, order)
-    rows = placed.sortWithinPartitions(*[F.col(c).asc() for c in by], *order)
-    keys = [*by, *[f"_{kind}{i}" for kind in "ab" for i in range(n)], "_block"]
-
-    def edges_of(batches):
-        import pyarrow as pa
-
-        first = last = None
-        one = True
-        for batch, starts, a, b in _composed_batches(batches, by, n):
-            if first is None:
-                first, starts = batch.slice(0, 1), starts[1:]
-            one = one and not starts.any()
-            last = batch.slice(batch.num_rows - 1), a[-1], b[-1]
-        if first is not None:
-            for row, told in ((first, False), (last[0], True)):
-                own = [row.column(c) for c in (*by, "_block")]
-                yield pa.RecordBatch.from_arrays(
-                    [*own, pa.array([told]), pa.array([one]), *[pa.array([last[k].tolist()], pa.list_(pa.float64())) for k in (1, 2)]],
-                    [*by, "_block", "last", "one", "a", "b"])
+    dealt = staged.repartitionByRange(*[F.col(c).asc() for c in by], *order).sortWithinPartitions(*[F.col(c).asc() for c in by], *order)
+    dealt = dealt.withColumn("_block", F.spark_partition_id())
+    numbers = [f"_{kind}{i}" for kind in "ab" for i in range(n)]
 
-    schema = placed.select(*by, "_block", F.lit(True).alias("last"), F.lit(True).alias("one"),
-                           F.array(F.lit(0.0)).alias("a"), F.array(F.lit(0.0)).alias("b")).schema
-    told = rows.select(*keys).mapInArrow(edges_of, schema).collect()  # two rows a partition
-    ends = {(r["_block"], r["last"]): r for r in told}
-    group = range(len(by))
-    entering = _entering([Edge(block, tuple(ends[block, False][i] for i in group), tuple(r[i] for i in group), r["one"], r["a"], r["b"])
-                          for (block, last), r in ends.items() if last], n)
-
-    def states(batches):
+    def composed(batches):
+        import numpy as np
         import pyarrow as pa
 
-        begun, inside = False, True
+        held, begun, inside = None, False, True
         for batch, starts, a, b in _composed_batches(batches, by, n):
-            later = starts.cumsum() > (0 if begun else 1)
-            if inside:
-                held = ~later
-                b[held] += a[held] * entering[batch.column("_block")[0].as_py()]
-                inside = not later.any()
+            if held is not None:
+                yield held()
+            own = (starts.cumsum() <= (0 if begun else 1)) & inside  # the block's first group
+            inside = inside and bool(own[-1])
+            edge = np.zeros(len(own), np.int32)
+            edge[0] = 0 if begun else 1
             begun = True
-            kept = [batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays([*kept, *[pa.array(b[:, i]) for i in range(n)]], [*columns, *names])
 
-    out = df.schema
-    for name in names:
-        out = out.add(name, "double")
-    return rows.mapInArrow(states, out)
+            def held(last=False, batch=batch, own=own, edge=edge, a=a, b=b):
+                edge[-1] += 2 * last
+                values = [pa.array(m[:, i]) for m in (a, b) for i in range(n)]
+                return pa.RecordBatch.from_arrays(
+                    [*[batch.column(c) for c in (*columns, "_block")], pa.array(own), pa.array(edge), *values], [*columns, "_block", "_own", "_edge", *numbers])
+
+        if held is not None:
+            yield held(last=True)
+
+    schema = dealt.select(*columns, "_block").schema.add("_own", "boolean").add("_edge", "integer")
+    for name in numbers:
+        schema = schema.add(name, "double")
+    placed = cut_lineage(dealt.mapInArrow(composed, schema))
+    ends: dict[int, dict] = {}
+    for r in placed.filter("_edge > 0").select(*by, "_block", "_own", "_edge", *numbers).collect():  # two rows a block
+        key, own = tuple(r[c] for c in by), ends.setdefault(r["_block"], {})
+        if r["_edge"] & 1:
+            own["first"] = key
+        if r["_edge"] & 2:
+            own |= {"last": key, "one": r["_own"], "a": [r[f"_a{i}"] for i in range(n)], "b": [r[f"_b{i}"] for i in range(n)]}
+    entering = _entering([Edge(block, **e) for block, e in ends.items()], n)
+    moved = {block: state for block, state in entering.items() if any(state)}
+    if not moved:
+        return placed.select(*columns, *[F.col(f"_b{i}").alias(name) for i, name in enumerate(names)])
+    states = df.sparkSession.createDataFrame([(block, *state) for block, state in moved.items()], "_at int, " + ", ".join(f"_s{i} double" for i in range(n)))
+    joined = placed.join(F.broadcast(states), (F.col("_block") == F.col("_at")) & F.col("_own"), "left")  # a row per block
+    return joined.select(*columns, *[(F.col(f"_b{i}") + F.coalesce(F.col(f"_a{i}") * F.col(f"_s{i}"), F.lit(0.0))).alias(name)
+                                     for i, name in enumerate(names)])
 
 
 # ---------------------------------------------------------------- carried values
