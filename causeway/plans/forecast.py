@@ -146,12 +146,12 @@ _LEVEL_SQL = """SELECT seg.grp AS "group", CASE WHEN p = 0 THEN 'Pre-interventio
 
 
 @query("i8_exact_effects_white", f"""WITH {SEGMENT_SQL}, e AS ({_LEVEL_SQL})
-SELECT "group", "Period", round(actual, 2) AS "Actual_mean", round(actual, 2) AS "Predicted_mean", round(without, 2) AS "Counterfactual_mean",
- round(actual - without, 2) + 0 AS "Effect_mean" FROM e""")
+SELECT "group", "Period", round(actual, 1) AS "Actual_mean", round(actual, 1) AS "Predicted_mean", round(without, 1) AS "Counterfactual_mean",
+ round(actual - without, 1) + 0 AS "Effect_mean" FROM e""")
 def i8_exact_effects_white(spark, sf):
     """With uncorrelated errors the exact likelihood is least squares on a constant and the intervention terms."""
     out = ItsArima("time", POINTS, "group").fit_exact(orders_panel(spark, sf), "value", (0, 0, 0)).effects()
-    return out.withColumns({c: F.round(c, 2) + F.lit(0.0) for c in ("Actual_mean", "Predicted_mean", "Counterfactual_mean", "Effect_mean")})
+    return out.withColumns({c: F.round(c, 1) + F.lit(0.0) for c in ("Actual_mean", "Predicted_mean", "Counterfactual_mean", "Effect_mean")})
 
 
 @query("i9_order_search_white", f"""WITH {PANEL_SQL}, y AS (SELECT grp, value, value - lag(value) OVER (PARTITION BY grp ORDER BY time) AS step FROM panel WHERE time < 27),
@@ -169,14 +169,14 @@ def i9_order_search_white(spark, sf):
  g AS (SELECT grp, p, regr_slope(value, time) AS b, regr_intercept(value, time) AS a FROM seg WHERE p = 0 GROUP BY 1, 2),
  o AS (SELECT seg.grp AS "group", CASE WHEN seg.p = 0 THEN 'Pre-intervention' ELSE 'Intervention_D_' || seg.p END AS "Period", avg(value - a - b*time) AS effect
   FROM seg JOIN g USING (grp) GROUP BY 1, 2)
-SELECT "group", "Period", round(effect, 2) + 0 AS effect_ols, round(actual - without, 2) + 0 AS effect_arima FROM o JOIN e USING ("group", "Period")""")
+SELECT "group", "Period", round(effect, 1) + 0 AS effect_ols, round(actual - without, 1) + 0 AS effect_arima FROM o JOIN e USING ("group", "Period")""")
 def i15_model_comparison_white(spark, sf):
     """Effects with a trend before the intervention next to those against a constant level."""
     rows = orders_panel(spark, sf)
     out = compare_effects({
         "ols": effects_per_group(rows, "time", POINTS, "value", "group", bucketed=True),
         "arima": ItsArima("time", POINTS, "group").fit_exact(rows, "value", (0, 0, 0)).effects()}, ["group", "Period"])
-    return out.withColumns({c: F.round(c, 2) + F.lit(0.0) for c in ("effect_ols", "effect_arima")})
+    return out.withColumns({c: F.round(c, 1) + F.lit(0.0) for c in ("effect_ols", "effect_arima")})
 
 
 @query("i9_order_search")
