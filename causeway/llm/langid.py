@@ -62,6 +62,44 @@ class Pieces:
         return out
 
 
+class Steps:
+    """The prefix table as an array of transitions, for the pieces of many words at a time."""
+
+    def __init__(self, table: dict[bytes, int]):
+        import numpy as np
+
+        inner = {prefix[:-1] for prefix in table} | {b""}
+        states = sorted(table.keys() | inner, key=lambda prefix: (prefix not in inner, prefix))  # those that go on come first
+        number = {prefix: i for i, prefix in enumerate(states, 1)}  # 0: no such prefix
+        self.root, self.inner = number[b""], len(inner)
+        self.after = np.zeros((self.inner + 1, 257), np.int32)  # the last column is the end of a word
+        self.after[[number[prefix[:-1]] for prefix in table], [prefix[-1] for prefix in table]] = [number[prefix] for prefix in table]
+        self.piece = np.array([-1] + [table.get(prefix, -1) for prefix in states], np.int64)
+
+    def edges(self, words: list[bytes], sizes):
+        """Pieces of the words up to ``LINEAR`` bytes: end, word, start and piece in one number each."""
+        import numpy as np
+
+        text = np.zeros(int(sizes.sum()) + len(words), np.int16)
+        text[:] = np.frombuffer(b"\0".join([*words, b""]), np.uint8)
+        first = np.cumsum(sizes + 1) - sizes - 1
+        text[first + sizes] = 256
+        short = np.flatnonzero(sizes <= LINEAR)
+        own = np.repeat(short, sizes[short])
+        start = np.arange(len(own)) - np.repeat(np.cumsum(sizes[short]) - sizes[short], sizes[short])
+        at, tag = first[own] + start, (start << 38 | own << 26 | start << 20)
+        state, found = np.full(len(own), self.root, np.int32), []
+        while len(at):
+            state = self.after[state, text[at]]
+            at, tag = at + 1, tag + (1 << 38)  # the end moves on by a byte
+            piece = self.piece[state]
+            hit = piece >= 0
+            found.append(tag[hit] | piece[hit])
+            on = (state > 0) & (state <= self.inner)
+            state, at, tag = state[on], at[on], tag[on]
+        return np.concatenate(found) if found else np.empty(0, np.int64)
+
+
 def log_add(x: float, y: float) -> float:
     if x < y:
         x, y = y, x
@@ -77,24 +115,12 @@ def log_likelihoods(words: list[bytes], pieces: Pieces, p, log_p: list[list[floa
 
     out = np.zeros((len(words), len(p)))
     by_piece = np.ascontiguousarray(p.T)
-    get = pieces.table.get
+    if not hasattr(pieces, "steps"):
+        pieces.steps = Steps(pieces.table)
     for at in range(0, len(words), 4096):
-        packed: list[int] = []  # end, word, start and piece in one number, so that sorting orders them
-        add, long = packed.append, []
-        for k, word in enumerate(words[at:at + 4096]):
-            size = len(word)
-            if size > LINEAR:
-                long.append((k, pieces.edges(word)))
-                continue
-            for i in range(size):
-                for j in range(i + 1, size + 1):
-                    piece = get(word[i:j])
-                    if piece is None:
-                        break
-                    if piece >= 0:
-                        add((((j << 12 | k) << 6) | i) << 20 | piece)
+        long = [(k, pieces.edges(word)) for k, word in enumerate(words[at:at + 4096]) if len(word) > LINEAR]
         n = np.fromiter(map(len, words[at:at + 4096]), np.int64)
-        edge = np.sort(np.asarray(packed, np.int64))
+        edge = np.sort(pieces.steps.edges(words[at:at + 4096], n))  # sorting orders them by end and word
         steps = np.searchsorted(edge >> 38, np.arange(1, LINEAR + 2))
         word_of, start, piece_of = (edge >> 26) & 4095, (edge >> 20) & 63, edge & ((1 << 20) - 1)
         a = np.zeros((len(n), LINEAR + 1, len(p)))

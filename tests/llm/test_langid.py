@@ -43,6 +43,22 @@ def test_forward_sums_all_segmentations():
         assert row == pytest.approx([math.log(every_segmentation(word, pieces, own)) for own in p])
 
 
+def test_steps_find_the_pieces_of_many_words():
+    """All words at once give what the prefix table gives word by word, whole bytes and words of every size included."""
+    rng = np.random.default_rng(2)
+    whole = langid.Pieces(langid.vocabulary_path())
+    for pieces, letters in ((Few(PIECES), b"abc "), (Few([b"a", b"aa", b"aab", b"\xff", b"\0", b"a\0a"]), b"ab\0\xff"), (whole, bytes(range(256)))):
+        words = [b"", *(bytes(rng.choice(list(letters), size)) for size in rng.integers(0, 40, 300)), b" the language", " größer".encode()]
+        edge = langid.Steps(pieces.table).edges(words, np.array([len(w) for w in words]))
+        found: dict = {}
+        for x in np.sort(edge).tolist():
+            found.setdefault(x >> 26 & 4095, set()).add((x >> 20 & 63, x >> 38, x & ((1 << 20) - 1)))
+        for k, word in enumerate(words):
+            assert found.get(k, set()) == (set(pieces.edges(word)) if len(word) <= langid.LINEAR else set())
+    assert len(edge) == sum(len(whole.edges(w)) for w in words if len(w) <= langid.LINEAR)
+    assert len(langid.Steps(whole.table).edges([], np.empty(0, np.int64))) == 0
+
+
 def test_long_words_agree_with_short_ones(monkeypatch):
     rng = np.random.default_rng(1)
     pieces, p = Few(PIECES), rng.dirichlet(np.ones(len(PIECES)), 2)
