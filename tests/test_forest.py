@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from causeway.operators import forest
 from causeway.operators import survival as S
 from causeway.operators.forest import SurvivalForest, bag_weights, drawn_features
 
@@ -149,3 +150,50 @@ def test_leaf_bound_quantiles_and_edges(spark, patients):
         SurvivalForest.fit(df, "id", ["nope"], "time", "event")
     tiny = SurvivalForest.fit(df.filter("id < 8"), "id", ["a"], "time", "event", trees=5)
     assert (tiny.trees.feature == -1).all() and tiny.curves(df.filter("id < 2"), "id").count() == 2 * len(tiny.times)
+
+
+@pytest.mark.parametrize("max_leaves, max_times", [(4096, 1024), (5, 6)])
+def test_large_nodes_and_dealt_out_ones_agree(spark, patients, monkeypatch, max_leaves, max_times):
+    """Nodes counted where their rows are down to 40 rows, or dealt out from the root on, in small blocks or at once."""
+    df, _ = patients
+    found = []
+    for group, least, block, cells in ((1 << 18, 10_000, 1 << 17, 1 << 18), (40, 1, 64, 200), (1, 1, 64, 200), (1 << 18, 10_000, 1, 1)):
+        for name, value in (("GROUP_ROWS", group), ("GROUP_LEAST", least), ("BLOCK_ROWS", block), ("BLOCK_CELLS", cells)):
+            monkeypatch.setattr(forest, name, value)
+        model = SurvivalForest.fit(df, "id", ["a", "b", "c"], "time", "event", trees=12, min_leaf=8, max_leaves=max_leaves, max_times=max_times)
+        found.append((model, model.steps.toPandas().sort_values(["node", "k"])))
+    first, steps = found[0]
+    assert 12 < (first.trees.feature < 0).sum() <= 12 * min(max_leaves, 20)
+    for model, own in found[1:]:
+        for name in ("feature", "cut", "child"):
+            assert (getattr(model.trees, name) == getattr(first.trees, name)).all()
+        assert np.allclose(own.to_numpy(), steps.to_numpy(), rtol=1e-9, atol=1e-12)
+        assert np.allclose(model.leaf_risk, first.leaf_risk, rtol=1e-9)
+
+
+def test_cuts_of_many_nodes_equal_those_of_one(monkeypatch):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(forest, "BLOCK_CELLS", 300)
+    sizes = [1, 3, 30, 200, 7, 45, 45, 90, 12, 31]
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    bins, weight = rng.integers(0, 12, len(own)) * (own % 3 > 0), rng.integers(1, 4, len(own))
+    event, moment, n_moments = rng.random(len(own)) < 0.5, np.zeros(len(own), np.int64), np.zeros(len(sizes), np.int64)
+    want = []
+    for node in range(len(sizes)):
+        at = own == node
+        reached = rng.integers(0 if node % 2 else 1, 25, at.sum())
+        event[at] &= reached > 0
+        n, d = np.zeros((12, 26), np.int64), np.zeros((12, 25), np.int64)
+        np.add.at(n, (bins[at], reached), weight[at])
+        np.add.at(d, (bins[at][event[at]], reached[event[at]] - 1), weight[at][event[at]])
+        want.append(forest.best_cut(n, d, 8))
+        died = np.unique(reached[event[at]])
+        moment[at], n_moments[node] = np.searchsorted(died, reached, "right"), len(died)
+    size = np.bincount(own, weights=weight).astype(np.int64)
+    score, cut, left = forest._scored(own, bins, weight, event, moment, size, n_moments, 12, 8)
+    assert sum(w is not None for w in want) > 3
+    for node, w in enumerate(want):
+        if w is None:
+            assert score[node] < 0
+        else:
+            assert (score[node], cut[node], left[node], size[node] - left[node]) == (pytest.approx(w[0]), *w[1:])
