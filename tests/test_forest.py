@@ -161,13 +161,15 @@ def test_large_nodes_and_dealt_out_ones_agree(spark, patients, monkeypatch, max_
         for name, value in (("GROUP_ROWS", group), ("GROUP_LEAST", least), ("BLOCK_ROWS", block), ("BLOCK_CELLS", cells)):
             monkeypatch.setattr(forest, name, value)
         model = SurvivalForest.fit(df, "id", ["a", "b", "c"], "time", "event", trees=12, min_leaf=8, max_leaves=max_leaves, max_times=max_times)
-        found.append((model, model.steps.toPandas().sort_values(["node", "k"])))
-    first, steps = found[0]
+        curves = model.curves(df.filter("id < 3"), "id").toPandas().sort_values(["id", "time"]).to_numpy()
+        found.append((model, model.steps.toPandas().sort_values(["node", "k"]), curves))
+    first, steps, drawn = found[0]
     assert 12 < (first.trees.feature < 0).sum() <= 12 * min(max_leaves, 20)
-    for model, own in found[1:]:
+    for model, own, curves in found[1:]:
         for name in ("feature", "cut", "child"):
             assert (getattr(model.trees, name) == getattr(first.trees, name)).all()
         assert np.allclose(own.to_numpy(), steps.to_numpy(), rtol=1e-9, atol=1e-12)
+        assert np.allclose(curves, drawn, rtol=1e-9, atol=1e-12)
         assert np.allclose(model.leaf_risk, first.leaf_risk, rtol=1e-9)
 
 
