@@ -199,3 +199,42 @@ def test_cuts_of_many_nodes_equal_those_of_one(monkeypatch):
             assert score[node] < 0
         else:
             assert (score[node], cut[node], left[node], size[node] - left[node]) == (pytest.approx(w[0]), *w[1:])
+
+
+def test_dealt_out_rows_are_narrow_whole_and_sorted(monkeypatch):
+    """A block of two nodes dealt in parts: kept by node and time, five bytes a row with two features, then moved."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    args, nodes, sizes = (2, 20, 300), [5, 5, 9, 9, 9], [40, 30, 25, 30, 35]
+    n = sum(sizes)
+    of_time, of_mass, of_bin, n_features = forest._pair_types(args)
+    reached, weight, event = rng.integers(0, 301, n).astype(of_time), rng.integers(1, 4, n), rng.random(n) < 0.6
+    mass, bins = (2 * weight + event).astype(of_mass), rng.integers(0, 20, (n_features, n)).astype(of_bin)
+    ends = np.cumsum(sizes)
+    parts = [forest._packed([k], [b - a], reached[a:b], mass[a:b], bins[:, a:b]) for k, a, b in zip(nodes, [0, *ends], ends)]
+    assert sum(len(p[1]) for p in parts) == 5 * n
+    dealt = pa.RecordBatch.from_arrays([pa.array(v, pa.binary()) for v in zip(*parts)], ["nodes", "pairs"])
+
+    def rows_of(batch):
+        (k, m, *columns), = forest._blocks([batch.select(["nodes", "pairs"])], args)
+        return list(zip(np.repeat(k, m).tolist(), *(c.tolist() for c in columns[:2]), columns[2].T.tolist(), strict=True))
+
+    grow = forest._grower(args, 10, 8, 2, 7)
+    out = {b.column("kind")[0].as_py(): b for b in grow(0, None)([dealt])}
+    want = sorted(zip(np.repeat(nodes, sizes).tolist(), reached.tolist(), mass.tolist(), bins.T.tolist(), strict=True))
+    kept = rows_of(out["rows"])
+    assert sorted(kept) == want and [r[:2] for r in kept] == [r[:2] for r in want]
+    split = {r["node"]: r for r in out["split"].to_pylist()}
+    assert set(split) == {5, 9}
+    feature, cut, child = (np.zeros(5, np.int32) for _ in range(3))
+    for node, to in ((5, 20), (9, 22)):
+        feature[node - 5], cut[node - 5], child[node - 5] = split[node]["feature"], split[node]["cut"], to
+    monkeypatch.setattr(forest, "best_cuts", lambda reach, died, *_: np.ones(died.shape))  # all that can be cut are
+    moved = [b for b in grow(5, forest.Trees(feature, cut, child))([out["rows"]])]
+    left = [r for b in moved if b.column("kind")[0].as_py() == "rows" for r in rows_of(b)]
+    goes = [(child[k - 5] + (b[split[k]["feature"]] > split[k]["cut"]), t, m, b) for k, t, m, b in want]
+    held = {r[0] for r in left}
+    assert held and sorted(left) == sorted(r for r in goes if r[0] in held)
+    for side, node in (("left", 20), ("right", 21)):
+        assert sum(m >> 1 for k, _, m, _ in goes if k == node) == split[5][side]
