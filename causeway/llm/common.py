@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from causeway.session import scratch_path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write to the shared folder and read back: compact, columnar, and safe from lost executors."""
-    return stored_at(df, scratch_path(df.sparkSession, name))
+    return stored_at(df, scratch_path(df.sparkSession, name), **options)
 
 
-def stored_at(df: DataFrame, path: str) -> DataFrame:
-    df.write.option("compression", "zstd").parquet(path)
+def stored_at(df: DataFrame, path: str, **options: str) -> DataFrame:
+    df.write.options(compression="zstd", **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -25,9 +25,9 @@ def scratch(spark: SparkSession):
     """A function like ``stored`` whose tables go when the block ends: all that leaves it must be written or checkpointed."""
     paths: list[str] = []
 
-    def store(df: DataFrame, name: str) -> DataFrame:
+    def store(df: DataFrame, name: str, **options: str) -> DataFrame:
         paths.append(scratch_path(spark, name))
-        return stored_at(df, paths[-1])
+        return stored_at(df, paths[-1], **options)
 
     try:
         yield store

@@ -3,7 +3,8 @@
 The index is a table with one row per segment, a run of whole documents: for each term the ascending list
 of its positions in the segment. One position stays free after each document, so no phrase
 crosses documents. Segments are searched on their own, so nothing is shuffled and a frequent term is split
-over all segments.
+over all segments. Lists are stored as bytes in small row groups: as arrays of a whole file at a time they filled
+an executor's heap.
 
 A phrase is searched from its rarest term in the segment: that list, minus the term's place in the phrase,
 gives possible starts; the offset-adjusted lists of the other terms, rarer ones first, are
@@ -27,12 +28,18 @@ from causeway.session import cut_lineage
 
 SEGMENT_WORDS = 100_000  # a segment is closed when it holds so many; only a longer document exceeds it
 BLOCK_WORDS = 400_000  # words of test items that are searched at a time
+PHRASES_AT_ONCE = 1 << 14  # phrases whose lists are compared at a time
+PLACES_AT_ONCE = 1 << 18  # positions of their rarest terms that are followed at a time; only a longer list exceeds it
+GROUP_SEGMENTS = 8  # stored segments that are written and read at a time,
+GROUP_BYTES = 4 << 20  # or of longer ones as many as compressed bytes allow
 
 INDEX = ("segment bigint, doc_ids array<bigint>, doc_marks array<bigint>, doc_starts array<bigint>, doc_words array<bigint>, "
-         "terms array<binary>, list_ends array<bigint>, positions array<int>")
+         "terms binary, list_ends binary, positions binary")  # words between blanks, 64-bit and 32-bit numbers
 FOUND = ("segment bigint, slot int, doc_id bigint, mark bigint, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>, "
          "near array<string>")
 SLACK = 2  # words that a proximity match may be longer than its phrase
+_STORED = {"parquet.block.row.count.limit": str(GROUP_SEGMENTS), "parquet.block.size": str(GROUP_BYTES), "parquet.page.size.row.check.min": "1",
+           "parquet.enable.dictionary": "false"}
 
 #: ASCII letters lower-cased, digits and bytes above ASCII kept, all else a blank
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -61,8 +68,8 @@ def build_index(documents: DataFrame, mark: Column | None = None, store=stored)
             at = np.flatnonzero(term >= 0)  # the free places behind documents are no terms
             order = at[np.argsort(term[at], kind="stable")].astype(np.int32)
             ends = np.cumsum(np.bincount(term[at], minlength=len(own)))
-            row = ([part + closed], [ids], [marks], [starts], [sizes], [list(own)], [ends], [order])
-            kinds = [pa.int64(), *[pa.list_(k) for k in (*[pa.int64()] * 4, pa.binary(), pa.int64(), pa.int32())]]
+            row = ([part + closed], [ids], [marks], [starts], [sizes], [b" ".join(own)], [ends.astype(np.int64).tobytes()], [order.tobytes()])
+            kinds = [pa.int64(), *[pa.list_(pa.int64())] * 4, *[pa.binary()] * 3]
             columns = ["segment", "doc_ids", "doc_marks", "doc_starts", "doc_words", "terms", "list_ends", "positions"]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], columns)
 
@@ -86,7 +93,15 @@ def build_index(documents: DataFrame, mark: Column | None = None, store=stored)
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), (F.lit(0) if mark is None else mark).cast("bigint").alias("mark"),
                             F.col("text").cast("string").alias("text"))
-    return store(rows.mapInArrow(run, INDEX), "postings")
+    return store(rows.mapInArrow(run, INDEX), "postings", **_STORED)
+
+
+def segment_of(batch, i: int) -> tuple:
+    """(doc_ids, doc_marks, doc_starts, doc_words, terms, list_ends, positions) of a row of the index; the first four as Arrow arrays."""
+    import numpy as np
+
+    lists = [np.frombuffer(batch[c][i].as_buffer(), kind) for c, kind in (("list_ends", np.int64), ("positions", np.int32))]
+    return *(batch[c][i].values for c in ("doc_ids", "doc_marks", "doc_starts", "doc_words")), batch["terms"][i].as_py().split(), *lists
 
 
 class Block:
@@ -146,48 +161,61 @@ class Postings:
 
 
 def rarest_places(postings: Postings, phrases, sizes):
-    """(rows, places, which, position): phrases whose terms all occur, their places by rarity, and for all
-    positions of each one's rarest term the index into ``rows``."""
+    """(rows, places, which, position) for some phrases at a time: those whose terms all occur, their places by rarity, and
+    for positions of each one's rarest term the index into ``rows``."""
+    import numpy as np
+
+    for begin in range(0, len(phrases), PHRASES_AT_ONCE):
+        own = phrases[begin:begin + PHRASES_AT_ONCE]
+        length = np.where(own >= 0, postings.size[np.maximum(own, 0)], np.iinfo(np.int64).max)
+        rows = np.flatnonzero((length > 0).all(1) & (sizes[begin:begin + PHRASES_AT_ONCE] > 0))
+        if not len(rows):
+            continue
+        places = np.argsort(length[rows], axis=1, kind="stable").astype(np.int32)  # rarest first, places behind the end last
+        rarest = own[rows, places[:, 0]]
+        n = postings.size[rarest]
+        upto, done = np.cumsum(n), 0
+        while done < len(rows):
+            end = max(done + 1, int(np.searchsorted(upto, upto[done] - n[done] + PLACES_AT_ONCE, "right")))
+            m = n[done:end]
+            which = np.repeat(np.arange(end - done), m)
+            nth = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+            yield begin + rows[done:end], places[done:end], which, postings.positions[postings.begin[rarest[done:end]][which] + nth]
+            done = end
+
+
+def _joined(found: list[tuple]) -> tuple:
     import numpy as np
 
-    rows = np.arange(len(phrases))
-    length = np.where(phrases >= 0, postings.size[np.maximum(phrases, 0)], np.iinfo(np.int64).max)
-    rows = rows[(length > 0).all(1) & (sizes > 0)]
-    places = np.argsort(length[rows], axis=1, kind="stable").astype(np.int32)  # rarest first, places behind the end last
-    if not len(rows):
-        return rows, places, rows, rows
-    rarest = phrases[rows, places[:, 0]]
-    n = postings.size[rarest]
-    which = np.repeat(np.arange(len(rows)), n)
-    nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    return rows, places, which, postings.positions[postings.begin[rarest][which] + nth]
+    none = np.empty(0, np.int64)
+    return tuple(np.concatenate([none, *(f[i] for f in found)]) for i in range(2))
 
 
 def phrase_starts(postings: Postings, phrases, sizes):
     """(phrase, start) of every occurrence."""
-    import numpy as np
-
-    rows, places, which, start = rarest_places(postings, phrases, sizes)
-    start = start - places[which, 0] if len(rows) else start
-    for k in range(1, phrases.shape[1] if len(rows) else 1):
-        place = places[which, k]
-        term = phrases[rows[which], place]
-        left = (term < 0) | postings.holds(np.maximum(term, 0), start + place)
-        which, start = which[left], start[left]
-    return rows[which], start
+    found = []
+    for rows, places, which, position in rarest_places(postings, phrases, sizes):
+        start = position - places[which, 0]
+        for k in range(1, phrases.shape[1]):
+            place = places[which, k]
+            term = phrases[rows[which], place]
+            left = (term < 0) | postings.holds(term.clip(0), start + place)
+            which, start = which[left], start[left]
+        found.append((rows[which], start))
+    return _joined(found)
 
 
 def near_places(postings: Postings, phrases, sizes, slack: int):
     """(phrase, position of its rarest term) around which each of its terms has a position near enough."""
-    import numpy as np
-
-    rows, places, which, position = rarest_places(postings, phrases, sizes)
-    for k in range(1, phrases.shape[1] if len(rows) else 1):
-        row = rows[which]
-        term, reach = phrases[row, places[which, k]], sizes[row] + slack - 1
-        left = (term < 0) | postings.holds_near(np.maximum(term, 0), position - reach, position + reach)
-        which, position = which[left], position[left]
-    return rows[which], position
+    found = []
+    for rows, places, which, position in rarest_places(postings, phrases, sizes):
+        for k in range(1, phrases.shape[1]):
+            row = rows[which]
+            term, reach = phrases[row, places[which, k]], sizes[row] + slack - 1
+            left = (term < 0) | postings.holds_near(term.clip(0), position - reach, position + reach)
+            which, position = which[left], position[left]
+        found.append((rows[which], position))
+    return _joined(found)
 
 
 def window_around(postings: Postings, terms: list[int], slack: int, at: int, low: int, high: int) -> tuple[int, int] | None:
@@ -242,14 +270,14 @@ def search_block(index: DataFrame, block: Block, slack: int = SLACK):
         span_kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch[c][i].values for c in ("doc_ids", "doc_marks", "doc_starts", "doc_words", "terms", "list_ends", "positions")}
-                starts, n_words = row["doc_starts"].to_numpy(), row["doc_words"].to_numpy()
+                doc_ids, doc_marks, starts, doc_words, own_terms, ends, positions = segment_of(batch, i)
+                starts, n_words = starts.to_numpy(), doc_words.to_numpy()
                 docs = len(starts)
                 spans: list[list] = [[] for _ in range(docs)]
                 items: list[list] = [[] for _ in range(docs)]
                 close: list[list] = [[] for _ in range(docs)]
-                if len(row["positions"]):
-                    postings = Postings(row["terms"].to_pylist(), row["list_ends"].to_numpy(), row["positions"].to_numpy(), terms)
+                if len(positions):
+                    postings = Postings(own_terms, ends, positions, terms)
                     phrase, at = phrase_starts(postings, phrases, sizes)
                     first, last = covered(at, at + sizes[phrase])
                     of = np.searchsorted(starts, first, "right") - 1
@@ -269,8 +297,8 @@ def search_block(index: DataFrame, block: Block, slack: int = SLACK):
                             a, b = np.searchsorted(pair_phrase, [k, k + 1])
                             close[d].extend(names[i] for i in pair_item[a:b])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch["segment"][i].as_py()] * docs, pa.int64()), pa.array(np.arange(docs, dtype=np.int32)), row["doc_ids"],
-                     row["doc_marks"], row["doc_words"], pa.array(spans, span_kind), *[pa.array([sorted(set(x)) for x in own], pa.list_(pa.string())) for own in (items, close)]],
+                    [pa.array([batch["segment"][i].as_py()] * docs, pa.int64()), pa.array(np.arange(docs, dtype=np.int32)), doc_ids,
+                     doc_marks, doc_words, pa.array(spans, span_kind), *[pa.array([sorted(set(x)) for x in own], pa.list_(pa.string())) for own in (items, close)]],
                     ["segment", "slot", "doc_id", "mark", "n_words", "spans", "items", "near"])
 
     return index.mapInArrow(run, FOUND), held
@@ -297,11 +325,11 @@ def proximity(index: DataFrame, phrases: list[list[bytes]], slack: int = SLACK)
         for batch in batches:
             out = set()
             for i in range(batch.num_rows):
-                row = {c: batch[c][i].values for c in ("doc_ids", "doc_starts", "doc_words", "terms", "list_ends", "positions")}
-                if not len(row["positions"]) or not table.size:
+                ids, _, starts, n_words, own_terms, ends, positions = segment_of(batch, i)
+                if not len(positions) or not table.size:
                     continue
-                starts, n_words, ids = row["doc_starts"].to_numpy(), row["doc_words"].to_numpy(), row["doc_ids"].to_pylist()
-                postings = Postings(row["terms"].to_pylist(), row["list_ends"].to_numpy(), row["positions"].to_numpy(), numbers)
+                starts, n_words, ids = starts.to_numpy(), n_words.to_numpy(), ids.to_pylist()
+                postings = Postings(own_terms, ends, positions, numbers)
                 for k, at in zip(*(x.tolist() for x in near_places(postings, table, sizes, slack)), strict=True):
                     d = int(np.searchsorted(starts, at, "right") - 1)
                     first = int(starts[d])

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from causeway.llm import decontam
 from causeway.llm.queries import QUERIES
@@ -106,3 +107,39 @@ def test_proximity_equals_brute_force(spark, monkeypatch, segment):
     for r in found:
         own = docs[r.doc_id][1].split()[r.start:r.end]
         assert not Counter(phrases[r.phrase]) - Counter(own) and len(own) <= len(phrases[r.phrase]) + 1
+
+
+def test_postings_are_stored_in_small_row_groups(spark, monkeypatch):
+    """A reader holds a row group at a time; one of a whole file's lists filled an executor's heap."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(decontam, "SEGMENT_WORDS", 20_000)
+    docs = documents(spark, [(i, prose(20_000, i)) for i in range(20)]).repartition(1).select("doc_id", F.explode(F.array_repeat("text", 10)).alias("text"))
+    index = decontam.build_index(docs)
+    files = glob.glob(index.inputFiles()[0].removeprefix("file://").rpartition("/")[0] + "/*.parquet")
+    groups = [m.row_group(i) for m in (pq.ParquetFile(f).metadata for f in files) for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 200 and max(g.num_rows for g in groups) <= decontam.GROUP_SEGMENTS
+    assert max(g.total_byte_size for g in groups) < decontam.GROUP_BYTES
+    assert decontam.proximity(index, [prose(5, 3).encode().split()], 0).filter("start = 0").count() == 10
+
+
+def test_phrases_are_followed_some_at_a_time(monkeypatch):
+    import numpy as np
+
+    own, numbers = random.Random(4).choices([b"a", b"b", b"c"], k=400), {b"a": 0, b"b": 1, b"c": 2}
+    places = [[i for i, w in enumerate(own) if w == t] for t in numbers]
+    postings = decontam.Postings(list(numbers), np.cumsum([len(p) for p in places]), np.concatenate(places), numbers)
+    phrases = np.array([[a, b, c] for a in range(3) for b in range(3) for c in (-1, 0, 1, 2)])
+    sizes = (phrases >= 0).sum(1)
+    want = {(k, i) for k, p in enumerate(phrases.tolist()) for i in range(400) if [numbers[w] for w in own[i:i + sizes[k]]] == p[:sizes[k]]}
+    near = [sorted(zip(*(x.tolist() for x in decontam.near_places(postings, phrases, sizes, 1)), strict=True))]
+    monkeypatch.setattr(decontam, "PHRASES_AT_ONCE", 5)
+    monkeypatch.setattr(decontam, "PLACES_AT_ONCE", 300)
+    sliced = list(decontam.rarest_places(postings, phrases, sizes))
+    assert len(sliced) > 8 and max(len(which) for _, _, which, _ in sliced) <= 300
+    found = list(zip(*(x.tolist() for x in decontam.phrase_starts(postings, phrases, sizes)), strict=True))
+    assert len(found) == len(set(found)) and set(found) == want
+    near.append(sorted(zip(*(x.tolist() for x in decontam.near_places(postings, phrases, sizes, 1)), strict=True)))
+    assert near[0] == near[1] and {(k, p) for k, p in near[0]} >= {(0, p) for p in places[0] if p + 1 in places[0]}
