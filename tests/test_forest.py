@@ -238,3 +238,54 @@ def test_dealt_out_rows_are_narrow_whole_and_sorted(monkeypatch):
     assert held and sorted(left) == sorted(r for r in goes if r[0] in held)
     for side, node in (("left", 20), ("right", 21)):
         assert sum(m >> 1 for k, _, m, _ in goes if k == node) == split[5][side]
+
+
+def test_nodes_of_many_rows_grow_like_the_others(monkeypatch):
+    """Scored from their cells or with others, then moved: equal cuts, rows, and falls of leaves."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    args, nodes, sizes = (2, 20, 300), [3, 5, 6, 9], [300, 12, 5, 400]
+    n, ends = sum(sizes), np.cumsum(sizes)
+    of_time, of_mass, of_bin, _ = forest._pair_types(args)
+    reached, bins = rng.integers(0, 301, n).astype(of_time), rng.integers(0, 20, (2, n)).astype(of_bin)
+    mass = (2 * rng.integers(1, 4, n) + (rng.random(n) < 0.6)).astype(of_mass)
+    parts = [forest._packed([k], [b - a], reached[a:b], mass[a:b], bins[:, a:b]) for k, a, b in zip(nodes, [0, *ends], ends)]
+    dealt = pa.RecordBatch.from_arrays([pa.array(v, pa.binary()) for v in zip(*parts)], ["nodes", "pairs"])
+    found = []
+    for rows in (1, 100, 1 << 16):
+        monkeypatch.setattr(forest, "CELL_ROWS", rows)
+        grow, levels, own = forest._grower(args, 10, 8, 2, 7), [], [dealt]
+        first, moves = 0, None
+        for level in range(2):
+            out = list(grow(first, moves)(own))
+            of = {kind: [b for b in out if b.column("kind")[0].as_py() == kind] for kind in ("split", "rows", "step")}
+            split = sorted(tuple(r[c] for c in ("node", "feature", "cut", "left", "right")) for b in of["split"] for r in b.to_pylist())
+            kept = sorted(r for b in of["rows"] for k, m, *c in forest._blocks([b.select(["nodes", "pairs"])], args)
+                          for r in zip(np.repeat(k, m).tolist(), *(v.tolist() for v in c[:2]), c[2].T.tolist(), strict=True))
+            leaves = sorted(tuple(r) for b in of["step"] for r in np.frombuffer(b.column("nodes")[0].as_py(), forest._LEAVES).tolist())
+            levels.append((split, kept, [r[:2] for r in leaves], np.array([r[2] for r in leaves])))
+            feature, cut, child = np.full(20, -1, np.int32), np.zeros(20, np.int32), np.zeros(20, np.int32)
+            for i, (node, f, c, *_) in enumerate(split):
+                if level == 0 and node != 9:  # its cut is refused
+                    feature[node], cut[node], child[node] = f, c, 20 + 2 * i
+            first, moves, own = 0, forest.Trees(feature, cut, child), of["rows"]
+        found.append(levels)
+    assert len(found[0][0][0]) >= 2 and len(found[0][1][0]) > 0 and 9 in [k for k, _ in found[0][1][2]]
+    for levels in found[1:]:
+        for a, b in zip(levels, found[0], strict=True):
+            assert a[:3] == b[:3] and np.allclose(a[3], b[3], rtol=1e-12)
+
+
+def test_risk_is_spread_and_equals_the_leaves(spark, patients):
+    df, _ = patients
+    model = SurvivalForest.fit(df, "id", ["a", "b", "c"], "time", "event", trees=7, min_leaf=8)
+    few = df.coalesce(1)
+    assert model.risk(few, "id").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bins = np.random.default_rng(2).integers(0, 30, (500, 3))
+    apart = model.trees.apart(np.arange(7))
+    want = model.leaf_risk[model.trees.leaves_of(bins, np.arange(7))].sum(1)
+    assert np.allclose(apart.sums(bins, model.leaf_risk[apart.nodes]), want, rtol=1e-12)
+    leaves = np.flatnonzero(model.trees.feature < 0)
+    wanted = np.isin(np.arange(len(model.trees.feature)), leaves[::2])
+    assert {r.node for r in model.falls.steps(wanted).collect()} == {r.node for r in model.steps.collect()} & set(leaves[::2].tolist())
